@@ -332,3 +332,177 @@ FROM m_unit""")
 def q_unit_economics_daily(wh: Warehouse) -> DataFrame:
     """M7: ARPU, ARPPU, payer rate per day."""
     return wh.unit_economics_daily()
+
+
+# --------------------------------------------------------------------- KPIs
+from cartwheel.operators import kpis  # noqa: E402
+
+
+@register("sessions_per_user_daily", """
+SELECT activity_date, CAST(sum(sessions_count) AS BIGINT) AS sessions,
+       count(*) FILTER (WHERE is_active AND user_id IS NOT NULL) AS active_users,
+       CAST(sum(sessions_count) AS BIGINT) * 1.0
+           / nullif(count(*) FILTER (WHERE is_active AND user_id IS NOT NULL), 0) AS sessions_per_user
+FROM user_daily GROUP BY 1""")
+def q_sessions_per_user_daily(wh: Warehouse) -> DataFrame:
+    """K1: sessions per active user per day."""
+    return kpis.sessions_per_user_daily(wh.fct_user_daily_activity())
+
+
+@register("bounce_rate_daily", """
+SELECT session_date, count(*) AS sessions, count(*) FILTER (WHERE is_bounce) AS bounced_sessions,
+       count(*) FILTER (WHERE is_bounce) * 1.0 / nullif(count(*), 0) AS bounce_rate
+FROM sess GROUP BY 1""")
+def q_bounce_rate_daily(wh: Warehouse) -> DataFrame:
+    """K2: bounce rate per session day."""
+    return kpis.bounce_rate_daily(wh.fct_sessions())
+
+
+@register("payment_success_rate_daily", """
+SELECT CAST(payment_intent_event_ts AS DATE) AS payment_date, count(*) AS intents,
+       count(*) FILTER (WHERE is_succeeded) AS succeeded_intents,
+       count(*) FILTER (WHERE is_succeeded) * 1.0 / nullif(count(*), 0) AS success_rate
+FROM payments GROUP BY 1""")
+def q_payment_success_rate_daily(wh: Warehouse) -> DataFrame:
+    """K3: payment success rate per day."""
+    return kpis.payment_success_rate_daily(wh.fct_payments())
+
+
+@register("time_to_purchase", """
+SELECT CAST(p.payment_intent_event_ts AS DATE) AS payment_date, count(*) AS payments,
+       CAST(sum(date_diff('second', s.session_start_at, p.payment_intent_event_ts)) AS BIGINT) * 1.0
+           / nullif(count(*), 0) AS avg_seconds_to_purchase,
+       min(date_diff('second', s.session_start_at, p.payment_intent_event_ts)) AS min_seconds_to_purchase,
+       max(date_diff('second', s.session_start_at, p.payment_intent_event_ts)) AS max_seconds_to_purchase
+FROM map_session m
+JOIN sess s ON s.session_id = m.session_id
+JOIN payments p ON p.payment_intent_id = m.payment_intent_id
+WHERE m.is_session_found AND p.is_succeeded
+GROUP BY 1""")
+def q_time_to_purchase(wh: Warehouse) -> DataFrame:
+    """K4: session start -> succeeded payment, seconds, per payment day."""
+    return kpis.time_to_purchase(wh.map_payment_to_session(), wh.fct_sessions(), wh.fct_payments())
+
+
+@register("revenue_per_session_daily", """
+SELECT session_date, count(*) AS sessions, CAST(sum(revenue_cents) AS BIGINT) / 100 AS revenue,
+       (CAST(sum(revenue_cents) AS BIGINT) / 100) * 1.0 / nullif(count(*), 0) AS revenue_per_session
+FROM sess GROUP BY 1""")
+def q_revenue_per_session_daily(wh: Warehouse) -> DataFrame:
+    """K5: revenue and revenue per session per day."""
+    return kpis.revenue_per_session_daily(wh.fct_sessions())
+
+
+@register("revenue_by_brand", """
+SELECT d.brand, CAST(sum(pd.payments_count) AS BIGINT) AS payments_count,
+       CAST(sum(pd.revenue_cents) AS BIGINT) / 100 AS revenue_amount,
+       CAST(sum(pd.refunded_cents) AS BIGINT) / 100 AS refunded_amount,
+       CAST(sum(pd.revenue_cents) - sum(pd.refunded_cents) AS BIGINT) / 100 AS net_revenue
+FROM product_daily pd LEFT JOIN products_dim d ON d.product_id = pd.product_id
+GROUP BY 1""")
+def q_revenue_by_brand(wh: Warehouse) -> DataFrame:
+    """K6: attributed revenue by brand."""
+    return kpis.revenue_by_brand(wh.fct_product_daily_activity(), wh.dim_products())
+
+
+@register("retention_d1_d7_d30", """
+SELECT cohort_date, max(cohort_sizes) AS cohort_size,
+       max(CASE WHEN cohort_age_days = 1 THEN retention_rate END) AS d1_retention,
+       max(CASE WHEN cohort_age_days = 7 THEN retention_rate END) AS d7_retention,
+       max(CASE WHEN cohort_age_days = 30 THEN retention_rate END) AS d30_retention
+FROM m_retention GROUP BY 1""")
+def q_retention_d1_d7_d30(wh: Warehouse) -> DataFrame:
+    """K7: D1/D7/D30 retention per cohort."""
+    return kpis.retention_snapshots(wh.retention_cohorts())
+
+
+_HEAT = ",\n       ".join(
+    f"max(CASE WHEN cohort_age_days = {a} THEN retention_rate END) AS d{a}" for a in kpis.HEATMAP_AGES)
+
+
+@register("retention_heatmap", f"""
+SELECT cohort_date,
+       {_HEAT}
+FROM m_retention GROUP BY 1""")
+def q_retention_heatmap(wh: Warehouse) -> DataFrame:
+    """K8: cohort x age retention matrix (pivot)."""
+    return kpis.retention_heatmap(wh.retention_cohorts())
+
+
+@register("revenue_retention_cohorts", """
+SELECT cohort_date, CAST(cohort_age_days AS BIGINT) AS cohort_age_days, cohort_size,
+       net_cents / 100 AS revenue_amount, day0 AS day0_revenue,
+       (net_cents / 100) * 1.0 / nullif(day0, 0) AS revenue_retention
+FROM (SELECT *, max(CASE WHEN cohort_age_days = 0 THEN net_cents / 100 END)
+                    OVER (PARTITION BY cohort_date) AS day0
+      FROM m_ltv_all)""")
+def q_revenue_retention_cohorts(wh: Warehouse) -> DataFrame:
+    """K9: revenue retention (revenue at age / day-0 revenue)."""
+    return kpis.revenue_retention_cohorts(wh.dim_users(), wh.fct_user_daily_activity())
+
+
+@register("ltv_snapshots", """
+SELECT cohort_date, max(cohort_size) AS cohort_size,
+       max(CASE WHEN cohort_age_days = 7 THEN (cum_cents / 100) * 1.0 / nullif(cohort_size, 0) END) AS ltv_d7,
+       max(CASE WHEN cohort_age_days = 30 THEN (cum_cents / 100) * 1.0 / nullif(cohort_size, 0) END) AS ltv_d30,
+       max(CASE WHEN cohort_age_days = 60 THEN (cum_cents / 100) * 1.0 / nullif(cohort_size, 0) END) AS ltv_d60
+FROM m_ltv_all60 GROUP BY 1""")
+def q_ltv_snapshots(wh: Warehouse) -> DataFrame:
+    """D7/D30/D60 LTV per cohort."""
+    return kpis.ltv_snapshots(wh.dim_users(), wh.fct_user_daily_activity())
+
+
+@register("new_vs_repeat_revenue", """
+WITH r AS (
+    SELECT *, row_number() OVER (PARTITION BY user_id
+                                 ORDER BY payment_intent_event_ts, payment_intent_id) AS rn
+    FROM payments
+    WHERE is_succeeded AND user_id IS NOT NULL AND payment_intent_event_ts IS NOT NULL
+), d AS (
+    SELECT CAST(payment_intent_event_ts AS DATE) AS activity_date, count(*) AS payments,
+           CAST(sum(amount_cents) AS BIGINT) AS all_c,
+           count(*) FILTER (WHERE rn = 1) AS new_buyers,
+           CAST(coalesce(sum(amount_cents) FILTER (WHERE rn = 1), 0) AS BIGINT) AS new_c
+    FROM r GROUP BY 1
+)
+SELECT activity_date, payments, all_c / 100 AS revenue, new_buyers, new_c / 100 AS new_revenue,
+       payments - new_buyers AS repeat_payments, (all_c - new_c) / 100 AS repeat_revenue,
+       (all_c - new_c) * 1.0 / nullif(all_c, 0) AS repeat_revenue_share
+FROM d""")
+def q_new_vs_repeat_revenue(wh: Warehouse) -> DataFrame:
+    """New vs repeat buyer revenue per day."""
+    return kpis.new_vs_repeat_revenue(wh.fct_payments())
+
+
+@register("brand_retention", """
+WITH r AS (
+    SELECT user_id, payment_intent_id,
+           row_number() OVER (PARTITION BY user_id ORDER BY payment_intent_event_ts, payment_intent_id) AS rn,
+           count(*) OVER (PARTITION BY user_id) AS n
+    FROM payments
+    WHERE is_succeeded AND user_id IS NOT NULL AND payment_intent_event_ts IS NOT NULL
+)
+SELECT e.brand, count(*) AS first_buyers, count(*) FILTER (WHERE r.n >= 2) AS repeat_buyers,
+       count(*) FILTER (WHERE r.n >= 2) * 1.0 / nullif(count(*), 0) AS repeat_share
+FROM r JOIN map_event m ON m.payment_intent_id = r.payment_intent_id
+JOIN fevents e ON e.event_pk = m.event_id
+WHERE r.rn = 1
+GROUP BY 1""")
+def q_brand_retention(wh: Warehouse) -> DataFrame:
+    """Repeat-buyer share by brand of the first attributed purchase."""
+    return kpis.brand_retention(wh.fct_payments(), wh.map_payment_to_event(), wh.fct_events())
+
+
+@register("revenue_decomposition_daily", """
+SELECT session_date, count(*) AS sessions, count(*) FILTER (WHERE has_purchase) AS paying_sessions,
+       CAST(sum(payments_count) AS BIGINT) AS payments,
+       CAST(sum(revenue_cents) AS BIGINT) / 100 AS revenue,
+       count(*) FILTER (WHERE has_purchase) * 1.0 / nullif(count(*), 0) AS conversion_rate,
+       (CAST(sum(revenue_cents) AS BIGINT) / 100) * 1.0
+           / nullif(count(*) FILTER (WHERE has_purchase), 0) AS revenue_per_paying_session,
+       (CAST(sum(revenue_cents) AS BIGINT) / 100) * 1.0
+           / nullif(CAST(sum(payments_count) AS BIGINT), 0) AS average_order_value
+FROM sess GROUP BY 1""")
+def q_revenue_decomposition_daily(wh: Warehouse) -> DataFrame:
+    """revenue = sessions x conversion x revenue per paying session."""
+    return kpis.revenue_decomposition_daily(wh.fct_sessions())
