@@ -506,3 +506,62 @@ FROM sess GROUP BY 1""")
 def q_revenue_decomposition_daily(wh: Warehouse) -> DataFrame:
     """revenue = sessions x conversion x revenue per paying session."""
     return kpis.revenue_decomposition_daily(wh.fct_sessions())
+
+
+# ------------------------------------------------------------ data quality
+from cartwheel.operators import quality  # noqa: E402
+
+# oracle sources per model: base CTEs, or the registered query's final SELECT
+_DQ_SOURCE = {
+    "stg_clickstream_events": "stg_click", "stg_payment_events": "stg_pay",
+    "payment_intents": "intents", "charges": "charges_t", "refunds": "refunds_t",
+    "payment_events_clean": "pay_clean", "payment_event_candidates": "cand",
+    "map_payment_to_event": "map_event", "map_payment_to_session": "map_session",
+    "sessions_base": "sess_base",
+}
+for _m in ("fct_events", "fct_payments", "fct_sessions", "fct_user_daily_activity",
+           "fct_product_daily_activity", "dim_users", "dim_products", "session_funnel_daily",
+           "product_conversion_daily", "retention_cohorts", "repeat_retention_cohorts",
+           "unit_economics_daily", "dau_wau_mau", "ltv_cohort_curve"):
+    oracle.cte(f"q_{_m}", ORACLE_FINAL[_m])
+    _DQ_SOURCE[_m] = f"q_{_m}"
+
+_DQ_SQL = "\nUNION ALL\n".join(
+    [quality.oracle_check_sql(c, _DQ_SOURCE) for c in quality.CHECKS]
+    + [f"SELECT '{quality.REFUND_VS_CHARGE}' AS check_name, 'refunds' AS model, "
+       "CAST((SELECT count(*) FROM refunds_t r JOIN charges_t c ON r.charge_id = c.charge_id "
+       "WHERE r.amount_refunded > c.amount_gross) AS BIGINT) AS violations"])
+
+
+@register("dq_summary", _DQ_SQL)
+def q_dq_summary(wh: Warehouse) -> DataFrame:
+    """Q1-Q6: violations per declared check (0 = pass) over all models."""
+    return quality.dq_summary(wh.quality_models())
+
+
+@register("dq_event_type_violations", """
+SELECT event_pk, event_type FROM fevents WHERE event_type NOT IN ('view', 'cart', 'purchase')""")
+def q_dq_event_type_violations(wh: Warehouse) -> DataFrame:
+    """Q4/Q6 rows: events whose type is outside the accepted funnel types."""
+    return quality.predicate(wh.fct_events(), "event_type NOT IN ('view', 'cart', 'purchase')"
+                             ).select("event_pk", "event_type")
+
+
+@register("dq_refund_le_charge", """
+SELECT r.refund_id, r.charge_id, r.amount_refunded, c.amount_gross AS charge_amount_gross
+FROM refunds_t r JOIN charges_t c ON r.charge_id = c.charge_id
+WHERE r.amount_refunded > c.amount_gross""")
+def q_dq_refund_le_charge(wh: Warehouse) -> DataFrame:
+    """Refunds larger than their charge (inner-join check)."""
+    return quality.refunds_exceeding_charge(wh.refunds(), wh.charges()).select(
+        "refund_id", "charge_id", "amount_refunded", "charge_amount_gross")
+
+
+@register("dq_relationships", """
+SELECT m.payment_intent_id, m.session_id FROM map_session m
+WHERE m.session_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM sess_base s WHERE s.session_id = m.session_id)""")
+def q_dq_relationships(wh: Warehouse) -> DataFrame:
+    """Orphan check as an anti join (mapped sessions missing from sessions)."""
+    return quality.relationships(wh.map_payment_to_session(), "session_id", wh.sessions_base(),
+                                 "session_id").select("payment_intent_id", "session_id")

@@ -170,6 +170,21 @@ class Warehouse:
         return metrics.unit_economics_daily(self.fct_user_daily_activity())
 
 
+    def quality_models(self) -> dict[str, DataFrame]:
+        """Every model a data-quality check reads, by name."""
+        from cartwheel.plans.oracle import LTV_COHORT_END
+        names = ["stg_clickstream_events", "stg_payment_events", "payment_intents", "charges",
+                 "refunds", "payment_events_clean", "payment_event_candidates",
+                 "map_payment_to_event", "map_payment_to_session", "sessions_base", "fct_events",
+                 "fct_payments", "fct_sessions", "fct_user_daily_activity",
+                 "fct_product_daily_activity", "dim_users", "dim_products",
+                 "session_funnel_daily", "product_conversion_daily", "retention_cohorts",
+                 "repeat_retention_cohorts", "unit_economics_daily", "dau_wau_mau"]
+        out = {n: getattr(self, n)() for n in names}
+        out["ltv_cohort_curve"] = self.ltv_cohort_curve(cohort_end=LTV_COHORT_END)
+        return out
+
+
 _WAREHOUSES: dict[tuple, Warehouse] = {}
 _REG_LOCK = threading.Lock()
 
