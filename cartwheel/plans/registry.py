@@ -42,12 +42,17 @@ def _cols(cols: list[str]) -> str:
 
 
 # ------------------------------------------------------------------ landing
-_raw_lock = threading.Lock()
+_raw_lock = threading.RLock()
 
 
 def _raw_feed(wh: Warehouse, feed: str) -> str:
     """Write the derived feed once as raw JSONL (dt= folders); return its root."""
     with _raw_lock:
+        return _raw_feed_unlocked(wh, feed)
+
+
+def _raw_feed_unlocked(wh: Warehouse, feed: str) -> str:
+    if True:
         key = f"_raw_{feed}"
         if not getattr(wh, key, None):
             path = f"{wh.root}/raw/{feed}"
@@ -606,3 +611,29 @@ def q_sessions_incremental(wh: Warehouse) -> DataFrame:
 def q_fct_payments_incremental(wh: Warehouse) -> DataFrame:
     """Payments incl. late charges/refunds touching older intents (= full)."""
     return _incremental(wh).state["fct_payments"].select(*PAYMENTS)
+
+
+# --------------------------------------------------------------- streaming
+from cartwheel.streaming.landing_stream import run_landing_stream  # noqa: E402
+
+
+@register("streaming_landing_dedup", """
+SELECT event_id,
+       json_extract_string(raw_payload_json, '$.user_session') AS user_session,
+       json_extract_string(raw_payload_json, '$.event_type') AS event_type,
+       json_extract_string(raw_payload_json, '$.price') AS price
+FROM (SELECT * FROM click_landing
+      QUALIFY row_number() OVER (PARTITION BY payload_hash ORDER BY ingested_at) = 1)""")
+def q_streaming_landing_dedup(wh: Warehouse) -> DataFrame:
+    """Streaming landing: one row per distinct payload. Columns are those of the
+    payload (which copy of a re-delivered payload survives is arrival order)."""
+    with _raw_lock:
+        if getattr(wh, "_stream_table", None) is None:
+            src = _raw_feed_unlocked(wh, "clickstream")
+            wh._stream_table = run_landing_stream(wh.spark, src, f"{wh.root}/stream/clickstream")
+    t = wh._stream_table
+    return t.select(
+        "event_id",
+        F.get_json_object("raw_payload_json", "$.user_session").alias("user_session"),
+        F.get_json_object("raw_payload_json", "$.event_type").alias("event_type"),
+        F.get_json_object("raw_payload_json", "$.price").alias("price"))
