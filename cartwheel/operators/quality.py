@@ -228,44 +228,79 @@ def _row_condition(c: Check) -> Column:
     return F.coalesce(F.expr(c.expr), F.lit(False))
 
 
+def _stack(df: DataFrame, names: Sequence[str], model: str) -> DataFrame:
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(n).alias("check_name"), F.lit(model).alias("model"),
+                 F.col(f"_c{i}").cast("bigint").alias("violations"))
+        for i, n in enumerate(names)]))
+    return df.select(cells.alias("_r")).select("_r.*")
+
+
+def _model_pass(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame | None:
+    """All row-level checks of a model plus its (at most one) key-uniqueness
+    check in one aggregation: grouped by the key when there is one (one
+    shuffle, combined map-side), a global aggregate otherwise."""
+    rows = [c for c in checks if c.kind in ("not_null", "predicate")]
+    keyed = [c for c in checks if c.kind in ("unique", "unique_combination")]
+    if not rows and not keyed:
+        return None
+    if len(keyed) > 1:
+        raise ValueError(f"{model}: one uniqueness check per pass")
+    names = [c.name for c in rows]
+    if not keyed:
+        agg = df.agg(*[F.count_if(_row_condition(c)).alias(f"_c{i}") for i, c in enumerate(rows)])
+        return _stack(agg, names, model)
+    k = keyed[0]
+    per_key = df.groupBy(*k.cols).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(_row_condition(c)).alias(f"_r{i}") for i, c in enumerate(rows)])
+    dup = F.col("_n") > 1
+    if k.kind == "unique":
+        for col in k.cols:
+            dup = dup & F.col(col).isNotNull()
+    agg = per_key.agg(*[F.sum(f"_r{i}").alias(f"_c{i}") for i in range(len(rows))],
+                      F.count_if(dup).alias(f"_c{len(rows)}"))
+    return _stack(agg, names + [k.name], model)
+
+
 def dq_summary(models: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS) -> DataFrame:
     """One row per check: ``(check_name, model, violations)``."""
     parts: list[DataFrame] = []
-    row_level: dict[str, list[Check]] = {}
+    by_model: dict[str, list[Check]] = {}
     for c in checks:
-        if c.kind in ("not_null", "predicate"):
-            row_level.setdefault(c.model, []).append(c)
-    for model, cks in row_level.items():
-        agg = models[model].agg(*[F.count_if(_row_condition(c)).alias(f"_c{i}")
-                                  for i, c in enumerate(cks)])
-        cells = F.explode(F.array(*[
-            F.struct(F.lit(c.name).alias("check_name"), F.lit(model).alias("model"),
-                     F.col(f"_c{i}").cast("bigint").alias("violations"))
-            for i, c in enumerate(cks)]))
-        parts.append(agg.select(cells.alias("_r")).select("_r.*"))
-    for c in checks:
-        df = models[c.model]
-        if c.kind == "unique":
-            bad = unique(df, c.cols)
-        elif c.kind == "unique_combination":
-            bad = unique_combination(df, c.cols)
-        elif c.kind == "relationships":
-            bad = relationships(df, c.cols[0], models[c.parent], c.parent_col)
-        elif c.kind == "accepted_values":
-            bad = accepted_values(df, c.cols[0], c.values)
-        else:
-            continue
-        parts.append(bad.agg(F.count(F.lit(1)).cast("bigint").alias("violations")).select(
-            F.lit(c.name).alias("check_name"), F.lit(c.model).alias("model"), "violations"))
+        by_model.setdefault(c.model, []).append(c)
+    for model, cks in by_model.items():
+        df = models[model]
+        p = _model_pass(df, model, cks)
+        if p is not None:
+            parts.append(p)
+        for c in cks:
+            if c.kind == "relationships":
+                bad = relationships(df, c.cols[0], models[c.parent], c.parent_col)
+            elif c.kind == "accepted_values":
+                bad = accepted_values(df, c.cols[0], c.values)
+            else:
+                continue
+            parts.append(bad.agg(F.count(F.lit(1)).cast("bigint").alias("violations")).select(
+                F.lit(c.name).alias("check_name"), F.lit(c.model).alias("model"), "violations"))
     if "refunds" in models and "charges" in models:
         bad = refunds_exceeding_charge(models["refunds"], models["charges"])
         parts.append(bad.agg(F.count(F.lit(1)).cast("bigint").alias("violations")).select(
             F.lit(REFUND_VS_CHARGE).alias("check_name"), F.lit("refunds").alias("model"),
             "violations"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return union_all(parts)
+
+
+def union_all(parts: Sequence[DataFrame]) -> DataFrame:
+    """Union many same-shaped frames as a balanced tree: each step analyses a
+    small plan, instead of re-analysing an ever longer chain (quadratic)."""
+    level = list(parts)
+    while len(level) > 1:
+        nxt = [level[i].union(level[i + 1]) for i in range(0, len(level) - 1, 2)]
+        if len(level) % 2:
+            nxt.append(level[-1])
+        level = nxt
+    return level[0]
 
 
 def oracle_check_sql(c: Check, source: Mapping[str, str]) -> str:

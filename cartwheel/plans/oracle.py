@@ -695,10 +695,11 @@ def _deps(body: str) -> list[str]:
     return [n for n in dict.fromkeys(_REF.findall(body)) if n in CTES]
 
 
-def sql_for(final: str) -> str:
-    """``WITH`` the CTEs ``final`` needs (transitively, in dependency order)."""
+def sql_for(final: str, existing: frozenset[str] = frozenset()) -> str:
+    """``WITH`` the CTEs ``final`` needs (transitively, in dependency order);
+    names in ``existing`` are tables already present and are not expanded."""
     order: list[str] = []
-    seen: set[str] = set()
+    seen: set[str] = set(existing)
 
     def visit(name: str) -> None:
         if name in seen:

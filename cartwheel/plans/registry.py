@@ -637,3 +637,37 @@ def q_streaming_landing_dedup(wh: Warehouse) -> DataFrame:
         F.get_json_object("raw_payload_json", "$.user_session").alias("user_session"),
         F.get_json_object("raw_payload_json", "$.event_type").alias("event_type"),
         F.get_json_object("raw_payload_json", "$.price").alias("price"))
+
+
+# --------------------------------------------------- fingerprint / look-back
+from cartwheel.operators import incremental as inc  # noqa: E402
+from cartwheel.operators import staging as stg_ops  # noqa: E402
+
+
+@register("payload_fingerprint", """
+SELECT min(event_id) AS event_id, count(*) AS deliveries,
+       min(ingested_at) AS first_ingested_at, max(ingested_at) AS last_ingested_at
+FROM click_landing GROUP BY payload_hash HAVING count(*) > 1""")
+def q_payload_fingerprint(wh: Warehouse) -> DataFrame:
+    """Payloads delivered more than once, identified by content hash."""
+    feed = wh.landing_clickstream().withColumn(
+        "payload_hash", landing.fingerprint("raw_payload_json"))
+    return (feed.groupBy("payload_hash")
+            .agg(F.min("event_id").alias("event_id"), F.count(F.lit(1)).alias("deliveries"),
+                 F.min("ingested_at").alias("first_ingested_at"),
+                 F.max("ingested_at").alias("last_ingested_at"))
+            .where("deliveries > 1").drop("payload_hash"))
+
+
+@register("lookback_filter", """
+SELECT event_id, ingested_at FROM stg_click
+WHERE ingested_at >= (SELECT max(ingested_at) FROM click_landing
+                      WHERE ingested_at < TIMESTAMP '2024-01-15 00:00:00') - INTERVAL 3 DAY""")
+def q_lookback_filter(wh: Warehouse) -> DataFrame:
+    """The staged rows a second run re-processes (watermark of the first
+    run's table minus the 3-day look-back)."""
+    feed = wh.landing_clickstream()
+    first = feed.where(F.col("ingested_at") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
+    wm = inc.high_watermark(stg_ops.stage_clickstream(first), "ingested_at")
+    return inc.lookback(wh.stg_clickstream_events(), "ingested_at", wm,
+                        wh.lookback_days).select("event_id", "ingested_at")
