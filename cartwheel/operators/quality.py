@@ -222,6 +222,12 @@ CHECKS: list[Check] = [
 REFUND_VS_CHARGE = "refunds.amount_within_charge"
 
 
+def _row_sql(c: Check) -> str:
+    if c.kind == "not_null":
+        return f"{c.cols[0]} IS NULL"
+    return f"coalesce({c.expr}, false)"
+
+
 def _row_condition(c: Check) -> Column:
     if c.kind == "not_null":
         return F.col(c.cols[0]).isNull()
@@ -229,11 +235,11 @@ def _row_condition(c: Check) -> Column:
 
 
 def _stack(df: DataFrame, names: Sequence[str], model: str) -> DataFrame:
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(n).alias("check_name"), F.lit(model).alias("model"),
-                 F.col(f"_c{i}").cast("bigint").alias("violations"))
-        for i, n in enumerate(names)]))
-    return df.select(cells.alias("_r")).select("_r.*")
+    """Turn the one-row ``_c0.._cN`` counts into (check_name, model, violations) rows
+    with a single SQL ``stack`` (one expression instead of one per check)."""
+    args = ", ".join(f"'{n}', CAST(_c{i} AS BIGINT)" for i, n in enumerate(names))
+    return df.selectExpr(f"stack({len(names)}, {args}) AS (check_name, violations)").selectExpr(
+        "check_name", f"'{model}' AS model", "violations")
 
 
 def _model_pass(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame | None:
@@ -248,18 +254,15 @@ def _model_pass(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame
         raise ValueError(f"{model}: one uniqueness check per pass")
     names = [c.name for c in rows]
     if not keyed:
-        agg = df.agg(*[F.count_if(_row_condition(c)).alias(f"_c{i}") for i, c in enumerate(rows)])
+        agg = df.selectExpr(*[f"count_if({_row_sql(c)}) AS _c{i}" for i, c in enumerate(rows)])
         return _stack(agg, names, model)
     k = keyed[0]
     per_key = df.groupBy(*k.cols).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(_row_condition(c)).alias(f"_r{i}") for i, c in enumerate(rows)])
-    dup = F.col("_n") > 1
-    if k.kind == "unique":
-        for col in k.cols:
-            dup = dup & F.col(col).isNotNull()
-    agg = per_key.agg(*[F.sum(f"_r{i}").alias(f"_c{i}") for i in range(len(rows))],
-                      F.count_if(dup).alias(f"_c{len(rows)}"))
+        F.expr("count(1) AS _n"),
+        *[F.expr(f"count_if({_row_sql(c)}) AS _r{i}") for i, c in enumerate(rows)])
+    dup = "_n > 1" + "".join(f" AND {col} IS NOT NULL" for col in k.cols if k.kind == "unique")
+    agg = per_key.selectExpr(*[f"sum(_r{i}) AS _c{i}" for i in range(len(rows))],
+                             f"count_if({dup}) AS _c{len(rows)}")
     return _stack(agg, names + [k.name], model)
 
 

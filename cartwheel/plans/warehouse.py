@@ -21,9 +21,10 @@ from cartwheel.sources import fixtures
 
 # Models read by several downstream jobs; these are written once per build.
 MATERIALISED = (
-    "stg_payment_events", "fct_events", "fct_payments", "payment_event_candidates",
-    "map_payment_to_event", "sessions_base", "map_payment_to_session", "fct_sessions",
-    "fct_user_daily_activity", "fct_product_daily_activity", "dim_users",
+    "stg_payment_events", "payment_events_clean", "payment_intents", "charges", "refunds",
+    "fct_events", "fct_payments", "payment_event_candidates", "map_payment_to_event",
+    "sessions_base", "map_payment_to_session", "fct_sessions", "fct_user_daily_activity",
+    "fct_product_daily_activity", "dim_users",
 )
 
 
