@@ -35,7 +35,7 @@ class IncrementalModels:
         self.batch += 1
         days = self.lookback_days
         # -- clickstream events: key = event_pk
-        stg = staging.stage_clickstream(click_landing)
+        stg = self._save("stg_clickstream_events", staging.stage_clickstream(click_landing))
         target = self.state.get("fct_events")
         wm = inc.high_watermark(target, "ingested_at")
         slice_ = inc.lookback(stg, "ingested_at", wm, days, inclusive=True)
@@ -52,11 +52,11 @@ class IncrementalModels:
             target, fct, ev_slice.select("user_session"), ["user_session"],
             sessions.sessions_base, out_keys=["session_id"]))
         # -- payments: key = intent; late charges / refunds touch their intent too
-        stg_pay = staging.stage_payments(pay_landing)
+        stg_pay = self._save("stg_payment_events", staging.stage_payments(pay_landing))
         clean = payments.clean_payment_events(stg_pay)
-        intents = payments.payment_intents(clean)
-        charges = payments.charges(stg_pay)
-        refunds = payments.refunds(stg_pay)
+        intents = self._save("payment_intents", payments.payment_intents(clean))
+        charges = self._save("charges", payments.charges(stg_pay))
+        refunds = self._save("refunds", payments.refunds(stg_pay))
         target = self.state.get("fct_payments")
         wm = inc.high_watermark(target, "last_received_ts")
         new_i = inc.lookback(intents, "received_ts", wm, days, inclusive=False)
