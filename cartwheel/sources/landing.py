@@ -93,3 +93,15 @@ def envelope_lines(landing: DataFrame) -> DataFrame:
 def write_jsonl(lines: DataFrame, path: str) -> None:
     """Write JSON lines partitioned into ``dt=`` folders (the raw feed layout)."""
     lines.write.mode("overwrite").partitionBy("dt").text(path)
+
+
+def append_landing_table(rows: DataFrame, path: str) -> None:
+    """Append landing rows to the landing table (S4): typed columns, Parquet,
+    partitioned by ``dt`` so date-bounded reads prune whole folders."""
+    cols = [f.name for f in schemas.LANDING.fields]
+    rows.select(*cols).write.mode("append").partitionBy("dt").parquet(path)
+
+
+def read_landing_table(spark: SparkSession, path: str) -> DataFrame:
+    """The landing table with its declared schema (``dt`` from the folders)."""
+    return spark.read.schema(schemas.LANDING).parquet(path)

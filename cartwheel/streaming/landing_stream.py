@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import datetime as dt
+
 from cartwheel.sources import schemas
-from cartwheel.sources.landing import fingerprint
+from cartwheel.sources.landing import append_landing_table, fingerprint, read_landing_table
 
 STREAM_SCHEMA = T.StructType([*schemas.ENVELOPE.fields, T.StructField("dt", T.DateType())])
 
@@ -30,14 +32,17 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def append_unseen(batch: DataFrame, target_path: str) -> None:
-    """foreachBatch body: append rows whose payload hash is new to the target."""
+def append_unseen(batch: DataFrame, epoch_id: int, target_path: str) -> None:
+    """foreachBatch body: stamp the micro-batch as one load and append the rows
+    whose payload hash the landing table does not hold yet."""
     spark = batch.sparkSession
-    new = batch
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    new = (batch.withColumn("load_id", F.lit(f"stream-{epoch_id}"))
+                .withColumn("ingested_at", F.lit(now).cast("timestamp_ntz")))
     if _table_exists(spark, target_path):
-        seen = spark.read.parquet(target_path).select("payload_hash")
-        new = batch.join(seen, "payload_hash", "left_anti")
-    new.write.mode("append").parquet(target_path)
+        seen = read_landing_table(spark, target_path).select("payload_hash")
+        new = new.join(seen, "payload_hash", "left_anti")
+    append_landing_table(new, target_path)
 
 
 def landing_stream(spark: SparkSession, source_dir: str, target_path: str, checkpoint: str,
@@ -51,13 +56,14 @@ def landing_stream(spark: SparkSession, source_dir: str, target_path: str, check
         F.col("keys").alias("keys_json"),
         F.col("raw_payload").alias("raw_payload_json"),
         "dt",
+        F.col("_metadata.file_path").alias("filename"),
         F.get_json_object("metadata", time_path).try_cast("timestamp").alias("envelope_ts"),
         fingerprint("raw_payload").alias("payload_hash"),
     )
     deduped = (landed.withWatermark("envelope_ts", watermark)
                .dropDuplicatesWithinWatermark(["payload_hash"]))
     return (deduped.writeStream
-            .foreachBatch(lambda df, _epoch: append_unseen(df, target_path))
+            .foreachBatch(lambda df, epoch: append_unseen(df, epoch, target_path))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())
@@ -68,4 +74,4 @@ def run_landing_stream(spark: SparkSession, source_dir: str, root: str) -> DataF
     target = os.path.join(root, "table")
     q = landing_stream(spark, source_dir, target, os.path.join(root, "checkpoint"))
     q.awaitTermination()
-    return spark.read.parquet(target)
+    return read_landing_table(spark, target)
