@@ -51,17 +51,28 @@ def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]):
 
 
 def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
-           sync_columns: bool = True) -> DataFrame:
-    """Keyed merge of ``source`` into ``target`` (I2-I4); NULL keys match NULL."""
+           sync_columns: bool = True, touched: DataFrame | None = None) -> DataFrame:
+    """Keyed merge of ``source`` into ``target`` (I2-I4); NULL keys match NULL.
+
+    Target rows whose key is in ``touched`` (default: the source's keys) are
+    replaced by the source rows of that key; a touched key absent from the
+    source is deleted.
+    """
     if target is None:
         return source
-    src_keys = source.select(*keys).distinct()
+    src_keys = (touched if touched is not None else source).select(*keys).distinct()
     kept = target.join(src_keys, _null_safe_on(target, src_keys, keys), "left_anti")
     if sync_columns:
         kept = kept.select(*[c for c in source.columns if c in kept.columns])
     return kept.unionByName(source, allowMissingColumns=True)
 
 
+def semi_null_safe(rows: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``rows`` whose ``keys`` occur in ``keys_df`` (NULL matches NULL)."""
+    k = keys_df.select(*keys).distinct()
+    return rows.join(k, _null_safe_on(rows, k, keys), "left_semi")
+
+
 def touched_history(history: DataFrame, slice_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full-history rows of the keys present in ``slice_keys``."""
     k = slice_keys.select(*keys).where(

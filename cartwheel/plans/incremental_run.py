@@ -1,9 +1,14 @@
-"""Multi-batch incremental runs of the event, session and payment models.
+"""Multi-batch incremental runs of the whole model graph.
 
 Each batch stages the landing data delivered so far (staging is a full
 table, as in the reference), takes the look-back slice past each target's
-watermark, recomputes the touched keys and writes the merged table as a new
-snapshot under the checkpoint folder (lineage stays one batch deep).
+watermark and rebuilds only the keys the batch touches, over their full
+history. A change propagates downstream through the keys of both the old
+and the new version of every rebuilt row (a session whose first event
+arrives late moves to another day: both days are rebuilt). Every merged
+table is written as a new snapshot under the checkpoint folder, so lineage
+stays one batch deep. The result equals a full refresh; the registered
+``*_incremental`` queries check that for every model.
 """
 
 from __future__ import annotations
@@ -12,15 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import blank_to_null
-from cartwheel.operators import events, payments, sessions, staging
+from cartwheel.operators import activity, events, matching, payments, sessions, staging
 from cartwheel.operators import incremental as inc
 from cartwheel.session import configure, new_run_id, scratch_path
 
 
 class IncrementalModels:
-    def __init__(self, spark: SparkSession, lookback_days: int = 3):
+    def __init__(self, spark: SparkSession, lookback_days: int = 3,
+                 match_window_minutes: int = 60):
         self.spark = configure(spark)
         self.lookback_days = lookback_days
+        self.minutes = match_window_minutes
         self.root = scratch_path(spark, "incremental", new_run_id())
         self.state: dict[str, DataFrame] = {}
         self.batch = 0
@@ -31,26 +38,46 @@ class IncrementalModels:
         self.state[name] = self.spark.read.parquet(path)
         return self.state[name]
 
+    def _merge(self, name: str, rebuilt: DataFrame, keys: list[str],
+               touched: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+        """Upsert ``rebuilt`` into model ``name``; returns (table, old rows of the
+        touched keys before the merge, new rows of the touched keys)."""
+        prev = self.state.get(name)
+        new = self._save(f"{name}__delta", rebuilt)
+        scope = touched if touched is not None else new
+        old = None
+        if prev is not None:
+            old = self._save(f"{name}__old", inc.semi_null_safe(prev, scope, keys))
+        table = self._save(name, inc.upsert(prev, new, keys, touched=touched))
+        return table, old, new
+
+    @staticmethod
+    def _both(old: DataFrame | None, new: DataFrame, *cols) -> DataFrame:
+        """Key columns taken from the old and the new version of rebuilt rows."""
+        out = new.select(*cols)
+        return out if old is None else out.unionByName(old.select(*cols))
+
     def run(self, click_landing: DataFrame, pay_landing: DataFrame) -> None:
         self.batch += 1
-        days = self.lookback_days
+        days, w = self.lookback_days, self.minutes
         # -- clickstream events: key = event_pk
         stg = self._save("stg_clickstream_events", staging.stage_clickstream(click_landing))
         target = self.state.get("fct_events")
         wm = inc.high_watermark(target, "ingested_at")
         slice_ = inc.lookback(stg, "ingested_at", wm, days, inclusive=True)
         pk = F.coalesce(blank_to_null("event_id"), F.col("payload_hash"))
-        keyed = stg.withColumn("event_pk", pk)
-        fct = self._save("fct_events", inc.recompute_touched(
-            target, keyed, slice_.withColumn("event_pk", pk), ["event_pk"],
-            lambda h: events.fct_events(h.drop("event_pk"))))
-        # -- sessions: key = session id, recomputed over all of its events
-        target = self.state.get("sessions_base")
-        wm = inc.high_watermark(target, "last_received_ts")
-        ev_slice = inc.lookback(fct, "received_ts", wm, days, inclusive=True)
-        self._save("sessions_base", inc.recompute_touched(
-            target, fct, ev_slice.select("user_session"), ["user_session"],
-            sessions.sessions_base, out_keys=["session_id"]))
+        ev_keys = events.fct_events(slice_).select("event_pk")
+        ev_hist = stg.withColumn("event_pk", pk)
+        fct, ev_old, ev_new = self._merge("fct_events", events.fct_events(
+            inc.touched_history(ev_hist, ev_keys, ["event_pk"]).drop("event_pk")), ["event_pk"])
+
+        # -- sessions: every session with a rebuilt event (old or new session id)
+        sess_keys = self._both(ev_old, ev_new, F.col("user_session").alias("session_id"))
+        s_hist = fct.withColumn("session_id", F.col("user_session"))
+        base, sb_old, sb_new = self._merge("sessions_base", sessions.sessions_base(
+            inc.touched_history(s_hist, sess_keys, ["session_id"]).drop("session_id")),
+            ["session_id"], touched=sess_keys.where(F.col("session_id").isNotNull()))
+
         # -- payments: key = intent; late charges / refunds touch their intent too
         stg_pay = self._save("stg_payment_events", staging.stage_payments(pay_landing))
         clean = payments.clean_payment_events(stg_pay)
@@ -64,9 +91,9 @@ class IncrementalModels:
         new_r = inc.lookback(refunds, "received_ts", wm, days, inclusive=False)
         via_refund = new_r.select("charge_id").join(
             charges.select("charge_id", "payment_intent_id"), "charge_id")
-        touched = (new_i.select("payment_intent_id")
-                   .unionByName(new_c.select("payment_intent_id"))
-                   .unionByName(via_refund.select("payment_intent_id")))
+        pay_keys = (new_i.select("payment_intent_id")
+                    .unionByName(new_c.select("payment_intent_id"))
+                    .unionByName(via_refund.select("payment_intent_id")))
 
         def build(affected_intents: DataFrame) -> DataFrame:
             ids = affected_intents.select("payment_intent_id")
@@ -74,5 +101,88 @@ class IncrementalModels:
             r = refunds.join(c.select("charge_id"), "charge_id", "left_semi")
             return payments.fct_payments(affected_intents, c, r)
 
-        self._save("fct_payments", inc.recompute_touched(
-            target, intents, touched, ["payment_intent_id"], build))
+        pays, p_old, p_new = self._merge("fct_payments", build(
+            inc.touched_history(intents, pay_keys, ["payment_intent_id"])), ["payment_intent_id"])
+
+        # -- attribution: rebuilt payments, plus payments within the window of a
+        #    rebuilt click (a late click can become an older payment's best match)
+        ev_changed = self._both(ev_old, ev_new, "event_pk", "event_time", "received_ts",
+                                "event_type", "user_id", "user_session")
+        lo, hi = ev_changed.agg(F.min("event_time"), F.max("event_time")).first()
+        if lo is None:
+            near = pays.limit(0).select("payment_intent_id")
+        else:
+            span = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(w))
+            pays_near = pays.where(F.col("payment_intent_event_ts").between(
+                F.lit(lo).cast("timestamp_ntz") - span, F.lit(hi).cast("timestamp_ntz") + span))
+            near = matching.match_candidates(pays_near, ev_changed, w).select("payment_intent_id")
+        touched_p = p_new.select("payment_intent_id").unionByName(near).distinct()
+        touched_p = self._save("touched_payments", touched_p)
+        cand_src = pays.join(touched_p, "payment_intent_id", "left_semi")
+        _, _, cand_new = self._merge("payment_event_candidates",
+                                     matching.match_candidates(cand_src, fct, w),
+                                     ["payment_intent_id"], touched=touched_p)
+        map_ev, me_old, me_new = self._merge("map_payment_to_event",
+                                             matching.map_payment_to_event(cand_new),
+                                             ["payment_intent_id"], touched=touched_p)
+        # session mapping: also payments whose matched session was rebuilt
+        via_session = map_ev.join(
+            self._both(sb_old, sb_new, "session_id").withColumnRenamed(
+                "session_id", "event_user_session"), "event_user_session", "left_semi")
+        touched_ps = touched_p.unionByName(via_session.select("payment_intent_id")).distinct()
+        touched_ps = self._save("touched_payment_sessions", touched_ps)
+        map_s, ms_old, ms_new = self._merge(
+            "map_payment_to_session",
+            matching.map_payment_to_session(
+                map_ev.join(touched_ps, "payment_intent_id", "left_semi"), base),
+            ["payment_intent_id"], touched=touched_ps)
+
+        # -- session fact: rebuilt sessions and sessions gaining / losing payments
+        #    (payments whose amount or status changed reach theirs via touched_p)
+        fs_keys = (self._both(sb_old, sb_new, "session_id")
+                   .unionByName(self._both(ms_old, ms_new, "session_id"))
+                   .where(F.col("session_id").isNotNull()).distinct())
+        fs, fs_old, fs_new = self._merge(
+            "fct_sessions",
+            sessions.fct_sessions(base.join(fs_keys, "session_id", "left_semi"), map_s, pays),
+            ["session_id"], touched=fs_keys)
+
+        # -- user-day fact: (user, day) of old and new sessions and payments
+        day = F.to_date("payment_intent_event_ts").alias("activity_date")
+        ud_keys = (self._both(fs_old, fs_new, "user_id",
+                              F.col("session_date").alias("activity_date"))
+                   .unionByName(self._both(p_old, p_new, "user_id", day)).distinct())
+        s_in = inc.semi_null_safe(fs.withColumn("activity_date", F.col("session_date")),
+                                  ud_keys, ["user_id", "activity_date"]).drop("activity_date")
+        p_in = inc.semi_null_safe(pays.withColumn("activity_date", day), ud_keys,
+                                  ["user_id", "activity_date"]).drop("activity_date")
+        ud_keys = ud_keys.where(F.col("activity_date").isNotNull())
+        self._merge("fct_user_daily_activity", activity.fct_user_daily_activity(s_in, p_in),
+                    ["user_id", "activity_date"], touched=ud_keys)
+
+        # -- product-day fact: days of rebuilt events and of events (old or new)
+        #    that touched payments are attributed to
+        ev_day = F.to_date("event_time").alias("activity_date")
+        mapped = self._both(me_old, me_new, "event_id").withColumnRenamed("event_id", "event_pk")
+        mapped_days = (fct.join(mapped, "event_pk", "left_semi").select("product_id", ev_day)
+                       .unionByName(ev_old.join(mapped, "event_pk", "left_semi")
+                                    .select("product_id", ev_day) if ev_old is not None
+                                    else fct.limit(0).select("product_id", ev_day)))
+        pd_keys = (self._both(ev_old, ev_new, "product_id", ev_day).unionByName(mapped_days)
+                   .where(F.col("product_id").isNotNull()).distinct())
+        e_in = inc.semi_null_safe(fct.withColumn("activity_date", ev_day), pd_keys,
+                                  ["product_id", "activity_date"]).drop("activity_date")
+        self._merge("fct_product_daily_activity",
+                    activity.fct_product_daily_activity(e_in, map_ev, pays),
+                    ["product_id", "activity_date"], touched=pd_keys)
+
+        # -- dimensions
+        u_keys = (self._both(fs_old, fs_new, "user_id")
+                  .unionByName(self._both(p_old, p_new, "user_id")).distinct())
+        self._merge("dim_users", activity.dim_users(
+            inc.semi_null_safe(fs, u_keys, ["user_id"]),
+            inc.semi_null_safe(pays, u_keys, ["user_id"])), ["user_id"], touched=u_keys)
+        pr_keys = self._both(ev_old, ev_new, "product_id").where(
+            F.col("product_id").isNotNull()).distinct()
+        self._merge("dim_products", activity.dim_products(
+            fct.join(pr_keys, "product_id", "left_semi")), ["product_id"], touched=pr_keys)

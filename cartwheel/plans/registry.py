@@ -583,7 +583,7 @@ def _incremental(wh: Warehouse) -> IncrementalModels:
     """Three deliveries (data received before each cut-off), run incrementally."""
     with _inc_lock:
         if getattr(wh, "_incremental", None) is None:
-            im = IncrementalModels(wh.spark, wh.lookback_days)
+            im = IncrementalModels(wh.spark, wh.lookback_days, wh.match_window_minutes)
             for cut in BATCH_CUTOFFS:
                 click, pay = wh.landing_clickstream(), wh.landing_payments()
                 if cut is not None:
@@ -671,3 +671,25 @@ def q_lookback_filter(wh: Warehouse) -> DataFrame:
     wm = inc.high_watermark(stg_ops.stage_clickstream(first), "ingested_at")
     return inc.lookback(wh.stg_clickstream_events(), "ingested_at", wm,
                         wh.lookback_days).select("event_id", "ingested_at")
+
+
+def _inc_query(name: str, model: str, cols: list[str], full_query: str) -> None:
+    @register(name, ORACLE_FINAL[full_query])
+    def q(wh: Warehouse) -> DataFrame:
+        return _incremental(wh).state[model].select(*cols)
+    q.__doc__ = f"I5: {model} maintained batch by batch (touched keys only) = full refresh."
+
+
+_inc_query("candidates_incremental", "payment_event_candidates", matching.CANDIDATE_COLUMNS,
+           "payment_event_candidates")
+_inc_query("map_payment_to_event_incremental", "map_payment_to_event", MAP_EVENT,
+           "map_payment_to_event")
+_inc_query("map_payment_to_session_incremental", "map_payment_to_session", MAP_SESSION,
+           "map_payment_to_session")
+_inc_query("fct_sessions_incremental", "fct_sessions", SESSIONS, "fct_sessions")
+_inc_query("user_daily_incremental", "fct_user_daily_activity", USER_DAILY,
+           "fct_user_daily_activity")
+_inc_query("upsert_daily_composite", "fct_product_daily_activity", PRODUCT_DAILY,
+           "fct_product_daily_activity")
+_inc_query("dim_users_incremental", "dim_users", DIM_USERS, "dim_users")
+_inc_query("dim_products_incremental", "dim_products", DIM_PRODUCTS, "dim_products")
