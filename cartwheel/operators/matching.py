@@ -106,7 +106,13 @@ def map_payment_to_event(candidates: DataFrame) -> DataFrame:
 def map_payment_to_session(mapping: DataFrame, sessions: DataFrame) -> DataFrame:
     """Attach the matched event's session; flag whether its user agrees."""
     s = sessions.select("session_id", F.col("user_id").alias("_session_user_id"))
-    j = mapping.join(s, mapping["event_user_session"] == s["session_id"], "left")
+    # rows without a session key cannot match; they bypass the join instead of
+    # all hashing to one partition
+    keyed = mapping.where(F.col("event_user_session").isNotNull())
+    j = keyed.join(s, keyed["event_user_session"] == s["session_id"], "left").unionByName(
+        mapping.where(F.col("event_user_session").isNull()).select(
+            "*", F.lit(None).cast("string").alias("session_id"),
+            F.lit(None).cast("bigint").alias("_session_user_id")))
     consistent = (F.when(F.col("_session_user_id").isNull() | F.col("event_user_id").isNull(),
                          F.lit(None).cast("boolean"))
                   .otherwise(F.col("event_user_id") == F.col("_session_user_id")))

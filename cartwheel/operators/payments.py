@@ -194,13 +194,18 @@ def fct_payments(intents: DataFrame, charges_df: DataFrame, refunds_df: DataFram
         ).alias("_best"),
         F.min(F.when(is_ok, F.col("event_time"))).alias("succeeded_at"),
     )
-    refund_ok = (F.lower(F.col("r.status")) == "succeeded") | F.col("r.status").isNull()
-    by_intent = (refunds_df.alias("r")
-                 .join(charges_df.select("charge_id", "payment_intent_id").alias("c"),
-                       F.col("r.charge_id") == F.col("c.charge_id"), "left")
-                 .groupBy(F.col("c.payment_intent_id").alias("payment_intent_id"))
-                 .agg(F.sum(F.when(refund_ok, F.col("r.amount_refunded_cents")).otherwise(F.lit(0)))
-                      .alias("_refunded_cents")))
+    refund_ok = (F.lower(F.col("status")) == "succeeded") | F.col("status").isNull()
+    refund_cents = F.when(refund_ok, F.col("amount_refunded_cents")).otherwise(F.lit(0))
+    r = refunds_df.select("charge_id", refund_cents.alias("_cents"))
+    # refunds without a charge id can never match: they skip the join (a NULL
+    # key would otherwise send all of them to one task) and land in the NULL
+    # intent bucket, as a left join would put them
+    linked = (r.where(F.col("charge_id").isNotNull())
+              .join(charges_df.select("charge_id", "payment_intent_id"), "charge_id", "left"))
+    orphan = r.where(F.col("charge_id").isNull()).select(
+        F.lit(None).cast("string").alias("payment_intent_id"), "_cents")
+    by_intent = (linked.select("payment_intent_id", "_cents").unionByName(orphan)
+                 .groupBy("payment_intent_id").agg(F.sum("_cents").alias("_refunded_cents")))
     pi = intents.select(
         "payment_intent_id", "event_time", "received_ts", "status", "amount_gross_cents",
         "currency", "order_id", "attempt_number", "payment_method", "user_id", "user_session")
