@@ -15,6 +15,7 @@ ROLLING_WINDOWS = {"wau": 7, "mau": 30}
 REPEAT_HORIZONS = (1, 7, 14, 21, 30, 60)
 LTV_MAX_AGE = 30
 REFERENCE_COHORT_END = dt.date(2019, 11, 1)   # the reference's hard-coded LTV cohort cut-off
+FIXTURE_COHORT_END = "2024-01-15"             # the same cut-off placed in the 2024 test data
 
 
 def _active_user_days(user_daily: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.operators import matching
+from cartwheel.operators import matching, metrics
 from cartwheel.operators.events import EVENT_COLUMNS
 from cartwheel.plans import oracle
 from cartwheel.plans.warehouse import Warehouse, warehouse_for
@@ -52,19 +52,18 @@ def _raw_feed(wh: Warehouse, feed: str) -> str:
 
 
 def _raw_feed_unlocked(wh: Warehouse, feed: str) -> str:
-    if True:
-        key = f"_raw_{feed}"
-        if not getattr(wh, key, None):
-            path = f"{wh.root}/raw/{feed}"
-            src = wh.landing_clickstream() if feed == "clickstream" else wh.landing_payments()
-            if feed == "payments":
-                is_refund = F.col("filename").contains("/refunds/")
-                landing.write_jsonl(landing.envelope_lines(src.where(~is_refund)), f"{path}/main")
-                landing.write_jsonl(landing.envelope_lines(src.where(is_refund)), f"{path}/refunds")
-            else:
-                landing.write_jsonl(landing.envelope_lines(src), path)
-            setattr(wh, key, path)
-        return getattr(wh, key)
+    key = f"_raw_{feed}"
+    if not getattr(wh, key, None):
+        path = f"{wh.root}/raw/{feed}"
+        src = wh.landing_clickstream() if feed == "clickstream" else wh.landing_payments()
+        if feed == "payments":
+            is_refund = F.col("filename").contains("/refunds/")
+            landing.write_jsonl(landing.envelope_lines(src.where(~is_refund)), f"{path}/main")
+            landing.write_jsonl(landing.envelope_lines(src.where(is_refund)), f"{path}/refunds")
+        else:
+            landing.write_jsonl(landing.envelope_lines(src), path)
+        setattr(wh, key, path)
+    return getattr(wh, key)
 
 
 @register("landing_clickstream", """
@@ -319,13 +318,13 @@ FROM {src}"""
 @register("ltv_cohort_curve", _LTV_FINAL.format(src="m_ltv"))
 def q_ltv_cohort_curve(wh: Warehouse) -> DataFrame:
     """M6: cohort LTV curve, reference partitioning of the running total."""
-    return wh.ltv_cohort_curve(cohort_end=oracle.LTV_COHORT_END)
+    return wh.ltv_cohort_curve(cohort_end=metrics.FIXTURE_COHORT_END)
 
 
 @register("ltv_cohort_curve_filled", _LTV_FINAL.format(src="m_ltv_filled"))
 def q_ltv_cohort_curve_filled(wh: Warehouse) -> DataFrame:
     """M6 variant: running total carried over ages without revenue."""
-    return wh.ltv_cohort_curve(cohort_end=oracle.LTV_COHORT_END, fill=True)
+    return wh.ltv_cohort_curve(cohort_end=metrics.FIXTURE_COHORT_END, fill=True)
 
 
 @register("unit_economics_daily", """

@@ -172,7 +172,6 @@ class Warehouse:
 
     def quality_models(self) -> dict[str, DataFrame]:
         """Every model a data-quality check reads, by name."""
-        from cartwheel.plans.oracle import LTV_COHORT_END
         names = ["stg_clickstream_events", "stg_payment_events", "payment_intents", "charges",
                  "refunds", "payment_events_clean", "payment_event_candidates",
                  "map_payment_to_event", "map_payment_to_session", "sessions_base", "fct_events",
@@ -181,7 +180,7 @@ class Warehouse:
                  "session_funnel_daily", "product_conversion_daily", "retention_cohorts",
                  "repeat_retention_cohorts", "unit_economics_daily", "dau_wau_mau"]
         out = {n: getattr(self, n)() for n in names}
-        out["ltv_cohort_curve"] = self.ltv_cohort_curve(cohort_end=LTV_COHORT_END)
+        out["ltv_cohort_curve"] = self.ltv_cohort_curve(cohort_end=metrics.FIXTURE_COHORT_END)
         return out
 
 
