@@ -21,13 +21,14 @@ def cte(name: str, body: str) -> None:
 
 # ---------------------------------------------------------------- fixtures
 cte("kept", """
-SELECT e.event_id AS n, e.ts, e.user_id, e.event_type, e.value,
+SELECT e.event_id AS n, e.ts + to_days(CAST(e.user_id % 14 AS INTEGER)) AS ts,
+       e.user_id, e.event_type, e.value,
        TRY_CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS k,
        p.p_brand, p.p_type, p.p_size,
-       CAST(e.user_id AS VARCHAR) || '-' || CAST(CAST(e.ts AS DATE) AS VARCHAR) AS session_text
+       CAST(e.user_id AS VARCHAR) || '-'
+           || CAST(CAST(e.ts + to_days(CAST(e.user_id % 14 AS INTEGER)) AS DATE) AS VARCHAR) AS session_text
 FROM events e
 LEFT JOIN part p ON p.p_partkey = TRY_CAST(json_extract_string(e.props, '$.k') AS BIGINT)
-WHERE e.ts >= CAST(DATE '2024-01-01' + CAST(e.user_id % 14 AS INTEGER) AS TIMESTAMP)
 """)
 
 cte("click_rows", """

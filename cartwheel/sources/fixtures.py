@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.columns import second_boundaries
 
 # Fixed values of the synthetic feeds (FIXTURES.md §3).
-COHORT_SPREAD_DAYS = 14          # keep ts >= 2024-01-01 + (user_id % 14) days
-FIRST_DAY = "2024-01-01"
+COHORT_SPREAD_DAYS = 14          # event time shifted by (user_id % 14) days
 LATE_HOURS_MOD = 48              # received = occurred + (n % 48) hours
 PRICE_MISSING_MOD = 50           # price text 'n/a'
 TYPE_NOISE_MOD = 7               # ' View ' casing / padding
@@ -42,12 +41,12 @@ def _text(c: Column) -> Column:
 
 
 def kept_events(events: DataFrame, part: DataFrame) -> DataFrame:
-    """Events after the cohort-spread filter, joined to their catalogue row."""
+    """Every event, shifted by ``user_id % 14`` days so users start on different
+    days (cohort spread), joined to its catalogue row. No event is dropped."""
     n = F.col("event_id")
-    start = F.date_add(F.lit(FIRST_DAY).cast("date"),
-                       (F.col("user_id") % COHORT_SPREAD_DAYS).cast("int"))
+    shift = (F.col("user_id") % COHORT_SPREAD_DAYS).cast("int")
     ev = (events
-          .where(F.col("ts") >= start.cast("timestamp_ntz"))
+          .withColumn("ts", F.timestamp_add("DAY", shift, F.col("ts")))
           .withColumn("k", F.get_json_object("props", "$.k").try_cast("bigint")))
     cat = part.select(F.col("p_partkey").alias("k"), "p_brand", "p_type", "p_size")
     return (ev.join(cat, "k", "left")
