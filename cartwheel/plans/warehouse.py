@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.operators import activity, events, matching, metrics, payments, sessions, staging
-from cartwheel.session import configure, new_run_id, scratch_path
+from cartwheel.session import configure, new_run_id, scratch_path, session_key
 from cartwheel.sources import fixtures
 
 # Models read by several downstream jobs; these are written once per build.
@@ -170,6 +170,27 @@ class Warehouse:
         return metrics.unit_economics_daily(self.fct_user_daily_activity())
 
 
+    MODELS = (
+        "stg_clickstream_events", "stg_payment_events", "payment_events_clean",
+        "payment_intents", "charges", "refunds", "charges_invalid", "payment_intents_invalid",
+        "fct_events", "fct_payments", "payment_event_candidates", "map_payment_to_event",
+        "sessions_base", "map_payment_to_session", "fct_sessions", "fct_user_daily_activity",
+        "fct_product_daily_activity", "dim_users", "dim_products", "dau_wau_mau",
+        "session_funnel_daily", "product_conversion_daily", "retention_cohorts",
+        "repeat_retention_cohorts", "ltv_cohort_curve", "unit_economics_daily",
+    )
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every model as a temporary view, so SQL written against the
+        model names runs unchanged through ``spark.sql``. Views are lazy: a
+        model is computed (or read from its written table) only when a query
+        uses it."""
+        names = []
+        for name in self.MODELS:
+            getattr(self, name)().createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
     def quality_models(self) -> dict[str, DataFrame]:
         """Every model a data-quality check reads, by name."""
         names = ["stg_clickstream_events", "stg_payment_events", "payment_intents", "charges",
@@ -190,7 +211,7 @@ _REG_LOCK = threading.Lock()
 
 def warehouse_for(spark: SparkSession, sf_dir: str, **params) -> Warehouse:
     """The shared warehouse of (application, data set, parameters)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), tuple(sorted(params.items())))
+    key = (session_key(spark), sf_dir.rstrip("/"), tuple(sorted(params.items())))
     with _REG_LOCK:
         wh = _WAREHOUSES.get(key)
         if wh is None:

@@ -46,6 +46,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return configure(spark)
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for written tables and checkpoints.
 
@@ -53,17 +60,29 @@ def checkpoint_root(spark: SparkSession) -> str:
     filesystem). Only when the session has none (tests, local runs) do we
     create one and register it, so ``DataFrame.checkpoint`` works too.
     """
-    current = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current.rstrip("/")
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
+        if sc is not None:
+            sc.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
     local_dir = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
-    spark.sparkContext.setCheckpointDir(local_dir)
+    if sc is None:
+        return local_dir
+    sc.setCheckpointDir(local_dir)
     # setCheckpointDir adds a per-application sub folder; reuse that path
-    return (spark.sparkContext.getCheckpointDir() or local_dir).rstrip("/")
+    return (sc.getCheckpointDir() or local_dir).rstrip("/")
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identity of the running application (for per-application caches)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

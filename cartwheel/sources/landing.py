@@ -19,6 +19,17 @@ from cartwheel.sources import schemas
 
 DT_PATTERN = r"dt=([^/]+)"
 
+# Source declarations (S8): source name -> layout under a landing root.
+SOURCES = {
+    "landing.clickstream_events_raw": "clickstream",
+    "landing.stripe_events_raw": "payments",
+}
+
+
+def load_source(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """A declared landing table by name, read from ``<root>/<layout>``."""
+    return read_landing_table(spark, f"{root.rstrip('/')}/{SOURCES[name]}")
+
 
 def _read_envelopes(spark: SparkSession, path: str, id_source: str, id_path: str) -> DataFrame:
     raw = spark.read.schema(schemas.ENVELOPE).json(path)

@@ -92,3 +92,26 @@ def test_composite_key_upsert_daily_rows(spark):
     assert out == {(1, dt.date(2024, 1, 1)): 1, (1, dt.date(2024, 1, 2)): 3,
                    (None, dt.date(2024, 1, 2)): 0, (2, dt.date(2024, 1, 2)): 1}
     assert inc.upsert(target, source, ["user_id", "activity_date"]).count() == 4
+
+
+def test_models_as_sql_views(spark):
+    from cartwheel.plans.warehouse import Warehouse
+    wh = Warehouse(spark, SF, materialise=False)
+    names = wh.register_views(prefix="t_")
+    assert "t_fct_payments" in names
+    got = spark.sql("""
+        SELECT s.session_date, count(*) AS n
+        FROM t_fct_sessions s JOIN t_map_payment_to_session m ON m.session_id = s.session_id
+        GROUP BY 1""").collect()
+    want = (wh.map_payment_to_session().where("session_id IS NOT NULL")
+            .join(wh.fct_sessions(), "session_id").count())
+    assert sum(r.n for r in got) == want
+
+
+def test_declared_sources_read_the_landing_table(spark):
+    click, _ = fixtures.landing_tables(spark, SF)
+    root = scratch_path(spark, "test_sources")
+    landing.append_landing_table(click, f"{root}/clickstream")
+    df = landing.load_source(spark, "landing.clickstream_events_raw", root)
+    assert df.count() == click.count()
+    assert df.where("dt = DATE '2024-01-05'").count() == click.where("dt = DATE '2024-01-05'").count()
