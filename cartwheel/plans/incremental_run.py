@@ -39,14 +39,16 @@ class IncrementalModels:
         return self.state[name]
 
     def _merge(self, name: str, rebuilt: DataFrame, keys: list[str],
-               touched: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+               touched: DataFrame | None = None,
+               keep_old: bool = True) -> tuple[DataFrame, DataFrame | None, DataFrame]:
         """Upsert ``rebuilt`` into model ``name``; returns (table, old rows of the
-        touched keys before the merge, new rows of the touched keys)."""
+        touched keys before the merge, new rows of the touched keys). Old rows
+        are only kept for models whose changes propagate further."""
         prev = self.state.get(name)
         new = self._save(f"{name}__delta", rebuilt)
         scope = touched if touched is not None else new
         old = None
-        if prev is not None:
+        if prev is not None and keep_old:
             old = self._save(f"{name}__old", inc.semi_null_safe(prev, scope, keys))
         table = self._save(name, inc.upsert(prev, new, keys, touched=touched))
         return table, old, new
@@ -80,20 +82,7 @@ class IncrementalModels:
 
         # -- payments: key = intent; late charges / refunds touch their intent too
         stg_pay = self._save("stg_payment_events", staging.stage_payments(pay_landing))
-        clean = payments.clean_payment_events(stg_pay)
-        intents = self._save("payment_intents", payments.payment_intents(clean))
-        charges = self._save("charges", payments.charges(stg_pay))
-        refunds = self._save("refunds", payments.refunds(stg_pay))
-        target = self.state.get("fct_payments")
-        wm = inc.high_watermark(target, "last_received_ts")
-        new_i = inc.lookback(intents, "received_ts", wm, days, inclusive=False)
-        new_c = inc.lookback(charges, "received_ts", wm, days, inclusive=False)
-        new_r = inc.lookback(refunds, "received_ts", wm, days, inclusive=False)
-        via_refund = new_r.select("charge_id").join(
-            charges.select("charge_id", "payment_intent_id"), "charge_id")
-        pay_keys = (new_i.select("payment_intent_id")
-                    .unionByName(new_c.select("payment_intent_id"))
-                    .unionByName(via_refund.select("payment_intent_id")))
+        clean, intents, charges, refunds, pay_keys = self._payment_intermediates(stg_pay)
 
         def build(affected_intents: DataFrame) -> DataFrame:
             ids = affected_intents.select("payment_intent_id")
@@ -121,7 +110,7 @@ class IncrementalModels:
         cand_src = pays.join(touched_p, "payment_intent_id", "left_semi")
         _, _, cand_new = self._merge("payment_event_candidates",
                                      matching.match_candidates(cand_src, fct, w),
-                                     ["payment_intent_id"], touched=touched_p)
+                                     ["payment_intent_id"], touched=touched_p, keep_old=False)
         map_ev, me_old, me_new = self._merge("map_payment_to_event",
                                              matching.map_payment_to_event(cand_new),
                                              ["payment_intent_id"], touched=touched_p)
@@ -158,7 +147,7 @@ class IncrementalModels:
                                   ["user_id", "activity_date"]).drop("activity_date")
         ud_keys = ud_keys.where(F.col("activity_date").isNotNull())
         self._merge("fct_user_daily_activity", activity.fct_user_daily_activity(s_in, p_in),
-                    ["user_id", "activity_date"], touched=ud_keys)
+                    ["user_id", "activity_date"], touched=ud_keys, keep_old=False)
 
         # -- product-day fact: days of rebuilt events and of events (old or new)
         #    that touched payments are attributed to
@@ -174,15 +163,82 @@ class IncrementalModels:
                                   ["product_id", "activity_date"]).drop("activity_date")
         self._merge("fct_product_daily_activity",
                     activity.fct_product_daily_activity(e_in, map_ev, pays),
-                    ["product_id", "activity_date"], touched=pd_keys)
+                    ["product_id", "activity_date"], touched=pd_keys, keep_old=False)
 
         # -- dimensions
         u_keys = (self._both(fs_old, fs_new, "user_id")
                   .unionByName(self._both(p_old, p_new, "user_id")).distinct())
         self._merge("dim_users", activity.dim_users(
             inc.semi_null_safe(fs, u_keys, ["user_id"]),
-            inc.semi_null_safe(pays, u_keys, ["user_id"])), ["user_id"], touched=u_keys)
+            inc.semi_null_safe(pays, u_keys, ["user_id"])), ["user_id"], touched=u_keys,
+            keep_old=False)
         pr_keys = self._both(ev_old, ev_new, "product_id").where(
             F.col("product_id").isNotNull()).distinct()
         self._merge("dim_products", activity.dim_products(
-            fct.join(pr_keys, "product_id", "left_semi")), ["product_id"], touched=pr_keys)
+            fct.join(pr_keys, "product_id", "left_semi")), ["product_id"], touched=pr_keys,
+            keep_old=False)
+
+    def _payment_intermediates(self, stg_pay: DataFrame):
+        """Cleaned feed, intents, charges, refunds and both reject tables, each
+        rebuilt for the keys its look-back slice touches (T23: the stored row
+        of a touched key is re-ranked together with the new ones). Returns the
+        merged tables and the intents whose payment fact must be rebuilt."""
+        days = self.lookback_days
+        obj_id = blank_to_null("object.id")
+        # cleaned provider feed: key = event_pk
+        wm = inc.high_watermark(self.state.get("payment_events_clean"), "ingested_at")
+        sl = inc.lookback(stg_pay, "ingested_at", wm, days, inclusive=False)
+        keys = payments.clean_payment_events(sl).select("event_pk")
+        pk = F.coalesce(blank_to_null("provider_event_id"), blank_to_null("envelope_event_id"),
+                        F.col("payload_hash"))
+        hist = stg_pay.withColumn("event_pk", pk)
+        clean, _, _ = self._merge("payment_events_clean", payments.clean_payment_events(
+            inc.touched_history(hist, keys, ["event_pk"]).drop("event_pk")), ["event_pk"],
+            keep_old=False)
+
+        def keyed(df: DataFrame, prefix: str, key: str) -> DataFrame:
+            return (df.where(F.lower("event_type").startswith(prefix))
+                    .withColumn(key, obj_id))
+
+        # intents (read the cleaned feed): key = payment_intent_id
+        wm = inc.high_watermark(self.state.get("payment_intents"), "received_ts")
+        sl = inc.lookback(clean, "received_ts", wm, days, inclusive=False)
+        keys = payments.payment_intents(sl).select("payment_intent_id")
+        intents, i_old, i_new = self._merge("payment_intents", payments.payment_intents(
+            inc.touched_history(keyed(clean, "payment_intent.", "payment_intent_id"), keys,
+                                ["payment_intent_id"]).drop("payment_intent_id")),
+            ["payment_intent_id"])
+        # charges and refunds (read the staged feed); refund ids may be NULL
+        wm = inc.high_watermark(self.state.get("charges"), "received_ts")
+        sl = inc.lookback(stg_pay, "ingested_at", wm, days, inclusive=False)
+        keys = payments.charges(sl).select("charge_id")
+        charges, c_old, c_new = self._merge("charges", payments.charges(
+            inc.touched_history(keyed(stg_pay, "charge.", "charge_id"), keys, ["charge_id"])
+            .drop("charge_id")), ["charge_id"])
+        wm = inc.high_watermark(self.state.get("refunds"), "received_ts")
+        sl = inc.lookback(stg_pay, "ingested_at", wm, days, inclusive=False)
+        keys = payments.refunds(sl).select("refund_id")
+        refunds, r_old, r_new = self._merge("refunds", payments.refunds(
+            inc.semi_null_safe(keyed(stg_pay, "refund.", "refund_id"), keys, ["refund_id"])
+            .drop("refund_id")), ["refund_id"])
+        # rejects: keyed on the provider event id (the reference's key is always NULL)
+        for name, src, build in (("charges_invalid", stg_pay, payments.charges_invalid),
+                                 ("payment_intents_invalid", clean,
+                                  payments.payment_intents_invalid)):
+            wm = inc.high_watermark(self.state.get(name), "received_ts")
+            ts = "ingested_at" if src is stg_pay else "received_ts"
+            sl = inc.lookback(src, ts, wm, days, inclusive=False)
+            touched = build(sl).select("provider_event_id")
+            self._merge(name, build(inc.semi_null_safe(src, touched, ["provider_event_id"])),
+                        ["provider_event_id"], touched=touched, keep_old=False)
+        # intents whose fact changes: their own rows, their charges, refunds of those charges
+        charge_links = charges.select("charge_id", "payment_intent_id")
+        if c_old is not None:
+            charge_links = charge_links.unionByName(c_old.select("charge_id", "payment_intent_id"))
+        refund_charges = self._both(r_old, r_new, "charge_id")
+        pay_keys = (self._both(i_old, i_new, "payment_intent_id")
+                    .unionByName(self._both(c_old, c_new, "payment_intent_id"))
+                    .unionByName(refund_charges.join(charge_links, "charge_id")
+                                 .select("payment_intent_id"))
+                    .where(F.col("payment_intent_id").isNotNull()).distinct())
+        return clean, intents, charges, refunds, pay_keys

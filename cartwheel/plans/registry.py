@@ -692,3 +692,15 @@ _inc_query("upsert_daily_composite", "fct_product_daily_activity", PRODUCT_DAILY
            "fct_product_daily_activity")
 _inc_query("dim_users_incremental", "dim_users", DIM_USERS, "dim_users")
 _inc_query("dim_products_incremental", "dim_products", DIM_PRODUCTS, "dim_products")
+
+_inc_query("payment_events_clean_incremental", "payment_events_clean", CLEAN,
+           "payment_events_clean")
+_inc_query("payment_intents_incremental", "payment_intents", INTENTS, "payment_intents")
+_inc_query("charges_incremental", "charges", CHARGES, "charges")
+_inc_query("refunds_incremental", "refunds", REFUNDS, "refunds")
+_inc_query("charges_invalid_incremental", "charges_invalid",
+           ["provider_event_id", "event_type", "event_time", "received_ts", "charge_id",
+            "rejection_reason"], "charges_invalid")
+_inc_query("payment_intents_invalid_incremental", "payment_intents_invalid",
+           ["provider_event_id", "event_type", "event_time", "received_ts", "payment_intent_id",
+            "rejection_reason"], "payment_intents_invalid")
