@@ -1,0 +1,31 @@
+"""Hot-key detection for joins whose key may hold a large share of all rows.
+
+``hot_keys`` counts rows per key (combined map-side, so the count itself is
+skew-safe) and returns the keys above a row threshold. There can be at most
+``total_rows / min_rows`` of them; the number is also checked against
+``max_keys`` before the result is used as a broadcast side, so what is
+broadcast has a proven size bound. Callers fall back to the plain shuffle
+plan (AQE's skew-join split still applies) when there are none or too many.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HOT_ROWS = 2_000_000        # rows of one join key that one task should not receive whole
+MAX_HOT_KEYS = 100_000      # broadcast bound for the hot-key table
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS,
+             max_keys: int = MAX_HOT_KEYS) -> DataFrame | None:
+    """Keys with more than ``min_rows`` rows (column ``_rows`` holds the count),
+    or None when no key is hot or too many are to broadcast safely."""
+    counts = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+              .where(F.col("_rows") > min_rows))
+    n = counts.count()
+    if n == 0 or n > max_keys:
+        return None
+    return counts

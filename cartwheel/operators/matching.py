@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import second_boundaries
 from cartwheel.functions.dedup import keep_first
+from cartwheel.functions.skew import HOT_ROWS, hot_keys
 
 CANDIDATE_COLUMNS = [
     "payment_intent_id", "payment_event_time", "last_received_ts", "event_id",
@@ -30,25 +31,48 @@ def _bucket(ts: F.Column, minutes: int) -> F.Column:
 
 
 def band_join(payments: DataFrame, events: DataFrame, pay_key: str, event_key: str,
-              minutes: int) -> DataFrame:
-    """Pairs (payment, event) with equal keys and event time within ±minutes."""
+              minutes: int, row_id: str = "event_id", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Pairs (payment, event) with equal keys and event time within ±minutes.
+
+    A (key, bucket) group holding more than ``hot_rows`` events is salted:
+    its events are spread over ``ceil(rows / hot_rows)`` salts by a hash of
+    their id, and its payments are replicated to every salt, so each pair
+    is still produced exactly once while no task receives the whole group.
+    """
     p = (payments.where(F.col(pay_key).isNotNull())
          .withColumn("_b0", _bucket(F.col("payment_event_time"), minutes))
          .withColumn("_bucket", F.explode(F.array(F.col("_b0") - 1, F.col("_b0"), F.col("_b0") + 1)))
          .drop("_b0"))
     e = (events.where(F.col(event_key).isNotNull() & F.col("event_time").isNotNull())
          .withColumn("_bucket", _bucket(F.col("event_time"), minutes)))
+    hot = hot_keys(e.select(F.col(event_key).alias("_hk"), F.col("_bucket").alias("_hb")),
+                   ["_hk", "_hb"], hot_rows)
+    if hot is None:
+        p = p.withColumn("_salt", F.lit(0))
+        e = e.withColumn("_salt", F.lit(0))
+    else:
+        salts = F.broadcast(hot.select("_hk", "_hb", F.ceil(F.col("_rows") / F.lit(hot_rows))
+                                       .cast("int").alias("_n")))
+        e = (e.join(salts, (e[event_key] == salts["_hk"]) & (e["_bucket"] == salts["_hb"]), "left")
+             .withColumn("_salt", F.pmod(F.xxhash64(F.col(row_id)), F.coalesce("_n", F.lit(1)))
+                         .cast("int"))
+             .drop("_hk", "_hb", "_n"))
+        p = (p.join(salts, (p[pay_key] == salts["_hk"]) & (p["_bucket"] == salts["_hb"]), "left")
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1)))
+             .drop("_hk", "_hb", "_n"))
     window = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
     cond = [
         p[pay_key] == e[event_key],
         p["_bucket"] == e["_bucket"],
+        p["_salt"] == e["_salt"],
         e["event_time"].between(p["payment_event_time"] - window, p["payment_event_time"] + window),
     ]
-    return p.join(e, cond, "inner").drop(p["_bucket"]).drop(e["_bucket"])
+    return (p.join(e, cond, "inner").drop(p["_bucket"]).drop(e["_bucket"])
+            .drop(p["_salt"]).drop(e["_salt"]))
 
 
 def match_candidates(payments: DataFrame, events: DataFrame, minutes: int = 60,
-                     prefilter: bool = True) -> DataFrame:
+                     prefilter: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Session-key matches (score 120 purchase / 100 other) plus user-key
     matches (70 / 50) within ±``minutes`` of the payment."""
     pay = payments.select(
@@ -82,9 +106,9 @@ def match_candidates(payments: DataFrame, events: DataFrame, minutes: int = 60,
             F.lit(kind).alias("matched_type"),
             second_boundaries("event_time", "payment_event_time").alias("time_diff_seconds"))
 
-    by_session = scored(band_join(pay, ev, "payment_user_session", "user_session", minutes),
-                        120, 100, "user_session")
-    by_user = scored(band_join(pay, ev, "payment_user_id", "user_id", minutes),
+    by_session = scored(band_join(pay, ev, "payment_user_session", "user_session", minutes,
+                                  hot_rows=hot_rows), 120, 100, "user_session")
+    by_user = scored(band_join(pay, ev, "payment_user_id", "user_id", minutes, hot_rows=hot_rows),
                      70, 50, "user_id")
     return by_session.unionByName(by_user).select(*CANDIDATE_COLUMNS)
 

@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwheel.functions.skew import HOT_ROWS, hot_keys
 from cartwheel.sources import schemas
 
 DT_PATTERN = r"dt=([^/]+)"
@@ -66,14 +67,15 @@ def fingerprint(payload_json) -> F.Column:
 
 
 def land(raw: DataFrame, target: DataFrame | None = None, load_id: str | None = None,
-         now: dt.datetime | None = None) -> DataFrame:
+         now: dt.datetime | None = None, hot_copies: int = HOT_ROWS) -> DataFrame:
     """Stamp a load (S5), fingerprint (S6) and keep payloads new to ``target``.
 
     The load id and time are one driver-side literal per run. Duplicates
     *within* the load are kept (staging removes them), as in the reference.
-    The anti join shuffles both sides by the hash; on a cluster AQE turns it
-    into a broadcast only when the runtime size of the target's hash column
-    is under the broadcast threshold.
+    The anti join against the target's hashes shuffles by hash; a payload
+    delivered more than ``hot_copies`` times in one load is split out first:
+    its rows are kept or dropped through a broadcast of the (size-checked)
+    set of hot hashes the target does not hold, so they never shuffle.
     """
     load_id = load_id or str(uuid.uuid4())
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -84,8 +86,18 @@ def land(raw: DataFrame, target: DataFrame | None = None, load_id: str | None =
         fingerprint("raw_payload_json").alias("payload_hash"))
     if target is None:
         return stamped
+    cols = stamped.columns
     seen = target.select("payload_hash").where(F.col("payload_hash").isNotNull())
-    return stamped.join(seen, "payload_hash", "left_anti").select(*stamped.columns)
+    hot = hot_keys(stamped, ["payload_hash"], hot_copies)
+    if hot is None:
+        return stamped.join(seen, "payload_hash", "left_anti").select(*cols)
+    hot = F.broadcast(hot.select("payload_hash"))
+    present = seen.join(hot, "payload_hash", "left_semi").distinct()        # <= |hot| rows
+    unseen_hot = F.broadcast(hot.join(F.broadcast(present), "payload_hash", "left_anti"))
+    hot_rows = stamped.join(unseen_hot, "payload_hash", "left_semi")
+    cold_rows = (stamped.join(hot, "payload_hash", "left_anti")
+                 .join(seen, "payload_hash", "left_anti"))
+    return hot_rows.unionByName(cold_rows).select(*cols)
 
 
 def append_new(raw: DataFrame, target: DataFrame, **kw) -> DataFrame:
