@@ -23,7 +23,7 @@ DT_PATTERN = r"dt=([^/]+)"
 # Source declarations (S8): source name -> layout under a landing root.
 SOURCES = {
     "landing.clickstream_events_raw": "clickstream",
-    "landing.stripe_events_raw": "payments",
+    "landing.payment_events_raw": "payments",
 }
 
 
