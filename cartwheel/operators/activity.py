@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.fixed_values import CART, PURCHASE, VIEW
 from cartwheel.functions.columns import cents_to_amount, week_start
 
 def _zero() -> F.Column:
@@ -71,8 +72,8 @@ def fct_product_daily_activity(events: DataFrame, mapping: DataFrame,
     e_rows = ev.select(
         "product_id", F.to_date("event_time").alias("activity_date"),
         F.lit(1).cast("bigint").alias("events_count"),
-        _flag(t == "view").alias("views_count"), _flag(t == "cart").alias("add_to_cart_count"),
-        _flag(t == "purchase").alias("purchase_events_count"),
+        _flag(t == VIEW).alias("views_count"), _flag(t == CART).alias("add_to_cart_count"),
+        _flag(t == PURCHASE).alias("purchase_events_count"),
         _zero().alias("payments_count"), _zero().alias("revenue_cents"), _zero().alias("refunded_cents"))
     paid = (mapping.select("payment_intent_id", "event_id")
             .join(payments.select("payment_intent_id", "is_succeeded", "is_refunded",

@@ -19,7 +19,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-EPOCH_FLOOR = dt.datetime(1900, 1, 1)
+from cartwheel.fixed_values import WATERMARK_FLOOR as EPOCH_FLOOR  # noqa: E402
 
 
 def high_watermark(target: DataFrame | None, col: str,

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from cartwheel.functions.columns import second_boundaries
 from cartwheel.functions.dedup import keep_first
 from cartwheel.functions.skew import HOT_ROWS, hot_keys
+from cartwheel.fixed_values import (
+    PURCHASE, SESSION_MATCH, SESSION_MATCH_SCORES, USER_MATCH, USER_MATCH_SCORES,
+)
 
 CANDIDATE_COLUMNS = [
     "payment_intent_id", "payment_event_time", "last_received_ts", "event_id",
@@ -102,14 +105,14 @@ def match_candidates(payments: DataFrame, events: DataFrame, minutes: int = 60,
             F.col("received_ts").alias("clickstream_received_ts"), "event_type",
             F.col("user_id").alias("event_user_id"),
             F.col("user_session").alias("event_user_session"),
-            F.when(F.col("event_type") == "purchase", hi).otherwise(lo).alias("match_score"),
+            F.when(F.col("event_type") == PURCHASE, hi).otherwise(lo).alias("match_score"),
             F.lit(kind).alias("matched_type"),
             second_boundaries("event_time", "payment_event_time").alias("time_diff_seconds"))
 
     by_session = scored(band_join(pay, ev, "payment_user_session", "user_session", minutes,
-                                  hot_rows=hot_rows), 120, 100, "user_session")
+                                  hot_rows=hot_rows), *SESSION_MATCH_SCORES, SESSION_MATCH)
     by_user = scored(band_join(pay, ev, "payment_user_id", "user_id", minutes, hot_rows=hot_rows),
-                     70, 50, "user_id")
+                     *USER_MATCH_SCORES, USER_MATCH)
     return by_session.unionByName(by_user).select(*CANDIDATE_COLUMNS)
 
 

@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import cents_to_amount, safe_ratio, week_start
 
-# Fixed values of the reference's metric definitions.
-ROLLING_WINDOWS = {"wau": 7, "mau": 30}
-REPEAT_HORIZONS = (1, 7, 14, 21, 30, 60)
-LTV_MAX_AGE = 30
-REFERENCE_COHORT_END = dt.date(2019, 11, 1)   # the reference's hard-coded LTV cohort cut-off
-FIXTURE_COHORT_END = "2024-01-15"             # the same cut-off placed in the 2024 test data
+from cartwheel.fixed_values import (  # noqa: F401  (re-exported)
+    LTV_MAX_AGE, REFERENCE_COHORT_END, REPEAT_HORIZONS, ROLLING_WINDOWS,
+)
+
+FIXTURE_COHORT_END = "2024-01-15"   # the LTV cohort cut-off placed in the 2024 test data
 
 
 def _active_user_days(user_daily: DataFrame) -> DataFrame:

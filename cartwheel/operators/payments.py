@@ -10,6 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.fixed_values import (
+    CHARGE_TYPE_PREFIX, ID_QUALITY, INTENT_TYPE_PREFIX, REFUND_TYPE_PREFIX, REJECTION_REASON,
+    SUCCEEDED,
+)
 from cartwheel.functions.columns import blank_to_null, cents_to_amount, completeness
 from cartwheel.functions.dedup import keep_first
 
@@ -43,8 +47,10 @@ def clean_payment_events(staged: DataFrame) -> DataFrame:
         blank_to_null("batch_id").alias("batch_id"),
         "dt", "filename", "ingested_at", "payload_hash", "raw_payload_json", "object",
     ).where(F.col("event_pk").isNotNull())
-    id_quality = (F.when(F.col("provider_event_id").isNotNull(), 3)
-                   .when(F.col("envelope_event_id").isNotNull(), 2).otherwise(1))
+    provider_tier, envelope_tier, hash_tier = ID_QUALITY
+    id_quality = (F.when(F.col("provider_event_id").isNotNull(), provider_tier)
+                   .when(F.col("envelope_event_id").isNotNull(), envelope_tier)
+                   .otherwise(hash_tier))
     best = keep_first(typed, ["event_pk"], [
         id_quality.desc(),
         F.col("event_time").isNotNull().desc(),
@@ -64,7 +70,7 @@ def clean_payment_events(staged: DataFrame) -> DataFrame:
 def payment_intents(clean: DataFrame) -> DataFrame:
     """Latest most-complete state per payment intent (reads the cleaned feed)."""
     o = "object"
-    parsed = _of_type(clean, "payment_intent.").where(F.col(f"{o}.id").isNotNull()).select(
+    parsed = _of_type(clean, INTENT_TYPE_PREFIX).where(F.col(f"{o}.id").isNotNull()).select(
         blank_to_null(f"{o}.id").alias("payment_intent_id"),
         "event_time", "received_ts",
         blank_to_null(f"{o}.status").alias("status"),
@@ -94,7 +100,7 @@ def payment_intents(clean: DataFrame) -> DataFrame:
 def charges(staged: DataFrame) -> DataFrame:
     """Latest most-complete state per charge (reads the staged feed)."""
     o = "object"
-    parsed = _of_type(staged, "charge.").where(F.col(f"{o}.id").isNotNull()).select(
+    parsed = _of_type(staged, CHARGE_TYPE_PREFIX).where(F.col(f"{o}.id").isNotNull()).select(
         blank_to_null(f"{o}.id").alias("charge_id"),
         F.coalesce("event_time", "provider_created_ts").alias("event_time"),
         F.col("ingested_at").alias("received_ts"),
@@ -129,7 +135,7 @@ def refunds(staged: DataFrame) -> DataFrame:
     they share the NULL ``refund_id`` group.
     """
     o = "object"
-    parsed = _of_type(staged, "refund.").where(F.col(f"{o}.id").isNotNull()).select(
+    parsed = _of_type(staged, REFUND_TYPE_PREFIX).where(F.col(f"{o}.id").isNotNull()).select(
         blank_to_null(f"{o}.id").alias("refund_id"),
         F.coalesce("event_time", "provider_created_ts").alias("event_time"),
         F.col("ingested_at").alias("received_ts"),
@@ -162,17 +168,17 @@ def rejected(events: DataFrame, type_prefix: str, id_name: str,
         F.coalesce(*time_cols).alias("event_time"),
         F.col(received_col).alias("received_ts"),
         F.col("object.id").alias(id_name),
-        F.lit(f"{id_name} is null").alias("rejection_reason"),
+        F.lit(REJECTION_REASON.format(id_name=id_name)).alias("rejection_reason"),
         "raw_payload_json"))
 
 
 def charges_invalid(staged: DataFrame) -> DataFrame:
-    return rejected(staged, "charge.", "charge_id", ("event_time", "provider_created_ts"),
+    return rejected(staged, CHARGE_TYPE_PREFIX, "charge_id", ("event_time", "provider_created_ts"),
                     "ingested_at")
 
 
 def payment_intents_invalid(clean: DataFrame) -> DataFrame:
-    return rejected(clean, "payment_intent.", "payment_intent_id", ("event_time",),
+    return rejected(clean, INTENT_TYPE_PREFIX, "payment_intent_id", ("event_time",),
                     "received_ts")
 
 
@@ -185,7 +191,7 @@ def fct_payments(intents: DataFrame, charges_df: DataFrame, refunds_df: DataFram
     combines map-side before the shuffle.
     """
     c = charges_df.where(F.col("payment_intent_id").isNotNull())
-    is_ok = F.lower("status") == "succeeded"
+    is_ok = F.lower("status") == SUCCEEDED
     best = c.groupBy("payment_intent_id").agg(
         F.max_by(
             F.struct(F.col("charge_id"), F.col("amount_gross_cents"), F.col("currency")),
@@ -194,7 +200,7 @@ def fct_payments(intents: DataFrame, charges_df: DataFrame, refunds_df: DataFram
         ).alias("_best"),
         F.min(F.when(is_ok, F.col("event_time"))).alias("succeeded_at"),
     )
-    refund_ok = (F.lower(F.col("status")) == "succeeded") | F.col("status").isNull()
+    refund_ok = (F.lower(F.col("status")) == SUCCEEDED) | F.col("status").isNull()
     refund_cents = F.when(refund_ok, F.col("amount_refunded_cents")).otherwise(F.lit(0))
     r = refunds_df.select("charge_id", refund_cents.alias("_cents"))
     # refunds without a charge id can never match: they skip the join (a NULL
@@ -213,7 +219,7 @@ def fct_payments(intents: DataFrame, charges_df: DataFrame, refunds_df: DataFram
            .join(by_intent, "payment_intent_id", "left"))
     amount_cents = F.coalesce(F.col("amount_gross_cents"), F.col("_best.amount_gross_cents"))
     refunded_cents = F.coalesce(F.col("_refunded_cents"), F.lit(0).cast("bigint"))
-    succeeded = F.col("succeeded_at").isNotNull() | (F.lower("status") == "succeeded")
+    succeeded = F.col("succeeded_at").isNotNull() | (F.lower("status") == SUCCEEDED)
     return j.select(
         "payment_intent_id",
         F.col("event_time").alias("payment_intent_event_ts"),

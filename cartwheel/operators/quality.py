@@ -16,6 +16,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.fixed_values import REPEAT_HORIZONS, SESSION_MATCH, USER_MATCH
+
 
 # ---------------------------------------------------------------- checks
 def not_null(df: DataFrame, col: str) -> DataFrame:
@@ -120,14 +122,14 @@ CHECKS: list[Check] = [
           "payment_intent_id"),
     Check("payment_event_candidates", "relationships", ("event_id",), "fct_events", "event_pk"),
     Check("payment_event_candidates", "accepted_values", ("matched_type",),
-          values=("user_session", "user_id")),
+          values=(SESSION_MATCH, USER_MATCH)),
     *_nn("map_payment_to_event", "payment_intent_id", "event_id", "matched_type", "match_score"),
     Check("map_payment_to_event", "unique", ("payment_intent_id",)),
     Check("map_payment_to_event", "relationships", ("payment_intent_id",), "fct_payments",
           "payment_intent_id"),
     Check("map_payment_to_event", "relationships", ("event_id",), "fct_events", "event_pk"),
     Check("map_payment_to_event", "accepted_values", ("matched_type",),
-          values=("user_session", "user_id")),
+          values=(SESSION_MATCH, USER_MATCH)),
     *_nn("map_payment_to_session", "payment_intent_id", "is_session_found"),
     Check("map_payment_to_session", "unique", ("payment_intent_id",)),
     Check("map_payment_to_session", "relationships", ("payment_intent_id",), "fct_payments",
@@ -152,7 +154,7 @@ CHECKS: list[Check] = [
     *_nn("repeat_retention_cohorts", "cohort_week", "cohort_age_days", "retained_users",
          "cohort_size"),
     Check("repeat_retention_cohorts", "accepted_values", ("cohort_age_days",),
-          values=(1, 7, 14, 21, 30, 60)),
+          values=REPEAT_HORIZONS),
     *_nn("unit_economics_daily", "activity_date", "active_users", "paying_users", "revenue_amount"),
     Check("unit_economics_daily", "unique", ("activity_date",)),
     *_nn("dau_wau_mau", "activity_date", "dau", "wau", "mau"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.fixed_values import CART, PURCHASE, VIEW
 from cartwheel.functions.columns import cents_to_amount, second_boundaries
 
 
@@ -29,9 +30,9 @@ def sessions_base(events: DataFrame) -> DataFrame:
                 F.max("received_ts").alias("last_received_ts"),
                 F.count(F.lit(1)).alias("events_count"),
                 F.countDistinct(t).alias("distinct_event_types_count"),
-                _any(t == "view").alias("has_product_view"),
-                _any(t == "cart").alias("has_add_to_cart"),
-                _any(t == "purchase").alias("has_purchase_event")))
+                _any(t == VIEW).alias("has_product_view"),
+                _any(t == CART).alias("has_add_to_cart"),
+                _any(t == PURCHASE).alias("has_purchase_event")))
     return agg.select(
         "session_id", "user_id", "session_start_at", "session_end_at",
         second_boundaries("session_start_at", "session_end_at").alias("session_duration_seconds"),

@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartwheel.fixed_values import LOOKBACK_DAYS, MATCH_WINDOW_MINUTES
 from cartwheel.operators import activity, events, matching, metrics, payments, sessions, staging
 from cartwheel.session import configure, new_run_id, scratch_path, session_key
 from cartwheel.sources import fixtures
@@ -29,8 +30,8 @@ MATERIALISED = (
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, lookback_days: int = 3,
-                 match_window_minutes: int = 60, materialise: bool = True,
+    def __init__(self, spark: SparkSession, sf_dir: str, lookback_days: int = LOOKBACK_DAYS,
+                 match_window_minutes: int = MATCH_WINDOW_MINUTES, materialise: bool = True,
                  landing: tuple[DataFrame, DataFrame] | None = None):
         self.spark = configure(spark)
         self.sf_dir = sf_dir

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.skew import HOT_ROWS, hot_keys
 from cartwheel.sources import schemas
 
-DT_PATTERN = r"dt=([^/]+)"
+from cartwheel.fixed_values import DT_PATTERN  # noqa: E402
 
 # Source declarations (S8): source name -> layout under a landing root.
 SOURCES = {
