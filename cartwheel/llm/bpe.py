@@ -38,6 +38,10 @@ _WORD_START = re.compile(r" (?=\S)")
 _ODD_SPACE = re.compile(r" \s")
 
 
+_NONE = 1 << 60  # after every rank
+_MOST_PAIRS = 1_000_000
+
+
 class Vocabulary:
     """Ranks with the checks that the prefix table needs."""
 
@@ -46,42 +50,100 @@ class Vocabulary:
         self.bytes = {rank: token for token, rank in by_bytes.items()}
         self.longest = max(map(len, by_bytes))
         self._pairs: dict[tuple[int, int], bool] = {}
+        self._spines: dict[int, tuple[list[tuple[bytes, int]], list[tuple[bytes, int]]] | None] = {}
 
-    def merged(self, data: bytes) -> list[int]:
-        """Plain rank-ordered merging, the definition that everything here must agree with."""
-        parts = [data[i:i + 1] for i in range(len(data))]
+    def _merge(self, data: bytes) -> tuple[list[bytes], tuple[bytes, bytes] | None]:
+        """Plain rank-ordered merging, leftmost first: the parts, and what the last merge joined."""
+        parts, split = [data[i:i + 1] for i in range(len(data))], None
         while len(parts) > 1:
-            best = min(((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1)))
-            if best[0] == 1 << 60:
+            rank, i = min((self.ranks.get(parts[i] + parts[i + 1], _NONE), i) for i in range(len(parts) - 1))
+            if rank == _NONE:
                 break
-            parts[best[1]:best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
-        return [self.ranks[p] for p in parts]
+            split = parts[i], parts[i + 1]
+            parts[i:i + 2] = [split[0] + split[1]]
+        return parts, split
+
+    def merged(self, data: bytes) -> list[int]:
+        """Ids by plain merging, the definition that the prefix table must agree with."""
+        return [self.ranks[p] for p in self._merge(data)[0]]
+
+    def spines(self, token: int) -> tuple[list[tuple[bytes, int]], list[tuple[bytes, int]]] | None:
+        """The token's left and right spine from a byte up to the token, as (bytes, rank).
+
+        These are the parts at its left and right end while its bytes merge. None
+        if merging its bytes doesn't give the token.
+        """
+        if token not in self._spines:
+            data = self.bytes[token]
+            parts, split = self._merge(data)
+            out = None
+            if len(parts) == 1:
+                own = (data, token)
+                out = ([own], [own])
+                if split:
+                    left, right = self.spines(self.ranks[split[0]]), self.spines(self.ranks[split[1]])
+                    out = (left[0] + [own], right[1] + [own]) if left and right else None
+            self._spines[token] = out
+        return self._spines[token]
 
     def stands(self, token: int) -> bool:
         """Whether merging the token's own bytes gives the token."""
-        return self.follows(-1, token)
+        return self.spines(token) is not None
 
     def follows(self, left: int, right: int) -> bool:
-        """Whether merging both tokens' bytes leaves just this pair."""
+        """Whether merging both tokens' bytes leaves just this pair.
+
+        Merges run in rank order, so only the parts that meet at the border matter:
+        the left token's right spine against the right token's left spine. The pair
+        stands if at no time the two parts there would join before either of them
+        grows on its own side (of equal ranks the one further left goes first).
+        """
         known = self._pairs.get((left, right))
         if known is None:
-            if left < 0:
-                known = self.merged(self.bytes[right]) == [right]
-            else:
-                known = self.merged(self.bytes[left] + self.bytes[right]) == [left, right]
-            if len(self._pairs) > 1_000_000:
+            known = self._stay_apart(left, right)
+            if len(self._pairs) >= _MOST_PAIRS:
                 self._pairs.clear()
             self._pairs[left, right] = known
         return known
 
-    def last_token(self, data: bytes | bytearray, last: list[int], end: int) -> int:
-        """The one valid last token of ``data[:end]``, given those of all shorter prefixes."""
-        get = self.ranks.get
-        for start in range(max(0, end - self.longest), end):
-            token = get(bytes(data[start:end]))
-            if token is not None and (self.follows(last[start - 1], token) if start else self.stands(token)):
-                return token
-        raise ValueError("the vocabulary lacks a single byte")
+    def _stay_apart(self, left: int, right: int) -> bool:
+        one, two = self.spines(left), self.spines(right)
+        if one is None or two is None:
+            return False
+        ends, starts, i, j, get = one[1], two[0], 0, 0, self.ranks.get
+        while True:
+            joined = get(ends[i][0] + starts[j][0], _NONE)
+            grow_left = ends[i + 1][1] if i + 1 < len(ends) else _NONE
+            grow_right = starts[j + 1][1] if j + 1 < len(starts) else _NONE
+            if joined < grow_left and joined <= grow_right and joined != _NONE:
+                return False
+            if grow_left == grow_right == _NONE:
+                return True
+            if grow_left <= grow_right:
+                i += 1
+            else:
+                j += 1
+
+    def extend(self, data: bytes, last: list[int]) -> None:
+        """Add to ``last`` the one valid last token of every prefix of ``data`` that it lacks."""
+        get, pairs, follows, longest = self.ranks.get, self._pairs, self.follows, self.longest
+        for end in range(len(last) + 1, len(data) + 1):
+            for start in range(end - longest if end > longest else 0, end):
+                token = get(data[start:end])
+                if token is None:
+                    continue
+                if start:
+                    before = last[start - 1]
+                    stands = pairs.get((before, token))
+                    if stands is None:
+                        stands = follows(before, token)
+                else:
+                    stands = self.stands(token)
+                if stands:
+                    last.append(token)
+                    break
+            else:
+                raise ValueError("the vocabulary lacks a single byte")
 
 
 @lru_cache(maxsize=4)
@@ -93,15 +155,13 @@ class PrefixTable:
     """The last token of every prefix of a byte string, kept right through appends and edits."""
 
     def __init__(self, vocab: Vocabulary, data: bytes = b""):
-        self.vocab, self.data, self.last = vocab, bytearray(), []
-        self.append(data)
+        self.vocab, self.data, self.last = vocab, data, []
+        vocab.extend(data, self.last)
 
     def append(self, data: bytes) -> None:
         """Add bytes at the end; the entries that are there stay."""
-        done = len(self.data)
         self.data += data
-        for end in range(done + 1, len(self.data) + 1):
-            self.last.append(self.vocab.last_token(self.data, self.last, end))
+        self.vocab.extend(self.data, self.last)
 
     def replace(self, start: int, end: int, data: bytes) -> int:
         """Replace ``data[start:end]``; returns how many prefixes were worked out anew.
@@ -110,19 +170,17 @@ class PrefixTable:
         token's length before it. Once that many in a row agree with the old ones,
         all later ones do, too.
         """
-        old_last, shift = self.last, len(data) - (end - start)
-        self.data[start:end] = data
-        self.last = old_last[:start]
-        agreed = 0
-        for at in range(start + 1, len(self.data) + 1):
-            token = self.vocab.last_token(self.data, self.last, at)
-            self.last.append(token)
-            before = at - 1 - shift
-            behind_edit = at - self.vocab.longest > start + len(data)
-            agreed = agreed + 1 if behind_edit and before >= end and old_last[before] == token else 0
-            if agreed >= self.vocab.longest:
-                self.last += old_last[before + 1:]
-                return at - start
+        old, longest = self.last, self.vocab.longest
+        shift = len(data) - (end - start)
+        self.data = self.data[:start] + data + self.data[end:]
+        self.last = old[:start]
+        agreed, settled = 0, start + len(data) + longest
+        for at in range(start, len(self.data)):
+            self.vocab.extend(self.data[:at + 1], self.last)
+            agreed = agreed + 1 if at >= settled and old[at - shift] == self.last[at] else 0
+            if agreed == longest:
+                self.last += old[at - shift + 1:]
+                return at + 1 - start
         return len(self.data) - start
 
     def tokens(self, end: int | None = None) -> list[int]:
@@ -137,7 +195,15 @@ class PrefixTable:
 def encode_piece(vocab: Vocabulary, piece: bytes) -> list[int]:
     """Ids of one piece; a piece that is itself a token is that token."""
     whole = vocab.ranks.get(piece)
-    return [whole] if whole is not None else PrefixTable(vocab, piece).tokens()
+    if whole is not None:
+        return [whole]
+    last: list[int] = []
+    vocab.extend(piece, last)
+    at, out = len(piece), []
+    while at:
+        out.append(last[at - 1])
+        at -= len(vocab.bytes[out[-1]])
+    return out[::-1]
 
 
 class _Words(dict):
