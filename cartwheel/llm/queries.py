@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import bpe, common, exact_dedup, packing, secret_scan, sharding
+from cartwheel.llm import bpe, common, exact_dedup, packing, quality_fm, secret_scan, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +37,11 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@query
+def op5_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_fm.classify(common.read_table(spark, sf_dir, "documents"), common.read_table(spark, sf_dir, "labels"))
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(common.read_table(spark, sf_dir, "documents"))
