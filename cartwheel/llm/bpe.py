@@ -30,8 +30,8 @@ from cartwheel.llm.common import ship, small_batches, text_bytes
 from cartwheel.llm.tokenizers import ranks
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Words a worker remembers at most; then it starts over. Bounds memory, changes no result.
-REMEMBERED = 400_000
+#: Words and pieces that a worker remembers, twice this many of each at most. Bounds memory, changes no result.
+REMEMBERED = 300_000
 #: The pattern's white space is Unicode's, which this engine names by property.
 _PIECES = regex.compile(public_tokenizers.PATTERN.replace(r"\s", r"\p{White_Space}"))
 _WORD_START = re.compile(r" (?=\S)")
@@ -128,7 +128,8 @@ class Vocabulary:
         """Add to ``last`` the one valid last token of every prefix of ``data`` that it lacks."""
         get, pairs, follows, longest = self.ranks.get, self._pairs, self.follows, self.longest
         for end in range(len(last) + 1, len(data) + 1):
-            for start in range(end - longest if end > longest else 0, end):
+            # Only one token is valid, so the order doesn't matter; most are short.
+            for start in range(end - 1, max(end - longest, 0) - 1, -1):
                 token = get(data[start:end])
                 if token is None:
                     continue
@@ -137,9 +138,10 @@ class Vocabulary:
                     stands = pairs.get((before, token))
                     if stands is None:
                         stands = follows(before, token)
-                else:
-                    stands = self.stands(token)
-                if stands:
+                    if stands:
+                        last.append(token)
+                        break
+                elif self.stands(token):
                     last.append(token)
                     break
             else:
@@ -206,27 +208,53 @@ def encode_piece(vocab: Vocabulary, piece: bytes) -> list[int]:
     return out[::-1]
 
 
-class _Words(dict):
-    """Ids of words with the space before them."""
+class _Remembered(dict):
+    """Results by key in two generations: when the younger one is full, the older one is forgotten.
 
-    def __init__(self, name: str):
+    What is used again moves back to the younger one, so frequent keys stay.
+    """
+
+    def __init__(self, make, most: int):
         super().__init__()
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class _Encoder:
+    """Ids of words with the space before them, by way of their pieces."""
+
+    def __init__(self, name: str):
         self.vocab = vocabulary(name)
+        self.pieces = _Remembered(lambda piece: tuple(encode_piece(self.vocab, piece.encode())), REMEMBERED)
+        self.words = _Remembered(self.word, REMEMBERED)
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = self.encode(" " + word)
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = ids
-        return ids
+    def word(self, word: str) -> tuple[int, ...]:
+        """Ids of a word and the space before it. Letters alone, or before a full stop or comma, need no pattern."""
+        if word.isalpha():
+            return self.pieces[" " + word]
+        if word[-1:] in (".", ",") and word[:-1].isalpha():
+            return self.pieces[" " + word[:-1]] + self.pieces[word[-1]]
+        return self.encode(" " + word)
 
     def encode(self, part: str) -> tuple[int, ...]:
-        return tuple(i for p in _PIECES.findall(part) for i in encode_piece(self.vocab, p.encode()))
+        found = _PIECES.findall(part)
+        if len(found) == 1:
+            return self.pieces[part]
+        return tuple(chain.from_iterable(map(self.pieces.__getitem__, found)))
 
 
 @lru_cache(maxsize=4)
-def _words(name: str) -> _Words:
-    return _Words(name)
+def _encoder(name: str) -> _Encoder:
+    return _Encoder(name)
 
 
 def words_of(text: str) -> list[str]:
@@ -236,9 +264,9 @@ def words_of(text: str) -> list[str]:
 
 def encode(text: str, name: str = VOCABULARY) -> list[int]:
     """Ids of a text, equal to tiktoken's ordinary encoding by the same ranks."""
-    known = _words(name)
+    known = _encoder(name)
     first, *rest = words_of(text)
-    return list(chain(known.encode(first), chain.from_iterable(map(known.__getitem__, rest))))
+    return [*known.encode(first), *chain.from_iterable(map(known.words.__getitem__, rest))]
 
 
 def decode(ids: Iterable[int], name: str = VOCABULARY) -> bytes:
