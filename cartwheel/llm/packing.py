@@ -96,24 +96,26 @@ def fillings(counts: list[int], room: int, most: int = WIDTH) -> Iterator[tuple[
     mask = (1 << (room + 1)) - 1
     reach = [1] * (len(sizes) + 1)  # reach[i]: bit s is set if pieces from sizes[i:] add up to s
     for i in range(len(sizes) - 1, -1, -1):
-        bits = reach[i + 1]
-        for _ in range(min(counts[sizes[i]], room // sizes[i])):
-            grown = (bits | bits << sizes[i]) & mask
-            if grown == bits:
-                break
-            bits = grown
+        bits, size = reach[i + 1], sizes[i]
+        left, some = min(counts[size], room // size), 1
+        while left:  # 1, 2, 4, ... copies make every number of copies
+            some = min(some, left)
+            bits |= bits << (size * some) & mask
+            left -= some
+            some *= 2
         reach[i] = bits
     found = 0
 
     def made(i: int, total: int, used: tuple[int, ...]) -> Iterator[tuple[int, ...]]:
+        """Fillings of exactly ``total`` by sizes[i:], larger lengths first."""
         if total == 0:
             yield used
             return
-        if i == len(sizes) or not reach[i] >> total & 1:
-            return
-        size = sizes[i]
-        for k in range(min(counts[size], total // size), -1, -1):
-            yield from made(i + 1, total - k * size, used + (size,) * k)
+        while i < len(sizes) and reach[i] >> total & 1:
+            size = sizes[i]
+            if size <= total and used.count(size) < counts[size]:
+                yield from made(i, total - size, (*used, size))
+            i += 1
 
     for total in range(room, -1, -1):
         if not reach[0] >> total & 1:
