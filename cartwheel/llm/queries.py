@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import bpe, common, exact_dedup, ngram_join, packing, quality_fm, secret_scan, sharding
+from cartwheel.llm import bpe, common, exact_dedup, ngram_join, packing, pq_dedup, quality_fm, secret_scan, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,6 +52,11 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(common.read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_pq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.near_duplicates(common.read_table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(common.read_table(spark, sf_dir, "documents")))
