@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import bpe, common, exact_dedup, ngram_join, packing, pq_dedup, quality_fm, secret_scan, sharding
+from cartwheel.llm import bpe, common, exact_dedup, ngram_join, packing, pq_dedup, quality_fm, secret_scan, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,28 @@ def op2_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(common.read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read_back(common.read_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op3_warc_index"] = """
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), coded AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT, 1)), '') AS payload_digest
+  FROM hashed
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = min(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> min(page_id) OVER same THEN min(page_id) OVER same END AS refers_to
+FROM coded WINDOW same AS (PARTITION BY payload_digest)
+"""
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(common.read_table(spark, sf_dir, "documents"))
