@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import bpe, common, exact_dedup, ngram_join, packing, pq_dedup, quality_fm, secret_scan, sharding, warc
+from cartwheel.llm import bpe, common, exact_dedup, html_text, ngram_join, packing, pq_dedup, quality_fm, secret_scan, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,6 +20,11 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(common.read_table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(common.read_table(spark, sf_dir, "documents"))
