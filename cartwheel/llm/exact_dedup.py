@@ -115,13 +115,11 @@ def exact_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", keep: st
 
 
 def drop_copies(df: DataFrame, key: str = "doc_id", text: str = "text", keep: str = "largest") -> DataFrame:
-    """``df`` with one row of every group of equal texts, in its own columns.
+    """``df`` without the rows whose text stays under another key, in its own columns.
 
-    Rows that repeat the kept key with the same text fold into one, too.
+    Rows that repeat key and text fold into one.
     """
-    decided = exact_dedup(df, key, text, keep).where("kept").select(
-        F.col(key).alias("_kept_key"), F.col("text_sha256").alias("_kept_sha")).distinct()
+    gone = exact_dedup(df, key, text, keep).where("not kept").select(F.col(key).alias("_gone"), "text_sha256").distinct()
     body = F.sha2(F.coalesce(F.col(text).cast("binary"), F.lit(b"")), 256)
-    marked = df.withColumn("_sha", body)
-    same = F.col(key).cast("long").eqNullSafe(F.col("_kept_key")) & (F.col("_sha") == F.col("_kept_sha"))
-    return marked.join(decided, same).select(*df.columns).dropDuplicates([key, text])
+    same = F.col(key).cast("long").eqNullSafe(F.col("_gone")) & (body == F.col("text_sha256"))
+    return df.join(gone, same, "left_anti").dropDuplicates([key, text])

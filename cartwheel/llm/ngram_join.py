@@ -471,3 +471,11 @@ def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", s
     return rows.join(named, "digest", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"),
         F.when(F.col("key").isNotNull(), F.coalesce("component", "key")).alias("component_id"))
+
+
+def keep_representatives(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE,
+                         share: tuple[int, int] = SHARE) -> DataFrame:
+    """``df`` with the row of the smallest key of every component, in its own columns; rows without a key stay."""
+    gone = (jaccard_components(df, key, text, size, share).where(F.col(key) != F.col("component_id"))
+            .select(F.col(key).alias("_gone")).distinct())
+    return df.join(gone, F.col(key).cast("long") == F.col("_gone"), "left_anti")

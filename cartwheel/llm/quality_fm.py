@@ -227,3 +227,9 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     machine = train(docs, labels, key, text)
     return score_rows(docs.select(key, text), machine, text).select(
         key, held_out(key).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold, in their own columns."""
+    scored = score_rows(docs.withColumnRenamed("score", "_own_score") if "score" in docs.columns else docs, train(docs, labels, key, text), text)
+    return scored.where(F.col("score") >= threshold).select(*["_own_score" if c == "score" else c for c in docs.columns]).toDF(*docs.columns)
