@@ -32,6 +32,8 @@ RANK = 8
 #: Labelled rows that the fit uses at most (those of the smallest key hashes): a bounded sample.
 TRAIN_ROWS = 5000
 EPOCHS = 8
+#: Steps of the fit at least, so that a small sample gets more rounds.
+LEAST_STEPS = 300
 THRESHOLD = 0.3
 HELD_OUT_FOLDS = 5
 _REMEMBERED = 400_000
@@ -120,7 +122,7 @@ class Machine:
 
 
 def fit(words: np.ndarray, stats: np.ndarray, labels: np.ndarray, rank: int = RANK, epochs: int = EPOCHS,
-        rate: float = 0.02, decay: float = 1e-4, batch: int = 256, seed: int = 7) -> Machine:
+        rate: float = 0.02, decay: float = 1e-4, batch: int = 128, seed: int = 7) -> Machine:
     """Logistic loss by Adam in small batches. Without rows of both labels the score is their share (or 1/2)."""
     n, d = len(labels), BUCKETS + len(STATISTICS)
     share = (labels.sum() + 1) / (n + 2)
@@ -135,7 +137,7 @@ def fit(words: np.ndarray, stats: np.ndarray, labels: np.ndarray, rank: int = RA
     out.factors = random.normal(0, 0.05, (d, rank)).astype(np.float32)
     state = [np.zeros((d, rank + 1), np.float32), np.zeros((d, rank + 1), np.float32)]
     step = 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-LEAST_STEPS * batch // n))):
         order = random.permutation(n)
         for at in range(0, n, batch):
             rows = order[at:at + batch]
