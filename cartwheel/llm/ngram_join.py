@@ -4,15 +4,17 @@ Documents are sets of hashed word shingles. The result is the components of the
 link graph (Jaccard >= 0.8), found without visiting every pair:
 
 1. Equal sets fold into one class.
-2. Answer level: classes that share their smallest shingle with many others are
-   compared with the leaders found so far, in bounded chunks. A member of a
-   highly similar leader takes over the leader's component, and whatever is
-   linked already is never compared again.
+2. Answer level: classes that share one of their smallest shingles (under a few
+   hash orders) with many others are compared with the leaders found so far, in
+   bounded chunks. A member of a highly similar leader takes over the leader's
+   component, and whatever is linked already is never compared again.
 3. Index level: every class files its prefix (the shingles of which a partner
    must share one) in inverted lists, shingles that recur in many documents
    last. A list holds its entries in blocks of set size with the shingle's
    position; a member skips the blocks whose size or remaining positions can't
-   reach the overlap, and entries of its own component.
+   reach the overlap, and entries of its own component. A first round looks at
+   the nearest entries only; what it links falls out of the second, which looks
+   at all.
 4. Pairs that are left pass a parity-bitmap bound, then an exact comparison.
 
 Steps 3 and 4 lose no link whatever step 2 found, so the result is exact (for
@@ -36,11 +38,15 @@ from cartwheel.llm.components import connected_components
 SHINGLE = 5
 #: Two sets link when UNION_SHARE[1] * intersection >= UNION_SHARE[0] * union.
 SHARE = (80, 100)
-#: A shingle that tasks saw this often in their prefixes goes to the end of the order. Changes no result.
-FREQUENT = 16
-#: Classes with an equal smallest shingle from which leaders are looked for, and the size of a chunk.
-CROWD, CHUNK = 16, 256
+#: A shingle that so many prefixes hold goes to the end of the order. Changes no result.
+FREQUENT = 8
+#: Frequent shingles that the order's bitmap takes at most; of more, the most frequent ones. Changes no result.
+MOST_FREQUENT = 1 << 21
+#: Hash orders whose smallest shingle makes classes meet; from so many classes on, leaders are looked for, in chunks.
+ORDERS, CROWD, CHUNK = 4, 16, 256
 LEADERS = 4
+#: Later entries of a list that a member is compared with in the first round.
+NEAREST = 2
 _BITS = 1 << 24
 
 # ---------------------------------------------------------------- shingle sets of a batch
@@ -207,38 +213,66 @@ def in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- passes over the texts
 
-_SEEN = "kind int, key bigint, n bigint, digest binary, least bigint"
+_SEEN = "key bigint, n bigint, digest binary, least array<bigint>"
+_SEEDS = _mix(np.arange(1, 65, dtype=np.uint64))
 
 
-def _survey(size: int, share: tuple[int, int]):
-    """Per text: size, digest and smallest shingle; per task: shingles that recur in its prefixes (kind 1)."""
+def _smallest(tokens: np.ndarray) -> list[int]:
+    """The smallest shingle under each hash order."""
+    if not len(tokens):
+        return []
+    with np.errstate(over="ignore"):
+        return [int(np.min(tokens ^ seed if k == 0 else _mix(tokens ^ seed)).view(np.int64)) for k, seed in enumerate(_SEEDS[:ORDERS])]
+
+
+def _survey(size: int):
+    """Per text: set size, digest and smallest shingles."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, sets in _sets(batches, "text", size):
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) for s in sets], pa.binary()),
+                 pa.array([_smallest(s) for s in sets], pa.list_(pa.int64()))], names=["key", "n", "digest", "least"])
+    return run
+
+
+def _prefix_counts(size: int, share: tuple[int, int]):
+    """(token, seen): shingles of the prefixes by hash alone, half as long again, counted by the task in turn."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "key", "n", "digest", "least"]
-        types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
         held: list[np.ndarray] = []
+        total = 0
 
-        def recurring() -> pa.RecordBatch:
+        def counted() -> pa.RecordBatch:
             tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts > 1
-            k = int(often.sum())
             held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(k, np.int32)), pa.nulls(k, pa.int64()), pa.array(counts[often].astype(np.int64)),
-                 pa.nulls(k, pa.binary()), pa.array(tokens[often].view(np.int64))], names=names)
-
-        for batch, sets in _sets(batches, "text", size):
-            held += [s[:prefix_length(len(s), share)] for s in sets if len(s)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(sets), np.int32)), batch.column(0), pa.array([len(s) for s in sets], types[2]),
-                 pa.array([_digest(s) for s in sets], types[3]),
-                 pa.array([int(s[:1].view(np.int64)[0]) if len(s) else None for s in sets], types[4])], names=names)
-            if sum(map(len, held)) > 4_000_000:
-                yield recurring()
+            return pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(counts.astype(np.int32))], names=["token", "seen"])
+
+        for _, sets in _sets(batches, "text", size):
+            held += [s[:prefix_length(len(s), share) * 3 // 2] for s in sets if len(s)]
+            total += sum(map(len, held[-len(sets):]))
+            if total > 500_000:
+                yield counted()
+                total = 0
         if held:
-            yield recurring()
+            yield counted()
     return run
 
 
+def frequent_shingles(docs: DataFrame, size: int, share: tuple[int, int]) -> np.ndarray:
+    """Bitmap of the shingles that many prefixes hold, counted over all documents."""
+    often = written(docs.mapInArrow(_prefix_counts(size, share), "token bigint, seen int").groupBy("token").agg(
+        F.sum("seen").alias("seen")).where(F.col("seen") >= FREQUENT), "frequent")
+    levels = often.groupBy(F.floor(F.log2("seen")).cast("int").alias("level")).count().orderBy(F.desc("level")).collect()
+    least, room = None, MOST_FREQUENT
+    for row in levels:  # one row a power of two
+        room -= row["count"]
+        if room < 0:
+            break
+        least = 2 ** row["level"]
+    out = key_bitmap(often.where(F.col("seen") >= (least or 1 << 62)), "token")
+    discard(often)
+    return out
+
+
 def _fetch(size: int, wanted: np.ndarray):
     """(key, digest, tokens) of the texts whose key may be wanted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,36 +333,38 @@ def _lead(share: tuple[int, int]):
             own = [j for group in met for j in group][:LEADERS]
             groups = [own + [i] if len(own) < LEADERS else own, *rest]
         first = [group[0] for group in groups]
-        least, tokens = rows["least"].iloc[0], rows["tokens"].tolist()
+        crowd, tokens = rows["crowd"].iloc[0], rows["tokens"].tolist()
         digests = rows["digest"].tolist()
         return pd.DataFrame(
-            [(0, a, b, least, None, None) for a, b in edges] + [(1, keys[i], None, least, digests[i], tokens[i]) for i in first],
-            columns=["kind", "key", "other", "least", "digest", "tokens"]).astype({"other": "Int64"})
+            [(0, a, b, crowd, None, None) for a, b in edges] + [(1, keys[i], None, crowd, digests[i], tokens[i]) for i in first],
+            columns=["kind", "key", "other", "crowd", "digest", "tokens"]).astype({"other": "Int64"})
     return run
 
 
 def _leader_edges(docs: DataFrame, classes: DataFrame, size: int, share: tuple[int, int]) -> DataFrame:
-    """Links (a, b) found among crowds: classes that share their smallest shingle with CROWD others at least."""
-    crowds = written(classes.groupBy("least").agg(F.count(F.lit(1)).alias("crowd")).where(F.col("crowd") >= CROWD), "crowds")
-    members = written(classes.join(crowds, "least").select("key", "digest", "least"), "crowd-members")
+    """Links (a, b) found among crowds: classes of which CROWD at least have an equal smallest shingle in one order."""
+    met = classes.select("key", "digest", F.posexplode("least").alias("order", "token")).select(
+        "key", "digest", F.xxhash64("order", "token").alias("crowd"))
+    crowds = written(met.groupBy("crowd").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= CROWD), "crowds")
+    members = written(met.join(crowds, "crowd").select("key", "digest", "crowd"), "crowd-members")
     fetched = docs.mapInArrow(_fetch(size, key_bitmap(members, "key")), "key bigint, digest binary, tokens binary")
-    rows = written(fetched.join(members, ["key", "digest"]).dropDuplicates(["key", "digest"])
-                   .select("key", "digest", "least", "tokens"), "crowd-sets")
+    rows = written(fetched.dropDuplicates(["key", "digest"]).join(members, ["key", "digest"])
+                   .select("key", "digest", "crowd", "tokens"), "crowd-sets")
     edges = None
     while True:  # a round leaves a leader for each component of a chunk; the leaders of a crowd meet in the next one
-        sizes = written(rows.groupBy("least").agg(F.count(F.lit(1)).alias("crowd")), "crowd-sizes")
-        chunked = rows.join(sizes, "least").withColumn(
-            "chunk", F.pmod(F.xxhash64("key", "digest"), F.ceil(F.col("crowd") / CHUNK)))
-        found = written(chunked.select("key", "digest", "least", "chunk", "tokens").groupBy("least", "chunk").applyInPandas(
-            _lead(share), "kind int, key bigint, other bigint, least bigint, digest binary, tokens binary"), "leaders")
+        sizes = written(rows.groupBy("crowd").agg(F.count(F.lit(1)).alias("met")), "crowd-sizes")
+        chunked = rows.join(sizes, "crowd").withColumn(
+            "chunk", F.pmod(F.xxhash64("key", "digest"), F.ceil(F.col("met") / CHUNK)))
+        found = written(chunked.select("key", "digest", "crowd", "chunk", "tokens").groupBy("crowd", "chunk").applyInPandas(
+            _lead(share), "kind int, key bigint, other bigint, crowd bigint, digest binary, tokens binary"), "leaders")
         new = found.where("kind = 0").select(F.col("key").alias("a"), F.col("other").alias("b"))
         edges = new if edges is None else edges.union(new)
-        leaders = found.where("kind = 1").select("key", "digest", "least", "tokens")
+        leaders = found.where("kind = 1").select("key", "digest", "crowd", "tokens")
         shrunk = leaders.count() * 2 <= rows.count()
-        more = sizes.where(F.col("crowd") > CHUNK).select("least")
+        more = sizes.where(F.col("met") > CHUNK).select("crowd")
         if not shrunk or not more.limit(1).count():
             return edges
-        rows = leaders.join(more, "least").select("key", "digest", "least", "tokens")
+        rows = leaders.join(more, "crowd").select("key", "digest", "crowd", "tokens")
 
 
 # ---------------------------------------------------------------- index level: inverted lists
@@ -361,8 +397,8 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from table.filter(pa.array(same[1:] | same[:-1])).to_batches()
 
 
-def _pairs(share: tuple[int, int]):
-    """Candidate pairs of lists sorted by (token, n): a member against the later ones in step.
+def _pairs(share: tuple[int, int], most_steps: int | None):
+    """Candidate pairs of lists sorted by (token, n): a member against the later ones (or the nearest of them) in step.
 
     A member leaves the race as soon as the next entry's block of sizes is out
     of reach (all later ones are larger still); entries of its own component and
@@ -374,7 +410,7 @@ def _pairs(share: tuple[int, int]):
         for table in _whole_lists(batches):
             token, key, n, position, component = (table.column(c).to_numpy() for c in range(5))
             racing, step = np.arange(len(token) - 1), 1
-            while len(racing):
+            while len(racing) and (most_steps is None or step <= most_steps):
                 other = racing + step
                 inside = other < len(token)
                 racing, other = racing[inside], other[inside]
@@ -415,6 +451,37 @@ def _both_sides(pairs: DataFrame, values: DataFrame, columns: list[str]) -> Data
     return pairs
 
 
+def _round(known: DataFrame, shared: DataFrame, profiles: DataFrame, labelled: DataFrame, size: int,
+           share: tuple[int, int], most_steps: int | None) -> DataFrame:
+    """Verified links (a, b) between classes of different components that meet in a list."""
+    listed = written(shared.join(labelled.select("key", F.xxhash64("digest").alias("check"), "component"), ["key", "check"])
+                     .select("token", "key", "n", "position", "component"), "listed")
+    mixed = written(listed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                    .where("low < high").select("token"), "mixed")
+    pairs = written(listed.join(mixed, "token").select("token", "key", "n", "position", "component")
+                    .repartition("token").sortWithinPartitions("token", "n", "key")
+                    .mapInArrow(_pairs(share, most_steps), "a bigint, b bigint").distinct(), "pairs")
+    sketches = profiles.join(labelled.select("key", "digest"), ["key", "digest"], "left_semi").select("key", "n", "bitmap").distinct()
+    sifted = written(_both_sides(pairs, sketches, ["n", "bitmap"]).select("a", "b", "n_a", "n_b", "bitmap_a", "bitmap_b")
+                     .mapInPandas(_sift(share), "a bigint, b bigint").distinct(), "sifted")
+    wanted = written(sifted.select(F.col("a").alias("key")).union(sifted.select(F.col("b").alias("key"))).distinct(), "wanted")
+    sets = written(known.mapInArrow(_fetch(size, key_bitmap(wanted, "key")), "key bigint, digest binary, tokens binary")
+                   .join(wanted, "key", "left_semi")
+                   .join(labelled.select("key", "digest"), ["key", "digest"], "left_semi").distinct(), "sets")
+    verified = written(_both_sides(sifted, sets, ["tokens"]).select("a", "b", "tokens_a", "tokens_b")
+                       .mapInPandas(_verify(share), "a bigint, b bigint").distinct(), "links")
+    for table in (listed, mixed, pairs, sifted, wanted, sets):
+        discard(table)
+    return verified
+
+
+def _label(classes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Classes with the component that the links so far give them."""
+    reach = connected_components(edges)
+    return written(classes.join(reach, classes["key"] == reach["node"], "left").select(
+        "key", "digest", F.coalesce("component", "key").alias("component")), "labelled")
+
+
 def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE,
                        share: tuple[int, int] = SHARE) -> DataFrame:
     """One row per input row: (key, n_shingles, component_id).
@@ -427,48 +494,26 @@ def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", s
     """
     ship(df.sparkSession)
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    seen = written(docs.mapInArrow(_survey(size, share), _SEEN), "survey")
-    rows = seen.where("kind = 0").select("key", "n", "digest", "least")
+    rows = written(docs.mapInArrow(_survey(size), _SEEN), "survey")
     known = docs.where("key is not null")
     classes = written(rows.where("n > 0 and key is not null").groupBy("digest").agg(
-        F.min("key").alias("key"), F.first("n").alias("n"), F.first("least").alias("least")), "classes")
-    frequent = key_bitmap(seen.where("kind = 1").groupBy("least").agg(F.sum("n").alias("seen"))
-                          .where(F.col("seen") >= FREQUENT), "least")
-
-    led = written(_leader_edges(known, classes, size, share).distinct(), "led")
-    settled = connected_components(led)
-    labelled = written(classes.join(settled, classes["key"] == settled["node"], "left").select(
-        "key", "digest", F.coalesce("component", "key").alias("component")), "labelled")
+        F.min("key").alias("key"), F.first("least").alias("least")), "classes")
+    links = written(_leader_edges(known, classes, size, share).distinct(), "led")
+    labelled = _label(classes, links)
 
     profiles = written(known.mapInArrow(
-        _profile(size, share, key_bitmap(classes, "key"), frequent),
+        _profile(size, share, key_bitmap(classes, "key"), frequent_shingles(known, size, share)),
         "key bigint, digest binary, n bigint, prefix array<bigint>, bitmap binary"), "profiles")
     entries = profiles.select(F.posexplode("prefix").alias("position", "token"), "key", "n", "digest").select(
         "token", "key", "n", "position", F.xxhash64("digest").alias("check"))
     shared = written(entries.repartition("token").sortWithinPartitions("token").mapInArrow(
         _shared, "token bigint, key bigint, n bigint, position int, check bigint"), "entries")
-    listed = written(shared.join(labelled.select("key", F.xxhash64("digest").alias("check"), "component"), ["key", "check"])
-                     .select("token", "key", "n", "position", "component"), "listed")
-    mixed = written(listed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                    .where("low < high").select("token"), "mixed")
-    pairs = written(listed.join(mixed, "token").select("token", "key", "n", "position", "component")
-                    .repartition("token").sortWithinPartitions("token", "n", "key")
-                    .mapInArrow(_pairs(share), "a bigint, b bigint").distinct(), "pairs")
-    sketches = profiles.join(labelled.select("key", "digest"), ["key", "digest"], "left_semi").select("key", "n", "bitmap").distinct()
-    sifted = written(_both_sides(pairs, sketches, ["n", "bitmap"]).select("a", "b", "n_a", "n_b", "bitmap_a", "bitmap_b")
-                     .mapInPandas(_sift(share), "a bigint, b bigint").distinct(), "sifted")
-    wanted = sifted.select(F.col("a").alias("key")).union(sifted.select(F.col("b").alias("key"))).distinct()
-    sets = written(known.mapInArrow(_fetch(size, key_bitmap(wanted, "key")), "key bigint, digest binary, tokens binary")
-                   .join(wanted, "key", "left_semi")
-                   .join(labelled.select("key", "digest"), ["key", "digest"], "left_semi").distinct(), "sets")
-    verified = written(_both_sides(sifted, sets, ["tokens"]).select("a", "b", "tokens_a", "tokens_b")
-                       .mapInPandas(_verify(share), "a bigint, b bigint"), "links")
-    for table in (profiles, shared, listed, pairs, sets):
-        discard(table)
-    reach = connected_components(led.union(verified))
-    named = written(labelled.select("key", "digest").join(reach, labelled["key"] == reach["node"], "left").select(
-        "digest", F.coalesce("component", "key").alias("component")), "named")
-    return rows.join(named, "digest", "left").select(
+    for most_steps in (NEAREST, None):
+        links = written(links.union(_round(known, shared, profiles, labelled, size, share, most_steps)), "links")
+        labelled = _label(classes, links)
+    discard(profiles)
+    discard(shared)
+    return rows.join(labelled.select("digest", "component"), "digest", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"),
         F.when(F.col("key").isNotNull(), F.coalesce("component", "key")).alias("component_id"))
 

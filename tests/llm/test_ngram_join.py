@@ -70,6 +70,7 @@ def test_crowds_are_led_in_chunks_and_stay_exact(spark, monkeypatch):
     monkeypatch.setattr(N, "CROWD", 3)
     monkeypatch.setattr(N, "CHUNK", 8)
     monkeypatch.setattr(N, "FREQUENT", 4)
+    monkeypatch.setattr(N, "MOST_FREQUENT", 100)
     rng, data = random.Random(7), []
     base, passage = words(rng, 80, 500), words(rng, 50, 500)
     for _ in range(90):
