@@ -37,4 +37,3 @@ USER_MATCH_SCORES = (70, 50)
 ROLLING_WINDOWS = {"wau": 7, "mau": 30}
 REPEAT_HORIZONS = (1, 7, 14, 21, 30, 60)
 LTV_MAX_AGE = 30
-REFERENCE_COHORT_END = _dt.date(2019, 11, 1)

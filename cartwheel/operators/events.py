@@ -10,7 +10,7 @@ from cartwheel.functions.dedup import keep_first
 
 EVENT_COLUMNS = [
     "event_pk", "event_time", "event_date", "received_ts", "event_type", "user_id",
-    "user_session", "product_id", "category_id", "category_code", "brand", "price",
+    "user_id_raw", "user_session", "product_id", "category_id", "category_code", "brand", "price",
     "source_system", "schema_version", "batch_id", "dt", "filename", "load_id",
     "ingested_at", "payload_hash",
 ]
@@ -25,6 +25,7 @@ def fct_events(staged: DataFrame) -> DataFrame:
         F.col("ingested_at").alias("received_ts"),
         F.nullif(F.lower(F.trim("event_type")), F.lit("")).alias("event_type"),
         "user_id",
+        "user_id_raw",
         blank_to_null("user_session").alias("user_session"),
         blank_to_null("product_id").alias("product_id"),
         blank_to_null("category_id").alias("category_id"),
@@ -36,7 +37,7 @@ def fct_events(staged: DataFrame) -> DataFrame:
         blank_to_null("batch_id").alias("batch_id"),
         "dt", "filename", "load_id", "ingested_at", "payload_hash",
     ).where(F.col("event_pk").isNotNull())
-    score = completeness(["event_time", "user_id", "event_type", "user_session"])
+    score = completeness(["event_time", "user_id_raw", "event_type", "user_session"])
     best = keep_first(typed, ["event_pk"], [
         score.desc(), F.col("received_ts").desc_nulls_last(),
         F.col("payload_hash").desc_nulls_last()])

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from cartwheel.functions.columns import cents_to_amount, safe_ratio, second_boundaries
 from cartwheel.operators import metrics
 
-HEATMAP_AGES = tuple(range(0, 31))
 RETENTION_SNAPSHOT_AGES = (1, 7, 30)
 LTV_SNAPSHOT_AGES = (7, 30, 60)
 
@@ -89,17 +88,21 @@ def retention_snapshots(retention: DataFrame, ages=RETENTION_SNAPSHOT_AGES) -> D
           for a in ages])
 
 
-def retention_heatmap(retention: DataFrame, ages=HEATMAP_AGES) -> DataFrame:
-    """K8: cohort x age matrix of retention rates (one column per age)."""
-    wide = (retention.groupBy("cohort_date")
-            .pivot("cohort_age_days", list(ages)).agg(F.max("retention_rate")))
-    return wide.select("cohort_date", *[F.col(str(a)).alias(f"d{a}") for a in ages])
+def retention_heatmap(retention: DataFrame) -> DataFrame:
+    """K8: cohort x age matrix of retention rates in long form, one row per cell.
+
+    A cohort's row of the matrix runs from age 0 to the last age that its users
+    were seen at, whatever that is; a cell without activity has no rate.
+    """
+    spans = retention.groupBy("cohort_date").agg(F.max("cohort_age_days").alias("_last"))
+    cells = spans.select("cohort_date", F.explode(F.sequence(F.lit(0).cast("bigint"), "_last")).alias("cohort_age_days"))
+    return cells.join(retention.select("cohort_date", "cohort_age_days", "retention_rate"),
+                      ["cohort_date", "cohort_age_days"], "left")
 
 
-def revenue_retention_cohorts(users: DataFrame, user_daily: DataFrame,
-                              max_age: int = metrics.LTV_MAX_AGE) -> DataFrame:
-    """K9: net revenue at each age relative to the cohort's day-0 revenue."""
-    curve = metrics.ltv_cohort_curve(users, user_daily, max_age=max_age, fill=True)
+def revenue_retention_cohorts(users: DataFrame, user_daily: DataFrame) -> DataFrame:
+    """K9: net revenue at each observed age relative to the cohort's day-0 revenue."""
+    curve = metrics.ltv_cohort_curve(users, user_daily, max_age=None, fill=True)
     base = F.max(F.when(F.col("cohort_age_days") == 0, F.col("revenue_amount"))).over(
         Window.partitionBy("cohort_date"))
     return curve.select("cohort_date", "cohort_age_days", "cohort_size", "revenue_amount",

@@ -6,8 +6,10 @@ as an equi-join on ``(key, time bucket)`` with buckets of width ``w``: each
 event sits in one bucket, each payment probes its own bucket and the two
 neighbours, and the exact band is a residual filter. The join therefore
 stays a hash/sort-merge join whose partitions are (key, hour) slices, so one
-very active user or session is spread over many tasks instead of one; AQE's
-skew-join splitting covers what remains.
+very active user or session is spread over many tasks instead of one. The
+events of a slice are also spread over a constant number of salts and its
+payments replicated to each of them, whatever the data; both sides are plain
+shuffles, so AQE's skew-join splitting covers a slice that is still too large.
 """
 
 from __future__ import annotations
@@ -17,7 +19,6 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import second_boundaries
 from cartwheel.functions.dedup import keep_first
-from cartwheel.functions.skew import HOT_ROWS, hot_keys
 from cartwheel.fixed_values import (
     PURCHASE, SESSION_MATCH, SESSION_MATCH_SCORES, USER_MATCH, USER_MATCH_SCORES,
 )
@@ -33,42 +34,24 @@ def _bucket(ts: F.Column, minutes: int) -> F.Column:
     return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(minutes * 60 * 1_000_000))
 
 
+SALTS = 4   # parts of a (key, bucket) slice of the events
+
+
 def band_join(payments: DataFrame, events: DataFrame, pay_key: str, event_key: str,
-              minutes: int, row_id: str = "event_id", hot_rows: int = HOT_ROWS,
-              hot: DataFrame | None | bool = True) -> DataFrame:
+              minutes: int, row_id: str = "event_id", salts: int = SALTS) -> DataFrame:
     """Pairs (payment, event) with equal keys and event time within ±minutes.
 
-    A (key, bucket) group holding more than ``hot_rows`` events is salted:
-    its events are spread over ``ceil(rows / hot_rows)`` salts by a hash of
-    their id, and its payments are replicated to every salt, so each pair
-    is still produced exactly once while no task receives the whole group.
-    ``hot`` is a precomputed hot-group table (``_hk`` as string, ``_hb``,
-    ``_rows``), None when none is hot, or True to detect them here.
+    An event lies in one bucket and one salt (by a hash of its id); a payment
+    probes three buckets in every salt, so each pair is produced exactly once.
     """
     p = (payments.where(F.col(pay_key).isNotNull())
          .withColumn("_b0", _bucket(F.col("payment_event_time"), minutes))
          .withColumn("_bucket", F.explode(F.array(F.col("_b0") - 1, F.col("_b0"), F.col("_b0") + 1)))
+         .withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
          .drop("_b0"))
     e = (events.where(F.col(event_key).isNotNull() & F.col("event_time").isNotNull())
-         .withColumn("_bucket", _bucket(F.col("event_time"), minutes)))
-    if hot is True:
-        hot = hot_keys(e.select(F.col(event_key).cast("string").alias("_hk"),
-                                F.col("_bucket").alias("_hb")), ["_hk", "_hb"], hot_rows)
-    if hot is None:
-        p = p.withColumn("_salt", F.lit(0))
-        e = e.withColumn("_salt", F.lit(0))
-    else:
-        salts = F.broadcast(hot.select("_hk", "_hb", F.ceil(F.col("_rows") / F.lit(hot_rows))
-                                       .cast("int").alias("_n")))
-        e = (e.join(salts, (e[event_key].cast("string") == salts["_hk"])
-                    & (e["_bucket"] == salts["_hb"]), "left")
-             .withColumn("_salt", F.pmod(F.xxhash64(F.col(row_id)), F.coalesce("_n", F.lit(1)))
-                         .cast("int"))
-             .drop("_hk", "_hb", "_n"))
-        p = (p.join(salts, (p[pay_key].cast("string") == salts["_hk"])
-                    & (p["_bucket"] == salts["_hb"]), "left")
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1)))
-             .drop("_hk", "_hb", "_n"))
+         .withColumn("_bucket", _bucket(F.col("event_time"), minutes))
+         .withColumn("_salt", F.pmod(F.xxhash64(F.col(row_id)), F.lit(salts)).cast("int")))
     window = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
     cond = [
         p[pay_key] == e[event_key],
@@ -81,7 +64,7 @@ def band_join(payments: DataFrame, events: DataFrame, pay_key: str, event_key: s
 
 
 def match_candidates(payments: DataFrame, events: DataFrame, minutes: int = 60,
-                     prefilter: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+                     prefilter: bool = True, salts: int = SALTS) -> DataFrame:
     """Session-key matches (score 120 purchase / 100 other) plus user-key
     matches (70 / 50) within ±``minutes`` of the payment."""
     pay = payments.select(
@@ -115,23 +98,9 @@ def match_candidates(payments: DataFrame, events: DataFrame, minutes: int = 60,
             F.lit(kind).alias("matched_type"),
             second_boundaries("event_time", "payment_event_time").alias("time_diff_seconds"))
 
-    # hot (key, hour) groups of both join keys, found in one pass over the events
-    timed = ev.where(F.col("event_time").isNotNull())
-    kinds = F.explode(F.array(
-        F.struct(F.lit(SESSION_MATCH).alias("_kind"), F.col("user_session").alias("_hk")),
-        F.struct(F.lit(USER_MATCH).alias("_kind"), F.col("user_id").cast("string").alias("_hk"))))
-    groups = (timed.select(kinds.alias("_g"), _bucket(F.col("event_time"), minutes).alias("_hb"))
-              .select("_g._kind", "_g._hk", "_hb").where(F.col("_hk").isNotNull()))
-    hot = hot_keys(groups, ["_kind", "_hk", "_hb"], hot_rows)
-
-    def hot_of(kind: str):
-        return None if hot is None else hot.where(F.col("_kind") == kind).drop("_kind")
-
-    by_session = scored(band_join(pay, ev, "payment_user_session", "user_session", minutes,
-                                  hot_rows=hot_rows, hot=hot_of(SESSION_MATCH)),
+    by_session = scored(band_join(pay, ev, "payment_user_session", "user_session", minutes, salts=salts),
                         *SESSION_MATCH_SCORES, SESSION_MATCH)
-    by_user = scored(band_join(pay, ev, "payment_user_id", "user_id", minutes, hot_rows=hot_rows,
-                               hot=hot_of(USER_MATCH)),
+    by_user = scored(band_join(pay, ev, "payment_user_id", "user_id", minutes, salts=salts),
                      *USER_MATCH_SCORES, USER_MATCH)
     return by_session.unionByName(by_user).select(*CANDIDATE_COLUMNS)
 

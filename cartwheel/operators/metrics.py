@@ -11,11 +11,9 @@ from pyspark.sql import functions as F
 from cartwheel.functions.columns import cents_to_amount, safe_ratio, week_start
 
 from cartwheel.fixed_values import (  # noqa: F401  (re-exported)
-    LTV_MAX_AGE, REFERENCE_COHORT_END, REPEAT_HORIZONS, ROLLING_WINDOWS,
+    LTV_MAX_AGE, REPEAT_HORIZONS, ROLLING_WINDOWS,
 )
 
-FIXTURE_COHORT_END = "2024-01-15"   # the LTV cohort cut-off placed in the 2024 test data
-
 
 def _active_user_days(user_daily: DataFrame) -> DataFrame:
     # (user_id, activity_date) is unique in the daily fact; NULL users are
@@ -181,10 +179,12 @@ def repeat_retention_cohorts(payments: DataFrame,
         safe_ratio("_c.retained_users", "cohort_size").alias("retention_rate"))
 
 
-def ltv_cohort_curve(users: DataFrame, user_daily: DataFrame, max_age: int = LTV_MAX_AGE,
+def ltv_cohort_curve(users: DataFrame, user_daily: DataFrame, max_age: int | None = LTV_MAX_AGE,
                      cohort_end: dt.date | str | None = None, fill: bool = False) -> DataFrame:
     """Cohort x age (0..max_age) net revenue, running total and per-capita LTV.
 
+    ``max_age=None`` covers, for each cohort, every age that its users were seen at.
+
     ``fill=False`` reproduces the reference: the running total is partitioned
     by the *revenue* side's cohort, so ages without revenue fall into one
     NULL partition and show a running total of 0. ``fill=True`` carries the
@@ -198,9 +198,13 @@ def ltv_cohort_curve(users: DataFrame, user_daily: DataFrame, max_age: int = LTV
            .groupBy(F.col("cohort_date").alias("r_cohort_date"),
                     F.datediff("activity_date", "cohort_date").cast("bigint").alias("r_age"))
            .agg(F.sum(F.col("revenue_cents") - F.col("refunded_cents")).alias("r_cents")))
+    last_age = F.lit(max_age).cast("bigint")
+    if max_age is None:
+        observed = rev.groupBy(F.col("r_cohort_date").alias("cohort_date")).agg(F.max("r_age").alias("_last"))
+        sizes = sizes.join(observed, "cohort_date", "left")
+        last_age = F.coalesce("_last", F.lit(0).cast("bigint"))
     cal = sizes.select("cohort_date", "cohort_size",
-                       F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max_age).cast("bigint")))
-                       .alias("cohort_age_days"))
+                       F.explode(F.sequence(F.lit(0).cast("bigint"), last_age)).alias("cohort_age_days"))
     if cohort_end is not None:
         cal = cal.where(F.col("cohort_date") < F.lit(str(cohort_end)).cast("date"))
     j = cal.join(rev, (cal["cohort_date"] == rev["r_cohort_date"]) &

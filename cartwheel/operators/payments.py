@@ -160,12 +160,12 @@ def refunds(staged: DataFrame) -> DataFrame:
 
 
 def rejected(events: DataFrame, type_prefix: str, id_name: str,
-             time_cols: tuple[str, ...], received_col: str) -> DataFrame:
+             time_cols: tuple[str, ...], received_col: str, time_name: str = "event_time") -> DataFrame:
     """Audit rows: events of a type whose ``data.object.id`` is missing."""
     return (_of_type(events, type_prefix).where(F.col("object.id").isNull()).select(
         "provider_event_id",
         F.lower(F.trim("event_type")).alias("event_type"),
-        F.coalesce(*time_cols).alias("event_time"),
+        F.coalesce(*time_cols).alias(time_name),
         F.col(received_col).alias("received_ts"),
         F.col("object.id").alias(id_name),
         F.lit(REJECTION_REASON.format(id_name=id_name)).alias("rejection_reason"),
@@ -174,7 +174,7 @@ def rejected(events: DataFrame, type_prefix: str, id_name: str,
 
 def charges_invalid(staged: DataFrame) -> DataFrame:
     return rejected(staged, CHARGE_TYPE_PREFIX, "charge_id", ("event_time", "provider_created_ts"),
-                    "ingested_at")
+                    "ingested_at", time_name="event_ts")
 
 
 def payment_intents_invalid(clean: DataFrame) -> DataFrame:

@@ -5,18 +5,19 @@
 all of them with few passes: row-level checks of one model (not-null and
 predicates) share a single aggregation over that model; key checks
 (unique, relationships, accepted values) are one aggregation or anti join
-each. Predicates are written in SQL valid for Spark and DuckDB alike.
+each. Row predicates are Column rules built from a few rule functions; the
+oracle states the same checks in SQL of its own (``plans/oracle_checks.py``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.fixed_values import REPEAT_HORIZONS, SESSION_MATCH, USER_MATCH
+from cartwheel.fixed_values import FUNNEL_EVENT_TYPES, REPEAT_HORIZONS, SESSION_MATCH, USER_MATCH
 
 
 # ---------------------------------------------------------------- checks
@@ -53,9 +54,69 @@ def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
             .groupBy(F.col(col).alias("value_field")).agg(F.count(F.lit(1)).alias("n_records")))
 
 
-def predicate(df: DataFrame, expr: str) -> DataFrame:
-    """Q6: rows satisfying a violation predicate (SQL text)."""
-    return df.where(F.expr(expr))
+Rule = Callable[[], Column]
+
+
+def predicate(df: DataFrame, rule: Rule) -> DataFrame:
+    """Q6: rows that break a rule (a rule gives the Column that is true for them)."""
+    return df.where(rule())
+
+
+# Rules. Each names what must hold; the column it gives is true where it doesn't.
+def not_negative(*cols: str) -> Rule:
+    return lambda: F.least(*cols, F.lit(0)) < 0
+
+
+def above_zero(col: str) -> Rule:
+    return lambda: ~(F.col(col) > 0)
+
+
+def in_order(low: str, high: str) -> Rule:
+    return lambda: F.col(high) < F.col(low)
+
+
+def share(col: str) -> Rule:
+    return lambda: ~F.col(col).between(0, 1)
+
+
+def not_after(col: str, now: Callable[[], Column]) -> Rule:
+    return lambda: F.col(col) > now()
+
+
+def flags(flag: str, count: str) -> Rule:
+    """The flag says whether the (never negative) count is above zero."""
+    return lambda: (F.col(count) >= 0) & (F.col(flag) != (F.col(count) > 0))
+
+
+def given(condition: Callable[[], Column], rule: Rule) -> Rule:
+    return lambda: condition() & rule()
+
+
+def missing(*cols: str) -> Rule:
+    """None of the columns may be missing."""
+    return lambda: F.array_contains(F.array(*[F.col(c).isNull() for c in cols]), True)
+
+
+def unset(*cols: str) -> Rule:
+    """All of the columns must be missing."""
+    return lambda: F.coalesce(*[F.col(c).cast("string") for c in cols]).isNotNull()
+
+
+def one_of(col: str, values: Sequence) -> Rule:
+    return lambda: ~F.col(col).isin(list(values))
+
+
+def covers(total: str, *parts: str) -> Rule:
+    """The total is at least the sum of its parts."""
+    return lambda: F.aggregate(F.array(*parts), F.col(total).cast("bigint"), lambda left, part: left - part) < 0
+
+
+def is_zero(col: str) -> Rule:
+    return lambda: F.col(col) != 0
+
+
+def true(col: str) -> Callable[[], Column]:
+    return lambda: F.col(col)
 
 
 def refunds_exceeding_charge(refunds: DataFrame, charges: DataFrame) -> DataFrame:
@@ -74,7 +135,7 @@ class Check:
     parent: str | None = None
     parent_col: str | None = None
     values: tuple = ()
-    expr: str | None = None
+    rule: Rule | None = field(default=None, compare=False)
     label: str | None = None
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
@@ -91,8 +152,8 @@ def _nn(model: str, *cols: str) -> list[Check]:
     return [Check(model, "not_null", (c,)) for c in cols]
 
 
-def _pred(model: str, label: str, expr: str) -> Check:
-    return Check(model, "predicate", expr=expr, label=label)
+def _rules(model: str, **rules: Rule) -> list[Check]:
+    return [Check(model, "predicate", rule=rule, label=label) for label, rule in rules.items()]
 
 
 CHECKS: list[Check] = [
@@ -163,71 +224,55 @@ CHECKS: list[Check] = [
     *_nn("ltv_cohort_curve", "cohort_date", "cohort_age_days", "cohort_size", "revenue_amount",
          "cumulative_revenue"),
     # row predicates
-    _pred("dim_products", "events_count_positive", "events_count <= 0"),
-    _pred("dim_products", "last_seen_not_in_future", "last_seen_at > current_timestamp"),
-    _pred("dim_products", "price_non_negative", "price < 0"),
-    _pred("dim_products", "lifecycle_bounds", "first_seen_at > last_seen_at"),
-    _pred("dim_users", "lifetime_revenue_non_negative", "lifetime_revenue < 0"),
-    _pred("dim_users", "non_payer_zero_revenue",
-          "first_purchase_at IS NULL AND lifetime_revenue <> 0"),
-    _pred("dim_users", "payer_has_first_purchase", "is_payer = true AND first_purchase_at IS NULL"),
-    _pred("dim_users", "session_bounds", "first_session_at > last_session_at"),
-    _pred("fct_events", "event_time_not_in_future", "event_time > current_timestamp"),
-    _pred("fct_events", "event_type_allowed", "event_type NOT IN ('view', 'cart', 'purchase')"),
-    _pred("fct_events", "price_non_negative", "price < 0"),
-    _pred("fct_payments", "refund_within_amount", "refunded_amount > amount"),
-    _pred("fct_payments", "refunded_has_amount", "is_refunded = true AND refunded_amount <= 0"),
-    _pred("fct_payments", "succeeded_has_amount", "is_succeeded = true AND amount <= 0"),
-    _pred("fct_payments", "succeeded_has_time", "is_succeeded = true AND succeeded_at IS NULL"),
-    _pred("fct_product_daily_activity", "events_cover_funnel",
-          "events_count < (views_count + add_to_cart_count + purchase_events_count)"),
-    _pred("fct_product_daily_activity", "payment_flag",
-          "(payments_count > 0 AND had_payment = false) OR (payments_count = 0 AND had_payment = true)"),
-    _pred("fct_product_daily_activity", "payments_non_negative", "payments_count < 0"),
-    _pred("fct_product_daily_activity", "refund_within_revenue", "refunded_amount > revenue_amount"),
-    _pred("fct_sessions", "duration_non_negative", "session_duration_seconds < 0"),
-    _pred("fct_sessions", "time_bounds", "session_start_at > session_end_at"),
-    _pred("fct_user_daily_activity", "active_flag",
-          "(sessions_count > 0 AND is_active = false) OR (sessions_count = 0 AND is_active = true)"),
-    _pred("fct_user_daily_activity", "payer_day_flag",
-          "(payments_count > 0 AND is_payer_day = false) OR (payments_count = 0 AND is_payer_day = true)"),
-    _pred("fct_user_daily_activity", "payments_non_negative", "payments_count < 0"),
-    _pred("fct_user_daily_activity", "refund_within_revenue", "refunded_amount > revenue_amount"),
-    _pred("fct_user_daily_activity", "revenue_non_negative", "revenue_amount < 0"),
-    _pred("fct_user_daily_activity", "sessions_non_negative", "sessions_count < 0"),
-    _pred("dau_wau_mau", "dau_non_negative", "dau < 0"),
-    _pred("dau_wau_mau", "mau_at_least_wau", "mau < wau"),
-    _pred("dau_wau_mau", "wau_at_least_dau", "wau < dau"),
-    _pred("ltv_cohort_curve", "age_non_negative", "cohort_age_days < 0"),
-    _pred("ltv_cohort_curve", "cohort_size_positive", "cohort_size <= 0"),
-    _pred("ltv_cohort_curve", "cumulative_non_negative", "cumulative_revenue < 0"),
-    _pred("product_conversion_daily", "amounts_non_negative", "revenue_amount < 0 OR refunded_amount < 0"),
-    _pred("product_conversion_daily", "counts_non_negative",
-          "views_count < 0 OR add_to_cart_count < 0 OR payments_count < 0"),
-    _pred("product_conversion_daily", "refund_within_revenue", "refunded_amount > revenue_amount"),
-    _pred("product_conversion_daily", "no_payment_no_aov",
-          "payments_count = 0 AND avg_order_value IS NOT NULL"),
-    _pred("repeat_retention_cohorts", "cohort_size_positive", "cohort_size <= 0"),
-    _pred("repeat_retention_cohorts", "retained_within_cohort", "retained_users > cohort_size"),
-    _pred("repeat_retention_cohorts", "rate_in_unit_interval", "retention_rate < 0 OR retention_rate > 1"),
-    _pred("retention_cohorts", "age_non_negative", "cohort_age_days < 0"),
-    _pred("retention_cohorts", "cohort_not_in_future", "cohort_date > current_date"),
-    _pred("retention_cohorts", "cohort_size_positive", "cohort_sizes <= 0"),
-    _pred("retention_cohorts", "retained_within_cohort", "retained_users > cohort_sizes"),
-    _pred("retention_cohorts", "rate_in_unit_interval", "retention_rate < 0 OR retention_rate > 1"),
-    _pred("session_funnel_daily", "views_within_sessions", "sessions_with_view > sessions"),
-    _pred("session_funnel_daily", "no_sessions_no_rates",
-          "sessions = 0 AND (session_to_view_cr IS NOT NULL OR session_to_payment_cr IS NOT NULL)"),
-    _pred("unit_economics_daily", "active_users_non_negative", "active_users < 0"),
+    *_rules("dim_products", events_count_positive=above_zero("events_count"),
+            last_seen_not_in_future=not_after("last_seen_at", F.current_timestamp),
+            price_non_negative=not_negative("price"), lifecycle_bounds=in_order("first_seen_at", "last_seen_at")),
+    *_rules("dim_users", lifetime_revenue_non_negative=not_negative("lifetime_revenue"),
+            non_payer_zero_revenue=given(lambda: F.col("first_purchase_at").isNull(), is_zero("lifetime_revenue")),
+            payer_has_first_purchase=given(true("is_payer"), missing("first_purchase_at")),
+            session_bounds=in_order("first_session_at", "last_session_at")),
+    *_rules("fct_events", event_time_not_in_future=not_after("event_time", F.current_timestamp),
+            event_type_allowed=one_of("event_type", FUNNEL_EVENT_TYPES), price_non_negative=not_negative("price")),
+    *_rules("fct_payments", refund_within_amount=in_order("refunded_amount", "amount"),
+            refunded_has_amount=given(true("is_refunded"), above_zero("refunded_amount")),
+            succeeded_has_amount=given(true("is_succeeded"), above_zero("amount")),
+            succeeded_has_time=given(true("is_succeeded"), missing("succeeded_at"))),
+    *_rules("fct_product_daily_activity",
+            events_cover_funnel=covers("events_count", "views_count", "add_to_cart_count", "purchase_events_count"),
+            payment_flag=flags("had_payment", "payments_count"), payments_non_negative=not_negative("payments_count"),
+            refund_within_revenue=in_order("refunded_amount", "revenue_amount")),
+    *_rules("fct_sessions", duration_non_negative=not_negative("session_duration_seconds"),
+            time_bounds=in_order("session_start_at", "session_end_at")),
+    *_rules("fct_user_daily_activity", active_flag=flags("is_active", "sessions_count"),
+            payer_day_flag=flags("is_payer_day", "payments_count"), payments_non_negative=not_negative("payments_count"),
+            refund_within_revenue=in_order("refunded_amount", "revenue_amount"),
+            revenue_non_negative=not_negative("revenue_amount"), sessions_non_negative=not_negative("sessions_count")),
+    *_rules("dau_wau_mau", dau_non_negative=not_negative("dau"), mau_at_least_wau=in_order("wau", "mau"),
+            wau_at_least_dau=in_order("dau", "wau")),
+    *_rules("ltv_cohort_curve", age_non_negative=not_negative("cohort_age_days"),
+            cohort_size_positive=above_zero("cohort_size"), cumulative_non_negative=not_negative("cumulative_revenue")),
+    *_rules("product_conversion_daily", amounts_non_negative=not_negative("revenue_amount", "refunded_amount"),
+            counts_non_negative=not_negative("views_count", "add_to_cart_count", "payments_count"),
+            refund_within_revenue=in_order("refunded_amount", "revenue_amount"),
+            no_payment_no_aov=given(lambda: F.col("payments_count") == 0, unset("avg_order_value"))),
+    *_rules("repeat_retention_cohorts", cohort_size_positive=above_zero("cohort_size"),
+            retained_within_cohort=in_order("retained_users", "cohort_size"), rate_in_unit_interval=share("retention_rate")),
+    *_rules("retention_cohorts", age_non_negative=not_negative("cohort_age_days"),
+            cohort_not_in_future=not_after("cohort_date", F.current_date), cohort_size_positive=above_zero("cohort_sizes"),
+            retained_within_cohort=in_order("retained_users", "cohort_sizes"), rate_in_unit_interval=share("retention_rate")),
+    *_rules("session_funnel_daily", views_within_sessions=in_order("sessions_with_view", "sessions"),
+            no_sessions_no_rates=given(lambda: F.col("sessions") == 0, unset("session_to_view_cr", "session_to_payment_cr"))),
+    *_rules("unit_economics_daily", active_users_non_negative=not_negative("active_users")),
 ]
 # the refunds-vs-charge check joins two models; it is evaluated separately
 REFUND_VS_CHARGE = "refunds.amount_within_charge"
 
 
-def _row_sql(c: Check) -> str:
+def _broken(c: Check) -> Column:
+    """True where a row breaks a row-level check; a comparison with a missing value doesn't."""
     if c.kind == "not_null":
-        return f"{c.cols[0]} IS NULL"
-    return f"coalesce({c.expr}, false)"
+        return F.col(c.cols[0]).isNull()
+    return F.coalesce(c.rule(), F.lit(False))
 
 
 def _stack(df: DataFrame, names: Sequence[str], model: str) -> DataFrame:
@@ -250,12 +295,12 @@ def _model_pass(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame
         raise ValueError(f"{model}: one uniqueness check per pass")
     names = [c.name for c in rows]
     if not keyed:
-        agg = df.selectExpr(*[f"count_if({_row_sql(c)}) AS _c{i}" for i, c in enumerate(rows)])
+        agg = df.agg(*[F.count_if(_broken(c)).alias(f"_c{i}") for i, c in enumerate(rows)])
         return _stack(agg, names, model)
     k = keyed[0]
     per_key = df.groupBy(*k.cols).agg(
         F.expr("count(1) AS _n"),
-        *[F.expr(f"count_if({_row_sql(c)}) AS _r{i}") for i, c in enumerate(rows)])
+        *[F.count_if(_broken(c)).alias(f"_r{i}") for i, c in enumerate(rows)])
     dup = "_n > 1" + "".join(f" AND {col} IS NOT NULL" for col in k.cols if k.kind == "unique")
     agg = per_key.selectExpr(*[f"sum(_r{i}) AS _c{i}" for i in range(len(rows))],
                              f"count_if({dup}) AS _c{len(rows)}")
@@ -300,30 +345,3 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
             nxt.append(level[-1])
         level = nxt
     return level[0]
-
-
-def oracle_check_sql(c: Check, source: Mapping[str, str]) -> str:
-    """DuckDB SQL counting the violations of one check (for the oracle)."""
-    t = source[c.model]
-    if c.kind == "not_null":
-        q = f"SELECT count(*) FROM {t} WHERE {c.cols[0]} IS NULL"
-    elif c.kind == "predicate":
-        q = f"SELECT count(*) FROM {t} WHERE {c.expr}"
-    elif c.kind == "unique":
-        q = (f"SELECT count(*) FROM (SELECT {c.cols[0]} FROM {t} WHERE {c.cols[0]} IS NOT NULL "
-             f"GROUP BY 1 HAVING count(*) > 1)")
-    elif c.kind == "unique_combination":
-        cols = ", ".join(c.cols)
-        q = f"SELECT count(*) FROM (SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1)"
-    elif c.kind == "relationships":
-        p = source[c.parent]
-        q = (f"SELECT count(*) FROM {t} ch WHERE ch.{c.cols[0]} IS NOT NULL AND NOT EXISTS "
-             f"(SELECT 1 FROM {p} pa WHERE pa.{c.parent_col} = ch.{c.cols[0]})")
-    elif c.kind == "accepted_values":
-        vals = ", ".join(repr(v) if isinstance(v, str) else str(v) for v in c.values)
-        q = (f"SELECT count(DISTINCT {c.cols[0]}) FROM {t} "
-             f"WHERE {c.cols[0]} IS NOT NULL AND {c.cols[0]} NOT IN ({vals})")
-    else:
-        raise ValueError(c.kind)
-    return (f"SELECT '{c.name}' AS check_name, '{c.model}' AS model, "
-            f"CAST(({q}) AS BIGINT) AS violations")

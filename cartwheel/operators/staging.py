@@ -33,8 +33,9 @@ def stage_clickstream(landing: DataFrame) -> DataFrame:
         F.col("_m.schema_version").alias("schema_version"),
         F.col("_m.batch_id").alias("batch_id"),
         F.col("_m.ingested_at").try_cast("timestamp_ntz").alias("envelope_timestamp"),
-        # user ids are numeric in both feeds; unify the type once, here
+        # the numeric key that joins use, and the id as delivered
         F.col("_p.user_id").try_cast("bigint").alias("user_id"),
+        F.col("_p.user_id").alias("user_id_raw"),
         F.col("_p.user_session").alias("user_session"),
         F.col("_p.event_time").try_cast("timestamp_ntz").alias("event_ts"),
         F.col("_p.event_type").alias("event_type"),
@@ -68,6 +69,7 @@ def stage_payments(landing: DataFrame) -> DataFrame:
                 F.col("_p.api_version").alias("api_version"),
                 F.col("_k.event_time").try_cast("timestamp_ntz").alias("event_time"),
                 F.col("_k.user_id").try_cast("bigint").alias("user_id"),
+                F.col("_k.user_id").alias("user_id_raw"),
                 F.col("_k.user_session").alias("user_session"),
                 epoch_to_ntz(F.col("_p.created").try_cast("bigint")).alias("provider_created_ts"),
                 F.col("_p.type").alias("event_type"),

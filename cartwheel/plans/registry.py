@@ -13,9 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.operators import matching, metrics
+from cartwheel.operators import matching
+from cartwheel.fixed_values import FUNNEL_EVENT_TYPES
 from cartwheel.operators.events import EVENT_COLUMNS
-from cartwheel.plans import oracle
+from cartwheel.plans import oracle, oracle_checks
 from cartwheel.plans.warehouse import Warehouse, warehouse_for
 from cartwheel.sources import landing
 
@@ -124,10 +125,10 @@ def q_landing_idempotent_append(wh: Warehouse) -> DataFrame:
 
 # ------------------------------------------------------------------ staging
 STG_CLICK = ["event_id", "source_system", "schema_version", "batch_id", "envelope_timestamp",
-             "user_id", "user_session", "event_ts", "event_type", "product_id", "category_id",
+             "user_id", "user_id_raw", "user_session", "event_ts", "event_type", "product_id", "category_id",
              "category_code", "brand", "price", "dt", "filename", "load_id", "ingested_at"]
 STG_PAY = ["envelope_event_id", "source_system", "schema_version", "batch_id",
-           "envelope_timestamp", "provider_event_id", "api_version", "event_time", "user_id",
+           "envelope_timestamp", "provider_event_id", "api_version", "event_time", "user_id", "user_id_raw",
            "user_session", "provider_created_ts", "event_type", "dt", "filename", "load_id",
            "ingested_at"]
 CLEAN = ["event_pk", "event_time", "event_date", "received_ts", "event_type", "user_id",
@@ -187,9 +188,9 @@ _simple("payment_intents", "payment_intents", INTENTS, f"SELECT {_cols(INTENTS)}
 _simple("charges", "charges", CHARGES, f"SELECT {_cols(CHARGES)} FROM charges_t")
 _simple("refunds", "refunds", REFUNDS, f"SELECT {_cols(REFUNDS)} FROM refunds_t")
 _simple("charges_invalid", "charges_invalid",
-        ["provider_event_id", "event_type", "event_time", "received_ts", "charge_id",
+        ["provider_event_id", "event_type", "event_ts", "received_ts", "charge_id",
          "rejection_reason"],
-        "SELECT provider_event_id, event_type, event_time, received_ts, charge_id, "
+        "SELECT provider_event_id, event_type, event_ts, received_ts, charge_id, "
         "rejection_reason FROM charges_bad")
 _simple("payment_intents_invalid", "payment_intents_invalid",
         ["provider_event_id", "event_type", "event_time", "received_ts", "payment_intent_id",
@@ -318,13 +319,13 @@ FROM {src}"""
 @register("ltv_cohort_curve", _LTV_FINAL.format(src="m_ltv"))
 def q_ltv_cohort_curve(wh: Warehouse) -> DataFrame:
     """M6: cohort LTV curve, reference partitioning of the running total."""
-    return wh.ltv_cohort_curve(cohort_end=metrics.FIXTURE_COHORT_END)
+    return wh.ltv_cohort_curve()
 
 
 @register("ltv_cohort_curve_filled", _LTV_FINAL.format(src="m_ltv_filled"))
 def q_ltv_cohort_curve_filled(wh: Warehouse) -> DataFrame:
     """M6 variant: running total carried over ages without revenue."""
-    return wh.ltv_cohort_curve(cohort_end=metrics.FIXTURE_COHORT_END, fill=True)
+    return wh.ltv_cohort_curve(fill=True)
 
 
 @register("unit_economics_daily", """
@@ -420,14 +421,11 @@ def q_retention_d1_d7_d30(wh: Warehouse) -> DataFrame:
     return kpis.retention_snapshots(wh.retention_cohorts())
 
 
-_HEAT = ",\n       ".join(
-    f"max(CASE WHEN cohort_age_days = {a} THEN retention_rate END) AS d{a}" for a in kpis.HEATMAP_AGES)
-
-
-@register("retention_heatmap", f"""
-SELECT cohort_date,
-       {_HEAT}
-FROM m_retention GROUP BY 1""")
+@register("retention_heatmap", """
+SELECT g.cohort_date, g.cohort_age_days, r.retention_rate
+FROM (SELECT cohort_date, unnest(range(max(cohort_age_days) + 1)) AS cohort_age_days
+      FROM m_retention GROUP BY cohort_date) g
+LEFT JOIN m_retention r USING (cohort_date, cohort_age_days)""")
 def q_retention_heatmap(wh: Warehouse) -> DataFrame:
     """K8: cohort x age retention matrix (pivot)."""
     return kpis.retention_heatmap(wh.retention_cohorts())
@@ -439,7 +437,7 @@ SELECT cohort_date, CAST(cohort_age_days AS BIGINT) AS cohort_age_days, cohort_s
        (net_cents / 100) * 1.0 / nullif(day0, 0) AS revenue_retention
 FROM (SELECT *, max(CASE WHEN cohort_age_days = 0 THEN net_cents / 100 END)
                     OVER (PARTITION BY cohort_date) AS day0
-      FROM m_ltv_all)""")
+      FROM m_ltv_observed)""")
 def q_revenue_retention_cohorts(wh: Warehouse) -> DataFrame:
     """K9: revenue retention (revenue at age / day-0 revenue)."""
     return kpis.revenue_retention_cohorts(wh.dim_users(), wh.fct_user_daily_activity())
@@ -531,7 +529,7 @@ for _m in ("fct_events", "fct_payments", "fct_sessions", "fct_user_daily_activit
     _DQ_SOURCE[_m] = f"q_{_m}"
 
 _DQ_SQL = "\nUNION ALL\n".join(
-    [quality.oracle_check_sql(c, _DQ_SOURCE) for c in quality.CHECKS]
+    [oracle_checks.check_sql(c, _DQ_SOURCE) for c in quality.CHECKS]
     + [f"SELECT '{quality.REFUND_VS_CHARGE}' AS check_name, 'refunds' AS model, "
        "CAST((SELECT count(*) FROM refunds_t r JOIN charges_t c ON r.charge_id = c.charge_id "
        "WHERE r.amount_refunded > c.amount_gross) AS BIGINT) AS violations"])
@@ -547,7 +545,7 @@ def q_dq_summary(wh: Warehouse) -> DataFrame:
 SELECT event_pk, event_type FROM fevents WHERE event_type NOT IN ('view', 'cart', 'purchase')""")
 def q_dq_event_type_violations(wh: Warehouse) -> DataFrame:
     """Q4/Q6 rows: events whose type is outside the accepted funnel types."""
-    return quality.predicate(wh.fct_events(), "event_type NOT IN ('view', 'cart', 'purchase')"
+    return quality.predicate(wh.fct_events(), quality.one_of("event_type", FUNNEL_EVENT_TYPES)
                              ).select("event_pk", "event_type")
 
 
@@ -699,8 +697,106 @@ _inc_query("payment_intents_incremental", "payment_intents", INTENTS, "payment_i
 _inc_query("charges_incremental", "charges", CHARGES, "charges")
 _inc_query("refunds_incremental", "refunds", REFUNDS, "refunds")
 _inc_query("charges_invalid_incremental", "charges_invalid",
-           ["provider_event_id", "event_type", "event_time", "received_ts", "charge_id",
+           ["provider_event_id", "event_type", "event_ts", "received_ts", "charge_id",
             "rejection_reason"], "charges_invalid")
 _inc_query("payment_intents_invalid_incremental", "payment_intents_invalid",
            ["provider_event_id", "event_type", "event_time", "received_ts", "payment_intent_id",
             "rejection_reason"], "payment_intents_invalid")
+
+
+# ----------------------------------------- late data, parameters, declarations
+@register("streaming_landing_late", ORACLE_FINAL["streaming_landing_dedup"])
+def q_streaming_landing_late(wh: Warehouse) -> DataFrame:
+    """Streaming landing over three triggers, the newest deliveries first: what
+    comes weeks late lands all the same (= the batch landing's distinct payloads)."""
+    with _raw_lock:
+        if getattr(wh, "_late_table", None) is None:
+            root, feed = f"{wh.root}/stream_late", wh.landing_clickstream()
+            edges = [F.lit(c).cast("timestamp_ntz") for c in BATCH_CUTOFFS if c is not None]
+            drops = [F.col("ingested_at") >= edges[1],
+                     (F.col("ingested_at") >= edges[0]) & (F.col("ingested_at") < edges[1]),
+                     F.col("ingested_at") < edges[0]]
+            for drop in drops:
+                landing.write_jsonl(landing.envelope_lines(feed.where(drop)), f"{root}/source", mode="append")
+                wh._late_table = run_landing_stream(wh.spark, f"{root}/source", f"{root}/clickstream")
+    t = wh._late_table
+    return t.select("event_id", *[F.get_json_object("raw_payload_json", f"$.{c}").alias(c)
+                                  for c in ("user_session", "event_type", "price")])
+
+
+@register("merge_schema_sync", """
+SELECT event_pk, event_type,
+       CASE WHEN received_ts >= TIMESTAMP '2024-01-20 00:00:00' THEN brand END AS brand
+FROM fevents""")
+def q_merge_schema_sync(wh: Warehouse) -> DataFrame:
+    """I4: a merge whose source brings a new column and lacks an old one."""
+    ev = wh.fct_events()
+    target = ev.select("event_pk", "event_type", F.lit(1).alias("retired"))
+    source = ev.where(F.col("received_ts") >= F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")).select(
+        "event_pk", "event_type", "brand")
+    return inc.upsert(target, source, ["event_pk"])
+
+
+@register("candidates_quarter_hour", f"""
+SELECT {_cols(matching.CANDIDATE_COLUMNS)} FROM cand
+WHERE clickstream_time >= payment_event_time - INTERVAL 15 MINUTE
+  AND clickstream_time <= payment_event_time + INTERVAL 15 MINUTE""")
+def q_candidates_quarter_hour(wh: Warehouse) -> DataFrame:
+    """The match window as a run parameter, at 15 minutes."""
+    return matching.match_candidates(wh.fct_payments(), wh.fct_events(), minutes=15)
+
+
+@register("lookback_ten_days", """
+SELECT event_id, ingested_at FROM stg_click
+WHERE ingested_at >= (SELECT max(ingested_at) FROM click_landing
+                      WHERE ingested_at < TIMESTAMP '2024-01-15 00:00:00') - INTERVAL 10 DAY""")
+def q_lookback_ten_days(wh: Warehouse) -> DataFrame:
+    """The look-back as a run parameter, at 10 days."""
+    first = wh.landing_clickstream().where(F.col("ingested_at") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
+    wm = inc.high_watermark(stg_ops.stage_clickstream(first), "ingested_at")
+    return inc.lookback(wh.stg_clickstream_events(), "ingested_at", wm, 10).select("event_id", "ingested_at")
+
+
+@register("declared_sources", """
+SELECT 'landing.clickstream_events_raw' AS source, dt, count(*) AS n_rows, count(DISTINCT event_id) AS events
+FROM click_landing GROUP BY dt
+UNION ALL
+SELECT 'landing.payment_events_raw', dt, count(*), count(DISTINCT event_id) FROM pay_landing GROUP BY dt""")
+def q_declared_sources(wh: Warehouse) -> DataFrame:
+    """Both declared landing tables, read by their source name."""
+    root = f"{wh.root}/declared"
+    with _raw_lock:
+        if not getattr(wh, "_declared", False):
+            for name, rows in zip(landing.SOURCES, (wh.landing_clickstream(), wh.landing_payments())):
+                landing.append_landing_table(rows, f"{root}/{landing.SOURCES[name]}")
+            wh._declared = True
+    per_source = [landing.load_source(wh.spark, name, root).groupBy("dt").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("events"))
+        .select(F.lit(name).alias("source"), "dt", "n_rows", "events") for name in landing.SOURCES]
+    return per_source[0].unionByName(per_source[1])
+
+
+@register("payment_documents", """
+WITH docs AS (SELECT DISTINCT event_id, raw_payload_json::JSON -> '$.data.object' AS doc FROM pay_landing)
+SELECT 'payment_intent' AS kind, i.payment_intent_id AS id, doc ->> '$.amount' AS amount, doc ->> '$.status' AS status,
+       doc ->> '$.metadata.order_id' AS order_id, doc ->> '$.balance_transaction.fee' AS fee
+FROM intents i JOIN docs ON docs.event_id = i.provider_event_id
+UNION ALL
+SELECT 'charge', c.charge_id, doc ->> '$.amount', doc ->> '$.status', doc ->> '$.metadata.order_id',
+       doc ->> '$.balance_transaction.fee'
+FROM charges_t c JOIN docs ON docs.event_id = c.provider_event_id
+UNION ALL
+SELECT 'refund', r.refund_id, doc ->> '$.amount', doc ->> '$.status', doc ->> '$.metadata.order_id',
+       doc ->> '$.balance_transaction.fee'
+FROM refunds_t r JOIN docs ON docs.event_id = r.provider_event_id""")
+def q_payment_documents(wh: Warehouse) -> DataFrame:
+    """f6: the JSON sub-documents that intents, charges and refunds carry, by leaf."""
+    out = None
+    for kind, df, key in (("payment_intent", wh.payment_intents(), "payment_intent_id"),
+                          ("charge", wh.charges(), "charge_id"), ("refund", wh.refunds(), "refund_id")):
+        leaf = lambda path, doc=f"{kind}_json": F.get_json_object(doc, path)
+        rows = df.select(F.lit(kind).alias("kind"), F.col(key).alias("id"), leaf("$.amount").alias("amount"),
+                         leaf("$.status").alias("status"), leaf("$.metadata.order_id").alias("order_id"),
+                         leaf("$.balance_transaction.fee").alias("fee"))
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -202,7 +202,7 @@ class Warehouse:
                  "session_funnel_daily", "product_conversion_daily", "retention_cohorts",
                  "repeat_retention_cohorts", "unit_economics_daily", "dau_wau_mau"]
         out = {n: getattr(self, n)() for n in names}
-        out["ltv_cohort_curve"] = self.ltv_cohort_curve(cohort_end=metrics.FIXTURE_COHORT_END)
+        out["ltv_cohort_curve"] = self.ltv_cohort_curve()
         return out
 
 

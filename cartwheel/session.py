@@ -57,8 +57,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for written tables and checkpoints.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    filesystem). Only when the session has none (tests, local runs) do we
-    create one and register it, so ``DataFrame.checkpoint`` works too.
+    filesystem); a cluster without it is an error. Only a local master gets a
+    folder of its own, registered so that ``DataFrame.checkpoint`` works too.
     """
     sc = _context(spark)
     current = sc.getCheckpointDir() if sc is not None else None
@@ -69,6 +69,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local_dir = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
     if sc is None:
         return local_dir

@@ -15,7 +15,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.functions.skew import HOT_ROWS, hot_keys
 from cartwheel.sources import schemas
 
 from cartwheel.fixed_values import DT_PATTERN  # noqa: E402
@@ -67,15 +66,14 @@ def fingerprint(payload_json) -> F.Column:
 
 
 def land(raw: DataFrame, target: DataFrame | None = None, load_id: str | None = None,
-         now: dt.datetime | None = None, hot_copies: int = HOT_ROWS) -> DataFrame:
+         now: dt.datetime | None = None) -> DataFrame:
     """Stamp a load (S5), fingerprint (S6) and keep payloads new to ``target``.
 
     The load id and time are one driver-side literal per run. Duplicates
     *within* the load are kept (staging removes them), as in the reference.
-    The anti join against the target's hashes shuffles by hash; a payload
-    delivered more than ``hot_copies`` times in one load is split out first:
-    its rows are kept or dropped through a broadcast of the (size-checked)
-    set of hot hashes the target does not hold, so they never shuffle.
+    The anti join is the only pass: one scan of the load, one of the target's
+    hashes, both plain shuffles by hash, so AQE splits the copies of a payload
+    that is delivered very often.
     """
     load_id = load_id or str(uuid.uuid4())
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -88,21 +86,7 @@ def land(raw: DataFrame, target: DataFrame | None = None, load_id: str | None =
         return stamped
     cols = stamped.columns
     seen = target.select("payload_hash").where(F.col("payload_hash").isNotNull())
-    hot = hot_keys(stamped, ["payload_hash"], hot_copies)
-    if hot is None:
-        return stamped.join(seen, "payload_hash", "left_anti").select(*cols)
-    hot = F.broadcast(hot.select("payload_hash"))
-    present = seen.join(hot, "payload_hash", "left_semi").distinct()        # <= |hot| rows
-    unseen_hot = F.broadcast(hot.join(F.broadcast(present), "payload_hash", "left_anti"))
-    hot_rows = stamped.join(unseen_hot, "payload_hash", "left_semi")
-    cold_rows = (stamped.join(hot, "payload_hash", "left_anti")
-                 .join(seen, "payload_hash", "left_anti"))
-    return hot_rows.unionByName(cold_rows).select(*cols)
-
-
-def append_new(raw: DataFrame, target: DataFrame, **kw) -> DataFrame:
-    """Rows of ``raw`` whose payload hash is not yet in ``target`` (alias of ``land``)."""
-    return land(raw, target, **kw)
+    return stamped.join(seen, "payload_hash", "left_anti").select(*cols)
 
 
 def envelope_lines(landing: DataFrame) -> DataFrame:
@@ -113,9 +97,9 @@ def envelope_lines(landing: DataFrame) -> DataFrame:
     return landing.select(line.alias("value"), "dt")
 
 
-def write_jsonl(lines: DataFrame, path: str) -> None:
+def write_jsonl(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write JSON lines partitioned into ``dt=`` folders (the raw feed layout)."""
-    lines.write.mode("overwrite").partitionBy("dt").text(path)
+    lines.write.mode(mode).partitionBy("dt").text(path)
 
 
 def append_landing_table(rows: DataFrame, path: str) -> None:

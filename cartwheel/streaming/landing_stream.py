@@ -1,54 +1,49 @@
 """Streaming landing with content-hash dedup.
 
-``readStream`` over the raw JSONL feed folder -> fingerprint -> watermark on
-the envelope's ingestion time -> ``dropDuplicatesWithinWatermark`` on the
-payload hash (state is bounded by the watermark) -> ``foreachBatch`` that
-appends only hashes the target does not hold yet. The anti join makes a
-replayed micro-batch a no-op, so the sink is effectively exactly-once, and
-duplicates older than the watermark are still caught by the target.
+``readStream`` over the raw JSONL feed folder -> fingerprint ->
+``dropDuplicates`` on the payload hash -> ``foreachBatch`` into the landing
+table. The dedup has no watermark: a payload lands however late it comes, and
+only once. Its state (one hash a payload, in the RocksDB store) lives with the
+stream's checkpoint, so a micro-batch costs what the batch holds and never reads
+the table. Each micro-batch overwrites a folder of its own, named by the query
+and the epoch, so a replayed batch replaces itself.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import datetime as dt
-
 from cartwheel.sources import schemas
-from cartwheel.sources.landing import append_landing_table, fingerprint, read_landing_table
+from cartwheel.sources.landing import fingerprint
 
 STREAM_SCHEMA = T.StructType([*schemas.ENVELOPE.fields, T.StructField("dt", T.DateType())])
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001 - missing path
-        return False
+def write_epoch(batch: DataFrame, epoch_id: int, target_path: str, run: str) -> None:
+    """foreachBatch body: the micro-batch is one load, in a folder of its own."""
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    load = f"stream-{run}-{epoch_id}"
+    columns = [f.name for f in schemas.LANDING.fields if f.name != "load_id"]
+    (batch.withColumn("ingested_at", F.lit(now).cast("timestamp_ntz")).select(*columns)
+     .write.mode("overwrite").partitionBy("dt").parquet(f"{target_path}/load_id={load}"))
 
 
-def append_unseen(batch: DataFrame, epoch_id: int, target_path: str) -> None:
-    """foreachBatch body: stamp the micro-batch as one load and append the rows
-    whose payload hash the landing table does not hold yet."""
-    spark = batch.sparkSession
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    new = (batch.withColumn("load_id", F.lit(f"stream-{epoch_id}"))
-                .withColumn("ingested_at", F.lit(now).cast("timestamp_ntz")))
-    if _table_exists(spark, target_path):
-        seen = read_landing_table(spark, target_path).select("payload_hash")
-        new = new.join(seen, "payload_hash", "left_anti")
-    append_landing_table(new, target_path)
+def read_stream_table(spark: SparkSession, target_path: str) -> DataFrame:
+    """The landed rows; load id and date come from the folders."""
+    return spark.read.schema(schemas.LANDING).parquet(target_path)
 
 
 def landing_stream(spark: SparkSession, source_dir: str, target_path: str, checkpoint: str,
-                   id_source: str = "metadata", id_path: str = "$.event_id",
-                   time_path: str = "$.ingested_at", watermark: str = "3 days"):
+                   id_source: str = "metadata", id_path: str = "$.event_id"):
     """Start the stream (``availableNow``) and return the StreamingQuery."""
+    spark.conf.set(*STATE_STORE)
     raw = spark.readStream.schema(STREAM_SCHEMA).json(source_dir)
     landed = raw.select(
         F.get_json_object(F.col(id_source), id_path).alias("event_id"),
@@ -57,21 +52,19 @@ def landing_stream(spark: SparkSession, source_dir: str, target_path: str, check
         F.col("raw_payload").alias("raw_payload_json"),
         "dt",
         F.col("_metadata.file_path").alias("filename"),
-        F.get_json_object("metadata", time_path).try_cast("timestamp").alias("envelope_ts"),
         fingerprint("raw_payload").alias("payload_hash"),
     )
-    deduped = (landed.withWatermark("envelope_ts", watermark)
-               .dropDuplicatesWithinWatermark(["payload_hash"]))
-    return (deduped.writeStream
-            .foreachBatch(lambda df, epoch: append_unseen(df, epoch, target_path))
+    run = os.path.basename(os.path.dirname(checkpoint.rstrip("/"))) or "run"
+    return (landed.dropDuplicates(["payload_hash"]).writeStream
+            .foreachBatch(lambda df, epoch: write_epoch(df, epoch, target_path, run))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())
 
 
 def run_landing_stream(spark: SparkSession, source_dir: str, root: str) -> DataFrame:
-    """Run the stream to completion over what is in ``source_dir``; read the table."""
+    """Run the stream to completion over what is new in ``source_dir``; read the table."""
     target = os.path.join(root, "table")
     q = landing_stream(spark, source_dir, target, os.path.join(root, "checkpoint"))
     q.awaitTermination()
-    return read_landing_table(spark, target)
+    return read_stream_table(spark, target)

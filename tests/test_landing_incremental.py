@@ -117,17 +117,55 @@ def test_declared_sources_read_the_landing_table(spark):
     assert df.where("dt = DATE '2024-01-05'").count() == click.where("dt = DATE '2024-01-05'").count()
 
 
-def test_hot_payload_split_gives_the_plain_anti_join_result(spark):
-    """A payload re-delivered many times in one load is split out of the
-    shuffle; the landed rows are exactly those of the plain anti join."""
+def test_landing_keeps_new_payloads_with_all_their_copies(spark):
     base = spark.createDataFrame(
         [(f"e{i % 3}", "{}", "{}", '{"p":%d}' % (i % 3), dt.date(2024, 1, 1), f"f{i}")
          for i in range(30)],
         "event_id string, metadata_json string, keys_json string, raw_payload_json string, "
         "dt date, filename string")
     target = landing.land(base.where("raw_payload_json = '{\"p\":0}'").limit(1), load_id="L0")
-    plain = landing.land(base, target=target, load_id="L1", hot_copies=10**9)
-    split = landing.land(base, target=target, load_id="L1", hot_copies=3)
-    key = lambda df: sorted((r.filename, r.payload_hash) for r in df.collect())
-    assert key(plain) == key(split)
-    assert plain.count() == 20          # payload 0 is known; payloads 1 and 2 land, all copies
+    landed = landing.land(base, target=target, load_id="L1")
+    assert sorted(r.event_id for r in landed.collect()) == ["e1"] * 10 + ["e2"] * 10
+
+
+def test_land_scans_the_load_and_the_target_once(spark):
+    click, _ = fixtures.landing_tables(spark, SF)
+    root = scratch_path(spark, "test_land_scans")
+    landing.append_landing_table(click, f"{root}/target")
+    feed = click.select("event_id", "metadata_json", "keys_json", "raw_payload_json", "dt", "filename")
+    feed.write.mode("overwrite").parquet(f"{root}/feed")
+    plan = landing.land(spark.read.parquet(f"{root}/feed"), landing.read_landing_table(spark, f"{root}/target"))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+
+
+def test_streaming_lands_payloads_that_come_late(spark):
+    from cartwheel.streaming.landing_stream import run_landing_stream
+    click, _ = fixtures.landing_tables(spark, SF)
+    root = scratch_path(spark, "test_stream_late")
+    for part in ("ingested_at >= timestamp_ntz'2024-02-01'", "ingested_at < timestamp_ntz'2024-01-10'",
+                 "ingested_at between timestamp_ntz'2024-01-10' and timestamp_ntz'2024-02-01'"):
+        landing.write_jsonl(landing.envelope_lines(click.where(part)), f"{root}/src", mode="append")
+        table = run_landing_stream(spark, f"{root}/src", f"{root}/out")
+    want = sorted(r[0] for r in click.select("payload_hash").distinct().collect())
+    assert sorted(r[0] for r in table.select("payload_hash").collect()) == want
+
+
+def test_a_cluster_needs_a_shared_folder():
+    import pytest
+    from cartwheel import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError):
+        session.checkpoint_root(Session())

@@ -8,7 +8,7 @@ def test_checks_return_violating_rows(spark):
     assert [r.id for r in quality.unique(df, "id").collect()] == [1]
     assert quality.unique_combination(df, ["id", "t"]).count() == 0
     assert [r.value_field for r in quality.accepted_values(df, "t", ["view", "cart"]).collect()] == ["signup"]
-    assert quality.predicate(df, "t = 'cart'").count() == 1
+    assert [r.t for r in quality.predicate(df, quality.one_of("t", ["view", "cart"])).collect()] == ["signup"]
     parent = spark.createDataFrame([(1,)], "pid long")
     assert [r.id for r in quality.relationships(df, "id", parent, "pid").collect()] == [2]
 
@@ -16,7 +16,7 @@ def test_checks_return_violating_rows(spark):
 def test_summary_counts_like_the_row_checks(spark):
     df = spark.createDataFrame([(1, 5), (1, -1), (None, 3)], "id long, amount long")
     checks = [quality.Check("t", "not_null", ("id",)), quality.Check("t", "unique", ("id",)),
-              quality.Check("t", "predicate", expr="amount < 0", label="neg")]
+              quality.Check("t", "predicate", rule=quality.not_negative("amount"), label="neg")]
     got = {r.check_name: r.violations for r in quality.dq_summary({"t": df}, checks).collect()}
     assert got == {"t.id.not_null": 1, "t.id.unique": 1, "t.neg": 1}
 
@@ -24,3 +24,23 @@ def test_summary_counts_like_the_row_checks(spark):
 def test_catalogue_names_are_unique():
     names = [c.name for c in quality.CHECKS]
     assert len(names) == len(set(names))
+
+
+def test_rules_mark_the_rows_that_break_them(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame(
+        [(1, 0, 2, True, 0.5), (2, -1, 2, False, 1.0), (3, 3, 2, False, 1.5), (4, None, None, None, None), (5, 0, 0, True, -0.1)],
+        "id int, a int, b int, flag boolean, r double")
+    rules = {"not_negative": (quality.not_negative("a", "b"), [2]), "above_zero": (quality.above_zero("a"), [1, 2, 5]),
+             "in_order": (quality.in_order("a", "b"), [3]), "share": (quality.share("r"), [3, 5]),
+             "flags": (quality.flags("flag", "a"), [1, 3, 5]), "missing": (quality.missing("a", "r"), [4]),
+             "unset": (quality.unset("a", "r"), [1, 2, 3, 5]), "covers": (quality.covers("b", "a", "a"), [3]),
+             "given": (quality.given(lambda: F.col("b") == 2, quality.is_zero("a")), [2, 3])}
+    for name, (rule, broken) in rules.items():
+        assert [r.id for r in quality.predicate(df, rule).orderBy("id").collect()] == broken, name
+
+
+def test_oracle_states_every_row_check():
+    from cartwheel.plans import oracle_checks
+    assert {(c.model, c.label) for c in quality.CHECKS if c.kind == "predicate"} == {
+        (m, label) for m, checks in oracle_checks.ROW_SQL.items() for label in checks}
