@@ -115,16 +115,16 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
     """
     ship(pages.sparkSession)
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
-    rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).cast("string").alias("url"),
+    # The key as text without nulls, so that the window and the join below share one shuffle of the payloads.
+    name = F.coalesce(F.col(key).cast("long").cast("string"), F.lit(""))
+    rows = pages.select(name.alias("name"), F.col(key).cast("long").alias("key"), F.col(url).cast("string").alias("url"),
                         F.coalesce(F.col(payload).cast("string"), F.lit("")).alias("payload"), sha1_base32(body).alias("digest"))
-    small = rows.select("key", "digest", F.octet_length("payload").alias("size")).distinct()
+    small = rows.select("name", "key", "digest", F.octet_length("payload").alias("size")).distinct()
     first = written(small.where(F.col("size") >= least_revisit).groupBy("digest").agg(F.min("key").alias("first")), "payloads")
     chosen = written(small.join(first, "digest", "left").select(
-        F.col("key").alias("c_key"), F.col("digest").alias("c_digest"), "first",
-        (F.col("size") >= least_revisit).alias("shared")), "captures")
-    copies = Window.partitionBy("key", "digest").orderBy("url")
-    placed = rows.withColumn("copy", F.row_number().over(copies)).join(
-        chosen, F.col("key").eqNullSafe(F.col("c_key")) & (F.col("digest") == F.col("c_digest"))).select(
+        "name", "digest", "first", (F.col("size") >= least_revisit).alias("shared")), "captures")
+    copies = Window.partitionBy("name", "digest").orderBy("url")
+    placed = rows.withColumn("copy", F.row_number().over(copies)).join(chosen, ["name", "digest"]).select(
         "key", "url", "payload", "digest", "copy", "first",
         (F.col("shared") & ((F.col("copy") > 1) | ~F.col("key").eqNullSafe(F.col("first")))).alias("revisit"))
 
