@@ -35,11 +35,11 @@ from cartwheel.llm.components import connected_components
 COSINE = 0.93
 #: Vectors that the index is fitted on (those of the smallest identifier hashes): a bounded sample.
 SAMPLE = 8192
-#: Distinct vectors a cell, about, and most cells.
+#: Distinct vectors of a label in a cell, about, and most cells.
 PER_CELL, MOST_CELLS = 512, 1024
 SUBSPACES, CODEWORDS = 8, 32
 #: Share of the link radius within which a border makes a vector visit the other cell (1 misses none for sure).
-PROBE_SLACK = 0.5
+PROBE_SLACK = 0.4
 MEMBERS, VISITORS = 512, 1024
 
 
@@ -283,7 +283,8 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     if chosen:
         dim = max(set(map(len, chosen)), key=lambda d: (sum(len(c) == d for c in chosen), d))
         fitted_on = np.stack([unit(c.tobytes()) for c in chosen if len(c) == dim])
-        index = fit(fitted_on, max(1, min(MOST_CELLS, classes.count() // per_cell)))
+        n, labels = classes.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
+        index = fit(fitted_on, max(1, min(MOST_CELLS, n // (per_cell * labels))))
     placed = written(classes.mapInPandas(_place(index, slack * math.sqrt(2 - 2 * cosine)), _PLACED), "placed")
 
     # Members of a cell are cut into blocks, visitors of a cell into slices. Every row visits
