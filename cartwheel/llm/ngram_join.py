@@ -4,21 +4,20 @@ Documents are sets of hashed word shingles. The result is the components of the
 link graph (Jaccard >= 0.8), found without visiting every pair:
 
 1. Equal sets fold into one class.
-2. Answer level: classes that share one of their smallest shingles (under a few
-   hash orders) with many others are compared with the leaders found so far, in
-   bounded chunks. A member of a highly similar leader takes over the leader's
-   component, and whatever is linked already is never compared again.
-3. Index level: every class files its prefix (the shingles of which a partner
-   must share one) in inverted lists, shingles that recur in many documents
-   last. A list holds its entries in blocks of set size with the shingle's
-   position; a member skips the blocks whose size or remaining positions can't
-   reach the overlap, and entries of its own component. A first round looks at
-   the nearest entries only; what it links falls out of the second, which looks
-   at all.
-4. Pairs that are left pass a parity-bitmap bound, then an exact comparison.
-
-Steps 3 and 4 lose no link whatever step 2 found, so the result is exact (for
-64-bit shingle hashes).
+2. Every class files its prefix (the shingles of which a partner must share one)
+   in inverted lists, shingles that recur in many documents last.
+3. Answer level: classes that long lists connect are groups of similar sets. A
+   group is compared in blocks that hold their sets' own index. A set's overlaps
+   with all residents of a block are derived from those of a highly similar set
+   computed before it, by the postings of the shingles in which the two differ.
+4. Index level: lists outside groups hold their entries in blocks of set size
+   with the shingle's position; a member skips the blocks whose size or
+   remaining positions can't reach the overlap, and members of its own group.
+   The pairs left pass a parity-bitmap bound, then an exact comparison.
+
+Two sets that link share a list (prefix filter); if that makes them one group,
+step 3 compares them, otherwise step 4. No link is lost, whatever counts as
+frequent or long, so the result is exact (for 64-bit shingle hashes).
 """
 
 from __future__ import annotations
@@ -42,11 +41,10 @@ SHARE = (80, 100)
 FREQUENT = 8
 #: Frequent shingles that the order's bitmap takes at most; of more, the most frequent ones. Changes no result.
 MOST_FREQUENT = 1 << 21
-#: Hash orders whose smallest shingle makes classes meet; from so many classes on, leaders are looked for, in chunks.
-ORDERS, CROWD, CHUNK = 4, 16, 256
-LEADERS = 4
-#: Later entries of a list that a member is compared with in the first round.
-NEAREST = 2
+#: Lists of more entries make their members a group. Changes no result.
+LONG = 8
+#: Members of a block that a task holds, and visitors in a slice.
+RESIDENTS, VISITORS = 512, 512
 _BITS = 1 << 24
 
 # ---------------------------------------------------------------- shingle sets of a batch
@@ -213,25 +211,16 @@ def in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- passes over the texts
 
-_SEEN = "key bigint, n bigint, digest binary, least array<bigint>"
-_SEEDS = _mix(np.arange(1, 65, dtype=np.uint64))
-
-
-def _smallest(tokens: np.ndarray) -> list[int]:
-    """The smallest shingle under each hash order."""
-    if not len(tokens):
-        return []
-    with np.errstate(over="ignore"):
-        return [int(np.min(tokens ^ seed if k == 0 else _mix(tokens ^ seed)).view(np.int64)) for k, seed in enumerate(_SEEDS[:ORDERS])]
+_SEEN = "key bigint, n bigint, digest binary"
 
 
 def _survey(size: int):
-    """Per text: set size, digest and smallest shingles."""
+    """Per text: set size and digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _sets(batches, "text", size):
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) for s in sets], pa.binary()),
-                 pa.array([_smallest(s) for s in sets], pa.list_(pa.int64()))], names=["key", "n", "digest", "least"])
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) for s in sets], pa.binary())],
+                names=["key", "n", "digest"])
     return run
 
 
@@ -310,61 +299,122 @@ def _profile(size: int, share: tuple[int, int], wanted: np.ndarray, frequent: np
     return run
 
 
-# ---------------------------------------------------------------- answer level: leaders
-
-def _lead(share: tuple[int, int]):
-    """Components of a chunk by leaders: a linked member joins, and joins together, its leaders' components."""
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("key", kind="stable")
-        keys = rows["key"].tolist()
-        sets = [np.frombuffer(t, dtype=np.uint64) for t in rows["tokens"]]
-        order = sorted(range(len(keys)), key=lambda i: (len(sets[i]), keys[i]))
-        groups: list[list[int]] = []  # leaders of each component, the busiest component first
-        edges = []
-        for i in order:
-            met, rest = [], []
-            for group in groups:
-                leader = next((j for j in group if linked(sets[j], sets[i], share)), None)
-                if leader is None:
-                    rest.append(group)
+# ---------------------------------------------------------------- answer level: groups
+
+class _Block:
+    """Residents of a group's block with an index of their sets; answers for one set after the other."""
+
+    def __init__(self, keys: list[int], sets: list[np.ndarray], share: tuple[int, int]):
+        self.keys, self.share = np.array(keys, dtype=np.int64), share
+        self.sizes = np.array([len(x) for x in sets])
+        tokens = np.concatenate(sets)
+        order = np.argsort(tokens, kind="stable")
+        self.owner = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        self.tokens, first = np.unique(tokens[order], return_index=True)
+        self.ends = np.append(first, len(tokens))
+        self.group = np.arange(len(sets))
+        self.known: tuple[np.ndarray, np.ndarray] | None = None  # a set answered before, and its overlaps
+
+    def _postings(self, tokens: np.ndarray) -> np.ndarray:
+        """How many of the shingles each resident has."""
+        at = np.searchsorted(self.tokens, tokens)
+        at[at == len(self.tokens)] = 0
+        at = at[self.tokens[at] == tokens]
+        if not len(at):
+            return np.zeros(len(self.keys), dtype=np.int64)
+        starts, counts = self.ends[at], self.ends[at + 1] - self.ends[at]
+        places = np.repeat(starts - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+        return np.bincount(self.owner[places], minlength=len(self.keys))
+
+    def overlaps(self, tokens: np.ndarray) -> np.ndarray:
+        """Intersections of a set with every resident, from a similar set's where that is less work."""
+        if self.known is not None:
+            before, counts = self.known
+            more, less = np.setdiff1d(tokens, before, assume_unique=True), np.setdiff1d(before, tokens, assume_unique=True)
+            if len(more) + len(less) < len(tokens):
+                return counts + self._postings(more) - self._postings(less)
+        counts = self._postings(tokens)
+        self.known = tokens, counts
+        return counts
+
+    def answer(self, key: int, tokens: np.ndarray, among: int) -> list[tuple[int, int]]:
+        """Links of a set with the first ``among`` residents, one for each component that they are in so far."""
+        hit = self.overlaps(tokens)[:among] >= needed(self.sizes[:among], len(tokens), self.share)
+        linked_ = np.flatnonzero(hit)
+        if not len(linked_):
+            return []
+        groups, first = np.unique(self.group[linked_], return_index=True)
+        if len(groups) > 1:
+            self.group[np.isin(self.group, groups)] = groups[0]
+        return [(key, int(self.keys[i])) for i in linked_[first]]
+
+
+def _compare(share: tuple[int, int]):
+    """Streams rows sorted by (task, guest, n): the residents of a block, then its visitors."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task, keys, sets, block = None, [], [], None
+        links: list[tuple[int, int]] = []
+
+        def settle(own: bool) -> None:
+            nonlocal block
+            if block is None and keys:
+                block = _Block(keys, sets, share)
+                if own:  # the first slice also compares the residents with each other
+                    for i in range(1, len(keys)):
+                        found = block.answer(keys[i], sets[i], i)
+                        links.extend(found)
+                        for _, other in found:
+                            j = keys.index(other)
+                            block.group[block.group == block.group[i]] = block.group[j]
+
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                now = (row.group, row.block, row.slice)
+                if now != task:
+                    if task is not None:
+                        settle(task[2] == 0)
+                    task, keys, sets, block = now, [], [], None
+                tokens = np.frombuffer(row.tokens, dtype=np.uint64)
+                if not row.guest:
+                    keys.append(row.key)
+                    sets.append(tokens)
                 else:
-                    met.append(group)
-                    edges.append((keys[leader], keys[i]))
-            own = [j for group in met for j in group][:LEADERS]
-            groups = [own + [i] if len(own) < LEADERS else own, *rest]
-        first = [group[0] for group in groups]
-        crowd, tokens = rows["crowd"].iloc[0], rows["tokens"].tolist()
-        digests = rows["digest"].tolist()
-        return pd.DataFrame(
-            [(0, a, b, crowd, None, None) for a, b in edges] + [(1, keys[i], None, crowd, digests[i], tokens[i]) for i in first],
-            columns=["kind", "key", "other", "crowd", "digest", "tokens"]).astype({"other": "Int64"})
+                    settle(row.slice == 0)
+                    if block is not None:
+                        links += block.answer(row.key, tokens, len(keys))
+            yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+            links.clear()
+        if task is not None:
+            settle(task[2] == 0)
+        yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
     return run
 
 
-def _leader_edges(docs: DataFrame, classes: DataFrame, size: int, share: tuple[int, int]) -> DataFrame:
-    """Links (a, b) found among crowds: classes of which CROWD at least have an equal smallest shingle in one order."""
-    met = classes.select("key", "digest", F.posexplode("least").alias("order", "token")).select(
-        "key", "digest", F.xxhash64("order", "token").alias("crowd"))
-    crowds = written(met.groupBy("crowd").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= CROWD), "crowds")
-    members = written(met.join(crowds, "crowd").select("key", "digest", "crowd"), "crowd-members")
+def _groups(shared: DataFrame) -> DataFrame:
+    """(node, component): classes that lists of more than LONG entries connect."""
+    long = written(shared.groupBy("token").agg(F.count(F.lit(1)).alias("entries"), F.min("key").alias("first"))
+                   .where(F.col("entries") > LONG).select("token", "first"), "long-lists")
+    return connected_components(shared.join(long, "token").select(F.col("key").alias("a"), F.col("first").alias("b")).distinct())
+
+
+def _group_links(docs: DataFrame, classes: DataFrame, size: int, share: tuple[int, int]) -> DataFrame:
+    """Links (a, b) inside groups: a spanning set for every block, by exact comparison of all members."""
+    members = written(classes.where("grouped").select("key", "digest", F.col("component").alias("group")), "group-members")
+    sizes = written(members.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / RESIDENTS).cast("int").alias("blocks")), "group-sizes")
     fetched = docs.mapInArrow(_fetch(size, key_bitmap(members, "key")), "key bigint, digest binary, tokens binary")
-    rows = written(fetched.dropDuplicates(["key", "digest"]).join(members, ["key", "digest"])
-                   .select("key", "digest", "crowd", "tokens"), "crowd-sets")
-    edges = None
-    while True:  # a round leaves a leader for each component of a chunk; the leaders of a crowd meet in the next one
-        sizes = written(rows.groupBy("crowd").agg(F.count(F.lit(1)).alias("met")), "crowd-sizes")
-        chunked = rows.join(sizes, "crowd").withColumn(
-            "chunk", F.pmod(F.xxhash64("key", "digest"), F.ceil(F.col("met") / CHUNK)))
-        found = written(chunked.select("key", "digest", "crowd", "chunk", "tokens").groupBy("crowd", "chunk").applyInPandas(
-            _lead(share), "kind int, key bigint, other bigint, crowd bigint, digest binary, tokens binary"), "leaders")
-        new = found.where("kind = 0").select(F.col("key").alias("a"), F.col("other").alias("b"))
-        edges = new if edges is None else edges.union(new)
-        leaders = found.where("kind = 1").select("key", "digest", "crowd", "tokens")
-        shrunk = leaders.count() * 2 <= rows.count()
-        more = sizes.where(F.col("met") > CHUNK).select("crowd")
-        if not shrunk or not more.limit(1).count():
-            return edges
-        rows = leaders.join(more, "crowd").select("key", "digest", "crowd", "tokens")
+    rows = written(fetched.dropDuplicates(["key", "digest"]).join(members.join(sizes, "group"), ["key", "digest"]).select(
+        "group", "key", "tokens", F.octet_length("tokens").alias("n"), "blocks",
+        F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("own")), "group-sets")
+    # A block's visitors are the members of the blocks before it, about `block` times RESIDENTS of them.
+    slices = F.greatest(F.lit(1), F.ceil(F.col("block") * F.lit(RESIDENTS) / F.lit(VISITORS))).cast("int")
+    residents = (rows.withColumn("block", F.col("own")).withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+                 .select("group", "block", "slice", F.lit(False).alias("guest"), "n", "key", "tokens"))
+    guests = (rows.where("own < blocks - 1").withColumn("block", F.explode(F.sequence(F.col("own") + 1, F.col("blocks") - 1)))
+              .withColumn("slice", F.pmod(F.xxhash64("key", F.lit(1)), slices).cast("int"))
+              .select("group", "block", "slice", F.lit(True).alias("guest"), "n", "key", "tokens"))
+    order = ["group", "block", "slice"]
+    return written(residents.unionByName(guests).repartition(*order).sortWithinPartitions(*order, "guest", "n", "key")
+                   .mapInPandas(_compare(share), "a bigint, b bigint"), "group-links")
 
 
 # ---------------------------------------------------------------- index level: inverted lists
@@ -397,11 +447,11 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from table.filter(pa.array(same[1:] | same[:-1])).to_batches()
 
 
-def _pairs(share: tuple[int, int], most_steps: int | None):
-    """Candidate pairs of lists sorted by (token, n): a member against the later ones (or the nearest of them) in step.
+def _pairs(share: tuple[int, int]):
+    """Candidate pairs of lists sorted by (token, n): a member against the later ones in step.
 
     A member leaves the race as soon as the next entry's block of sizes is out
-    of reach (all later ones are larger still); entries of its own component and
+    of reach (all later ones are larger still); entries of its own group and
     positions that leave too few shingles are skipped.
     """
     p, q = share
@@ -410,7 +460,7 @@ def _pairs(share: tuple[int, int], most_steps: int | None):
         for table in _whole_lists(batches):
             token, key, n, position, component = (table.column(c).to_numpy() for c in range(5))
             racing, step = np.arange(len(token) - 1), 1
-            while len(racing) and (most_steps is None or step <= most_steps):
+            while len(racing):
                 other = racing + step
                 inside = other < len(token)
                 racing, other = racing[inside], other[inside]
@@ -451,23 +501,23 @@ def _both_sides(pairs: DataFrame, values: DataFrame, columns: list[str]) -> Data
     return pairs
 
 
-def _round(known: DataFrame, shared: DataFrame, profiles: DataFrame, labelled: DataFrame, size: int,
-           share: tuple[int, int], most_steps: int | None) -> DataFrame:
-    """Verified links (a, b) between classes of different components that meet in a list."""
-    listed = written(shared.join(labelled.select("key", F.xxhash64("digest").alias("check"), "component"), ["key", "check"])
+def _list_links(known: DataFrame, shared: DataFrame, profiles: DataFrame, classes: DataFrame, size: int,
+                share: tuple[int, int]) -> DataFrame:
+    """Verified links (a, b) between classes that meet in a list but in no group."""
+    listed = written(shared.join(classes.select("key", F.xxhash64("digest").alias("check"), "component"), ["key", "check"])
                      .select("token", "key", "n", "position", "component"), "listed")
     mixed = written(listed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                     .where("low < high").select("token"), "mixed")
     pairs = written(listed.join(mixed, "token").select("token", "key", "n", "position", "component")
                     .repartition("token").sortWithinPartitions("token", "n", "key")
-                    .mapInArrow(_pairs(share, most_steps), "a bigint, b bigint").distinct(), "pairs")
-    sketches = profiles.join(labelled.select("key", "digest"), ["key", "digest"], "left_semi").select("key", "n", "bitmap").distinct()
+                    .mapInArrow(_pairs(share), "a bigint, b bigint").distinct(), "pairs")
+    sketches = profiles.join(classes.select("key", "digest"), ["key", "digest"], "left_semi").select("key", "n", "bitmap").distinct()
     sifted = written(_both_sides(pairs, sketches, ["n", "bitmap"]).select("a", "b", "n_a", "n_b", "bitmap_a", "bitmap_b")
                      .mapInPandas(_sift(share), "a bigint, b bigint").distinct(), "sifted")
     wanted = written(sifted.select(F.col("a").alias("key")).union(sifted.select(F.col("b").alias("key"))).distinct(), "wanted")
     sets = written(known.mapInArrow(_fetch(size, key_bitmap(wanted, "key")), "key bigint, digest binary, tokens binary")
                    .join(wanted, "key", "left_semi")
-                   .join(labelled.select("key", "digest"), ["key", "digest"], "left_semi").distinct(), "sets")
+                   .join(classes.select("key", "digest"), ["key", "digest"], "left_semi").distinct(), "sets")
     verified = written(_both_sides(sifted, sets, ["tokens"]).select("a", "b", "tokens_a", "tokens_b")
                        .mapInPandas(_verify(share), "a bigint, b bigint").distinct(), "links")
     for table in (listed, mixed, pairs, sifted, wanted, sets):
@@ -475,11 +525,10 @@ def _round(known: DataFrame, shared: DataFrame, profiles: DataFrame, labelled: D
     return verified
 
 
-def _label(classes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Classes with the component that the links so far give them."""
-    reach = connected_components(edges)
-    return written(classes.join(reach, classes["key"] == reach["node"], "left").select(
-        "key", "digest", F.coalesce("component", "key").alias("component")), "labelled")
+def _label(classes: DataFrame, reach: DataFrame) -> DataFrame:
+    """Classes with the component they are in (their own key where nothing reaches them)."""
+    return written(classes.select("key", "digest").join(reach, classes["key"] == reach["node"], "left").select(
+        "key", "digest", F.coalesce("component", "key").alias("component"), F.col("component").isNotNull().alias("grouped")), "labelled")
 
 
 def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE,
@@ -496,21 +545,18 @@ def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", s
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     rows = written(docs.mapInArrow(_survey(size), _SEEN), "survey")
     known = docs.where("key is not null")
-    classes = written(rows.where("n > 0 and key is not null").groupBy("digest").agg(
-        F.min("key").alias("key"), F.first("least").alias("least")), "classes")
-    links = written(_leader_edges(known, classes, size, share).distinct(), "led")
-    labelled = _label(classes, links)
-
+    classes = written(rows.where("n > 0 and key is not null").groupBy("digest").agg(F.min("key").alias("key")), "classes")
     profiles = written(known.mapInArrow(
         _profile(size, share, key_bitmap(classes, "key"), frequent_shingles(known, size, share)),
         "key bigint, digest binary, n bigint, prefix array<bigint>, bitmap binary"), "profiles")
-    entries = profiles.select(F.posexplode("prefix").alias("position", "token"), "key", "n", "digest").select(
+    filed = profiles.join(classes, ["key", "digest"], "left_semi")  # of equal sets one class alone
+    entries = filed.select(F.posexplode("prefix").alias("position", "token"), "key", "n", "digest").select(
         "token", "key", "n", "position", F.xxhash64("digest").alias("check"))
     shared = written(entries.repartition("token").sortWithinPartitions("token").mapInArrow(
         _shared, "token bigint, key bigint, n bigint, position int, check bigint"), "entries")
-    for most_steps in (NEAREST, None):
-        links = written(links.union(_round(known, shared, profiles, labelled, size, share, most_steps)), "links")
-        labelled = _label(classes, links)
+    grouped = _label(classes, _groups(shared))
+    links = _group_links(known, grouped, size, share).union(_list_links(known, shared, profiles, grouped, size, share))
+    labelled = _label(classes, connected_components(links))
     discard(profiles)
     discard(shared)
     return rows.join(labelled.select("digest", "component"), "digest", "left").select(

@@ -66,9 +66,10 @@ def test_groups_near_the_threshold(spark, seed):
     assert found(docs(spark, data)) == brute(data)
 
 
-def test_crowds_are_led_in_chunks_and_stay_exact(spark, monkeypatch):
-    monkeypatch.setattr(N, "CROWD", 3)
-    monkeypatch.setattr(N, "CHUNK", 8)
+def test_groups_are_compared_in_blocks_and_stay_exact(spark, monkeypatch):
+    monkeypatch.setattr(N, "LONG", 3)
+    monkeypatch.setattr(N, "RESIDENTS", 8)
+    monkeypatch.setattr(N, "VISITORS", 5)
     monkeypatch.setattr(N, "FREQUENT", 4)
     monkeypatch.setattr(N, "MOST_FREQUENT", 100)
     rng, data = random.Random(7), []
@@ -125,6 +126,19 @@ def test_shingle_hashes_follow_the_words():
             assert len(np.intersect1d(sets[i], sets[j])) == len(real[i] & real[j]), (texts[i], texts[j])
 
 
+def test_overlaps_from_a_similar_set_equal_those_from_scratch():
+    rng = np.random.default_rng(6)
+    base = np.unique(rng.integers(0, 400, 120).astype(np.uint64))
+    sets = [np.unique(np.concatenate([base[rng.random(len(base)) < 0.9], rng.integers(400, 500, 6).astype(np.uint64)])) for _ in range(40)]
+    block = N._Block(list(range(40)), sets, N.SHARE)
+    derived = 0
+    for x in [*sets, np.array([1000], dtype=np.uint64), base]:
+        before = block.known
+        assert block.overlaps(x).tolist() == [len(np.intersect1d(x, y)) for y in sets]
+        derived += block.known is before
+    assert derived > 30
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(500 + i, 501 + i) for i in range(60)] + [(700, 700 + i) for i in range(1, 90)] + [(900, None), (7, 7)]
