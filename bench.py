@@ -33,6 +33,8 @@ HEADLINE = [
     "repeat_retention_cohorts", "ltv_cohort_curve", "unit_economics_daily",
     "payment_event_candidates", "map_payment_to_event", "dim_products", "revenue_by_brand",
     "new_vs_repeat_revenue", "time_to_purchase", "dq_summary",
+    # the landing of the raw feed, its stream, and three incremental deliveries of the whole graph
+    "landing_clickstream", "streaming_landing_dedup", "fct_events_incremental",
 ]
 
 

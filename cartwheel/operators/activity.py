@@ -64,7 +64,10 @@ def fct_user_daily_activity(sessions: DataFrame, payments: DataFrame) -> DataFra
 
 def fct_product_daily_activity(events: DataFrame, mapping: DataFrame,
                                payments: DataFrame) -> DataFrame:
-    """One row per (product, day): funnel event counts and attributed payments."""
+    """One row per (product, day): funnel event counts and attributed payments.
+
+    The mapping carries the matched click's product and time, so the event fact is read once.
+    """
     measures = ["events_count", "views_count", "add_to_cart_count", "purchase_events_count",
                 "payments_count", "revenue_cents", "refunded_cents"]
     ev = events.where(F.col("product_id").isNotNull())
@@ -75,11 +78,10 @@ def fct_product_daily_activity(events: DataFrame, mapping: DataFrame,
         _flag(t == VIEW).alias("views_count"), _flag(t == CART).alias("add_to_cart_count"),
         _flag(t == PURCHASE).alias("purchase_events_count"),
         _zero().alias("payments_count"), _zero().alias("revenue_cents"), _zero().alias("refunded_cents"))
-    paid = (mapping.select("payment_intent_id", "event_id")
+    paid = (mapping.where(F.col("product_id").isNotNull())
+            .select("payment_intent_id", "product_id", F.col("clickstream_time").alias("event_time"))
             .join(payments.select("payment_intent_id", "is_succeeded", "is_refunded",
-                                  "amount_cents", "refunded_cents"), "payment_intent_id")
-            .join(ev.select(F.col("event_pk").alias("event_id"), "product_id", "event_time"),
-                  "event_id"))
+                                  "amount_cents", "refunded_cents"), "payment_intent_id"))
     p_rows = paid.select(
         "product_id", F.to_date("event_time").alias("activity_date"),
         _zero().alias("events_count"), _zero().alias("views_count"), _zero().alias("add_to_cart_count"),

@@ -147,7 +147,7 @@ def new_vs_repeat_revenue(payments: DataFrame) -> DataFrame:
         safe_ratio(F.col("_all") - new_c, "_all").alias("repeat_revenue_share"))
 
 
-def brand_retention(payments: DataFrame, mapping: DataFrame, events: DataFrame) -> DataFrame:
+def brand_retention(payments: DataFrame, mapping: DataFrame) -> DataFrame:
     """Buyers grouped by the brand of the click their first succeeded
     payment is attributed to; share of them who bought again."""
     known = payments.where(F.col("is_succeeded") & F.col("user_id").isNotNull()
@@ -156,8 +156,7 @@ def brand_retention(payments: DataFrame, mapping: DataFrame, events: DataFrame)
         F.min_by("payment_intent_id", F.struct("payment_intent_event_ts", "payment_intent_id"))
         .alias("payment_intent_id"),
         F.count(F.lit(1)).alias("_n"))
-    j = (buyers.join(mapping.select("payment_intent_id", "event_id"), "payment_intent_id")
-         .join(events.select(F.col("event_pk").alias("event_id"), "brand"), "event_id"))
+    j = buyers.join(mapping.select("payment_intent_id", "brand"), "payment_intent_id")
     agg = j.groupBy("brand").agg(F.count(F.lit(1)).alias("first_buyers"),
                                  F.count_if(F.col("_n") >= 2).alias("repeat_buyers"))
     return agg.select("brand", "first_buyers", "repeat_buyers",

@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import second_boundaries
-from cartwheel.functions.dedup import keep_first
 from cartwheel.fixed_values import (
     PURCHASE, SESSION_MATCH, SESSION_MATCH_SCORES, USER_MATCH, USER_MATCH_SCORES,
 )
@@ -30,6 +29,11 @@ CANDIDATE_COLUMNS = [
 ]
 
 
+# Attributes of the matched click that candidates and mapping carry for later jobs,
+# which then need no second look at the event fact.
+CARRIED = ["product_id", "brand"]
+
+
 def _bucket(ts: F.Column, minutes: int) -> F.Column:
     return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(minutes * 60 * 1_000_000))
 
@@ -75,7 +79,7 @@ def match_candidates(payments: DataFrame, events: DataFrame, minutes: int = 60,
         "last_received_ts")
     ev = events.select(
         F.col("event_pk").alias("event_id"), "user_id", "user_session", "event_type",
-        "event_time", "received_ts")
+        "event_time", "received_ts", *CARRIED)
     if prefilter:
         # two scalars: the payment time range, widened by the window; as
         # literals they prune event files/row groups by min/max statistics
@@ -96,27 +100,27 @@ def match_candidates(payments: DataFrame, events: DataFrame, minutes: int = 60,
             F.col("user_session").alias("event_user_session"),
             F.when(F.col("event_type") == PURCHASE, hi).otherwise(lo).alias("match_score"),
             F.lit(kind).alias("matched_type"),
-            second_boundaries("event_time", "payment_event_time").alias("time_diff_seconds"))
+            second_boundaries("event_time", "payment_event_time").alias("time_diff_seconds"), *CARRIED)
 
     by_session = scored(band_join(pay, ev, "payment_user_session", "user_session", minutes, salts=salts),
                         *SESSION_MATCH_SCORES, SESSION_MATCH)
     by_user = scored(band_join(pay, ev, "payment_user_id", "user_id", minutes, salts=salts),
                      *USER_MATCH_SCORES, USER_MATCH)
-    return by_session.unionByName(by_user).select(*CANDIDATE_COLUMNS)
+    return by_session.unionByName(by_user).select(*CANDIDATE_COLUMNS, *CARRIED)
 
 
 def map_payment_to_event(candidates: DataFrame) -> DataFrame:
-    """Best candidate per payment: score, then nearest in time, then latest click."""
-    best = keep_first(candidates, ["payment_intent_id"], [
-        F.col("match_score").desc(),
-        F.abs("time_diff_seconds").asc_nulls_last(),
-        F.col("clickstream_received_ts").desc_nulls_last(),
-        F.col("event_id").asc(),
-    ])
-    return best.select(
-        "payment_intent_id", "event_id", "event_user_id", "event_user_session", "event_type",
-        "matched_type", "match_score", "payment_event_time", "clickstream_time",
-        "time_diff_seconds", "last_received_ts")
+    """Best candidate per payment: score, then nearest in time, then latest click, then smallest event id.
+
+    One ``min_by`` aggregate: each map task keeps one candidate of a payment.
+    """
+    latest = F.coalesce(-F.unix_micros(F.col("clickstream_received_ts").cast("timestamp")), F.lit(2 ** 63 - 1))
+    rank = F.struct((-F.col("match_score")).alias("score"), F.abs("time_diff_seconds").alias("gap"),
+                    latest.alias("latest"), "event_id")
+    kept = ["event_id", "event_user_id", "event_user_session", "event_type", "matched_type", "match_score",
+            "payment_event_time", "clickstream_time", "time_diff_seconds", "last_received_ts", *CARRIED]
+    best = candidates.groupBy("payment_intent_id").agg(F.min_by(F.struct(*kept), rank).alias("best"))
+    return best.select("payment_intent_id", "best.*")
 
 
 def map_payment_to_session(mapping: DataFrame, sessions: DataFrame) -> DataFrame:

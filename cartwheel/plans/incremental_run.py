@@ -96,7 +96,7 @@ class IncrementalModels:
         # -- attribution: rebuilt payments, plus payments within the window of a
         #    rebuilt click (a late click can become an older payment's best match)
         ev_changed = self._both(ev_old, ev_new, "event_pk", "event_time", "received_ts",
-                                "event_type", "user_id", "user_session")
+                                "event_type", "user_id", "user_session", *matching.CARRIED)
         lo, hi = ev_changed.agg(F.min("event_time"), F.max("event_time")).first()
         if lo is None:
             near = pays.limit(0).select("payment_intent_id")
@@ -152,17 +152,16 @@ class IncrementalModels:
         # -- product-day fact: days of rebuilt events and of events (old or new)
         #    that touched payments are attributed to
         ev_day = F.to_date("event_time").alias("activity_date")
-        mapped = self._both(me_old, me_new, "event_id").withColumnRenamed("event_id", "event_pk")
-        mapped_days = (fct.join(mapped, "event_pk", "left_semi").select("product_id", ev_day)
-                       .unionByName(ev_old.join(mapped, "event_pk", "left_semi")
-                                    .select("product_id", ev_day) if ev_old is not None
-                                    else fct.limit(0).select("product_id", ev_day)))
+        click_day = F.to_date("clickstream_time").alias("activity_date")
+        mapped_days = self._both(me_old, me_new, "product_id", click_day)
         pd_keys = (self._both(ev_old, ev_new, "product_id", ev_day).unionByName(mapped_days)
                    .where(F.col("product_id").isNotNull()).distinct())
         e_in = inc.semi_null_safe(fct.withColumn("activity_date", ev_day), pd_keys,
                                   ["product_id", "activity_date"]).drop("activity_date")
+        m_in = inc.semi_null_safe(map_ev.withColumn("activity_date", click_day), pd_keys,
+                                  ["product_id", "activity_date"]).drop("activity_date")
         self._merge("fct_product_daily_activity",
-                    activity.fct_product_daily_activity(e_in, map_ev, pays),
+                    activity.fct_product_daily_activity(e_in, m_in, pays),
                     ["product_id", "activity_date"], touched=pd_keys, keep_old=False)
 
         # -- dimensions

@@ -492,7 +492,7 @@ WHERE r.rn = 1
 GROUP BY 1""")
 def q_brand_retention(wh: Warehouse) -> DataFrame:
     """Repeat-buyer share by brand of the first attributed purchase."""
-    return kpis.brand_retention(wh.fct_payments(), wh.map_payment_to_event(), wh.fct_events())
+    return kpis.brand_retention(wh.fct_payments(), wh.map_payment_to_event())
 
 
 @register("revenue_decomposition_daily", """
@@ -743,7 +743,7 @@ WHERE clickstream_time >= payment_event_time - INTERVAL 15 MINUTE
   AND clickstream_time <= payment_event_time + INTERVAL 15 MINUTE""")
 def q_candidates_quarter_hour(wh: Warehouse) -> DataFrame:
     """The match window as a run parameter, at 15 minutes."""
-    return matching.match_candidates(wh.fct_payments(), wh.fct_events(), minutes=15)
+    return matching.match_candidates(wh.fct_payments(), wh.fct_events(), minutes=15).select(*matching.CANDIDATE_COLUMNS)
 
 
 @register("lookback_ten_days", """

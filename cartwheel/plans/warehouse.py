@@ -22,11 +22,14 @@ from cartwheel.sources import fixtures
 
 # Models read by several downstream jobs; these are written once per build.
 MATERIALISED = (
-    "stg_payment_events", "payment_events_clean", "payment_intents", "charges", "refunds",
+    "stg_clickstream_events", "stg_payment_events", "payment_events_clean", "payment_intents", "charges", "refunds",
     "fct_events", "fct_payments", "payment_event_candidates", "map_payment_to_event",
     "sessions_base", "map_payment_to_session", "fct_sessions", "fct_user_daily_activity",
-    "fct_product_daily_activity", "dim_users",
+    "fct_product_daily_activity", "dim_users", "dim_products",
 )
+# Small KPI tables that the quality checks read several times over.
+KPI_TABLES = ("session_funnel_daily", "product_conversion_daily", "retention_cohorts",
+              "repeat_retention_cohorts", "unit_economics_daily", "dau_wau_mau", "ltv_cohort_curve")
 
 
 class Warehouse:
@@ -48,7 +51,7 @@ class Warehouse:
         with self._lock:
             if name not in self._models:
                 df = build()
-                if self.materialise and name in MATERIALISED:
+                if self.materialise and name.removeprefix("checked_") in (*MATERIALISED, *KPI_TABLES):
                     path = f"{self.root}/{name}"
                     df.write.mode("overwrite").parquet(path)
                     df = self.spark.read.parquet(path)
@@ -198,11 +201,10 @@ class Warehouse:
                  "refunds", "payment_events_clean", "payment_event_candidates",
                  "map_payment_to_event", "map_payment_to_session", "sessions_base", "fct_events",
                  "fct_payments", "fct_sessions", "fct_user_daily_activity",
-                 "fct_product_daily_activity", "dim_users", "dim_products",
-                 "session_funnel_daily", "product_conversion_daily", "retention_cohorts",
-                 "repeat_retention_cohorts", "unit_economics_daily", "dau_wau_mau"]
+                 "fct_product_daily_activity", "dim_users", "dim_products"]
         out = {n: getattr(self, n)() for n in names}
-        out["ltv_cohort_curve"] = self.ltv_cohort_curve()
+        for n in KPI_TABLES:
+            out[n] = self._model(f"checked_{n}", getattr(self, n))
         return out
 
 

@@ -23,12 +23,34 @@ def test_no_nested_loop_or_cartesian_join(spark, name):
 
 def test_dedups_use_partial_group_limit(spark):
     wh = Warehouse(spark, SF, materialise=False)
-    for df in (wh.fct_events(), wh.payment_intents(), wh.map_payment_to_event()):
+    for df in (wh.fct_events(), wh.payment_intents()):
         plan = _plan(df)
         # a partial limit before the shuffle and a final one after it
         assert len(re.findall(r"WindowGroupLimit", plan)) >= 2
 
 
+def test_product_day_and_brand_jobs_leave_the_event_fact_alone(spark):
+    from cartwheel.operators import activity, kpis
+    wh = Warehouse(spark, SF)
+    plan = _plan(activity.fct_product_daily_activity(wh.fct_events(), wh.map_payment_to_event(), wh.fct_payments()))
+    assert plan.count("FileScan parquet") == 3
+    assert _plan(kpis.brand_retention(wh.fct_payments(), wh.map_payment_to_event())).count("FileScan parquet") == 2
+
+
+def test_band_join_shuffles_on_key_bucket_and_salt_without_broadcasts(spark):
+    from cartwheel.operators import matching
+    wh = Warehouse(spark, SF)
+    pays, events = wh.fct_payments(), wh.fct_events()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(matching.match_candidates(pays, events, 60))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keyed = re.findall(r"SortMergeJoin \[([^\]]*)\]", plan)
+    assert len(keyed) == 2 and all("_bucket" in k and "_salt" in k for k in keyed)
+    assert plan.count("FileScan parquet") == 4 and "Broadcast" not in plan
+
+
 def test_band_join_is_an_equi_join_on_key_and_bucket(spark):
     wh = Warehouse(spark, SF, materialise=False)
     plan = _plan(wh.payment_event_candidates())
