@@ -79,11 +79,57 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(common.read_table(spark, sf_dir, "documents"))
 
 
+ORACLES["op7_ngram_jaccard"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1:i + 5], ' '))) END AS g
+  FROM worded
+), filed AS (
+  SELECT doc_id, len(g) AS n, unnest(g) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM filed a JOIN filed b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach(node, start) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT y, start FROM reach JOIN links ON node = x
+), least AS (
+  SELECT node AS doc_id, min(start) AS component_id FROM reach GROUP BY node
+)
+SELECT doc_id, len(g) AS n_shingles, component_id FROM sets JOIN least USING (doc_id)
+"""
+
+
 @query
 def op8_pq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.near_duplicates(common.read_table(spark, sf_dir, "embeddings"))
 
 
+ORACLES["op8_pq_near_dedup"] = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+), usable AS (
+  SELECT vec_id, label, v, sqrt(list_inner_product(v, v)) AS norm FROM vectors
+  WHERE label IS NOT NULL AND len(list_filter(v, lambda x: x IS NOT NULL AND isfinite(x))) = len(v) AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.93
+), reach(node, start) AS (
+  SELECT vec_id, vec_id FROM vectors
+  UNION SELECT y, start FROM reach JOIN links ON node = x
+), least AS (
+  SELECT node AS vec_id, min(start) AS component_id FROM reach GROUP BY node
+), degrees AS (
+  SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors JOIN least USING (vec_id) LEFT JOIN degrees USING (vec_id)
+"""
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(common.read_table(spark, sf_dir, "documents")))
@@ -92,3 +138,29 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(common.read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_rendezvous_shards"] = """
+WITH crc_table AS MATERIALIZED (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)),
+                          lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM range(256) r(i))
+), draws AS (
+  SELECT doc_id, s, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || s), 1, 13))::BIGINT + 0.5) / 4503599627370496 AS u
+  FROM (SELECT DISTINCT doc_id FROM documents), (SELECT unnest(['0', '1', '2', '3', '4', '5', '6', '7', '8', 'slot']) AS s)
+), placed AS (
+  SELECT doc_id, arg_max(s, -1 / ln(u)) FILTER (WHERE s NOT IN ('8', 'slot')) AS shard,
+         arg_max(s, -1 / ln(u)) FILTER (WHERE s <> 'slot') AS grown, floor(max(u) FILTER (WHERE s = 'slot') * 4096) AS part
+  FROM draws GROUP BY doc_id
+), sized AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                                                                         lambda x: ('0x' || x)::BIGINT)),
+                         lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295::BIGINT) AS text_crc32
+  FROM documents, crc_table
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard::INT AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY part, doc_id, text_crc32, size) - 1 AS slot, grown::INT AS grown_shard
+FROM sized JOIN placed USING (doc_id)
+"""
