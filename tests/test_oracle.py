@@ -10,7 +10,7 @@ import __spark_entry__ as E
 from cartwheel.plans import registry
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["events", "part", "documents", "pages"]
+TABLES = ["events", "part", "documents", "pages", "embeddings"]
 
 
 @pytest.fixture(scope="module")
