@@ -3,7 +3,8 @@
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Prints one JSON line: total seconds plus per-stage / per-query seconds.
 Stages: ``build_*`` materialise the core models (landing -> staging -> facts);
-every other entry is a registered query collected over those models.
+every other entry is a registered query collected over those models. The last
+three (landing, stream, incremental) aren't part of the total.
 """
 
 from __future__ import annotations
@@ -33,9 +34,10 @@ HEADLINE = [
     "repeat_retention_cohorts", "ltv_cohort_curve", "unit_economics_daily",
     "payment_event_candidates", "map_payment_to_event", "dim_products", "revenue_by_brand",
     "new_vs_repeat_revenue", "time_to_purchase", "dq_summary",
-    # the landing of the raw feed, its stream, and three incremental deliveries of the whole graph
-    "landing_clickstream", "streaming_landing_dedup", "fct_events_incremental",
 ]
+# Timed after the total, so that it stays comparable: the landing of the raw feed, its stream,
+# and three incremental deliveries of the whole model graph.
+BEYOND = ["landing_clickstream", "streaming_landing_dedup", "fct_events_incremental"]
 
 
 def main() -> None:
@@ -57,6 +59,10 @@ def main() -> None:
         registry.QUERIES[name](spark, sf_dir).collect()
         times[name] = round(time.time() - t0, 3)
     total = round(time.time() - t_all, 3)
+    for name in BEYOND:
+        t0 = time.time()
+        registry.QUERIES[name](spark, sf_dir).collect()
+        times[name] = round(time.time() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "warehouse_build_plus_kpis_total", "value": total, "unit": "sec",
                       "queries": times, "sf": sf}))

@@ -21,13 +21,13 @@ def cte(name: str, body: str) -> None:
 
 # ---------------------------------------------------------------- fixtures
 cte("kept", """
-SELECT e.event_id AS n, e.ts + to_days(CAST(e.user_id % 14 AS INTEGER)) AS ts,
+SELECT e.event_id AS n, e.ts,
        e.user_id, e.event_type, e.value,
        TRY_CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS k,
        p.p_brand, p.p_type, p.p_size,
-       CAST(e.user_id AS VARCHAR) || '-'
-           || CAST(CAST(e.ts + to_days(CAST(e.user_id % 14 AS INTEGER)) AS DATE) AS VARCHAR) AS session_text
-FROM events e
+       CASE WHEN e.event_id % 9 = 0 THEN 'shared' ELSE CAST(e.user_id AS VARCHAR) END || '-' || CAST(CAST(e.ts AS DATE) AS VARCHAR) AS session_text
+FROM (SELECT * REPLACE (ts + to_days(CAST(user_id % 14 + CASE WHEN event_id % 37 = 0 THEN 45 WHEN event_id % 53 = 0 THEN 75 ELSE 0 END AS INTEGER)) AS ts)
+      FROM events) e
 LEFT JOIN part p ON p.p_partkey = TRY_CAST(json_extract_string(e.props, '$.k') AS BIGINT)
 """)
 
@@ -56,8 +56,9 @@ FROM (
            json_object('event_id', 'evt_' || CAST(n AS VARCHAR),
                        'user_id', CAST(user_id AS VARCHAR))::VARCHAR AS keys_json,
            json_object(
-               'user_id', CAST(user_id AS VARCHAR),
-               'user_session', CASE WHEN variant = 2 THEN '' ELSE session_text END,
+               'user_id', CASE WHEN n % 33 = 0 THEN NULL WHEN n % 41 = 0 THEN 'u-' || CAST(user_id AS VARCHAR)
+                               ELSE CAST(user_id AS VARCHAR) END,
+               'user_session', CASE WHEN variant = 2 OR n % 14 = 0 THEN '' ELSE session_text END,
                'event_time', CAST(ts AS VARCHAR),
                'event_type', CASE WHEN n % 7 = 0
                                   THEN ' ' || upper(substr(typ0, 1, 1)) || substr(typ0, 2) || ' '
@@ -66,7 +67,8 @@ FROM (
                'category_id', CAST(p_size AS VARCHAR),
                'category_code', p_type,
                'brand', p_brand,
-               'price', CASE WHEN n % 50 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END
+               'price', CASE WHEN n % 50 = 0 THEN 'n/a' WHEN n % 61 = 0 THEN '-' || CAST(value AS VARCHAR)
+                             ELSE CAST(value AS VARCHAR) END
            )::VARCHAR AS raw_payload_json,
            'landing/clickstream/dt=' || CAST(CAST(ingested AS DATE) AS VARCHAR) || '/part-0000'
                || CAST(variant AS VARCHAR) || '.jsonl' AS filename,
@@ -98,7 +100,8 @@ FROM (
 
 cte("purch", """
 SELECT *, ts + to_minutes(CAST(n % 90 AS BIGINT)) AS pay_ts,
-       CAST(round(value * 100) AS BIGINT) AS cents, (n % 10) <> 9 AS ok,
+       CASE WHEN n % 83 = 0 THEN 0 WHEN n % 89 = 0 THEN -1 ELSE 1 END * CAST(round(value * 100) AS BIGINT) AS cents,
+       (n % 10) <> 9 AS ok, (n % 10) <> 9 AND n % 71 <> 0 AS charged,
        CAST(n AS VARCHAR) AS nt
 FROM kept WHERE event_type = 'purchase'
 """)
@@ -124,19 +127,20 @@ FROM (
                                    WHEN 'refund' THEN 're_' || nt END,
                    'status', CASE WHEN kind = 'intent' THEN
                                       CASE WHEN ok THEN 'succeeded' ELSE 'requires_payment_method' END
-                                  WHEN kind = 'charge' THEN CASE WHEN ok THEN 'succeeded' ELSE 'failed' END
+                                  WHEN kind = 'charge' THEN CASE WHEN charged THEN 'succeeded' ELSE 'failed' END
                                   WHEN kind IN ('attempt', 'reject_charge') THEN 'failed'
                                   WHEN kind = 'refund' THEN
                                       CASE WHEN n % 36 = 0 THEN NULL WHEN n % 60 = 0 THEN 'failed'
                                            ELSE 'succeeded' END
                                   ELSE 'requires_payment_method' END,
-                   'amount', CAST(CASE WHEN kind = 'refund' AND n % 24 = 0
+                   'amount', CAST(CASE WHEN kind = 'refund' AND n % 156 = 0 THEN cents * 2
+                                       WHEN kind = 'refund' AND n % 24 = 0
                                        THEN CAST(floor(cents / 2) AS BIGINT) ELSE cents END AS VARCHAR),
-                   'currency', 'usd',
+                   'currency', CASE WHEN n % 101 <> 0 THEN 'usd' END,
                    'latest_charge', CASE WHEN kind = 'intent' THEN 'ch_' || nt END,
                    'payment_intent', CASE WHEN kind IN ('charge', 'attempt', 'reject_charge')
-                                          THEN 'pi_' || nt END,
-                   'charge', CASE WHEN kind = 'refund' THEN 'ch_' || nt END,
+                                          THEN 'pi_' || nt || CASE WHEN n % 95 = 0 THEN '_lost' ELSE '' END END,
+                   'charge', CASE WHEN kind = 'refund' THEN 'ch_' || nt || CASE WHEN n % 132 = 0 THEN '_lost' ELSE '' END END,
                    'reason', CASE WHEN kind = 'refund' THEN 'requested_by_customer' END,
                    'metadata', CASE WHEN kind IN ('intent', 'refund') THEN json_object(
                        'order_id', 'ord_' || nt,
@@ -163,8 +167,8 @@ FROM (
                         CASE WHEN ok THEN 'payment_intent.succeeded'
                              ELSE 'payment_intent.requires_payment_method' END
                     WHEN kind = 'charge' THEN
-                        CASE WHEN n % 7 = 0 THEN upper(CASE WHEN ok THEN 'charge.succeeded' ELSE 'charge.failed' END)
-                             ELSE CASE WHEN ok THEN 'charge.succeeded' ELSE 'charge.failed' END END
+                        CASE WHEN n % 7 = 0 THEN upper(CASE WHEN charged THEN 'charge.succeeded' ELSE 'charge.failed' END)
+                             ELSE CASE WHEN charged THEN 'charge.succeeded' ELSE 'charge.failed' END END
                     WHEN kind IN ('attempt', 'reject_charge') THEN 'charge.failed'
                     WHEN kind = 'refund' THEN 'refund.created'
                     ELSE 'payment_intent.created' END AS etype

@@ -569,6 +569,20 @@ def q_dq_relationships(wh: Warehouse) -> DataFrame:
                                  "session_id").select("payment_intent_id", "session_id")
 
 
+@register("dq_orphans", """
+SELECT 'charge' AS kind, c.charge_id AS id, c.payment_intent_id AS missing
+FROM charges_t c ANTI JOIN intents i ON i.payment_intent_id = c.payment_intent_id WHERE c.payment_intent_id IS NOT NULL
+UNION ALL
+SELECT 'refund', r.refund_id, r.charge_id
+FROM refunds_t r ANTI JOIN charges_t c ON c.charge_id = r.charge_id WHERE r.charge_id IS NOT NULL""")
+def q_dq_orphans(wh: Warehouse) -> DataFrame:
+    """Charges without their intent, refunds without their charge."""
+    charges = quality.relationships(wh.charges(), "payment_intent_id", wh.payment_intents(), "payment_intent_id")
+    refunds = quality.relationships(wh.refunds(), "charge_id", wh.charges(), "charge_id")
+    return charges.select(F.lit("charge").alias("kind"), F.col("charge_id").alias("id"), F.col("payment_intent_id").alias("missing")).unionByName(
+        refunds.select(F.lit("refund").alias("kind"), F.col("refund_id").alias("id"), F.col("charge_id").alias("missing")))
+
+
 # ------------------------------------------------------------- incremental
 from cartwheel.plans.incremental_run import IncrementalModels  # noqa: E402
 

@@ -34,6 +34,21 @@ HALF_REFUND_MOD = 24
 NULL_REFUND_STATUS_MOD = 36
 FAILED_REFUND_MOD = 60
 REJECT_MOD = 97
+# Rows that break rules or need an operator's rarer branch.
+LATE_MONTH_MOD, LATE_MONTH_DAYS = 37, 45      # the user comes back after a month
+LATE_QUARTER_MOD, LATE_QUARTER_DAYS = 53, 75  # ... after more than two
+SHARED_SESSION_MOD = 9           # one session a day that many users' clicks carry
+NO_SESSION_MOD = 14              # clicks without a session
+NO_USER_MOD = 33                 # clicks without a user
+TEXT_USER_MOD = 41               # clicks whose user id isn't a number
+NEGATIVE_PRICE_MOD = 61
+OVER_REFUND_MOD = 156            # refund of twice the charge
+LOST_CHARGE_MOD = 132            # refund of a charge that was never delivered
+LOST_INTENT_MOD = 95             # charge of an intent that was never delivered
+ZERO_AMOUNT_MOD = 83
+NEGATIVE_AMOUNT_MOD = 89
+FAILED_CHARGE_MOD = 71           # intent succeeded, its charge did not
+NO_CURRENCY_MOD = 101
 
 
 def _text(c: Column) -> Column:
@@ -42,16 +57,19 @@ def _text(c: Column) -> Column:
 
 def kept_events(events: DataFrame, part: DataFrame) -> DataFrame:
     """Every event, shifted by ``user_id % 14`` days so users start on different
-    days (cohort spread), joined to its catalogue row. No event is dropped."""
+    days (cohort spread), some by weeks more (late returns), joined to its
+    catalogue row. No event is dropped."""
     n = F.col("event_id")
-    shift = (F.col("user_id") % COHORT_SPREAD_DAYS).cast("int")
+    shift = ((F.col("user_id") % COHORT_SPREAD_DAYS).cast("int")
+             + F.when(n % LATE_MONTH_MOD == 0, LATE_MONTH_DAYS).when(n % LATE_QUARTER_MOD == 0, LATE_QUARTER_DAYS).otherwise(0))
     ev = (events
           .withColumn("ts", F.timestamp_add("DAY", shift, F.col("ts")))
           .withColumn("k", F.get_json_object("props", "$.k").try_cast("bigint")))
     cat = part.select(F.col("p_partkey").alias("k"), "p_brand", "p_type", "p_size")
     return (ev.join(cat, "k", "left")
               .withColumn("session_text", F.concat_ws(
-                  "-", _text(F.col("user_id")), _text(F.to_date("ts"))))
+                  "-", F.when(n % SHARED_SESSION_MOD == 0, F.lit("shared")).otherwise(_text(F.col("user_id"))),
+                  _text(F.to_date("ts"))))
               .withColumn("n", n))
 
 
@@ -63,7 +81,12 @@ def clickstream_landing(events: DataFrame, part: DataFrame) -> DataFrame:
     noisy = F.concat(F.lit(" "), F.upper(F.substring(typ, 1, 1)), F.substring(typ, 2, 100),
                      F.lit(" "))
     typ = F.when(n % TYPE_NOISE_MOD == 0, noisy).otherwise(typ)
-    price = F.when(n % PRICE_MISSING_MOD == 0, F.lit("n/a")).otherwise(_text(F.col("value")))
+    price = (F.when(n % PRICE_MISSING_MOD == 0, F.lit("n/a"))
+             .when(n % NEGATIVE_PRICE_MOD == 0, F.concat(F.lit("-"), _text(F.col("value"))))
+             .otherwise(_text(F.col("value"))))
+    user = (F.when(n % NO_USER_MOD == 0, F.lit(None).cast("string"))
+            .when(n % TEXT_USER_MOD == 0, F.concat(F.lit("u-"), _text(F.col("user_id"))))
+            .otherwise(_text(F.col("user_id"))))
     base_ingested = F.timestamp_add("HOUR", n % LATE_HOURS_MOD, F.col("ts"))
 
     # variant 0 = original, 1 = exact re-delivery, 2 = degraded copy
@@ -76,14 +99,14 @@ def clickstream_landing(events: DataFrame, part: DataFrame) -> DataFrame:
     ingested = (F.when(v == 1, F.timestamp_add("HOUR", F.lit(6), base_ingested))
                  .when(v == 2, F.timestamp_add("DAY", F.lit(1), base_ingested))
                  .otherwise(base_ingested))
-    session = F.when(v == 2, F.lit("")).otherwise(F.col("session_text"))
+    session = F.when((v == 2) | (n % NO_SESSION_MOD == 0), F.lit("")).otherwise(F.col("session_text"))
 
     rows = (ev.select("*", F.explode(variants).alias("variant"))
               .where(v.isNotNull())
               .withColumn("ingested", ingested))
     event_id = F.concat(F.lit("evt_"), _text(n))
     payload = F.struct(
-        _text(F.col("user_id")).alias("user_id"),
+        user.alias("user_id"),
         session.alias("user_session"),
         _text(F.col("ts")).alias("event_time"),
         typ.alias("event_type"),
@@ -114,6 +137,7 @@ def payments_landing(events: DataFrame, part: DataFrame) -> DataFrame:
     nt = _text(n)
     pay_ts = F.timestamp_add("MINUTE", n % PAY_DELAY_MOD, F.col("ts"))
     cents = F.round(F.col("value") * 100).cast("bigint")
+    cents = F.when(n % ZERO_AMOUNT_MOD == 0, F.lit(0)).when(n % NEGATIVE_AMOUNT_MOD == 0, -cents).otherwise(cents)
     succeeded = (n % UNPAID_MOD) != UNPAID_REM
 
     kinds = F.array(
@@ -143,7 +167,8 @@ def payments_landing(events: DataFrame, part: DataFrame) -> DataFrame:
                .when(kind == "attempt", "evt_cha_").when(kind == "refund", "evt_re_")
                .when(kind == "reject_charge", "evt_chx_").otherwise("evt_pix_"))
     provider_id = F.concat(prefix, nt)
-    charge_type = F.when(succeeded, "charge.succeeded").otherwise("charge.failed")
+    charged = succeeded & (n % FAILED_CHARGE_MOD != 0)
+    charge_type = F.when(charged, "charge.succeeded").otherwise("charge.failed")
     charge_type = F.when(n % TYPE_NOISE_MOD == 0, F.upper(charge_type)).otherwise(charge_type)
     etype = (F.when(kind == "intent",
                     F.when(succeeded, "payment_intent.succeeded")
@@ -152,7 +177,8 @@ def payments_landing(events: DataFrame, part: DataFrame) -> DataFrame:
               .when(kind.isin("attempt", "reject_charge"), "charge.failed")
               .when(kind == "refund", "refund.created")
               .otherwise("payment_intent.created"))
-    refund_cents = F.when(n % HALF_REFUND_MOD == 0, F.floor(cents / 2).cast("bigint")).otherwise(cents)
+    refund_cents = (F.when(n % OVER_REFUND_MOD == 0, cents * 2)
+                    .when(n % HALF_REFUND_MOD == 0, F.floor(cents / 2).cast("bigint")).otherwise(cents))
     refund_status = (F.when(n % NULL_REFUND_STATUS_MOD == 0, F.lit(None).cast("string"))
                       .when(n % FAILED_REFUND_MOD == 0, "failed").otherwise("succeeded"))
     fee = F.floor(cents / FEE_DIVISOR).cast("bigint")
@@ -163,15 +189,15 @@ def payments_landing(events: DataFrame, part: DataFrame) -> DataFrame:
           .when(kind == "attempt", F.concat(F.lit("ch_"), nt, F.lit("_a")))
           .when(kind == "refund", F.concat(F.lit("re_"), nt))).alias("id"),
         (F.when(kind == "intent", F.when(succeeded, "succeeded").otherwise("requires_payment_method"))
-          .when(kind == "charge", F.when(succeeded, "succeeded").otherwise("failed"))
+          .when(kind == "charge", F.when(charged, "succeeded").otherwise("failed"))
           .when(kind.isin("attempt", "reject_charge"), "failed")
           .when(kind == "refund", refund_status)
           .otherwise("requires_payment_method")).alias("status"),
         _text(F.when(kind == "refund", refund_cents).otherwise(cents)).alias("amount"),
-        F.lit("usd").alias("currency"),
+        F.when(n % NO_CURRENCY_MOD != 0, F.lit("usd")).alias("currency"),
         F.when(kind == "intent", F.concat(F.lit("ch_"), nt)).alias("latest_charge"),
-        F.when(is_charge, F.concat(F.lit("pi_"), nt)).alias("payment_intent"),
-        F.when(kind == "refund", F.concat(F.lit("ch_"), nt)).alias("charge"),
+        F.when(is_charge, F.concat(F.lit("pi_"), nt, F.when(n % LOST_INTENT_MOD == 0, "_lost").otherwise(""))).alias("payment_intent"),
+        F.when(kind == "refund", F.concat(F.lit("ch_"), nt, F.when(n % LOST_CHARGE_MOD == 0, "_lost").otherwise(""))).alias("charge"),
         F.when(kind == "refund", F.lit("requested_by_customer")).alias("reason"),
         F.when(kind.isin("intent", "refund"), F.struct(
             F.concat(F.lit("ord_"), nt).alias("order_id"),
