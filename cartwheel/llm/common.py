@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _shipped: set[str] = set()
+#: Rows and bytes of an Arrow batch. Texts are long; a task holds a few batches on both sides.
+BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,8 +30,13 @@ def ship(spark: SparkSession) -> None:
 
     Python tasks refer to the operators' functions by module, so a cluster whose
     machines don't hold the repository still finds them, and what a worker keeps
-    in a module (token caches) outlives a task. Done once per application.
+    in a module (token caches) outlives a task. Done once per application. Arrow
+    batches of the session are kept small (a smaller setting stays).
     """
+    for name, most in BATCH_CONF.items():
+        now = spark.conf.get(name, None)
+        if not (now or "").isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

@@ -402,7 +402,8 @@ def _group_links(docs: DataFrame, classes: DataFrame, size: int, share: tuple[in
     members = written(classes.where("grouped").select("key", "digest", F.col("component").alias("group")), "group-members")
     sizes = written(members.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / RESIDENTS).cast("int").alias("blocks")), "group-sizes")
     fetched = docs.mapInArrow(_fetch(size, key_bitmap(members, "key")), "key bigint, digest binary, tokens binary")
-    rows = written(fetched.dropDuplicates(["key", "digest"]).join(members.join(sizes, "group"), ["key", "digest"]).select(
+    # Rows that repeat a member repeat its links only, so they may stay.
+    rows = written(fetched.join(members.join(sizes, "group"), ["key", "digest"]).select(
         "group", "key", "tokens", F.octet_length("tokens").alias("n"), "blocks",
         F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("own")), "group-sets")
     # A block's visitors are the members of the blocks before it, about `block` times RESIDENTS of them.
