@@ -146,14 +146,14 @@ def retention_cohorts(users: DataFrame, user_daily: DataFrame) -> DataFrame:
 def first_two_purchases(payments: DataFrame) -> DataFrame:
     """Per user: first succeeded payment time and the next strictly later one.
 
-    ``dense_rank() <= 2`` is planned with a partial group limit before the
-    shuffle, so a user with millions of payments ships at most two distinct
-    times per map task.
+    Equal times fold first (combined map-side), so ties can't pile up; then
+    ``row_number() <= 2`` is planned with a partial group limit before the
+    shuffle, and a user ships at most two times per map task.
     """
     succ = payments.where(F.col("is_succeeded")).select(
-        "user_id", F.col("payment_intent_event_ts").alias("ts"))
+        "user_id", F.col("payment_intent_event_ts").alias("ts")).distinct()
     w = Window.partitionBy("user_id").orderBy(F.col("ts").asc_nulls_last())
-    top = succ.withColumn("_dr", F.dense_rank().over(w)).where(F.col("_dr") <= 2)
+    top = succ.withColumn("_dr", F.row_number().over(w)).where(F.col("_dr") <= 2)
     return top.groupBy("user_id").agg(
         F.min("ts").alias("first_purchase_ts"),
         F.min(F.when((F.col("_dr") == 2) & F.col("user_id").isNotNull(), F.col("ts")))

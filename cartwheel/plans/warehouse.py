@@ -221,3 +221,15 @@ def warehouse_for(spark: SparkSession, sf_dir: str, **params) -> Warehouse:
             wh = Warehouse(spark, sf_dir, **params)
             _WAREHOUSES[key] = wh
         return wh
+
+
+def refresh(spark: SparkSession, sf_dir: str) -> None:
+    """Forget the warehouses of a data set and delete their written models.
+
+    Call it when the data in ``sf_dir`` has changed; the next use builds anew.
+    """
+    with _REG_LOCK:
+        stale = [k for k in _WAREHOUSES if k[0] == session_key(spark) and k[1] == sf_dir.rstrip("/")]
+        for key in stale:
+            root = spark._jvm.org.apache.hadoop.fs.Path(_WAREHOUSES.pop(key).root)
+            root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)

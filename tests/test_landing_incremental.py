@@ -169,3 +169,16 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError):
         session.checkpoint_root(Session())
+
+
+def test_refresh_sees_changed_data(spark):
+    from cartwheel.plans.warehouse import refresh, warehouse_for
+    root = scratch_path(spark, "test_refresh_data")
+    for name in ("events", "part"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.mode("overwrite").parquet(f"{root}/{name}.parquet")
+    before = warehouse_for(spark, root).fct_events().count()
+    few = spark.read.parquet(f"{SF}/events.parquet").where("event_id < 100")
+    few.write.mode("overwrite").parquet(f"{root}/events.parquet")
+    assert warehouse_for(spark, root).fct_events().count() == before
+    refresh(spark, root)
+    assert warehouse_for(spark, root).fct_events().count() == few.count() < before

@@ -47,6 +47,8 @@ def main() -> None:
     os.makedirs(out_dir, exist_ok=True)
     spark = local_session()
     wh = Warehouse(spark, sf_dir)
+    # the test data would fit in broadcasts; show the joins that large tables get
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     for name in JOBS:
         df = getattr(wh, name)()
         if name in ("fct_events", "fct_payments", "payment_event_candidates",
