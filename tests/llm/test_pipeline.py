@@ -1,3 +1,5 @@
+import pytest
+
 import corpus_pipeline
 from cartwheel.llm import common, queries, secret_scan
 from tests.llm.test_ngram_join import brute
@@ -41,5 +43,21 @@ def test_every_operator_has_a_query():
     assert registered["pipeline"] is corpus_pipeline.run and set(queries.ORACLES) <= set(registered)
 
 
-def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
-    assert common.shared_dir(spark) == common.shared_dir(spark)
+class Cluster:
+    """As much of a session as shared_dir looks at."""
+
+    def __init__(self, master, named=None):
+        self.sparkContext, self.conf, self.master, self.named = self, self, master, named
+
+    def get(self, key, default=None):
+        return self.named or default
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    assert common.shared_dir(Cluster("spark://host:7077", "hdfs://shared/x/")) == "hdfs://shared/x"
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError):
+            common.shared_dir(Cluster(master))
