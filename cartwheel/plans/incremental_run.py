@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.columns import blank_to_null
 from cartwheel.operators import activity, events, matching, payments, sessions, staging
 from cartwheel.operators import incremental as inc
+from cartwheel.plans.warehouse import in_time_order
 from cartwheel.session import configure, new_run_id, scratch_path
 
 
@@ -34,7 +35,7 @@ class IncrementalModels:
 
     def _save(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}/batch={self.batch}"
-        df.write.mode("overwrite").parquet(path)
+        in_time_order(name, df).write.mode("overwrite").parquet(path)
         self.state[name] = self.spark.read.parquet(path)
         return self.state[name]
 

@@ -64,3 +64,26 @@ def test_materialised_scans_prune_columns(spark):
     plan = _plan(wh.session_funnel_daily())
     scan = [line for line in plan.split("\n") if "FileScan parquet" in line][0]
     assert "session_date" in scan and "session_revenue" not in scan
+
+
+def test_event_fact_is_written_in_time_order(spark):
+    """Files cover disjoint time ranges, so a time-bounded read skips most of them."""
+    import glob
+
+    import pyarrow.parquet as pq
+    from cartwheel.plans import warehouse
+    wh = Warehouse(spark, SF)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        wh.fct_events()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spans = []
+    for f in glob.glob(f"{wh.root.removeprefix('file:')}/fct_events/*.parquet"):
+        times = [t for t in pq.read_table(f, columns=["event_time"])["event_time"].to_pylist() if t is not None]
+        if times:
+            assert times == sorted(times)
+            spans.append((times[0], times[-1]))
+    spans.sort()
+    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert set(warehouse.TIME_ORDERED) == {"fct_events"}
