@@ -22,7 +22,7 @@ from cartwheel.sources import fixtures
 
 # Models read by several downstream jobs; these are written once per build.
 MATERIALISED = (
-    "stg_clickstream_events", "stg_payment_events", "payment_events_clean", "payment_intents", "charges", "refunds",
+    "stg_payment_events", "payment_events_clean", "payment_intents", "charges", "refunds",
     "fct_events", "fct_payments", "payment_event_candidates", "map_payment_to_event",
     "sessions_base", "map_payment_to_session", "fct_sessions", "fct_user_daily_activity",
     "fct_product_daily_activity", "dim_users", "dim_products",
@@ -30,7 +30,7 @@ MATERIALISED = (
 # Facts that later jobs read by time: written in time order, so that a time-bounded
 # read (match window, look-back) skips files and row groups by their statistics.
 TIME_ORDERED = {"fct_events": ("event_time", "event_pk")}
-# Small KPI tables that the quality checks read several times over.
+# KPI tables that the quality checks read.
 KPI_TABLES = ("session_funnel_daily", "product_conversion_daily", "retention_cohorts",
               "repeat_retention_cohorts", "unit_economics_daily", "dau_wau_mau", "ltv_cohort_curve")
 
@@ -60,7 +60,7 @@ class Warehouse:
         with self._lock:
             if name not in self._models:
                 df = build()
-                if self.materialise and name.removeprefix("checked_") in (*MATERIALISED, *KPI_TABLES):
+                if self.materialise and name in MATERIALISED:
                     path = f"{self.root}/{name}"
                     in_time_order(name, df).write.mode("overwrite").parquet(path)
                     df = self.spark.read.parquet(path)
@@ -184,7 +184,7 @@ class Warehouse:
 
 
     MODELS = (
-        "stg_clickstream_events", "stg_payment_events", "payment_events_clean",
+        "stg_payment_events", "payment_events_clean",
         "payment_intents", "charges", "refunds", "charges_invalid", "payment_intents_invalid",
         "fct_events", "fct_payments", "payment_event_candidates", "map_payment_to_event",
         "sessions_base", "map_payment_to_session", "fct_sessions", "fct_user_daily_activity",
@@ -213,7 +213,7 @@ class Warehouse:
                  "fct_product_daily_activity", "dim_users", "dim_products"]
         out = {n: getattr(self, n)() for n in names}
         for n in KPI_TABLES:
-            out[n] = self._model(f"checked_{n}", getattr(self, n))
+            out[n] = getattr(self, n)()
         return out
 
 
