@@ -3,8 +3,9 @@
 Named patterns (assignments, access keys, long hex) are the base. Beyond them a
 random string gives itself away by its token efficiency: a public byte-level
 vocabulary packs prose and names into long tokens, but needs a token for every
-one or two characters of a key. Known digests and identifiers are excluded
-before the test, base spans are reported anyway.
+one or two characters of a key. Known digests and UUIDs are excluded before the
+test, as are names and paths whose words pack into long tokens themselves; base
+spans are reported anyway.
 
 A batch's bytes are searched first as a whole (table look-ups and substring
 search), and only texts with a possible hit are decoded and matched.
@@ -37,10 +38,12 @@ _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _RUN = re.compile(r"[A-Za-z0-9_+/=-]+")
 _DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+_SEPARATORS = re.compile(r"[-_/+=]+")
 _PART = re.compile(r"[A-Z]?[a-z]*|[A-Z]*|[0-9]{1,12}")
+_REPEATED = re.compile(r"(.{1,16}?)\1{2,}")
 
-#: A candidate has this many characters at least.
-LEAST_CHARS = 20
+#: A candidate has this many characters at least; one of plain words and numbers (as _PART) needs more, since prose has such words.
+LEAST_CHARS, LEAST_PLAIN = 16, 20
 #: Characters a token below which a candidate counts as random.
 MOST_RATIO = 2.0
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -85,7 +88,8 @@ def _suspects(off: np.ndarray, raw: np.ndarray) -> set[int]:
     at += _runs(data, _IS_HEX, HEX_LEAST)[0].tolist()
     for s, e in zip(*_runs(data, _IS_RUN, LEAST_CHARS)):
         part = data[s:e]
-        if _mixed(_IS_DIGIT[part].sum(), _IS_LOWER[part].sum(), _IS_UPPER[part].sum()):
+        digits, lower, upper = _IS_DIGIT[part].sum(), _IS_LOWER[part].sum(), _IS_UPPER[part].sum()
+        if _mixed(digits, lower, upper) or (lower + upper and e - s >= LEAST_PLAIN):
             # A run can join two texts of the buffer; both are looked at then.
             first, last = int(np.searchsorted(base, s, "right")) - 1, int(np.searchsorted(base, e - 1, "right")) - 1
             at += [int(max(base[k], s)) for k in range(first, last + 1)]
@@ -103,12 +107,26 @@ def _suspects(off: np.ndarray, raw: np.ndarray) -> set[int]:
     return set((np.searchsorted(base, np.array(at), "right") - 1).tolist())
 
 
-def _identifier(run: str) -> bool:
-    """Known digests, UUIDs, and names, paths or dates built of words and numbers."""
+def _random(run: str, vocabulary: str, most_ratio: float) -> bool:
+    """Whether a run is no known digest, UUID or number, and packs into short tokens only.
+
+    In a run of separated words and numbers the separators and numbers cost
+    tokens, too; there the words by themselves must pack into short tokens as well.
+    What is repeated three times or more (fillers, rulers) counts once.
+    """
     if _UUID.fullmatch(run) or len(run) in _DIGEST_LENGTHS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run):
-        return True
-    parts = [p for p in re.split(r"[-_/+=]+", run) if p]
-    return len(parts) > 1 and all(_PART.fullmatch(p) for p in parts)
+        return False
+    run = _REPEATED.sub(r"\1", run)
+    digits, lower, upper = (sum(map(f, run)) for f in (str.isdigit, str.islower, str.isupper))
+    parts = [p for p in _SEPARATORS.split(run) if p]
+    plain = all(_PART.fullmatch(p) for p in parts)
+    if not lower + upper or len(run) < (LEAST_PLAIN if plain or not _mixed(digits, lower, upper) else LEAST_CHARS):
+        return False
+
+    def short(words: list[str]) -> bool:
+        encode = tiktoken_encoding(vocabulary).encode_ordinary
+        return sum(map(len, words)) < most_ratio * sum(len(encode(w)) for w in words)
+    return short([run]) and not (plain and len(parts) > 1 and not short([p for p in parts if not p.isdigit()]))
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -132,13 +150,10 @@ def spans(text: str, vocabulary: str = VOCABULARY, most_ratio: float = MOST_RATI
             continue
         s = text.index(run, s)
         e = s + len(run)
-        kinds = (sum(map(str.isdigit, run)), sum(map(str.islower, run)), sum(map(str.isupper, run)))
         before = bisect_left(starts, e)
-        if not _mixed(*kinds) or (before and reach[before - 1] > s) or _identifier(run):
+        if (before and reach[before - 1] > s) or not _random(run, vocabulary, most_ratio):
             continue
-        tokens = len(tiktoken_encoding(vocabulary).encode_ordinary(run))
-        if len(run) < most_ratio * tokens:
-            extra.append(("token", s, e))
+        extra.append(("token", s, e))
     return sorted(found + extra, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

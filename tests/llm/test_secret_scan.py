@@ -54,6 +54,23 @@ def test_random_strings_are_found_and_names_are_not():
         assert [k for k, _, _ in S.spans(clean) if k == "token"] == [], clean
 
 
+def test_random_strings_of_one_case_separated_and_short_ones_are_found():
+    rng = random.Random(10)
+    draw = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    lower, upper, both = string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters + string.digits
+    for least, make in ((180, lambda: draw(lower, 32)), (195, lambda: draw(upper, 32)), (195, lambda: draw(both, 16)), (170, lambda: draw(lower, 20)),
+                        (185, lambda: "-".join([*(draw(lower, 6) for _ in range(4)), draw("123456789", 4)])),
+                        (190, lambda: "_".join(draw(upper, 5) for _ in range(4)))):
+        keys = [make() for _ in range(200)]
+        for key in keys:
+            data = f"a key {key} there".encode()
+            assert not S.spans(data.decode()) or S._suspects(S.np.array([0, len(data)]), S.np.frombuffer(data, dtype=S.np.uint8))
+        assert sum(("token", 6, 6 + len(k)) in S.spans(f"a key {k} there") for k in keys) >= least, keys[0]
+    for clean in ("a-rather-long-title-of-a-page", "HAVE_GETHOSTBYNAME_R_3_ARG", "z" * 40, "VX" * 20, "DEADBEEF" * 3, "D41D8CD98F00B204E9800998ECF8427E", "2024-01-01-2024-12-31",
+                  "einpfauaueinchpf", "eneinpftzschtzzuein", "123E4567-E89B-12D3-A456-426614174000", "=" * 60, "_" * 60):
+        assert [k for k, _, _ in S.spans(clean) if k == "token"] == [], clean
+
+
 def test_clean_documents_have_no_token_spans(spark):
     found = S.digest(S.scan(spark.read.parquet(f"{SF}/documents.parquet"))).collect()
     assert not any("token:" in r["spans"] for r in found)
