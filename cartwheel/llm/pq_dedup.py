@@ -4,9 +4,9 @@ The index has coarse cells (k-means centroids) and, for every vector, a code of
 its residual in a few subspaces; it is fitted on a bounded sample and holds
 every row. A vector is a member of its nearest cell and visits each cell whose
 border (the plane half-way between the two centroids) lies within PROBE_SLACK
-of the link radius: chance moves a vector across a border by its length over the
-square root of the dimension, so these are many more cells than partners lie
-in. In a cell, table look-ups give the distance from a visitor to the members'
+of the link radius. The distances of two linked vectors to the border between
+their cells add up to the radius at most, and a link is met if either visits the
+other's cell, so half the radius misses none. In a cell, table look-ups give the distance from a visitor to the members'
 codes; a member is skipped only if this distance less the member's exact coding
 error still exceeds the radius, which loses nothing. What is left is compared by
 exact cosine in double precision.
@@ -38,8 +38,8 @@ SAMPLE = 8192
 #: Distinct vectors of a label in a cell, about, and most cells.
 PER_CELL, MOST_CELLS = 512, 1024
 SUBSPACES, CODEWORDS = 8, 32
-#: Share of the link radius within which a border makes a vector visit the other cell (1 misses none for sure).
-PROBE_SLACK = 0.4
+#: Share of the link radius within which a border makes a vector visit the other cell (below 0.5 links are lost).
+PROBE_SLACK = 0.5
 MEMBERS, VISITORS = 512, 1024
 
 
@@ -64,7 +64,7 @@ class Index:
         home = d.argmin(1)
         apart = np.sqrt(np.maximum((c ** 2).sum(1)[:, None] + (c ** 2).sum(1)[None] - 2 * c @ c.T, 1e-18))
         border = (d - d[np.arange(len(x)), home][:, None]) / (2 * apart[home])
-        near = border <= reach
+        near = border <= reach + 1e-6
         near[np.arange(len(x)), home] = False
         return home, [np.flatnonzero(row) for row in near]
 

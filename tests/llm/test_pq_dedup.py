@@ -45,6 +45,14 @@ def test_equals_brute_force(spark, seed):
     assert found(spark.createDataFrame(rows, SCHEMA), slack=1.0, per_cell=20) == brute(rows)
 
 
+@pytest.mark.parametrize("dim, per_cell", [(2, 4), (4, 4), (16, 8)])
+def test_production_slack_loses_no_link_with_many_cells(spark, dim, per_cell):
+    rng = np.random.default_rng(dim)
+    centres = rng.normal(size=(120, dim))
+    rows = [(i, (centres[i % 120] + rng.normal(size=dim) * 0.2).tolist(), 0) for i in range(480)]
+    assert found(spark.createDataFrame(rows, SCHEMA), per_cell=per_cell) == brute(rows)
+
+
 def test_hot_cell_in_blocks_and_slices(spark, monkeypatch):
     monkeypatch.setattr(Q, "MEMBERS", 16)
     monkeypatch.setattr(Q, "VISITORS", 24)
