@@ -14,7 +14,6 @@ search), and only texts with a possible hit are decoded and matched.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -138,22 +137,33 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def spans(text: str, vocabulary: str = VOCABULARY, most_ratio: float = MOST_RATIO) -> list[tuple[str, int, int]]:
-    """Base spans plus ``token`` spans: random runs that overlap no base span."""
+    """Base spans plus ``token`` spans: random runs, and what base spans leave of a run, if it is random."""
     found = base_spans(text)
-    starts = [s for _, s, _ in found]
-    reach = np.maximum.accumulate([e for _, _, e in found]).tolist() if found else []
-    extra = []
+    covered: list[tuple[int, int]] = []  # by base spans, without overlaps
+    for _, s, e in found:
+        if covered and s <= covered[-1][1]:
+            covered[-1] = covered[-1][0], max(covered[-1][1], e)
+        else:
+            covered.append((s, e))
+    extra, at = [], 0
     for m in _RUN.finditer(text):
         s, e = m.span()
-        run = m[0].strip("-_/+=") if e - s >= LEAST_CHARS else ""
-        if len(run) < LEAST_CHARS:
-            continue
-        s = text.index(run, s)
-        e = s + len(run)
-        before = bisect_left(starts, e)
-        if (before and reach[before - 1] > s) or not _random(run, vocabulary, most_ratio):
+        if e - s < LEAST_CHARS:
             continue
-        extra.append(("token", s, e))
+        while at < len(covered) and covered[at][1] <= s:
+            at += 1
+        pieces = []
+        while at < len(covered) and covered[at][0] < e:
+            pieces.append((s, covered[at][0]))
+            s = covered[at][1]
+            if s >= e:
+                break  # it may reach into the next run
+            at += 1
+        for s, e in (*pieces, (s, e)):
+            run = text[s:e].strip("-_/+=")
+            if len(run) >= LEAST_CHARS and _random(run, vocabulary, most_ratio):
+                s = text.index(run, s)
+                extra.append(("token", s, s + len(run)))
     return sorted(found + extra, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

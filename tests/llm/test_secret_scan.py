@@ -71,6 +71,31 @@ def test_random_strings_of_one_case_separated_and_short_ones_are_found():
         assert [k for k, _, _ in S.spans(clean) if k == "token"] == [], clean
 
 
+def test_what_base_spans_leave_of_a_run_is_tested(spark):
+    rng = random.Random(12)
+    secret = "".join(rng.choice(string.ascii_letters) for _ in range(40))
+    access, hexes = "AKIA" + "Q7" * 8, "0123456789abcdef" * 2
+    for text, kind, base in ((f"{access}/{secret}", "access", access), (f"{hexes}-{secret}", "hex", hexes), (f"x {secret}+{access} y", "access", access),
+                             (f"{secret}_{hexes}={secret[::-1]}", "hex", hexes), (f"password=short1/.{secret}", "assign", None)):
+        got = S.spans(text)
+        if base:
+            assert (kind, text.index(base), text.index(base) + len(base)) in got
+            for word in (secret, secret[::-1]):
+                assert word not in text or ("token", text.index(word), text.index(word) + 40) in got
+        data = S.np.frombuffer(text.encode(), dtype=S.np.uint8)
+        assert S._suspects(S.np.array([0, len(data)]), data) == {0}
+        assert secret not in S.redact(docs(spark, [(1, text)])).first()["text"]
+    # Overlapping base spans, and spans that begin before or end after the run.
+    for text in (f"secret=secret={secret}", f"token: {access}{secret.lower()}/{secret}", f"api_key={hexes}.{hexes}/{secret} {secret}"):
+        covered = set()
+        for _, s, e in S.spans(text):
+            covered |= set(range(s, e))
+        at = text.rindex(secret)
+        assert set(range(at, at + 40)) <= covered
+    for clean in (f"{access}/some/folder/of/reports", f"report-{hexes}-final-version-of-it"):
+        assert all(k != "token" for k, _, _ in S.spans(clean))
+
+
 def test_clean_documents_have_no_token_spans(spark):
     found = S.digest(S.scan(spark.read.parquet(f"{SF}/documents.parquet"))).collect()
     assert not any("token:" in r["spans"] for r in found)
