@@ -108,6 +108,13 @@ def test_models_as_sql_views(spark):
     assert sum(r.n for r in got) == want
 
 
+def test_staged_clicks_are_a_view(spark):
+    from cartwheel.plans.warehouse import Warehouse
+    wh = Warehouse(spark, SF, materialise=False)
+    assert "u_stg_clickstream_events" in wh.register_views(prefix="u_")
+    assert spark.sql("SELECT count(*) AS n FROM u_stg_clickstream_events").first().n == wh.stg_clickstream_events().count() > 0
+
+
 def test_declared_sources_read_the_landing_table(spark):
     click, _ = fixtures.landing_tables(spark, SF)
     root = scratch_path(spark, "test_sources")
