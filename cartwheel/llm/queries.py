@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, common, exact_dedup, hard_negatives, html_text, ngram_join, packing, pq_dedup, quality_fm, secret_scan, sharding, warc
+from cartwheel.llm import bpe, common, divergence, exact_dedup, hard_negatives, html_text, ngram_join, packing, pq_dedup, quality_fm, secret_scan, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -167,6 +167,52 @@ FROM sized JOIN placed USING (doc_id)
 """
 
 
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(common.read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), tokens AS MATERIALIZED (
+  SELECT d, lang, source, unnest(w) AS term FROM docs
+), kept AS MATERIALIZED (
+  SELECT lang, term FROM tokens GROUP BY lang, term HAVING count(DISTINCT d) >= 3
+), sizes AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), sources AS (
+  SELECT DISTINCT lang, source FROM docs
+), counted AS (
+  SELECT lang, source, term, count(*) AS n FROM tokens JOIN kept USING (lang, term) GROUP BY lang, source, term
+), dense AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, v
+  FROM sources JOIN kept USING (lang) JOIN sizes USING (lang) LEFT JOIN counted USING (lang, source, term)
+), shares AS MATERIALIZED (
+  SELECT lang, source, term, n, (1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER (PARTITION BY lang, source) + v)::HUGEINT)::BIGINT AS p FROM dense
+), whole AS (
+  SELECT lang, term, (1 + 1000000000::HUGEINT * (sum(n) + 1) // (sum(sum(n)) OVER (PARTITION BY lang) + any_value(v))::HUGEINT)::BIGINT AS q
+  FROM dense GROUP BY lang, term
+), summed AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+  SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM pairs
+UNION ALL
+SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT
+FROM terms QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) <= 200
+"""
+
+
 @query
 def op12_slot_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
