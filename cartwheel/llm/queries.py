@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, common, divergence, exact_dedup, hard_negatives, html_text, ngram_join, packing, pq_dedup, quality_fm, secret_scan, sharding, warc
+from cartwheel.llm import bpe, common, divergence, exact_dedup, hard_negatives, html_text, ngram_join, packing, pq_dedup, quality_fm, secret_scan, sharding, warc, weighted_sampling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -238,3 +238,8 @@ FROM positives JOIN scored USING (anchor_id)
 WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
 QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 3
 """
+
+
+@query
+def op13_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.compare_with_next(common.read_table(spark, sf_dir, "documents"))
