@@ -42,7 +42,7 @@ HEAD_TERMS, HEAD_BYTES = 131_072, 64
 BUCKET = 32_768
 #: Terms and sources of a unit.
 BLOCK, TILE = 4_096, 64
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def _document_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
