@@ -8,8 +8,12 @@ length. The plan says how many sequences are filled by which lengths.
 
 The search takes the largest length that is left, enumerates the undominated
 fillings of the rest of its sequence, least waste first, and uses one for as
-many sequences as the counts allow. A branch ends when its waste leaves no room
-for beating the incumbent, which starts as the best-fit decreasing packing.
+many sequences as the counts allow, or for half as many, and so on down to one. A
+branch ends when its waste leaves no room for beating the incumbent. Incumbents
+start as the best-fit decreasing packing and as completions without going back,
+around the largest and around the smallest piece. Among fillings of equal waste
+the order decides what is left for later sequences, so the search starts anew for
+every order of lengths (``ORDERS``), each with its share of the effort.
 """
 
 from __future__ import annotations
@@ -25,13 +29,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import ship, small_batches, text_bytes, written
-from cartwheel.llm.tokenizers import tiktoken_encoding
+from cartwheel.llm.tokenizers import encoding_of, hf_tokenizer
 
 CAPACITY = 1024
 END_ID = 2
-VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Search effort of the branch-and-bound, in fillings tried. The incumbent stands if it runs out.
-NODES = 10_000
+VOCABULARY = "byte_bpe_50k.json"
+#: Search effort of the branch-and-bound, in fillings tried over all orders. The incumbent stands if it runs out.
+NODES = 4_800
+#: Orders in which fillings of equal waste take their lengths: longest or shortest first, nearest to half the room, or
+#: nearest to the mean of what is left.
+ORDERS = ("long", "even", "mean", "short")
 #: Fillings kept for one largest length in one state (eight times as many are looked at).
 WIDTH = 12
 #: Parts of a length's pieces for ranking; a rank is the pieces in earlier parts plus the place in its own.
@@ -82,19 +89,10 @@ def best_fit(counts: list[int], capacity: int) -> Plan:
     return [(filling, times) for groups in open_.values() for filling, times in groups]
 
 
-def fillings(counts: list[int], room: int, most: int = WIDTH) -> Iterator[tuple[int, tuple[int, ...]]]:
-    """Undominated fillings (waste, lengths) of ``room``, least waste first, larger lengths first.
-
-    A filling is dominated if a longer piece that is there could take the place
-    of one of its pieces, or of two of them together, within the waste. A single
-    piece that fills the room exactly dominates all others.
-    """
-    if room and counts[room]:
-        yield 0, (room,)
-        return
-    sizes = [n for n in range(min(room, len(counts) - 1), 0, -1) if counts[n]]
+def _reached(counts: list[int], sizes: list[int], room: int) -> list[int]:
+    """For every i: the sums up to ``room`` of pieces from sizes[i:], a bit each."""
     mask = (1 << (room + 1)) - 1
-    reach = [1] * (len(sizes) + 1)  # reach[i]: bit s is set if pieces from sizes[i:] add up to s
+    reach = [1] * (len(sizes) + 1)
     for i in range(len(sizes) - 1, -1, -1):
         bits, size = reach[i + 1], sizes[i]
         left, some = min(counts[size], room // size), 1
@@ -104,10 +102,68 @@ def fillings(counts: list[int], room: int, most: int = WIDTH) -> Iterator[tuple[
             left -= some
             some *= 2
         reach[i] = bits
+    return reach
+
+
+def _ordered(counts: list[int], room: int, order: str) -> list[int]:
+    """Lengths up to ``room`` that are there, in an order of ``ORDERS``."""
+    sizes = [n for n in range(min(room, len(counts) - 1), 0, -1) if counts[n]]
+    if order == "short":
+        sizes.reverse()
+    elif order == "even":
+        sizes.sort(key=lambda n: abs(2 * n - room))
+    elif order == "mean":
+        pieces = sum(counts)
+        total = sum(n * c for n, c in enumerate(counts))
+        sizes.sort(key=lambda n: abs(n * pieces - total))
+    return sizes
+
+
+def _fullest(counts: list[int], room: int, order: str) -> tuple[int, ...]:
+    """One filling of least waste, the first in its order."""
+    sizes = _ordered(counts, room, order)
+    reach = _reached(counts, sizes, room)
+    total, used = reach[0].bit_length() - 1, []
+    for i, size in enumerate(sizes):
+        k = next((k for k in range(min(counts[size], total // size), 0, -1) if reach[i + 1] >> (total - k * size) & 1), 0)
+        used += [size] * k
+        total -= k * size
+    return tuple(used)
+
+
+def completed(counts: list[int], capacity: int, order: str, around_largest: bool) -> Plan:
+    """A packing without going back: the fullest sequence around the largest (or smallest) piece that is left, again and again."""
+    counts, plan = list(counts), []
+    while any(counts):
+        lengths = range(capacity, 0, -1) if around_largest else range(1, capacity + 1)
+        one = next(n for n in lengths if counts[n])
+        counts[one] -= 1
+        filling = (one, *_fullest(counts, capacity - one, order))
+        counts[one] += 1
+        need = Counter(filling)
+        times = min(counts[n] // k for n, k in need.items())
+        for n, k in need.items():
+            counts[n] -= k * times
+        plan.append((filling, times))
+    return plan
+
+
+def fillings(counts: list[int], room: int, most: int = WIDTH, order: str = "long") -> Iterator[tuple[int, tuple[int, ...]]]:
+    """Undominated fillings (waste, lengths) of ``room``, least waste first, those of equal waste by ``order``.
+
+    A filling is dominated if a longer piece that is there could take the place
+    of one of its pieces, or of two of them together, within the waste. A single
+    piece that fills the room exactly dominates all others.
+    """
+    if room and counts[room]:
+        yield 0, (room,)
+        return
+    sizes = _ordered(counts, room, order)
+    reach = _reached(counts, sizes, room)
     found = 0
 
     def made(i: int, total: int, used: tuple[int, ...]) -> Iterator[tuple[int, ...]]:
-        """Fillings of exactly ``total`` by sizes[i:], larger lengths first."""
+        """Fillings of exactly ``total`` by sizes[i:], earlier lengths first."""
         if total == 0:
             yield used
             return
@@ -141,25 +197,49 @@ def fillings(counts: list[int], room: int, most: int = WIDTH) -> Iterator[tuple[
         yield spare
 
 
+def _times(most: int) -> Iterator[int]:
+    """How often a filling is used: as often as it can, half as often, ..., once."""
+    while most > 0:
+        yield most
+        most //= 2
+
+
 def bin_completion(counts: list[int], capacity: int = CAPACITY, nodes: int = NODES) -> tuple[Plan, int]:
-    """(plan, lower bound): fillings with their number of sequences, as few in total as the search finds."""
+    """(plan, lower bound): fillings with their number of sequences, as few in total as the search finds.
+
+    The plan is as good as it can be if it meets the bound or the effort isn't used up; else the difference bounds
+    what it may lose.
+    """
     counts = list(counts) + [0] * (capacity + 1 - len(counts))
-    total = sum(n * c for n, c in enumerate(counts))
     lower = lower_bound(counts, capacity)
-    best = best_fit(counts, capacity)
+    plans = [best_fit(counts, capacity)]
+    for order in ORDERS:
+        plans += [completed(counts, capacity, order, around_largest) for around_largest in (True, False)]
+    best = min(plans, key=lambda plan: sum(times for _, times in plan))
+    for order in ORDERS:
+        best, done = _searched(counts, capacity, order, best, lower, nodes // len(ORDERS))
+        if done:
+            break
+    return best, lower
+
+
+def _searched(counts: list[int], capacity: int, order: str, best: Plan, lower: int, nodes: int) -> tuple[Plan, bool]:
+    """(best plan found, whether nothing better is left): branch and bound from one order of fillings."""
+    counts = list(counts)
+    total = sum(n * c for n, c in enumerate(counts))
     fewest = sum(times for _, times in best)
     path: list[tuple[tuple[int, ...], int, int, Iterator]] = []  # (filling, times, waste, alternatives)
     waste, tried = 0, 0
 
-    def largest() -> int:
-        return next((n for n in range(capacity, 0, -1) if counts[n]), 0)
-
-    def alternatives() -> Iterator[tuple[int, tuple[int, ...]]]:
-        top = largest()
+    def alternatives() -> Iterator[tuple[int, tuple[int, ...], int]]:
+        top = next((n for n in range(capacity, 0, -1) if counts[n]), 0)
         counts[top] -= 1
-        options = list(fillings(counts, capacity - top))
+        options = list(fillings(counts, capacity - top, order=order))
         counts[top] += 1
-        return iter([(w, (top, *used)) for w, used in options])
+        for lost, used in options:
+            filling = (top, *used)
+            for times in _times(min(counts[n] // k for n, k in Counter(filling).items())):
+                yield lost, filling, times
 
     options = alternatives() if total else iter(())
     while fewest > lower and tried < nodes:
@@ -167,30 +247,27 @@ def bin_completion(counts: list[int], capacity: int = CAPACITY, nodes: int = NOD
         step = next(options, None)
         if step is not None:
             tried += 1
-            lost, filling = step
-            need = Counter(filling)
-            times = min(counts[n] // k for n, k in need.items())
-            if lost:
-                times = min(times, (allowed - waste) // lost)
-            if times >= 1:
-                for n, k in need.items():
-                    counts[n] -= k * times
-                path.append((filling, times, lost * times, options))
-                waste += lost * times
-                if any(counts):
-                    options = alternatives()
-                    continue
-                best, fewest = [(f, t) for f, t, _, _ in path], sum(t for _, t, _, _ in path)
-            else:
+            lost, filling, times = step
+            if waste + lost > allowed:
                 options = iter(())  # all others waste at least as much
                 continue
+            if waste + lost * times > allowed:
+                continue  # fewer times may do
+            for n, k in Counter(filling).items():
+                counts[n] -= k * times
+            path.append((filling, times, lost * times, options))
+            waste += lost * times
+            if any(counts):
+                options = alternatives()
+                continue
+            best, fewest = [(f, t) for f, t, _, _ in path], sum(t for _, t, _, _ in path)
         if not path:
-            break
+            return best, True
         filling, times, lost, options = path.pop()
         waste -= lost
         for n, k in Counter(filling).items():
             counts[n] += k * times
-    return best, lower
+    return best, fewest <= lower
 
 
 def places(plan: Plan) -> np.ndarray:
@@ -209,13 +286,16 @@ def places(plan: Plan) -> np.ndarray:
 # ---------------------------------------------------------------- tokens and placement in Spark
 
 def token_ids(text: str, name: str = VOCABULARY) -> np.ndarray:
-    """A text's ids, little-endian unsigned 32-bit.
+    """A text's ids as the tokenizers library gives them (add_special_tokens=False), little-endian unsigned 32-bit.
 
-    ``name`` is the vocabulary's rank file; byte_bpe_50k.tiktoken holds the
-    vocabulary of byte_bpe_50k.json, and tiktoken gives the ids that the
-    tokenizers library gives (tests compare the two) in a fifth of the time.
+    ``name`` is the library's file. tiktoken does the work with the ranks of the same vocabulary and its added tokens,
+    whose strings in a text are ids of their own, in a fifth of the library's time (tests compare the two). Its pattern
+    engine gives up on very long runs of white space; such texts go to the library itself.
     """
-    return tiktoken_encoding(name).encode_to_numpy(text, disallowed_special=()).astype("<u4")
+    try:
+        return encoding_of(name).encode_to_numpy(text, allowed_special="all").astype("<u4")
+    except ValueError:
+        return np.array(hf_tokenizer(name).encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:

@@ -21,11 +21,21 @@ def tiktoken_encoding(name: str):
     return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(name), special_tokens={})
 
 
+@lru_cache(maxsize=4)
+def encoding_of(name: str):
+    """tiktoken's encoding of a byte-level tokenizers file: the ranks beside it, and the file's added tokens."""
+    import json
+
+    import tiktoken
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        added = {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
+    own = {token: rank for token, rank in ranks(name.removesuffix(".json") + ".tiktoken").items() if rank not in added.values()}
+    return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=own, special_tokens=added)
+
+
 @lru_cache(maxsize=4)
 def hf_tokenizer(name: str):
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
-    out = Tokenizer.from_file(public_tokenizers.path(name))
-    out.encode_special_tokens = True  # their strings in a text are ordinary text
-    return out
+    return Tokenizer.from_file(public_tokenizers.path(name))

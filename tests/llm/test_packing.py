@@ -1,8 +1,10 @@
 import random
+import time
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from cartwheel.llm import packing as P
 from cartwheel.llm.common import written
@@ -62,9 +64,35 @@ def test_large_plans_stay_near_the_bound():
         assert n <= sum(t for _, t in P.best_fit(counts, 1024)) and n <= lower * 1.03 + 2
 
 
+@pytest.mark.parametrize("low, high, n, most", [(200, 500, 20_000, 7_195), (200, 500, 2_000, 713), (250, 420, 3_000, 987)])
+def test_search_beats_best_fit_on_middle_lengths(low, high, n, most):
+    counts = np.bincount(np.random.default_rng(5).integers(low, high, n), minlength=1025).tolist()
+    start = time.monotonic()
+    plan, lower = P.bin_completion(counts)
+    assert time.monotonic() - start < 10
+    assert lower <= used(plan, 1024, counts) <= most < used(P.best_fit(counts, 1024), 1024, counts)
+
+
+def test_a_filling_is_used_fewer_times_where_that_is_better():
+    # around 6, the filling 6 + 4 twice leaves 3 + 3 + 3 + 1 with 5 + 5; used once the rest fills its sequences
+    for sizes, capacity in (((6, 6, 4, 4, 3, 3, 3, 1, 5, 5), 10), ((7, 7, 3, 3, 2, 2, 2, 1, 1, 1, 6, 5), 10)):
+        counts = [sizes.count(k) for k in range(capacity + 1)]
+        assert used(P.bin_completion(counts, capacity)[0], capacity, counts) == fewest(sizes, capacity)
+    assert list(P._times(10)) == [10, 5, 2, 1] and list(P._times(0)) == []
+
+
+def test_very_long_white_space_and_special_strings(spark):
+    texts = ["x" + " " * 1_000_000 + "y", "\n" * 2_000_000, "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "<|endoftext|", " <|endoftext|>\n"]
+    assert P.token_ids(texts[2]).tolist() == [64, 220, 50256, 275]
+    data = list(enumerate(texts))
+    verify(P.pack_documents(docs(spark, data)).collect(), data)
+
+
 def test_ids_equal_the_tokenizers_library():
     tokenizer, rng = hf_tokenizer("byte_bpe_50k.json"), random.Random(3)
-    texts = [t or "" for _, t in odd_texts()] + ["".join(chr(rng.choice([rng.randint(32, 126), rng.randint(160, 0x2FFF), 32, 10, rng.randint(0x1F300, 0x1F6FF)]))
+    special = "<|endoftext|>"
+    texts = [t or "" for _, t in odd_texts()] + ["".join(rng.choice(["a", " ", "\n", special, special[:-1], "|>", "é"]) for _ in range(rng.randint(0, 12)))
+                                                 for _ in range(500)] + ["".join(chr(rng.choice([rng.randint(32, 126), rng.randint(160, 0x2FFF), 32, 10, rng.randint(0x1F300, 0x1F6FF)]))
                                                         for _ in range(rng.randint(0, 40))) for _ in range(2000)]
     for t in texts:
         assert P.token_ids(t).tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
