@@ -1,11 +1,10 @@
 """Data-quality checks (Q1-Q6): each returns the violating rows (0 rows = pass).
 
 ``CHECKS`` lists every assertion the reference declares on its models
-(generic column tests and singular row predicates). ``dq_summary`` evaluates
-all of them with few passes: row-level checks of one model (not-null and
-predicates) share a single aggregation over that model; key checks
-(unique, relationships, accepted values) are one aggregation or anti join
-each. Row predicates are Column rules built from a few rule functions; the
+(generic column tests and singular row predicates). Row-level checks of a model
+that is written are counted while it is written (``observe``); ``dq_summary`` then
+reads only the key columns of such models, all columns of a key domain in one
+aggregation. A model that isn't written is read once for all its checks. Row predicates are Column rules built from a few rule functions; the
 oracle states the same checks in SQL of its own (``plans/oracle_checks.py``).
 """
 
@@ -14,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cartwheel.fixed_values import FUNNEL_EVENT_TYPES, REPEAT_HORIZONS, SESSION_MATCH, USER_MATCH
@@ -307,31 +306,95 @@ def _model_pass(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame
     return _stack(agg, names + [k.name], model)
 
 
-def dq_summary(models: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS) -> DataFrame:
-    """One row per check: ``(check_name, model, violations)``."""
+def row_checks(model: str, checks: Sequence[Check] = CHECKS) -> list[Check]:
+    """The checks of a model that look at one row at a time."""
+    return [c for c in checks if c.model == model and c.kind in ("not_null", "predicate", "accepted_values")]
+
+
+def observe(df: DataFrame, model: str, checks: Sequence[Check] = CHECKS) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``df`` with the model's row checks counted while an action runs over it (a write), and how to get the counts.
+
+    The counts are by check name: rows that break it. A task that runs twice may count twice, so a count above zero says
+    that there are violations and not how many; zero is exact.
+    """
+    rows = row_checks(model, checks)
+    if not rows:
+        return df, dict
+    seen = Observation(f"checks of {model}")
+    broken = [F.count_if(F.col(c.cols[0]).isNotNull() & ~F.col(c.cols[0]).isin(list(c.values)) if c.kind == "accepted_values" else _broken(c))
+              for c in rows]
+    return df.observe(seen, *[b.alias(f"c{i}") for i, b in enumerate(broken)]), lambda: {c.name: seen.get[f"c{i}"] for i, c in enumerate(rows)}
+
+
+def _count(bad: DataFrame, check: Check) -> DataFrame:
+    return bad.agg(F.count(F.lit(1)).cast("bigint").alias("violations")).select(
+        F.lit(check.name).alias("check_name"), F.lit(check.model).alias("model"), "violations")
+
+
+def _key_passes(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> list[DataFrame]:
+    """Uniqueness and references by key domain: the parent's key column and all columns that refer to it meet in one
+    aggregate by value, which every map task combines first. A value more than once in the parent breaks its
+    uniqueness; the rows of a value that the parent hasn't are orphans.
+    """
+    domains: dict[tuple[str, str], list[Check]] = {}
+    parts = []
+    for c in checks:
+        if c.kind == "relationships":
+            domains.setdefault((c.parent, c.parent_col), []).append(c)
+        elif c.kind == "unique" and len(c.cols) == 1:
+            domains.setdefault((c.model, c.cols[0]), []).append(c)
+        elif c.kind in ("unique", "unique_combination"):
+            bad = unique(models[c.model], c.cols) if c.kind == "unique" else unique_combination(models[c.model], c.cols)
+            parts.append(_count(bad, c))
+    for (parent, col), members in domains.items():
+        children = [c for c in members if c.kind == "relationships"]
+        sources = [(models[parent], col)] + [(models[c.model], c.cols[0]) for c in children]
+        values = union_all([df.select(F.col(name).alias("key"), F.lit(i).alias("source")).where("key IS NOT NULL")
+                            for i, (df, name) in enumerate(sources)])
+        by_value = values.groupBy("key").agg(*[F.count_if(F.col("source") == i).alias(f"_n{i}") for i in range(len(sources))])
+        orphans = iter(range(1, len(sources)))
+        counts = [f"coalesce(sum(if(_n0 = 0, _n{next(orphans)}, 0)), 0)" if c.kind == "relationships" else "count_if(_n0 > 1)" for c in members]
+        args = ", ".join(f"'{c.name}', '{c.model}', CAST(_c{i} AS BIGINT)" for i, c in enumerate(members))
+        parts.append(by_value.selectExpr(*[f"{e} AS _c{i}" for i, e in enumerate(counts)])
+                     .selectExpr(f"stack({len(members)}, {args}) AS (check_name, model, violations)"))
+    return parts
+
+
+def dq_summary(models: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS,
+               observed: Mapping[str, Mapping[str, int]] | None = None) -> DataFrame:
+    """One row per check: ``(check_name, model, violations)``.
+
+    ``observed`` holds what ``observe`` counted while a model was written: its row checks that no row broke need no
+    scan, and those that some did are counted anew, exactly. Keys of observed models are checked by domain
+    (``_key_passes``); a model that nobody wrote is read once for all its checks.
+    """
+    observed = observed or {}
     parts: list[DataFrame] = []
+    clean: list[tuple[str, str, int]] = []
+    keyed: list[Check] = []
     by_model: dict[str, list[Check]] = {}
     for c in checks:
         by_model.setdefault(c.model, []).append(c)
     for model, cks in by_model.items():
-        df = models[model]
-        p = _model_pass(df, model, cks)
-        if p is not None:
-            parts.append(p)
-        for c in cks:
-            if c.kind == "relationships":
-                bad = relationships(df, c.cols[0], models[c.parent], c.parent_col)
-            elif c.kind == "accepted_values":
-                bad = accepted_values(df, c.cols[0], c.values)
-            else:
-                continue
-            parts.append(bad.agg(F.count(F.lit(1)).cast("bigint").alias("violations")).select(
-                F.lit(c.name).alias("check_name"), F.lit(c.model).alias("model"), "violations"))
+        df, counts = models[model], observed.get(model)
+        unique_ = [c for c in cks if c.kind.startswith("unique")]
+        in_pass = unique_[:1] if counts is None else []  # the one pass over a model that isn't written takes one key along
+        keyed += [c for c in cks if c.kind == "relationships"] + [c for c in unique_ if c not in in_pass]
+        if counts is not None:
+            clean += [(c.name, model, 0) for c in cks if counts.get(c.name) == 0]
+            cks = [c for c in cks if counts.get(c.name) != 0]
+        cks = [c for c in cks if c not in unique_] + in_pass
+        one_pass = _model_pass(df, model, cks)
+        if one_pass is not None:
+            parts.append(one_pass)
+        parts += [_count(accepted_values(df, c.cols[0], c.values), c) for c in cks if c.kind == "accepted_values"]
+    parts += _key_passes(models, keyed)
     if "refunds" in models and "charges" in models:
         bad = refunds_exceeding_charge(models["refunds"], models["charges"])
-        parts.append(bad.agg(F.count(F.lit(1)).cast("bigint").alias("violations")).select(
-            F.lit(REFUND_VS_CHARGE).alias("check_name"), F.lit("refunds").alias("model"),
-            "violations"))
+        parts.append(_count(bad, Check("refunds", "predicate", label=REFUND_VS_CHARGE.split(".")[1])))
+    if clean:
+        spark = next(iter(models.values())).sparkSession
+        parts.append(spark.createDataFrame(clean, "check_name string, model string, violations bigint"))
     return union_all(parts)
 
 

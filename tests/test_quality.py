@@ -44,3 +44,40 @@ def test_oracle_states_every_row_check():
     from cartwheel.plans import oracle_checks
     assert {(c.model, c.label) for c in quality.CHECKS if c.kind == "predicate"} == {
         (m, label) for m, checks in oracle_checks.ROW_SQL.items() for label in checks}
+
+
+def test_observed_checks_need_no_scan_and_are_exact(spark, tmp_path):
+    from cartwheel.session import scratch_path
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d"), (None, None)], "id long, t string")
+    child = spark.createDataFrame([(1, 5, "x"), (3, -1, "y"), (3, 2, "y"), (None, 3, "z")], "ref long, amount long, kind string")
+    checks = [*quality._nn("p", "id", "t"), quality.Check("p", "unique", ("id",)), quality.Check("p", "unique_combination", ("id", "t")),
+              *quality._nn("c", "amount"), quality.Check("c", "relationships", ("ref",), "p", "id"), quality.Check("c", "unique", ("kind",)),
+              quality.Check("c", "accepted_values", ("kind",), values=("x", "z")), quality.Check("c", "accepted_values", ("amount",), values=(5, -1, 2, 3)),
+              quality.Check("c", "predicate", rule=quality.not_negative("amount"), label="neg"),
+              quality.Check("c", "predicate", rule=quality.above_zero("ref"), label="ref_positive")]
+    models, counts = {}, {}
+    for name, df in (("p", parent), ("c", child)):
+        checked, seen = quality.observe(df, name, checks)
+        path = scratch_path(spark, "test_observed", tmp_path.name, name)
+        checked.write.mode("overwrite").parquet(path)
+        models[name], counts[name] = spark.read.parquet(path), seen()
+    assert counts["p"] == {"p.id.not_null": 2, "p.t.not_null": 1} and counts["c"]["c.neg"] == 1 and counts["c"]["c.ref_positive"] == 0
+    want = {"p.id.not_null": 2, "p.t.not_null": 1, "p.id.unique": 1, "p.id+t.unique_combination": 0, "c.amount.not_null": 0,
+            "c.ref.references.p.id": 2, "c.kind.unique": 1, "c.kind.accepted_values": 1, "c.amount.accepted_values": 0, "c.neg": 1, "c.ref_positive": 0}
+    for observed in (None, counts, {"p": counts["p"]}, {m: {k: v + 7 * (v > 0) for k, v in c.items()} for m, c in counts.items()}):
+        got = quality.dq_summary(models, checks, observed)
+        assert {r.check_name: r.violations for r in got.collect()} == want and got.count() == len(checks)
+    # a clean model is read for its keys alone
+    clean = {"p": models["p"].where("id = 1")}
+    plan = quality.dq_summary(clean, [c for c in checks if c.model == "p" and len(c.cols) == 1], {"p": {"p.id.not_null": 0, "p.t.not_null": 0}})
+    assert "ReadSchema: struct<id:bigint>" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_written_model_is_observed(spark):
+    from cartwheel.plans.warehouse import MATERIALISED, Warehouse
+    wh = Warehouse(spark, "/root/testdata/sf0.001")
+    models = wh.quality_models()
+    assert set(wh.observed) == set(MATERIALISED)
+    plain = {r.check_name: r.violations for r in quality.dq_summary(models).collect()}
+    assert {r.check_name: r.violations for r in quality.dq_summary(models, observed=wh.observed).collect()} == plain
+    assert len(plain) == len(quality.CHECKS) + 1
