@@ -14,7 +14,7 @@ shuffles, so AQE's skew-join splitting covers a slice that is still too large.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import second_boundaries
@@ -143,3 +143,99 @@ def map_payment_to_session(mapping: DataFrame, sessions: DataFrame) -> DataFrame
         "event_id", "event_type", "event_user_id", "event_user_session", "matched_type",
         "match_score", "payment_event_time", "clickstream_time", "time_diff_seconds",
         "last_received_ts")
+
+
+# ------------------------------------------------------------------ best match by a sweep
+def _seconds(ts: str | F.Column) -> F.Column:
+    return F.unix_seconds((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
+
+
+_KEPT = ["event_id", "event_user_id", "event_user_session", "event_type", "clickstream_time", *CARRIED]
+
+
+def _clicks_by_second(clicks: DataFrame, key: str) -> DataFrame:
+    """The click that wins among those of one key, class (purchase or not) and second: latest receipt, then smallest id."""
+    latest = F.coalesce(-F.unix_micros(F.col("received_ts").cast("timestamp")), F.lit(2 ** 63 - 1))
+    rank = F.struct(latest.alias("latest"), F.col("event_id").alias("id"))
+    best = F.struct(rank.alias("rank"), F.struct(*_KEPT).alias("click"))
+    return (clicks.where(F.col(key).isNotNull() & F.col("event_time").isNotNull())
+            .groupBy(F.col(key).alias("key"), F.coalesce(F.col("event_type") == PURCHASE, F.lit(False)).alias("is_purchase"),
+                     _seconds("event_time").alias("sec"))
+            .agg(F.min_by(best, rank).alias("best")))
+
+
+def _sweep(asked: DataFrame, by_second: DataFrame, width: int) -> DataFrame:
+    """(key, sec, best): for every asked second and class the nearest clicks before and after it, less than ``width`` away.
+
+    Seconds are cut into slices of ``width``. A slice is read in time order, forth and back, and each asked second takes
+    the click seconds that were passed last. What lies beyond a slice's border can only be the last click second of the
+    slice before or the first one of the slice after, so every slice hands these on: an asked second costs a row, not the
+    clicks around it, and a slice has ``width`` rows a class at most, however hot its key.
+    """
+    at = F.floor(F.col("sec") / width)
+    clicks = by_second.withColumn("slice", at)
+    held = F.struct("sec", "best")
+    edge = clicks.groupBy("key", "is_purchase", "slice").agg(F.min_by(held, "sec").alias("first"), F.max_by(held, "sec").alias("last"))
+    border = edge.select("key", "is_purchase", F.explode(F.array(
+        F.struct((F.col("slice") + 1).alias("slice"), F.col("last").alias("of")),
+        F.struct((F.col("slice") - 1).alias("slice"), F.col("first").alias("of")))).alias("e"))
+    columns = ["key", "slice", "sec", "asked", "is_purchase", "best"]
+    none = F.lit(None).cast(by_second.schema["best"].dataType)
+    rows = (clicks.withColumn("asked", F.lit(False)).select(*columns)
+            .unionByName(border.select("key", "e.slice", "e.of.sec", F.lit(False).alias("asked"), "is_purchase", F.col("e.of.best").alias("best")))
+            .unionByName(asked.withColumn("slice", at).select("key", "slice", "sec", F.lit(True).alias("asked"),
+                                                              F.lit(None).cast("boolean").alias("is_purchase"), none.alias("best"))))
+    found = []
+    slice_ = Window.partitionBy("key", "slice")
+    for way, order in (("before", F.asc("sec")), ("after", F.desc("sec"))):
+        passed = slice_.orderBy(order, "asked").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        for purchase in (True, False):
+            name = f"{way}_{purchase}"
+            rows = rows.withColumn(name, F.last(F.when(F.col("is_purchase") == purchase, held), ignorenulls=True).over(passed))
+            found.append(F.struct(F.lit(purchase).alias("is_purchase"), F.col(f"{name}.sec").alias("click_sec"), F.col(f"{name}.best").alias("best")))
+    near = F.filter(F.array(*found), lambda x: x["best"].isNotNull() & (F.abs(x["click_sec"] - F.col("sec")) < width))
+    return rows.where("asked").select("key", "sec", F.explode(near).alias("n")).select("key", "sec", "n.*")
+
+
+def nearest_click(payments: DataFrame, events: DataFrame, minutes: int = 60) -> DataFrame:
+    """The best match of every payment without its candidates: equals ``map_payment_to_event`` over ``match_candidates``.
+
+    Best is: the session's purchase, the session's other clicks, the user's purchase, the user's others; then the least
+    distance in whole seconds, the latest receipt, the smallest event id. All clicks less than ``minutes`` away in whole
+    seconds lie in the window, and of these the nearest second before and after a payment decides (``_sweep``). Clicks of
+    the two seconds exactly ``minutes`` away lie in it or not by their fractions; they meet the payment in an equi-join
+    on that very second.
+    """
+    width = minutes * 60
+    pay = payments.select("payment_intent_id", F.col("payment_intent_event_ts").alias("payment_event_time"),
+                          F.col("user_id").alias("payment_user_id"), F.col("user_session").alias("payment_user_session"), "last_received_ts",
+                          _seconds("payment_intent_event_ts").alias("sec"))
+    clicks = events.select(F.col("event_pk").alias("event_id"), "user_id", "user_session", F.col("user_id").alias("event_user_id"),
+                           F.col("user_session").alias("event_user_session"), "event_type", "event_time",
+                           F.col("event_time").alias("clickstream_time"), "received_ts", *CARRIED)
+    span = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
+    found = None
+    for pay_key, key, kind, (high, low) in (("payment_user_session", "user_session", SESSION_MATCH, SESSION_MATCH_SCORES),
+                                            ("payment_user_id", "user_id", USER_MATCH, USER_MATCH_SCORES)):
+        mine = pay.where(F.col(pay_key).isNotNull() & F.col("sec").isNotNull()).withColumn("key", F.col(pay_key))
+        near = _sweep(mine.select("key", "sec").distinct(), _clicks_by_second(clicks, key), width)
+        inside = mine.join(near, ["key", "sec"]).select("payment_intent_id", "is_purchase", "best")
+        edges = mine.withColumn("click_sec", F.explode(F.array(F.col("sec") - width, F.col("sec") + width)))
+        at_edge = (clicks.where(F.col(key).isNotNull()).withColumn("click_sec", _seconds("event_time"))
+                   .withColumn("key", F.col(key)))
+        latest = F.coalesce(-F.unix_micros(F.col("received_ts").cast("timestamp")), F.lit(2 ** 63 - 1))
+        on_edge = (edges.join(at_edge, ["key", "click_sec"])
+                   .where(F.col("event_time").between(F.col("payment_event_time") - span, F.col("payment_event_time") + span))
+                   .select("payment_intent_id", F.coalesce(F.col("event_type") == PURCHASE, F.lit(False)).alias("is_purchase"),
+                           F.struct(F.struct(latest.alias("latest"), F.col("event_id").alias("id")).alias("rank"),
+                                    F.struct(*_KEPT).alias("click")).alias("best")))
+        scored = inside.unionByName(on_edge).select(
+            "payment_intent_id", F.when(F.col("is_purchase"), high).otherwise(low).alias("match_score"), F.lit(kind).alias("matched_type"), "best")
+        found = scored if found is None else found.unionByName(scored)
+    timed = found.join(pay.select("payment_intent_id", "payment_event_time", "last_received_ts"), "payment_intent_id").withColumn(
+        "time_diff_seconds", second_boundaries(F.col("best.click.clickstream_time"), F.col("payment_event_time")))
+    kept = F.struct("best.click.event_id", "best.click.event_user_id", "best.click.event_user_session", "best.click.event_type", "matched_type",
+                    "match_score", "payment_event_time", "best.click.clickstream_time", "time_diff_seconds", "last_received_ts",
+                    *[f"best.click.{c}" for c in CARRIED])
+    order = F.struct((-F.col("match_score")).alias("score"), F.abs("time_diff_seconds").alias("gap"), F.col("best.rank").alias("rank"))
+    return timed.groupBy("payment_intent_id").agg(F.min_by(kept, order).alias("best")).select("payment_intent_id", "best.*")

@@ -1,58 +1,132 @@
-"""Multi-batch incremental runs of the whole model graph.
-
-Each batch stages the landing data delivered so far (staging is a full
-table, as in the reference), takes the look-back slice past each target's
-watermark and rebuilds only the keys the batch touches, over their full
-history. A change propagates downstream through the keys of both the old
-and the new version of every rebuilt row (a session whose first event
-arrives late moves to another day: both days are rebuilt). Every merged
-table is written as a new snapshot under the checkpoint folder, so lineage
-stays one batch deep. The result equals a full refresh; the registered
-``*_incremental`` queries check that for every model.
+"""Multi-batch incremental runs of the whole model graph, at the cost of a slice.
+
+A batch reads the deliveries in the look-back past the landing watermark, stages
+them alone and compares them with the ledger: the staged table, which holds the
+best delivery of every payload so far, by the payload's own date. A payload that
+is delivered again finds its earlier delivery in the part of that date, so only
+parts of the batch's dates are read and written. What really changed, with the
+version it replaces, drives everything after: a change propagates through the keys
+of both the old and the new version of every rebuilt row (a session whose first
+event arrives late moves to another day: both days are rebuilt), and touched keys
+are rebuilt over their full history, which is read from the parts that hold it.
+
+Every model is laid out by date (``PARTS``); a merge writes the dates that lose or
+gain rows and no others. Tables and watermarks are committed together when all
+models of the batch are there (``run_state``): a run that stops in between is
+taken up by a new ``IncrementalModels`` over the same root, which does the batch
+again. The result equals a full refresh; the registered ``*_incremental`` queries
+check that for every model.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import blank_to_null
 from cartwheel.operators import activity, events, matching, payments, sessions, staging
 from cartwheel.operators import incremental as inc
-from cartwheel.plans.warehouse import in_time_order
+from cartwheel.plans.run_state import PART, RunState, as_mark, part_of
+from cartwheel.plans.warehouse import TIME_ORDERED
 from cartwheel.session import configure, new_run_id, scratch_path
 
+# The date that a model is laid out by. Staged tables go by a date of the payload itself,
+# so that every delivery of a payload has the same one. Dimensions are one part.
+PARTS: dict[str, str | None] = {
+    "stg_clickstream_events": "event_ts", "stg_payment_events": "provider_created_ts",
+    "fct_events": "event_date", "sessions_base": "session_date", "payment_events_clean": "event_date",
+    "payment_intents": "event_time", "charges": "event_time", "refunds": "event_time",
+    "charges_invalid": "event_ts", "payment_intents_invalid": "event_time",
+    "fct_payments": "payment_intent_event_ts", "payment_event_candidates": "payment_event_time",
+    "map_payment_to_event": "payment_event_time", "map_payment_to_session": "payment_event_time",
+    "fct_sessions": "session_date", "fct_user_daily_activity": "activity_date",
+    "fct_product_daily_activity": "activity_date", "dim_users": None, "dim_products": None,
+}
+# What tells two deliveries of a payload apart.
+DELIVERY = ["payload_hash", "ingested_at", "filename", "load_id"]
+
+
+class _Tables(Mapping):
+    """Committed tables, each read on demand."""
+
+    def __init__(self, store: RunState):
+        self._store = store
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._store.tables:
+            raise KeyError(name)
+        return self._store.read(name).drop(PART)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._store.tables)
+
+    def __len__(self) -> int:
+        return len(self._store.tables)
+
+
+# A batch touches many dates with few rows each: let several tasks write them, and list a few
+# hundred folders from the driver instead of by a job. Large parts are dealt as ever.
+_SMALL_PARTS = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+                "spark.sql.sources.parallelPartitionDiscovery.threshold": "256"}
+
+
+@contextmanager
+def _many_small_parts(spark: SparkSession) -> Iterator[None]:
+    before = {key: spark.conf.get(key) for key in _SMALL_PARTS}
+    for key, value in _SMALL_PARTS.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
 
 class IncrementalModels:
+    """Incremental runs over one root folder; what is committed there is the state to go on from."""
+
     def __init__(self, spark: SparkSession, lookback_days: int = 3,
-                 match_window_minutes: int = 60):
+                 match_window_minutes: int = 60, root: str | None = None):
         self.spark = configure(spark)
         self.lookback_days = lookback_days
         self.minutes = match_window_minutes
-        self.root = scratch_path(spark, "incremental", new_run_id())
-        self.state: dict[str, DataFrame] = {}
-        self.batch = 0
-
-    def _save(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{name}/batch={self.batch}"
-        in_time_order(name, df).write.mode("overwrite").parquet(path)
-        self.state[name] = self.spark.read.parquet(path)
-        return self.state[name]
-
-    def _merge(self, name: str, rebuilt: DataFrame, keys: list[str],
-               touched: DataFrame | None = None,
-               keep_old: bool = True) -> tuple[DataFrame, DataFrame | None, DataFrame]:
-        """Upsert ``rebuilt`` into model ``name``; returns (table, old rows of the
-        touched keys before the merge, new rows of the touched keys). Old rows
-        are only kept for models whose changes propagate further."""
-        prev = self.state.get(name)
-        new = self._save(f"{name}__delta", rebuilt)
-        scope = touched if touched is not None else new
-        old = None
-        if prev is not None and keep_old:
-            old = self._save(f"{name}__old", inc.semi_null_safe(prev, scope, keys))
-        table = self._save(name, inc.upsert(prev, new, keys, touched=touched))
-        return table, old, new
+        self.store = RunState(spark, root or scratch_path(spark, "incremental", new_run_id()))
+
+    @property
+    def batch(self) -> int:
+        """The last committed batch."""
+        return self.store.batch
+
+    @property
+    def state(self) -> Mapping[str, DataFrame]:
+        """The committed tables by name."""
+        return _Tables(self.store)
+
+    def run(self, click_landing: DataFrame, pay_landing: DataFrame) -> None:
+        """One batch over the landing tables; all its tables or none become the state."""
+        with _many_small_parts(self.spark):
+            self.store.begin()
+            with ThreadPoolExecutor(2) as both:  # the two feeds don't meet before the attribution
+                clicks = both.submit(self._clicks, click_landing)
+                pays = both.submit(self._payments, pay_landing)
+                click_mark, ev_old, ev_new, sb_old, sb_new = clicks.result()
+                pay_mark, p_old, p_new = pays.result()
+            self._attribution_and_facts(ev_old, ev_new, sb_old, sb_new, p_old, p_new)
+            self.store.commit({"landing_clickstream": click_mark, "landing_payments": pay_mark})
+
+    # -- plumbing ------------------------------------------------------------
+    @staticmethod
+    def _date(name: str) -> Column | None:
+        return None if PARTS[name] is None else F.col(PARTS[name])
+
+    def _merge(self, name: str, rebuilt: DataFrame, keys: list[str], touched: DataFrame | None = None,
+               keep_old: bool = True) -> tuple[DataFrame | None, DataFrame]:
+        return self.store.merge(name, rebuilt, keys, self._date(name), touched, keep_old, TIME_ORDERED.get(name, ()))
 
     @staticmethod
     def _both(old: DataFrame | None, new: DataFrame, *cols) -> DataFrame:
@@ -60,185 +134,235 @@ class IncrementalModels:
         out = new.select(*cols)
         return out if old is None else out.unionByName(old.select(*cols))
 
-    def run(self, click_landing: DataFrame, pay_landing: DataFrame) -> None:
-        self.batch += 1
-        days, w = self.lookback_days, self.minutes
-        # -- clickstream events: key = event_pk
-        stg = self._save("stg_clickstream_events", staging.stage_clickstream(click_landing))
-        target = self.state.get("fct_events")
-        wm = inc.high_watermark(target, "ingested_at")
-        slice_ = inc.lookback(stg, "ingested_at", wm, days, inclusive=True)
-        pk = F.coalesce(blank_to_null("event_id"), F.col("payload_hash"))
-        ev_keys = events.fct_events(slice_).select("event_pk")
-        ev_hist = stg.withColumn("event_pk", pk)
-        fct, ev_old, ev_new = self._merge("fct_events", events.fct_events(
-            inc.touched_history(ev_hist, ev_keys, ["event_pk"]).drop("event_pk")), ["event_pk"])
-
-        # -- sessions: every session with a rebuilt event (old or new session id)
-        sess_keys = self._both(ev_old, ev_new, F.col("user_session").alias("session_id"))
-        s_hist = fct.withColumn("session_id", F.col("user_session"))
-        base, sb_old, sb_new = self._merge("sessions_base", sessions.sessions_base(
-            inc.touched_history(s_hist, sess_keys, ["session_id"]).drop("session_id")),
-            ["session_id"], touched=sess_keys.where(F.col("session_id").isNotNull()))
-
-        # -- payments: key = intent; late charges / refunds touch their intent too
-        stg_pay = self._save("stg_payment_events", staging.stage_payments(pay_landing))
-        clean, intents, charges, refunds, pay_keys = self._payment_intermediates(stg_pay)
-
-        def build(affected_intents: DataFrame) -> DataFrame:
-            ids = affected_intents.select("payment_intent_id")
-            c = charges.join(ids, "payment_intent_id", "left_semi")
-            r = refunds.join(c.select("charge_id"), "charge_id", "left_semi")
-            return payments.fct_payments(affected_intents, c, r)
-
-        pays, p_old, p_new = self._merge("fct_payments", build(
-            inc.touched_history(intents, pay_keys, ["payment_intent_id"])), ["payment_intent_id"])
-
-        # -- attribution: rebuilt payments, plus payments within the window of a
-        #    rebuilt click (a late click can become an older payment's best match)
-        ev_changed = self._both(ev_old, ev_new, "event_pk", "event_time", "received_ts",
-                                "event_type", "user_id", "user_session", *matching.CARRIED)
-        lo, hi = ev_changed.agg(F.min("event_time"), F.max("event_time")).first()
-        if lo is None:
-            near = pays.limit(0).select("payment_intent_id")
+    def _touched(self, name: str, keys: DataFrame) -> DataFrame:
+        return self.store.scratch(f"touched-{name}", keys.distinct())
+
+    def _stage(self, name: str, landing: DataFrame, mark: str,
+               stage: Callable[[DataFrame], DataFrame]) -> tuple[str | None, DataFrame, DataFrame | None]:
+        """Stage a batch alone and merge it into the ledger.
+
+        Returns (landing watermark, staged rows that are new or another delivery than the ledger's, the ledger's rows
+        that they replace). The best delivery of a payload in the slice is the best of all: what the ledger holds is
+        either older than the slice or in it.
+        """
+        seen = self.store.marks.get(mark)
+        slice_ = landing if seen is None else inc.lookback(landing, "ingested_at", dt.datetime.fromisoformat(seen), self.lookback_days)
+        # of the raw documents later jobs read the payment payload alone
+        staged = stage(slice_).drop(*(staging.RAW if name == "stg_clickstream_events" else staging.RAW[:2])).withColumn(PART, part_of(self._date(name)))
+        if self.store.parts(name) is None:
+            self.store.replace(name, staged)
+            changed, prior = self.store.read(name), None
         else:
-            span = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(w))
-            pays_near = pays.where(F.col("payment_intent_event_ts").between(
-                F.lit(lo).cast("timestamp_ntz") - span, F.lit(hi).cast("timestamp_ntz") + span))
-            near = matching.match_candidates(pays_near, ev_changed, w).select("payment_intent_id")
-        touched_p = p_new.select("payment_intent_id").unionByName(near).distinct()
-        touched_p = self._save("touched_payments", touched_p)
-        cand_src = pays.join(touched_p, "payment_intent_id", "left_semi")
-        _, _, cand_new = self._merge("payment_event_candidates",
-                                     matching.match_candidates(cand_src, fct, w),
-                                     ["payment_intent_id"], touched=touched_p, keep_old=False)
-        map_ev, me_old, me_new = self._merge("map_payment_to_event",
-                                             matching.map_payment_to_event(cand_new),
-                                             ["payment_intent_id"], touched=touched_p)
-        # session mapping: also payments whose matched session was rebuilt
-        via_session = map_ev.join(
-            self._both(sb_old, sb_new, "session_id").withColumnRenamed(
-                "session_id", "event_user_session"), "event_user_session", "left_semi")
-        touched_ps = touched_p.unionByName(via_session.select("payment_intent_id")).distinct()
-        touched_ps = self._save("touched_payment_sessions", touched_ps)
-        map_s, ms_old, ms_new = self._merge(
-            "map_payment_to_session",
-            matching.map_payment_to_session(
-                map_ev.join(touched_ps, "payment_intent_id", "left_semi"), base),
-            ["payment_intent_id"], touched=touched_ps)
-
-        # -- session fact: rebuilt sessions and sessions gaining / losing payments
-        #    (payments whose amount or status changed reach theirs via touched_p)
-        fs_keys = (self._both(sb_old, sb_new, "session_id")
-                   .unionByName(self._both(ms_old, ms_new, "session_id"))
-                   .where(F.col("session_id").isNotNull()).distinct())
-        fs, fs_old, fs_new = self._merge(
-            "fct_sessions",
-            sessions.fct_sessions(base.join(fs_keys, "session_id", "left_semi"), map_s, pays),
-            ["session_id"], touched=fs_keys)
-
-        # -- user-day fact: (user, day) of old and new sessions and payments
-        day = F.to_date("payment_intent_event_ts").alias("activity_date")
-        ud_keys = (self._both(fs_old, fs_new, "user_id",
-                              F.col("session_date").alias("activity_date"))
-                   .unionByName(self._both(p_old, p_new, "user_id", day)).distinct())
-        s_in = inc.semi_null_safe(fs.withColumn("activity_date", F.col("session_date")),
-                                  ud_keys, ["user_id", "activity_date"]).drop("activity_date")
-        p_in = inc.semi_null_safe(pays.withColumn("activity_date", day), ud_keys,
-                                  ["user_id", "activity_date"]).drop("activity_date")
-        ud_keys = ud_keys.where(F.col("activity_date").isNotNull())
-        self._merge("fct_user_daily_activity", activity.fct_user_daily_activity(s_in, p_in),
-                    ["user_id", "activity_date"], touched=ud_keys, keep_old=False)
-
-        # -- product-day fact: days of rebuilt events and of events (old or new)
-        #    that touched payments are attributed to
-        ev_day = F.to_date("event_time").alias("activity_date")
-        click_day = F.to_date("clickstream_time").alias("activity_date")
-        mapped_days = self._both(me_old, me_new, "product_id", click_day)
-        pd_keys = (self._both(ev_old, ev_new, "product_id", ev_day).unionByName(mapped_days)
-                   .where(F.col("product_id").isNotNull()).distinct())
-        e_in = inc.semi_null_safe(fct.withColumn("activity_date", ev_day), pd_keys,
-                                  ["product_id", "activity_date"]).drop("activity_date")
-        m_in = inc.semi_null_safe(map_ev.withColumn("activity_date", click_day), pd_keys,
-                                  ["product_id", "activity_date"]).drop("activity_date")
-        self._merge("fct_product_daily_activity",
-                    activity.fct_product_daily_activity(e_in, m_in, pays),
-                    ["product_id", "activity_date"], touched=pd_keys, keep_old=False)
-
-        # -- dimensions
-        u_keys = (self._both(fs_old, fs_new, "user_id")
-                  .unionByName(self._both(p_old, p_new, "user_id")).distinct())
-        self._merge("dim_users", activity.dim_users(
-            inc.semi_null_safe(fs, u_keys, ["user_id"]),
-            inc.semi_null_safe(pays, u_keys, ["user_id"])), ["user_id"], touched=u_keys,
-            keep_old=False)
-        pr_keys = self._both(ev_old, ev_new, "product_id").where(
-            F.col("product_id").isNotNull()).distinct()
-        self._merge("dim_products", activity.dim_products(
-            fct.join(pr_keys, "product_id", "left_semi")), ["product_id"], touched=pr_keys,
-            keep_old=False)
-
-    def _payment_intermediates(self, stg_pay: DataFrame):
-        """Cleaned feed, intents, charges, refunds and both reject tables, each
-        rebuilt for the keys its look-back slice touches (T23: the stored row
-        of a touched key is re-ranked together with the new ones). Returns the
-        merged tables and the intents whose payment fact must be rebuilt."""
-        days = self.lookback_days
-        obj_id = blank_to_null("object.id")
-        # cleaned provider feed: key = event_pk
-        wm = inc.high_watermark(self.state.get("payment_events_clean"), "ingested_at")
-        sl = inc.lookback(stg_pay, "ingested_at", wm, days, inclusive=False)
-        keys = payments.clean_payment_events(sl).select("event_pk")
-        pk = F.coalesce(blank_to_null("provider_event_id"), blank_to_null("envelope_event_id"),
-                        F.col("payload_hash"))
-        hist = stg_pay.withColumn("event_pk", pk)
-        clean, _, _ = self._merge("payment_events_clean", payments.clean_payment_events(
-            inc.touched_history(hist, keys, ["event_pk"]).drop("event_pk")), ["event_pk"],
-            keep_old=False)
-
-        def keyed(df: DataFrame, prefix: str, key: str) -> DataFrame:
-            return (df.where(F.lower("event_type").startswith(prefix))
-                    .withColumn(key, obj_id))
-
-        # intents (read the cleaned feed): key = payment_intent_id
-        wm = inc.high_watermark(self.state.get("payment_intents"), "received_ts")
-        sl = inc.lookback(clean, "received_ts", wm, days, inclusive=False)
-        keys = payments.payment_intents(sl).select("payment_intent_id")
-        intents, i_old, i_new = self._merge("payment_intents", payments.payment_intents(
-            inc.touched_history(keyed(clean, "payment_intent.", "payment_intent_id"), keys,
-                                ["payment_intent_id"]).drop("payment_intent_id")),
-            ["payment_intent_id"])
-        # charges and refunds (read the staged feed); refund ids may be NULL
-        wm = inc.high_watermark(self.state.get("charges"), "received_ts")
-        sl = inc.lookback(stg_pay, "ingested_at", wm, days, inclusive=False)
-        keys = payments.charges(sl).select("charge_id")
-        charges, c_old, c_new = self._merge("charges", payments.charges(
-            inc.touched_history(keyed(stg_pay, "charge.", "charge_id"), keys, ["charge_id"])
-            .drop("charge_id")), ["charge_id"])
-        wm = inc.high_watermark(self.state.get("refunds"), "received_ts")
-        sl = inc.lookback(stg_pay, "ingested_at", wm, days, inclusive=False)
-        keys = payments.refunds(sl).select("refund_id")
-        refunds, r_old, r_new = self._merge("refunds", payments.refunds(
-            inc.semi_null_safe(keyed(stg_pay, "refund.", "refund_id"), keys, ["refund_id"])
-            .drop("refund_id")), ["refund_id"])
-        # rejects: keyed on the provider event id (the reference's key is always NULL)
-        for name, src, build in (("charges_invalid", stg_pay, payments.charges_invalid),
-                                 ("payment_intents_invalid", clean,
-                                  payments.payment_intents_invalid)):
-            wm = inc.high_watermark(self.state.get(name), "received_ts")
-            ts = "ingested_at" if src is stg_pay else "received_ts"
-            sl = inc.lookback(src, ts, wm, days, inclusive=False)
-            touched = build(sl).select("provider_event_id")
-            self._merge(name, build(inc.semi_null_safe(src, touched, ["provider_event_id"])),
-                        ["provider_event_id"], touched=touched, keep_old=False)
+            fresh = self.store.scratch(f"{name}-slice", staged)
+            parts = {r[0] for r in fresh.select(PART).distinct().collect()}
+            ledger = self.store.read(name, parts)
+            changed = self.store.scratch(f"{name}-new", fresh.join(ledger, inc._null_safe_on(fresh, ledger, DELIVERY), "left_anti"))
+            prior = self.store.scratch(f"{name}-old", inc.semi_null_safe(ledger, changed, ["payload_hash"]))
+            parts = {r[0] for r in changed.select(PART).distinct().collect()}
+            if parts:
+                ledger, keys = self.store.read(name, parts), changed.select("payload_hash")
+                kept = ledger.join(keys, ledger["payload_hash"].eqNullSafe(keys["payload_hash"]), "left_anti")
+                self.store.replace(name, kept.unionByName(changed), parts)
+        latest = changed.agg(F.max("ingested_at")).first()[0]
+        newest = as_mark(latest)
+        return max(filter(None, (newest, seen)), default=None), changed, prior
+
+    # -- clickstream: events and sessions -------------------------------------
+    def _clicks(self, landing: DataFrame):
+        mark, changed, prior = self._stage("stg_clickstream_events", landing, "landing_clickstream", staging.stage_clickstream)
+        pk = {"event_pk": F.coalesce(blank_to_null("event_id"), F.col("payload_hash"))}
+        if prior is None:
+            history, keys = changed, None
+        else:
+            keys = self._touched("events", self._both(prior, changed, pk["event_pk"].alias("event_pk")).where("event_pk is not null"))
+            history = self.store.rows_of("stg_clickstream_events", keys, pk)
+        ev_old, ev_new = self._merge("fct_events", events.fct_events(history.drop(PART)), ["event_pk"], touched=keys)
+
+        # every session with a rebuilt event (old or new session id)
+        if ev_old is None and self.store.parts("sessions_base") is None:
+            sb_old, sb_new = self._merge("sessions_base", sessions.sessions_base(ev_new), ["session_id"])
+        else:
+            keys = self._touched("sessions", self._both(ev_old, ev_new, F.col("user_session").alias("session_id"))
+                                 .where("session_id is not null"))
+            sb_old, sb_new = self._merge("sessions_base", sessions.sessions_base(
+                self.store.rows_of("fct_events", keys, {"session_id": F.col("user_session")})), ["session_id"], touched=keys)
+        return mark, ev_old, ev_new, sb_old, sb_new
+
+    # -- payments: feed, intents, charges, refunds, rejects, fact -------------
+    def _payments(self, landing: DataFrame):
+        mark, changed, prior = self._stage("stg_payment_events", landing, "landing_payments", staging.stage_payments)
+        store, obj_id, first = self.store, blank_to_null("object.id"), prior is None
+        clean_pk = F.coalesce(blank_to_null("provider_event_id"), blank_to_null("envelope_event_id"), F.col("payload_hash"))
+
+        def rebuilt(name: str, source: str, new: DataFrame, old: DataFrame | None, keys: dict[str, Column], build,
+                    only: Column | None = None, nulls: bool = False, keep_old: bool = True):
+            """Merge ``build`` over the history of all keys that rows of ``source`` changed for."""
+            if first:
+                return self._merge(name, build(new.drop(PART)), list(keys), keep_old=keep_old)
+            both = self._both(old, new, "*") if only is None else self._both(old, new, "*").where(only)
+            ids = both.select(*[c.alias(k) for k, c in keys.items()])
+            if not nulls:
+                ids = ids.dropna()
+            ids = self._touched(name, ids)
+            rows = store.rows_of(source, ids, keys)
+            return self._merge(name, build((rows if only is None else rows.where(only)).drop(PART)), list(keys), touched=ids, keep_old=keep_old)
+
+        def of_type(prefix: str) -> Column:
+            return F.lower("event_type").startswith(prefix) & F.col("object.id").isNotNull()
+
+        no_id = F.col("object.id").isNull()
+        with ThreadPoolExecutor(4) as each:
+            charges = each.submit(rebuilt, "charges", "stg_payment_events", changed, prior, {"charge_id": obj_id}, payments.charges, of_type("charge."))
+            refunds = each.submit(rebuilt, "refunds", "stg_payment_events", changed, prior, {"refund_id": obj_id}, payments.refunds,
+                                  of_type("refund."), nulls=True)
+            # rejects: keyed on the provider event id (the reference's key is always NULL)
+            no_charge = each.submit(rebuilt, "charges_invalid", "stg_payment_events", changed, prior, {"provider_event_id": F.col("provider_event_id")},
+                                    payments.charges_invalid, F.lower("event_type").startswith("charge.") & no_id, nulls=True, keep_old=False)
+            cl_old, cl_new = rebuilt("payment_events_clean", "stg_payment_events", changed, prior, {"event_pk": clean_pk},
+                                     payments.clean_payment_events)
+            no_intent = each.submit(rebuilt, "payment_intents_invalid", "payment_events_clean", cl_new, cl_old,
+                                    {"provider_event_id": F.col("provider_event_id")}, payments.payment_intents_invalid,
+                                    F.lower("event_type").startswith("payment_intent.") & no_id, nulls=True, keep_old=False)
+            i_old, i_new = rebuilt("payment_intents", "payment_events_clean", cl_new, cl_old, {"payment_intent_id": obj_id},
+                                   payments.payment_intents, of_type("payment_intent."))
+            (c_old, c_new), (r_old, r_new), *_ = [x.result() for x in (charges, refunds, no_charge, no_intent)]
+
+        if first:
+            p_old, p_new = self._merge("fct_payments", payments.fct_payments(i_new, c_new, r_new), ["payment_intent_id"])
+            return mark, p_old, p_new
         # intents whose fact changes: their own rows, their charges, refunds of those charges
-        charge_links = charges.select("charge_id", "payment_intent_id")
+        links = store.read("charges").select("charge_id", "payment_intent_id")
         if c_old is not None:
-            charge_links = charge_links.unionByName(c_old.select("charge_id", "payment_intent_id"))
-        refund_charges = self._both(r_old, r_new, "charge_id")
-        pay_keys = (self._both(i_old, i_new, "payment_intent_id")
-                    .unionByName(self._both(c_old, c_new, "payment_intent_id"))
-                    .unionByName(refund_charges.join(charge_links, "charge_id")
-                                 .select("payment_intent_id"))
-                    .where(F.col("payment_intent_id").isNotNull()).distinct())
-        return clean, intents, charges, refunds, pay_keys
+            links = links.unionByName(c_old.select("charge_id", "payment_intent_id"))
+        keys = self._touched("payments", self._both(i_old, i_new, "payment_intent_id")
+                             .unionByName(self._both(c_old, c_new, "payment_intent_id"))
+                             .unionByName(self._both(r_old, r_new, "charge_id").join(links, "charge_id").select("payment_intent_id"))
+                             .dropna())
+        some = store.rows_of("payment_intents", keys, ["payment_intent_id"])
+        theirs = store.scratch("charges-of-touched", store.rows_of("charges", keys, ["payment_intent_id"]))
+        refunds = store.rows_of("refunds", theirs.select("charge_id"), ["charge_id"])
+        p_old, p_new = self._merge("fct_payments", payments.fct_payments(some, theirs, refunds), ["payment_intent_id"], touched=keys)
+        return mark, p_old, p_new
+
+    # -- what needs both feeds -------------------------------------------------
+    def _attribution_and_facts(self, ev_old, ev_new, sb_old, sb_new, p_old, p_new) -> None:
+        store, w = self.store, self.minutes
+        first = store.parts("payment_event_candidates") is None
+        pays = store.read("fct_payments")
+
+        # rebuilt payments, plus payments within the window of a rebuilt click
+        # (a late click can become an older payment's best match)
+        if first:
+            touched_p, cand_src = None, pays
+        else:
+            ev_changed = self._both(ev_old, ev_new, "event_pk", "event_time", "received_ts",
+                                    "event_type", "user_id", "user_session", *matching.CARRIED)
+            near = self._near(ev_changed)
+            touched_p = self._touched("attribution", self._both(p_old, p_new, "payment_intent_id").unionByName(near))
+            cand_src = store.scratch("touched-payment-rows", store.rows_of("fct_payments", touched_p, ["payment_intent_id"]))
+        _, cand_new = self._merge("payment_event_candidates", matching.match_candidates(cand_src, self._clicks_around(cand_src), w, prefilter=False),
+                                     ["payment_intent_id"], touched=touched_p, keep_old=False)
+        me_old, me_new = self._merge("map_payment_to_event", matching.map_payment_to_event(cand_new),
+                                        ["payment_intent_id"], touched=touched_p)
+        # session mapping: also payments whose matched session was rebuilt
+        if first:
+            touched_ps, mapped = None, me_new
+            found = store.read("sessions_base")
+        else:
+            rebuilt = self._both(sb_old, sb_new, "session_id").distinct()
+            via = store.rows_of("map_payment_to_event", rebuilt, {"session_id": F.col("event_user_session")})
+            touched_ps = self._touched("payment-sessions", touched_p.unionByName(via.select("payment_intent_id")))
+            mapped = store.scratch("mapped", store.rows_of("map_payment_to_event", touched_ps, ["payment_intent_id"]))
+            found = store.rows_of("sessions_base", mapped.select(F.col("event_user_session").alias("session_id")).dropna(), ["session_id"])
+        ms_old, ms_new = self._merge("map_payment_to_session", matching.map_payment_to_session(mapped, found),
+                                            ["payment_intent_id"], touched=touched_ps)
+
+        with ThreadPoolExecutor(2) as both:  # the product facts don't need the sessions
+            products = both.submit(self._product_facts, first, ev_old, ev_new, me_old, me_new, p_old, p_new)
+            users = both.submit(self._user_facts, first, sb_old, sb_new, ms_old, ms_new, p_old, p_new)
+            products.result()
+            users.result()
+
+    def _span(self, lo: dt.datetime, hi: dt.datetime, days: int) -> list[str]:
+        """Parts of the days from ``lo`` to ``hi``, widened by ``days``."""
+        first, last = lo.date() - dt.timedelta(days=days), hi.date() + dt.timedelta(days=days)
+        return [(first + dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
+
+    def _clicks_around(self, pays: DataFrame) -> DataFrame:
+        """Clicks that lie within the window of one of these payments' times, read from the parts of those days."""
+        lo, hi = pays.agg(F.min("payment_intent_event_ts"), F.max("payment_intent_event_ts")).first()
+        clicks = self.store.read("fct_events", [] if lo is None else self._span(lo, hi, 1 + self.minutes // 1440))
+        if lo is None:
+            return clicks
+        span = dt.timedelta(minutes=self.minutes)
+        return clicks.where(F.col("event_time").between(F.lit(lo - span).cast("timestamp_ntz"), F.lit(hi + span).cast("timestamp_ntz")))
+
+    def _near(self, clicks: DataFrame) -> DataFrame:
+        """Payments within the window of one of these clicks."""
+        lo, hi = clicks.agg(F.min("event_time"), F.max("event_time")).first()
+        if lo is None:
+            return self.store.read("fct_payments", []).select("payment_intent_id")
+        span = dt.timedelta(minutes=self.minutes)
+        pays = self.store.read("fct_payments", self._span(lo, hi, 1 + self.minutes // 1440)).where(
+            F.col("payment_intent_event_ts").between(F.lit(lo - span).cast("timestamp_ntz"), F.lit(hi + span).cast("timestamp_ntz")))
+        return matching.match_candidates(pays, clicks, self.minutes, prefilter=False).select("payment_intent_id")
+
+    def _user_facts(self, first, sb_old, sb_new, ms_old, ms_new, p_old, p_new) -> None:
+        store = self.store
+        if first:
+            pays = store.read("fct_payments")
+            _, fs_new = self._merge("fct_sessions", sessions.fct_sessions(store.read("sessions_base").drop(PART), ms_new, pays), ["session_id"])
+            self._merge("fct_user_daily_activity", activity.fct_user_daily_activity(fs_new, pays), ["user_id", "activity_date"])
+            self._merge("dim_users", activity.dim_users(fs_new, pays), ["user_id"])
+            return
+        # rebuilt sessions and sessions gaining / losing payments
+        # (payments whose amount or status changed reach theirs via the session mapping)
+        keys = self._touched("session-facts", self._both(sb_old, sb_new, "session_id")
+                             .unionByName(self._both(ms_old, ms_new, "session_id")).dropna())
+        theirs = store.scratch("payments-of-sessions", store.rows_of("map_payment_to_session", keys, ["session_id"]).select("payment_intent_id", "session_id"))
+        fs_old, fs_new = self._merge(
+            "fct_sessions", sessions.fct_sessions(store.rows_of("sessions_base", keys, ["session_id"]).drop(PART), theirs,
+                                                  store.rows_of("fct_payments", theirs, ["payment_intent_id"])),
+            ["session_id"], touched=keys)
+        # (user, day) of old and new sessions and payments
+        day = F.to_date("payment_intent_event_ts")
+        changed = (self._both(fs_old, fs_new, "user_id", F.col("session_date").alias("activity_date"))
+                   .unionByName(self._both(p_old, p_new, "user_id", day.alias("activity_date"))))
+        keys = self._touched("user-days", changed.where("activity_date is not null"))
+        parts = [r[0] for r in keys.select(part_of(F.col("activity_date"))).distinct().collect()]  # both facts lie by this day
+        s_in = inc.semi_null_safe(store.read("fct_sessions", parts).withColumn("activity_date", F.col("session_date")),
+                                  keys, ["user_id", "activity_date"]).drop("activity_date")
+        p_in = inc.semi_null_safe(store.read("fct_payments", parts).withColumn("activity_date", day),
+                                  keys, ["user_id", "activity_date"]).drop("activity_date")
+        with ThreadPoolExecutor(1) as other:
+            days = other.submit(self._merge, "fct_user_daily_activity", activity.fct_user_daily_activity(s_in, p_in),
+                                ["user_id", "activity_date"], touched=keys, keep_old=False)
+            keys = self._touched("users", changed.select("user_id"))
+            self._merge("dim_users", activity.dim_users(store.rows_of("fct_sessions", keys, ["user_id"]), store.rows_of("fct_payments", keys, ["user_id"])),
+                        ["user_id"], touched=keys, keep_old=False)
+            days.result()
+
+    def _product_facts(self, first, ev_old, ev_new, me_old, me_new, p_old, p_new) -> None:
+        store = self.store
+        if first:
+            self._merge("fct_product_daily_activity", activity.fct_product_daily_activity(ev_new, me_new, p_new), ["product_id", "activity_date"])
+            self._merge("dim_products", activity.dim_products(ev_new), ["product_id"])
+            return
+        # days of rebuilt events and of events (old or new) that touched payments are attributed to
+        ev_day, click_day = F.to_date("event_time"), F.to_date("clickstream_time")
+        keys = self._touched("product-days", self._both(ev_old, ev_new, "product_id", ev_day.alias("activity_date"))
+                             .unionByName(self._both(me_old, me_new, "product_id", click_day.alias("activity_date")))
+                             .where("product_id is not null"))
+        parts = [r[0] for r in keys.select(part_of(F.col("activity_date"))).distinct().collect()]
+        e_in = inc.semi_null_safe(store.read("fct_events", parts).withColumn("activity_date", ev_day),
+                                  keys, ["product_id", "activity_date"]).drop("activity_date")
+        m_in = store.scratch("mapping-of-product-days", store.rows_of(
+            "map_payment_to_event", keys, {"product_id": F.col("product_id"), "activity_date": click_day}))
+        theirs = store.rows_of("fct_payments", m_in.select("payment_intent_id"), ["payment_intent_id"])
+        with ThreadPoolExecutor(1) as other:
+            days = other.submit(self._merge, "fct_product_daily_activity", activity.fct_product_daily_activity(e_in, m_in, theirs),
+                                ["product_id", "activity_date"], touched=keys, keep_old=False)
+            keys = self._touched("products", self._both(ev_old, ev_new, "product_id").dropna())
+            self._merge("dim_products", activity.dim_products(store.rows_of("fct_events", keys, ["product_id"])), ["product_id"],
+                        touched=keys, keep_old=False)
+            days.result()

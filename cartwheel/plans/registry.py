@@ -538,7 +538,8 @@ _DQ_SQL = "\nUNION ALL\n".join(
 @register("dq_summary", _DQ_SQL)
 def q_dq_summary(wh: Warehouse) -> DataFrame:
     """Q1-Q6: violations per declared check (0 = pass) over all models."""
-    return quality.dq_summary(wh.quality_models())
+    models = wh.quality_models()
+    return quality.dq_summary(models, observed=wh.observed)
 
 
 @register("dq_event_type_violations", """
@@ -590,13 +591,24 @@ BATCH_CUTOFFS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00", None)
 _inc_lock = threading.Lock()
 
 
+def _landed(wh: Warehouse) -> list[DataFrame]:
+    """Both landing tables, written by ``dt`` as a landing writes them."""
+    with _raw_lock:
+        root = f"{wh.root}/declared"
+        if not getattr(wh, "_declared", False):
+            for name, rows in zip(landing.SOURCES, (wh.landing_clickstream(), wh.landing_payments())):
+                landing.append_landing_table(rows, f"{root}/{landing.SOURCES[name]}")
+            wh._declared = True
+        return [landing.load_source(wh.spark, name, root) for name in landing.SOURCES]
+
+
 def _incremental(wh: Warehouse) -> IncrementalModels:
     """Three deliveries (data received before each cut-off), run incrementally."""
     with _inc_lock:
         if getattr(wh, "_incremental", None) is None:
             im = IncrementalModels(wh.spark, wh.lookback_days, wh.match_window_minutes)
             for cut in BATCH_CUTOFFS:
-                click, pay = wh.landing_clickstream(), wh.landing_payments()
+                click, pay = _landed(wh)
                 if cut is not None:
                     bound = F.lit(cut).cast("timestamp_ntz")
                     click = click.where(F.col("ingested_at") < bound)
@@ -778,15 +790,9 @@ UNION ALL
 SELECT 'landing.payment_events_raw', dt, count(*), count(DISTINCT event_id) FROM pay_landing GROUP BY dt""")
 def q_declared_sources(wh: Warehouse) -> DataFrame:
     """Both declared landing tables, read by their source name."""
-    root = f"{wh.root}/declared"
-    with _raw_lock:
-        if not getattr(wh, "_declared", False):
-            for name, rows in zip(landing.SOURCES, (wh.landing_clickstream(), wh.landing_payments())):
-                landing.append_landing_table(rows, f"{root}/{landing.SOURCES[name]}")
-            wh._declared = True
-    per_source = [landing.load_source(wh.spark, name, root).groupBy("dt").agg(
+    per_source = [rows.groupBy("dt").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("events"))
-        .select(F.lit(name).alias("source"), "dt", "n_rows", "events") for name in landing.SOURCES]
+        .select(F.lit(name).alias("source"), "dt", "n_rows", "events") for name, rows in zip(landing.SOURCES, _landed(wh))]
     return per_source[0].unionByName(per_source[1])
 
 
@@ -814,3 +820,42 @@ def q_payment_documents(wh: Warehouse) -> DataFrame:
                          leaf("$.balance_transaction.fee").alias("fee"))
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+# ------------------------------------------- the same results by other ways
+from cartwheel.operators import activity_bitmaps  # noqa: E402
+
+
+@register("map_payment_to_event_sweep", ORACLE_FINAL["map_payment_to_event"])
+def q_map_payment_to_event_sweep(wh: Warehouse) -> DataFrame:
+    """Best match by a sweep over (key, hour) slices, without candidate pairs."""
+    return matching.nearest_click(wh.fct_payments(), wh.fct_events(), wh.match_window_minutes).select(*MAP_EVENT)
+
+
+def _bitmaps(wh: Warehouse) -> tuple[DataFrame, DataFrame]:
+    """(bitmaps by day, user numbers), built for the days before the last week and extended by that week."""
+    with _raw_lock:
+        if getattr(wh, "_day_bitmaps", None) is None:
+            daily, users, held = wh.fct_user_daily_activity(), wh.dim_users(), {}
+            week = F.date_sub(F.lit(daily.agg(F.max("activity_date")).first()[0]).cast("date"), 6)
+            numbers = activity_bitmaps.number_users(users.where(F.col("first_seen_date") < week))
+            older = daily.where(F.col("activity_date") < week)
+            for kind, build in (("numbers", lambda: numbers), ("bitmaps", lambda: activity_bitmaps.day_bitmaps(older, held["numbers"]))):
+                build().write.mode("overwrite").parquet(f"{wh.root}/active/{kind}")
+                held[kind] = wh.spark.read.parquet(f"{wh.root}/active/{kind}")
+            wh._day_bitmaps = activity_bitmaps.extend(held["bitmaps"], held["numbers"], daily.where(F.col("activity_date") >= week), users)
+        return wh._day_bitmaps
+
+
+@register("dau_wau_mau_bitmaps", ORACLE_FINAL["dau_wau_mau"])
+def q_dau_wau_mau_bitmaps(wh: Warehouse) -> DataFrame:
+    """M1: active users from exact day bitmaps, the last week's added to those before."""
+    return activity_bitmaps.dau_wau_mau(_bitmaps(wh)[0])
+
+
+@register("retention_cohorts_bitmaps", ORACLE_FINAL["retention_cohorts"])
+def q_retention_cohorts_bitmaps(wh: Warehouse) -> DataFrame:
+    """M4: retention from the bits that a cohort and a day have in common."""
+    bitmaps, numbers = _bitmaps(wh)
+    users = wh.dim_users()
+    return activity_bitmaps.retention_cohorts(bitmaps, activity_bitmaps.cohort_bitmaps(users, numbers), users)

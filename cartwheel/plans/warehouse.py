@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.fixed_values import LOOKBACK_DAYS, MATCH_WINDOW_MINUTES
-from cartwheel.operators import activity, events, matching, metrics, payments, sessions, staging
+from cartwheel.operators import activity, events, matching, metrics, payments, quality, sessions, staging
 from cartwheel.session import configure, new_run_id, scratch_path, session_key
 from cartwheel.sources import fixtures
 
@@ -52,6 +52,8 @@ class Warehouse:
         self.materialise = materialise
         self._landing = landing
         self._models: dict[str, DataFrame] = {}
+        #: Row checks counted while a model was written: rows that break them, by check.
+        self.observed: dict[str, dict[str, int]] = {}
         self._lock = threading.RLock()
         self.root = scratch_path(spark, "warehouse", new_run_id())
 
@@ -62,7 +64,9 @@ class Warehouse:
                 df = build()
                 if self.materialise and name in MATERIALISED:
                     path = f"{self.root}/{name}"
-                    in_time_order(name, df).write.mode("overwrite").parquet(path)
+                    checked, counts = quality.observe(in_time_order(name, df), name)
+                    checked.write.mode("overwrite").parquet(path)
+                    self.observed[name] = counts()
                     df = self.spark.read.parquet(path)
                 self._models[name] = df
             return self._models[name]

@@ -53,3 +53,17 @@ ENVELOPE = T.StructType([
     T.StructField("keys", S),
     T.StructField("raw_payload", S),
 ])
+
+# The same with the text of a line that can't be read as an envelope.
+LINE = "_line"
+ENVELOPE_OR_LINE = T.StructType([*ENVELOPE.fields, T.StructField(LINE, S)])
+
+# Unreadable lines of a feed.
+REJECTS = T.StructType([
+    T.StructField("line", S),
+    T.StructField("line_hash", S),
+    T.StructField("dt", T.DateType()),
+    T.StructField("filename", S),
+    T.StructField("load_id", S),
+    T.StructField("ingested_at", T.TimestampNTZType()),
+])

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from cartwheel.operators import incremental as inc
-from cartwheel.session import scratch_path
+from cartwheel.session import new_run_id, scratch_path
 from cartwheel.sources import fixtures, landing
 
 SF = "/root/testdata/sf0.001"
@@ -189,3 +189,79 @@ def test_refresh_sees_changed_data(spark):
     assert warehouse_for(spark, root).fct_events().count() == before
     refresh(spark, root)
     assert warehouse_for(spark, root).fct_events().count() == few.count() < before
+
+
+LINES = ['{"metadata":{"event_id":"a"},"keys":{"k":1},"raw_payload":{"p":1}}', '{"metadata":{"event_id":"b"},"keys":{}', "no json", "",
+         '{"metadata":{"event_id":"c"},"keys":{}}', '{"metadata":{"event_id":"d"},"keys":{},"raw_payload":null}', '[1', "5",
+         '{"metadata":{"event_id":"a2"},"keys":{},"raw_payload":{"p":1}}', "no json"]
+
+
+def _feed(spark, path, lines, date="2024-01-05", mode="append"):
+    landing.write_jsonl(spark.createDataFrame([(x, dt.date.fromisoformat(date)) for x in lines], "value string, dt date").coalesce(1), path, mode=mode)
+
+
+def test_unreadable_lines_land_once_in_quarantine(spark):
+    root = scratch_path(spark, "test_quarantine", new_run_id())
+    _feed(spark, f"{root}/src", LINES)
+    table = landing.LandingTable(spark, f"{root}/table")
+    bad = {'{"metadata":{"event_id":"b"},"keys":{}', "no json", "[1", "5"}
+    for load in ("L1", "L2", "L3"):
+        table.load(landing.feed_lines(spark.read.text(f"{root}/src")), *landing.CLICK_ID, load_id=load)
+        rejects = table.rejects().collect()
+        assert sorted(r["line"] for r in rejects) == sorted(bad) and {r["load_id"] for r in rejects} == {"L1"}
+        assert all(r["filename"] and r["dt"] == dt.date(2024, 1, 5) for r in rejects)
+        # readable rows: both copies of the payload once, rows without a payload with every delivery
+        ids = sorted(r["event_id"] for r in table.rows().collect())
+        assert ids == sorted(["a", "a2"] + ["c", "d"] * int(load[1]))
+    assert {r["line"] for r in landing.read_quarantined(spark, f"{root}/src").collect()} == bad
+    assert landing.read_clickstream(spark, f"{root}/src").count() == 4
+
+
+def test_batch_and_stream_agree_on_null_and_unreadable_lines(spark):
+    from cartwheel.streaming.landing_stream import read_stream_rejects, run_landing_stream
+    root = scratch_path(spark, "test_lanes", new_run_id())
+    table = landing.LandingTable(spark, f"{root}/batch")
+    for day, lines in (("2024-01-05", LINES), ("2024-01-06", LINES[:5] + ["late [", '{"metadata":{"event_id":"e"},"raw_payload":{"p":2}}'])):
+        _feed(spark, f"{root}/src", lines, day)
+        table.load(landing.feed_lines(spark.read.text(f"{root}/src/dt={day}")), *landing.CLICK_ID)
+        streamed = run_landing_stream(spark, f"{root}/src", f"{root}/stream")
+        batch = table.rows()
+        assert sorted(r[0] for r in streamed.select("payload_hash").dropna().collect()) == sorted(
+            r[0] for r in batch.select("payload_hash").dropna().distinct().collect())
+        without = lambda df: sorted((r["event_id"], str(r["dt"])) for r in df.where("payload_hash is null").collect())
+        assert without(streamed) == without(batch)
+        rejects = read_stream_rejects(spark, f"{root}/stream/rejects")
+        assert sorted(r["line"] for r in rejects.collect()) == sorted(r["line"] for r in table.rejects().collect())
+
+
+def test_payload_filters_miss_nothing_and_spare_the_stored_hashes(spark):
+    from cartwheel.sources import payload_filter
+    click, _ = fixtures.landing_tables(spark, SF)
+    root = scratch_path(spark, "test_filters", new_run_id())
+    feed = click.select("event_id", "metadata_json", "keys_json", "raw_payload_json", "dt", "filename")
+    feed.write.parquet(f"{root}/feed")
+    feed = spark.read.parquet(f"{root}/feed")
+    first, rest = feed.where("dt < '2024-01-15'"), feed.where("dt >= '2024-01-15'")
+    landed = landing.land(first, load_id="L1")
+    landing.append_landing_table(landed, f"{root}/rows")
+    target = landing.read_landing_table(spark, f"{root}/rows")
+    payload_filter.build(landed, "L1").write.parquet(f"{root}/filters")
+    filters = spark.read.schema(payload_filter.SCHEMA).parquet(f"{root}/filters")
+    stored = {(r[0], r[1]) for r in landed.select("payload_hash", "dt").distinct().collect()}
+    hits = {(r[0], r[1]) for r in payload_filter.possible(landed.select("payload_hash").distinct(), filters).collect()}
+    assert stored <= hits
+    strange = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("payload_hash"))
+    folders = filters.select("dt").distinct().count()
+    assert payload_filter.possible(strange, filters).count() <= 0.002 * 20_000 * folders
+    # exact, with and without filters
+    for part in (first, rest, feed):
+        plain, filtered = (landing.land(part, target, load_id="L2", filters=f) for f in (None, filters))
+        assert sorted(r[0] for r in plain.select("event_id").collect()) == sorted(r[0] for r in filtered.select("event_id").collect())
+    # a load of new payloads has no scan of the landing table in its plan (and a filter takes a tenth of the hashes' bytes)
+    new = feed.withColumn("raw_payload_json", F.concat(F.lit('{"other":'), "raw_payload_json", F.lit("}"))).limit(20)
+    new.write.parquet(f"{root}/new")
+    plan = landing.land(spark.read.parquet(f"{root}/new"), target, filters=filters)._jdf.queryExecution().executedPlan().toString()
+    assert f"{root}/rows" not in plan and plan.count("FileScan") == 1
+    bits = filters.agg(F.sum(F.lit(8 * (payload_filter.WORDS + 1)))).first()[0]
+    assert bits <= max(64 * len(stored) / 4, 40 * folders * 4)
+    assert payload_filter.possible(strange, filters.limit(0)).count() == 0
