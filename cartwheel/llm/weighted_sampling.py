@@ -34,9 +34,9 @@ from cartwheel.llm.common import ship, small_batches, written
 from cartwheel.llm.terms import WORDS, Terms, codes, pairs
 
 SAMPLES = 128
-#: Distinct (word, weight) that draw at once, and occurrences in texts that are looked up at once.
-CHUNK = 4_096
-BATCH_BYTES = 2 << 20
+#: Distinct (word, weight) that draw at once, and occurrences in texts that are looked up at once: few enough for a core's cache.
+CHUNK = 512
+BATCH_BYTES = 4 << 20
 _LOW = np.uint64(0xFFFF)
 
 
@@ -64,8 +64,9 @@ def draws(hashes: np.ndarray, weights: np.ndarray, samples: int) -> np.ndarray:
     b = (_mixed(two + np.uint64(0x632BE59BD9B4E019)) >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
     t = np.floor(np.log(weights)[:, None] / r + b)
     a = c * np.exp(-r * (t + 1 - b))
-    sample = _mixed(hashes[:, None] + t.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(65_535) + np.uint64(1)
-    return (a.view(np.uint64) & ~_LOW) | sample
+    # a word's hash is random already, so the top bits of a product will do for (word, t)
+    sample = (hashes[:, None] + t.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(48)
+    return (a.view(np.uint64) & ~_LOW) | np.maximum(sample, np.uint64(1))
 
 
 def signatures(texts: pa.Array, samples: int = SAMPLES) -> np.ndarray:

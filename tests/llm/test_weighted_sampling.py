@@ -49,7 +49,7 @@ def brute_signature(text, samples):
             b = (mixed((two + 0x632BE59BD9B4E019) & MASK) >> 11) * 2.0 ** -53
             r, c = gamma(one), gamma(two)
             t = math.floor(math.log(weight) / r + b)
-            drawn = (c * math.exp(-r * (t + 1 - b)), mixed((h + t * 0x9E3779B97F4A7C15) & MASK) % 65_535 + 1)
+            drawn = (c * math.exp(-r * (t + 1 - b)), max(((h + t * 0x9E3779B97F4A7C15) * 0xD6E8FEB86659FD93 & MASK) >> 48, 1))
             best = min(best or drawn, drawn)
         out.append(best[1] if best else 0)
     return out
