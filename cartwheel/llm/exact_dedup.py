@@ -68,7 +68,7 @@ def merge_runs(entries: DataFrame, nodes: int, rounds: int) -> DataFrame:
         high = F.floor(F.col("_node") / F.lit(step * RADIX)) * F.lit(step * RADIX)
         digit = F.floor(home / F.lit(step)) % F.lit(RADIX) * F.lit(step)
         out = (out.withColumn("_node", (low + digit + high).cast("int"))
-               .repartition(nodes, "_node")
+               .repartitionById(nodes, F.col("_node"))  # node i is partition i
                .sortWithinPartitions("_node", "digest", "check")
                .mapInPandas(_fold, _RUN))
     return out
@@ -119,7 +119,11 @@ def drop_copies(df: DataFrame, key: str = "doc_id", text: str = "text", keep: st
 
     Rows that repeat key and text fold into one.
     """
-    gone = exact_dedup(df, key, text, keep).where("not kept").select(F.col(key).alias("_gone"), "text_sha256").distinct()
+    decided = written(exact_dedup(df, key, text, keep).select(F.col(key).cast("long").alias("_gone"), "kept", "text_sha256"), "decided")
+    gone = written(decided.where("not kept").select("_gone", "text_sha256").distinct(), "gone")
     body = F.sha2(F.coalesce(F.col(text).cast("binary"), F.lit(b"")), 256)
     same = F.col(key).cast("long").eqNullSafe(F.col("_gone")) & (body == F.col("text_sha256"))
-    return df.join(gone, same, "left_anti").dropDuplicates([key, text])
+    left = df.join(gone, same, "left_anti")
+    # Rows that repeat key and text show in the digests; only a table with such rows has its texts dealt by them.
+    repeats = decided.where("kept").groupBy("_gone", "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return left.dropDuplicates([key, text]) if repeats.limit(1).count() else left

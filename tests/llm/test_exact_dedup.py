@@ -43,3 +43,20 @@ def test_drop_copies_keeps_the_columns(spark):
     assert kept.columns == table.columns
     expected = sorted({(k, t) for k, t in data if (k, t) not in {(1, "same text here"), (3, None), (4, ""), (7, data[7][1])}}, key=repr)
     assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == expected
+
+
+def test_drop_copies_without_repeated_rows_deals_no_texts(spark):
+    data = [(i, f"text {i % 40}") for i in range(60)] + [(None, "text 1"), (100, None)]
+    kept = exact_dedup.drop_copies(docs(spark, data))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted([(i, f"text {i % 40}") for i in range(20, 60)] + [(100, None)])
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan
+
+
+def test_every_node_has_a_partition_of_its_own(spark):
+    from pyspark.sql import functions as F
+    rows_ = [(n, bytes([n]) * 32, 0, n, 1) for n in range(16)]
+    entries = spark.createDataFrame(rows_, "_node int, digest binary, check long, best long, rows long")
+    merged = exact_dedup.merge_runs(entries, 16, 1).withColumn("p", F.spark_partition_id())
+    held = merged.select("_node", "p").distinct().collect()
+    assert all(r["_node"] == r["p"] for r in held)
