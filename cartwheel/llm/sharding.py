@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.llm.common import written
+
 #: Parts of a shard's row order. A slot is the rows in earlier parts plus the
 #: place in its own part, so no task ever sorts a whole shard.
 SLOT_PARTS = 4096
@@ -47,14 +49,15 @@ def shard_rows(df: DataFrame, key: str = "doc_id", text: str = "text", weights:
     """
     name = F.coalesce(F.col(key).cast("string"), F.lit(""))
     body = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
-    placed = df.select(
+    # texts are read once; their places are a few numbers a row
+    placed = written(df.select(
         F.col(key),
         (F.octet_length(body) + F.lit(1)).cast("long").alias("size"),
         F.crc32(body).alias("text_crc32"),
         rendezvous(name, weights).alias("shard"),
         rendezvous(name, [*weights, added_weight]).alias("grown_shard"),
         F.floor(_unit(name, "slot") * F.lit(float(parts))).cast("int").alias("_part"),
-    )
+    ), "placed")
     # A hash part holds 1/parts of a shard whatever the keys are; only counts cross parts.
     counts = placed.groupBy("shard", "_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
