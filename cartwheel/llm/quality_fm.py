@@ -117,7 +117,10 @@ class Machine:
         return self.bias + x @ self.linear + 0.5 * ((x @ self.factors) ** 2 - (x ** 2) @ (self.factors ** 2)).sum(-1)
 
     def score(self, words: np.ndarray, stats: np.ndarray) -> np.ndarray:
-        z = self.logit(self.vector(words, stats)).astype(np.float64)
+        """Scores row by row: a matrix product may round a row differently in batches of different sizes."""
+        squares = self.factors ** 2
+        z = np.array([self.bias + x @ self.linear + 0.5 * ((x @ self.factors) ** 2 - (x ** 2) @ squares).sum()
+                      for x in self.vector(words, stats)], dtype=np.float64)
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
@@ -164,7 +167,10 @@ def held_out(key: str):
 
 
 def _training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, train_rows: int) -> DataFrame:
-    """Sparse features of the sample: (buckets, weights, stats as binary, label)."""
+    """Sparse features of the sample: (buckets, weights, stats as binary, label, key), one row a sampled key.
+
+    Of documents that share a key the one of the least feature bytes stands.
+    """
     clean = (labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
              .groupBy(F.col(key).alias("_key")).agg(F.min(label).alias("_label"), F.max(label).alias("_other"))
              .where("_label = _other and not " + f"crc32(cast(cast(_key as string) as binary)) % {HELD_OUT_FOLDS} = 0")
@@ -184,8 +190,9 @@ def _training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, labe
                 stats.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.binary()), pa.array(weights, pa.binary()), pa.array(stats, pa.binary()),
                                               batch.column(1), batch.column(2)], names=["at", "weights", "stats", "label", "key"])
-    return chosen.select("_text", "_label", F.col("_key").cast("string").alias("_key")).mapInArrow(
-        run, "at binary, weights binary, stats binary, label int, key string").limit(2 * train_rows)
+    found = chosen.select("_text", "_label", F.col("_key").cast("string").alias("_key")).mapInArrow(
+        run, "at binary, weights binary, stats binary, label int, key string")
+    return found.groupBy("key").agg(F.min(F.struct("stats", "at", "weights", "label")).alias("r")).select("r.*", "key")
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",

@@ -75,3 +75,15 @@ def test_the_sample_is_bounded(spark):
     assert Q._training_rows(table, labels, "doc_id", "text", "quality", 50).count() == 50
     rows = Q._training_rows(table, labels, "doc_id", "text", "quality", 10_000).collect()
     assert rows and all(zlib.crc32(r["key"].encode()) % 5 for r in rows)
+
+
+def test_a_sampled_key_stands_once_however_often_it_repeats(spark):
+    rows = [(1, f"copy {i} of a text") for i in range(300)] + [(k, f"plain text number {k} with words") for k in range(2, 40)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(1, 40)], LABELS)
+    want = None
+    for parts in (1, 6):
+        sample = Q._training_rows(docs(spark, rows).repartition(parts), labels, "doc_id", "text", "quality", 12).collect()
+        assert len(sample) == 12 and len({r["key"] for r in sample}) == 12
+        found = sorted(tuple(r) for r in sample)
+        assert want in (None, found)
+        want = found
