@@ -24,7 +24,11 @@ def latest_delivery(landing: DataFrame) -> DataFrame:
 
 def stage_clickstream(landing: DataFrame) -> DataFrame:
     """Typed clickstream events, one row per distinct payload."""
-    src = latest_delivery(landing)
+    return typed_clicks(latest_delivery(landing))
+
+
+def typed_clicks(src: DataFrame) -> DataFrame:
+    """Landing rows of the click feed with their JSON as typed columns."""
     meta = F.from_json("metadata_json", schemas.CLICK_METADATA)
     body = F.from_json("raw_payload_json", schemas.CLICK_PAYLOAD)
     return (src.withColumn("_m", meta).withColumn("_p", body).select(

@@ -859,3 +859,26 @@ def q_retention_cohorts_bitmaps(wh: Warehouse) -> DataFrame:
     bitmaps, numbers = _bitmaps(wh)
     users = wh.dim_users()
     return activity_bitmaps.retention_cohorts(bitmaps, activity_bitmaps.cohort_bitmaps(users, numbers), users)
+
+
+@register("fct_sessions_bucketed", ORACLE_FINAL["fct_sessions"])
+def q_fct_sessions_bucketed(wh: Warehouse) -> DataFrame:
+    """The session fact over bucketed tables, whose joins need no shuffle."""
+    with _raw_lock:
+        if getattr(wh, "_bucketed", None) is None:
+            wh._bucketed = Warehouse(wh.spark, wh.sf_dir, wh.lookback_days, wh.match_window_minutes, landing=tuple(_landed(wh)), buckets=8)
+    return wh._bucketed.fct_sessions().select(*SESSIONS)
+
+
+from cartwheel.streaming.event_stream import run_event_stream  # noqa: E402
+
+
+@register("fct_events_stream", f"SELECT {_cols(EVENTS)} FROM fevents")
+def q_fct_events_stream(wh: Warehouse) -> DataFrame:
+    """Streaming upsert: the event fact from a stream over the landing table (= full refresh)."""
+    with _raw_lock:
+        if getattr(wh, "_event_stream", None) is None:
+            _landed(wh)
+            path = f"{wh.root}/declared/{landing.SOURCES['landing.clickstream_events_raw']}"
+            wh._event_stream = run_event_stream(wh.spark, path, f"{wh.root}/stream/events")
+    return wh._event_stream.select(*EVENTS)

@@ -30,6 +30,11 @@ MATERIALISED = (
 # Facts that later jobs read by time: written in time order, so that a time-bounded
 # read (match window, look-back) skips files and row groups by their statistics.
 TIME_ORDERED = {"fct_events": ("event_time", "event_pk")}
+# Keys that models are joined on, for bucketed tables: intents with charges and payments with their
+# session mapping by intent, the event mapping with sessions by session.
+BUCKETED = {"payment_intents": "payment_intent_id", "charges": "payment_intent_id", "fct_payments": "payment_intent_id",
+            "map_payment_to_session": "payment_intent_id", "map_payment_to_event": "event_user_session",
+            "sessions_base": "session_id", "fct_sessions": "session_id"}
 # KPI tables that the quality checks read.
 KPI_TABLES = ("session_funnel_daily", "product_conversion_daily", "retention_cohorts",
               "repeat_retention_cohorts", "unit_economics_daily", "dau_wau_mau", "ltv_cohort_curve")
@@ -44,8 +49,11 @@ def in_time_order(name: str, df: DataFrame) -> DataFrame:
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, lookback_days: int = LOOKBACK_DAYS,
                  match_window_minutes: int = MATCH_WINDOW_MINUTES, materialise: bool = True,
-                 landing: tuple[DataFrame, DataFrame] | None = None):
+                 landing: tuple[DataFrame, DataFrame] | None = None, buckets: int | None = None):
+        """``buckets``: write the models of ``BUCKETED`` as tables of the session catalog, bucketed and sorted by their
+        join keys, so that joins between them need no shuffle. All of a warehouse's tables have the same number."""
         self.spark = configure(spark)
+        self.buckets = buckets
         self.sf_dir = sf_dir
         self.lookback_days = lookback_days
         self.match_window_minutes = match_window_minutes
@@ -64,13 +72,23 @@ class Warehouse:
                 df = build()
                 if self.materialise and name in MATERIALISED:
                     path = f"{self.root}/{name}"
+                    if self.buckets and name in BUCKETED:
+                        df = df.repartition(self.buckets, BUCKETED[name])  # a file a bucket
                     checked, counts = quality.observe(in_time_order(name, df), name)
-                    checked.write.mode("overwrite").parquet(path)
+                    df = self._written(name, checked, path)
                     self.observed[name] = counts()
-                    df = self.spark.read.parquet(path)
                 self._models[name] = df
             return self._models[name]
 
+    def _written(self, name: str, df: DataFrame, path: str) -> DataFrame:
+        writer = df.write.mode("overwrite")
+        if not self.buckets or name not in BUCKETED:
+            writer.parquet(path)
+            return self.spark.read.parquet(path)
+        key, table = BUCKETED[name], f"{name}_{self.root.rsplit('/', 1)[1]}"
+        writer.bucketBy(self.buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+        return self.spark.table(table)
+
     def table(self, name: str) -> DataFrame:
         """A base table of the driver's data set."""
         return fixtures.read_table(self.spark, self.sf_dir, name)

@@ -87,3 +87,30 @@ def test_event_fact_is_written_in_time_order(spark):
     spans.sort()
     assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
     assert set(warehouse.TIME_ORDERED) == {"fct_events"}
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    from cartwheel.operators import matching, payments, sessions
+    from cartwheel.plans.warehouse import BUCKETED, Warehouse
+    plain, wh = Warehouse(spark, SF), Warehouse(spark, SF, buckets=4)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for name in ("fct_sessions", "fct_payments", "map_payment_to_session"):
+        rows = [sorted(repr(tuple(r)) for r in w.__getattribute__(name)().drop("updated_at").collect()) for w in (plain, wh)]
+        assert rows[0] == rows[1], name
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def exchanges(df):
+            return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        assert exchanges(wh.payment_intents().join(wh.charges(), "payment_intent_id")) == 0
+        assert exchanges(wh.map_payment_to_session().join(wh.fct_payments(), "payment_intent_id")) == 0
+        assert exchanges(matching.map_payment_to_session(wh.map_payment_to_event(), wh.sessions_base())) == 0
+        assert exchanges(plain.payment_intents().join(plain.charges(), "payment_intent_id")) == 2
+        # only what is grouped anew is shuffled: refunds by charge and by intent; payments of a session
+        assert exchanges(payments.fct_payments(wh.payment_intents(), wh.charges(), wh.refunds())) <= 3
+        assert exchanges(sessions.fct_sessions(wh.sessions_base(), wh.map_payment_to_session(), wh.fct_payments())) == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for name, key in BUCKETED.items():
+        table = f"{name}_{wh.root.rsplit('/', 1)[1]}"
+        described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+        assert described["Num Buckets"] == "4" and key in described["Bucket Columns"] and key in described["Sort Columns"]
