@@ -24,20 +24,38 @@ def _flag(cond) -> F.Column:
     return F.when(cond, 1).otherwise(0).cast("bigint")
 
 
+#: Rows of sessions, events and payments that a daily row is made of; a day goes when its last one does.
+SOURCE_ROWS = "source_rows"
+USER_DAY, PRODUCT_DAY = ["user_id", "activity_date"], ["product_id", "activity_date"]
+USER_MEASURES = ["sessions_count", "events_count", "payments_count", "revenue_cents", "refunded_cents"]
+PRODUCT_MEASURES = ["events_count", "views_count", "add_to_cart_count", "purchase_events_count",
+                    "payments_count", "revenue_cents", "refunded_cents"]
+
+
 def _combine(rows: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
     matchable = F.lit(True)
     for k in keys:
         matchable = matchable & F.col(k).isNotNull()
-    agg = rows.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
-    return agg.select(*keys, *[
+    agg = rows.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures], F.sum(SOURCE_ROWS).alias(SOURCE_ROWS))
+    return agg.where(F.col(SOURCE_ROWS) > 0).select(*keys, *[
         F.when(matchable, F.coalesce(F.col(m), _zero())).otherwise(_zero()).alias(m)
-        for m in measures])
+        for m in measures], SOURCE_ROWS)
 
 
-def fct_user_daily_activity(sessions: DataFrame, payments: DataFrame) -> DataFrame:
-    """One row per (user, day) with sessions, events, payments and money."""
-    measures = ["sessions_count", "events_count", "payments_count", "revenue_cents",
-                "refunded_cents"]
+def signed_change(stored: DataFrame, added: DataFrame, removed: DataFrame | None, keys: list[str], measures: list[str]) -> DataFrame:
+    """Rows whose sums are the stored daily rows with the new versions' measures added and the old versions' taken away.
+
+    All three are measure rows (or daily rows) of the touched keys; nothing else of their history is read.
+    """
+    columns = [*keys, *measures, SOURCE_ROWS]
+    rows = stored.select(*columns).unionByName(added.select(*columns))
+    if removed is None:
+        return rows
+    return rows.unionByName(removed.select(*keys, *[(-F.col(m)).alias(m) for m in [*measures, SOURCE_ROWS]]))
+
+
+def user_day_measures(sessions: DataFrame, payments: DataFrame) -> DataFrame:
+    """A row with its measures for every session and payment that has a day."""
     s = sessions.where(F.col("session_date").isNotNull()).select(
         "user_id", F.col("session_date").alias("activity_date"),
         F.lit(1).cast("bigint").alias("sessions_count"),
@@ -50,7 +68,12 @@ def fct_user_daily_activity(sessions: DataFrame, payments: DataFrame) -> DataFra
         _flag(F.col("is_succeeded")).alias("payments_count"),
         F.when(F.col("is_succeeded"), F.col("amount_cents")).otherwise(_zero()).alias("revenue_cents"),
         F.when(F.col("is_refunded"), F.col("refunded_cents")).otherwise(_zero()).alias("refunded_cents"))
-    daily = _combine(s.unionByName(p), ["user_id", "activity_date"], measures)
+    return s.unionByName(p).withColumn(SOURCE_ROWS, F.lit(1).cast("bigint"))
+
+
+def user_days(rows: DataFrame, with_source_rows: bool = False) -> DataFrame:
+    """One row per (user, day) from measure rows."""
+    daily = _combine(rows, USER_DAY, USER_MEASURES)
     return daily.select(
         "user_id", "activity_date", week_start("activity_date").alias("week"),
         "sessions_count", "events_count", "payments_count",
@@ -59,17 +82,19 @@ def fct_user_daily_activity(sessions: DataFrame, payments: DataFrame) -> DataFra
         (F.col("sessions_count") > 0).alias("is_active"),
         (F.col("payments_count") > 0).alias("is_payer_day"),
         F.current_timestamp().alias("updated_at"),
-        "revenue_cents", "refunded_cents")
+        "revenue_cents", "refunded_cents", *[SOURCE_ROWS] * with_source_rows)
 
 
-def fct_product_daily_activity(events: DataFrame, mapping: DataFrame,
-                               payments: DataFrame) -> DataFrame:
-    """One row per (product, day): funnel event counts and attributed payments.
+def fct_user_daily_activity(sessions: DataFrame, payments: DataFrame) -> DataFrame:
+    """One row per (user, day) with sessions, events, payments and money."""
+    return user_days(user_day_measures(sessions, payments))
+
+
+def product_day_measures(events: DataFrame, mapping: DataFrame, payments: DataFrame) -> DataFrame:
+    """A row with its measures for every event of a product and every payment attributed to one.
 
     The mapping carries the matched click's product and time, so the event fact is read once.
     """
-    measures = ["events_count", "views_count", "add_to_cart_count", "purchase_events_count",
-                "payments_count", "revenue_cents", "refunded_cents"]
     ev = events.where(F.col("product_id").isNotNull())
     t = F.col("event_type")
     e_rows = ev.select(
@@ -89,7 +114,12 @@ def fct_product_daily_activity(events: DataFrame, mapping: DataFrame,
         _flag(F.col("is_succeeded")).alias("payments_count"),
         F.when(F.col("is_succeeded"), F.col("amount_cents")).otherwise(_zero()).alias("revenue_cents"),
         F.when(F.col("is_refunded"), F.col("refunded_cents")).otherwise(_zero()).alias("refunded_cents"))
-    daily = _combine(e_rows.unionByName(p_rows), ["product_id", "activity_date"], measures)
+    return e_rows.unionByName(p_rows).withColumn(SOURCE_ROWS, F.lit(1).cast("bigint"))
+
+
+def product_days(rows: DataFrame, with_source_rows: bool = False) -> DataFrame:
+    """One row per (product, day) from measure rows."""
+    daily = _combine(rows, PRODUCT_DAY, PRODUCT_MEASURES)
     return daily.select(
         "product_id", "activity_date", "events_count", "views_count", "add_to_cart_count",
         "purchase_events_count", "payments_count",
@@ -98,7 +128,13 @@ def fct_product_daily_activity(events: DataFrame, mapping: DataFrame,
         (F.col("views_count") > 0).alias("had_view"),
         (F.col("payments_count") > 0).alias("had_payment"),
         F.current_timestamp().alias("updated_at"),
-        "revenue_cents", "refunded_cents")
+        "revenue_cents", "refunded_cents", *[SOURCE_ROWS] * with_source_rows)
+
+
+def fct_product_daily_activity(events: DataFrame, mapping: DataFrame,
+                               payments: DataFrame) -> DataFrame:
+    """One row per (product, day): funnel event counts and attributed payments."""
+    return product_days(product_day_measures(events, mapping, payments))
 
 
 def dim_users(sessions: DataFrame, payments: DataFrame) -> DataFrame:

@@ -283,6 +283,25 @@ class IncrementalModels:
             products.result()
             users.result()
 
+    @staticmethod
+    def _old_measures(measures: Callable[..., DataFrame], *versions: tuple[DataFrame | None, DataFrame]) -> DataFrame | None:
+        """Measure rows of the old versions; None if nothing had one."""
+        if all(old is None for old, _ in versions):
+            return None
+        return measures(*[new.limit(0) if old is None else old for old, new in versions])
+
+    def _add_signed(self, name: str, added: DataFrame, removed: DataFrame | None, keys: list[str], measures: list[str], build) -> None:
+        """Daily rows of touched keys from their stored sums, the new versions added and the old ones taken away.
+
+        Only the stored rows of these keys are read, in the parts that are written anew.
+        """
+        added = self.store.scratch(f"{name}-added", added.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in [*measures, activity.SOURCE_ROWS]]))
+        if removed is not None:
+            removed = self.store.scratch(f"{name}-removed", removed.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in [*measures, activity.SOURCE_ROWS]]))
+        touched = self._touched(name, self._both(removed, added, *keys))
+        stored = self.store.rows_of(name, touched, keys)
+        self._merge(name, build(activity.signed_change(stored, added, removed, keys, measures), True), keys, touched=touched, keep_old=False)
+
     def _span(self, lo: dt.datetime, hi: dt.datetime, days: int) -> list[str]:
         """Parts of the days from ``lo`` to ``hi``, widened by ``days``."""
         first, last = lo.date() - dt.timedelta(days=days), hi.date() + dt.timedelta(days=days)
@@ -312,7 +331,7 @@ class IncrementalModels:
         if first:
             pays = store.read("fct_payments")
             _, fs_new = self._merge("fct_sessions", sessions.fct_sessions(store.read("sessions_base").drop(PART), ms_new, pays), ["session_id"])
-            self._merge("fct_user_daily_activity", activity.fct_user_daily_activity(fs_new, pays), ["user_id", "activity_date"])
+            self._merge("fct_user_daily_activity", activity.user_days(activity.user_day_measures(fs_new, pays), True), activity.USER_DAY)
             self._merge("dim_users", activity.dim_users(fs_new, pays), ["user_id"])
             return
         # rebuilt sessions and sessions gaining / losing payments
@@ -324,19 +343,12 @@ class IncrementalModels:
             "fct_sessions", sessions.fct_sessions(store.rows_of("sessions_base", keys, ["session_id"]).drop(PART), theirs,
                                                   store.rows_of("fct_payments", theirs, ["payment_intent_id"])),
             ["session_id"], touched=keys)
-        # (user, day) of old and new sessions and payments
-        day = F.to_date("payment_intent_event_ts")
-        changed = (self._both(fs_old, fs_new, "user_id", F.col("session_date").alias("activity_date"))
-                   .unionByName(self._both(p_old, p_new, "user_id", day.alias("activity_date"))))
-        keys = self._touched("user-days", changed.where("activity_date is not null"))
-        parts = [r[0] for r in keys.select(part_of(F.col("activity_date"))).distinct().collect()]  # both facts lie by this day
-        s_in = inc.semi_null_safe(store.read("fct_sessions", parts).withColumn("activity_date", F.col("session_date")),
-                                  keys, ["user_id", "activity_date"]).drop("activity_date")
-        p_in = inc.semi_null_safe(store.read("fct_payments", parts).withColumn("activity_date", day),
-                                  keys, ["user_id", "activity_date"]).drop("activity_date")
+        # (user, day): the stored sums and what old and new sessions and payments change in them
+        added = activity.user_day_measures(fs_new, p_new)
+        removed = self._old_measures(activity.user_day_measures, (fs_old, fs_new), (p_old, p_new))
+        changed = self._both(fs_old, fs_new, "user_id").unionByName(self._both(p_old, p_new, "user_id"))
         with ThreadPoolExecutor(1) as other:
-            days = other.submit(self._merge, "fct_user_daily_activity", activity.fct_user_daily_activity(s_in, p_in),
-                                ["user_id", "activity_date"], touched=keys, keep_old=False)
+            days = other.submit(self._add_signed, "fct_user_daily_activity", added, removed, activity.USER_DAY, activity.USER_MEASURES, activity.user_days)
             keys = self._touched("users", changed.select("user_id"))
             self._merge("dim_users", activity.dim_users(store.rows_of("fct_sessions", keys, ["user_id"]), store.rows_of("fct_payments", keys, ["user_id"])),
                         ["user_id"], touched=keys, keep_old=False)
@@ -345,23 +357,22 @@ class IncrementalModels:
     def _product_facts(self, first, ev_old, ev_new, me_old, me_new, p_old, p_new) -> None:
         store = self.store
         if first:
-            self._merge("fct_product_daily_activity", activity.fct_product_daily_activity(ev_new, me_new, p_new), ["product_id", "activity_date"])
+            self._merge("fct_product_daily_activity", activity.product_days(activity.product_day_measures(ev_new, me_new, p_new), True),
+                        activity.PRODUCT_DAY)
             self._merge("dim_products", activity.dim_products(ev_new), ["product_id"])
             return
-        # days of rebuilt events and of events (old or new) that touched payments are attributed to
-        ev_day, click_day = F.to_date("event_time"), F.to_date("clickstream_time")
-        keys = self._touched("product-days", self._both(ev_old, ev_new, "product_id", ev_day.alias("activity_date"))
-                             .unionByName(self._both(me_old, me_new, "product_id", click_day.alias("activity_date")))
-                             .where("product_id is not null"))
-        parts = [r[0] for r in keys.select(part_of(F.col("activity_date"))).distinct().collect()]
-        e_in = inc.semi_null_safe(store.read("fct_events", parts).withColumn("activity_date", ev_day),
-                                  keys, ["product_id", "activity_date"]).drop("activity_date")
-        m_in = store.scratch("mapping-of-product-days", store.rows_of(
-            "map_payment_to_event", keys, {"product_id": F.col("product_id"), "activity_date": click_day}))
-        theirs = store.rows_of("fct_payments", m_in.select("payment_intent_id"), ["payment_intent_id"])
+        # (product, day): the stored sums and what old and new events and attributions change in them. A touched payment
+        # that didn't change itself counts with its present values on both sides.
+        now = store.scratch("payments-of-mappings", store.rows_of("fct_payments", self._both(me_old, me_new, "payment_intent_id"), ["payment_intent_id"]))
+        added = activity.product_day_measures(ev_new, me_new, now)
+        before = now
+        if p_old is not None:
+            known = p_new.select("payment_intent_id").unionByName(p_old.select("payment_intent_id")).distinct()
+            before = now.join(known, "payment_intent_id", "left_anti").unionByName(p_old)
+        removed = self._old_measures(lambda e, m: activity.product_day_measures(e, m, before), (ev_old, ev_new), (me_old, me_new))
         with ThreadPoolExecutor(1) as other:
-            days = other.submit(self._merge, "fct_product_daily_activity", activity.fct_product_daily_activity(e_in, m_in, theirs),
-                                ["product_id", "activity_date"], touched=keys, keep_old=False)
+            days = other.submit(self._add_signed, "fct_product_daily_activity", added, removed, activity.PRODUCT_DAY, activity.PRODUCT_MEASURES,
+                                activity.product_days)
             keys = self._touched("products", self._both(ev_old, ev_new, "product_id").dropna())
             self._merge("dim_products", activity.dim_products(store.rows_of("fct_events", keys, ["product_id"])), ["product_id"],
                         touched=keys, keep_old=False)

@@ -196,3 +196,20 @@ def test_commit_is_one_step_and_taken_once(spark):
     held = RunState(spark, root)
     assert held.tables["t"]["parts"] == {"2024-01-02": 1} and [r["v"] for r in held.read("t").collect()] == [2]
     assert held._names(f"{root}/tables/t") == ["batch=1"] and set(held._names(f"{root}/tables/t/batch=1")) - {"_SUCCESS"} == {"part=2024-01-02"}
+
+
+def test_signed_changes_keep_the_sums_and_drop_empty_days(spark):
+    from cartwheel.operators import activity
+    rng, cols = random.Random(6), "user_id long, activity_date date, " + ", ".join(f"{m} long" for m in [*activity.USER_MEASURES, activity.SOURCE_ROWS])
+
+    def some(n):
+        return [(rng.choice([None, 1, 2, 3]), rng.choice([None, dt.date(2024, 1, 1), dt.date(2024, 1, 2)]),
+                 *(rng.randrange(5) for _ in activity.USER_MEASURES), 1) for _ in range(n)]
+    kept, gone, new = some(6), some(5), some(4)
+    gone += [(9, dt.date(2024, 1, 3), 1, 1, 0, 0, 0, 1)]  # a day whose only row goes
+    frame = lambda rows: spark.createDataFrame(rows, cols)
+    stored = activity.user_days(frame(kept + gone), True)
+    changed = activity.user_days(activity.signed_change(stored, frame(new), frame(gone), activity.USER_DAY, activity.USER_MEASURES), True)
+    assert same(changed, activity.user_days(frame(kept + new), True))
+    assert same(activity.user_days(activity.signed_change(stored, frame(new), None, activity.USER_DAY, activity.USER_MEASURES), True),
+                activity.user_days(frame(kept + gone + new), True))
