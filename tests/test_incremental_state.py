@@ -24,10 +24,10 @@ def before(df, cut):
 
 @pytest.fixture(scope="module")
 def feeds(spark):
-    """Both landing tables, written once."""
+    """Two weeks of both landing tables, written once."""
     root, out = scratch_path(spark, "test_state", new_run_id()), []
     for name, df in zip(("click", "pay"), fixtures.landing_tables(spark, SF)):
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
+        df.where("dt < '2024-01-15'").write.mode("overwrite").parquet(f"{root}/{name}")
         out.append(spark.read.parquet(f"{root}/{name}"))
     return out
 
@@ -53,7 +53,7 @@ MODELS = [m for m in PARTS if not m.startswith("stg_")]
 def test_stopped_run_resumes_in_a_new_session(spark, feeds, full, monkeypatch):
     click, pay = feeds
     root = scratch_path(spark, "test_state", new_run_id())
-    IncrementalModels(spark, root=root).run(before(click, "2024-01-10"), before(pay, "2024-01-10"))
+    IncrementalModels(spark, root=root).run(before(click, "2024-01-05"), before(pay, "2024-01-05"))
     first = {m: content(t) for m, t in IncrementalModels(spark, root=root).state.items() if m in ("fct_events", "dim_users")}
 
     stopped = IncrementalModels(spark, root=root)
@@ -64,12 +64,12 @@ def test_stopped_run_resumes_in_a_new_session(spark, feeds, full, monkeypatch):
     with monkeypatch.context() as m:
         m.setattr(IncrementalModels, "_user_facts", lost)  # after events, payments and attribution of the batch are written
         with pytest.raises(RuntimeError, match="driver lost"):
-            stopped.run(before(click, "2024-01-20"), before(pay, "2024-01-20"))
+            stopped.run(before(click, "2024-01-10"), before(pay, "2024-01-10"))
 
     again = IncrementalModels(spark.newSession(), root=root)
     assert again.batch == 1
     assert {m: content(again.state[m]) for m in first} == first  # nothing of the lost batch shows
-    again.run(before(click, "2024-01-20"), before(pay, "2024-01-20"))
+    again.run(before(click, "2024-01-10"), before(pay, "2024-01-10"))
     last = IncrementalModels(spark.newSession(), root=root)
     last.run(click, pay)
     assert last.batch == 3
@@ -84,11 +84,11 @@ def test_stopped_run_resumes_in_a_new_session(spark, feeds, full, monkeypatch):
 def test_a_batch_writes_only_the_dates_it_touches(spark, feeds):
     click, pay = feeds
     im = IncrementalModels(spark)
-    im.run(before(click, "2024-01-15"), before(pay, "2024-01-15"))
+    im.run(before(click, "2024-01-10"), before(pay, "2024-01-10"))
     old = {m: dict(im.store.tables[m]["parts"]) for m in PARTS}
     old_rows = {m: im.state[m] for m in ("fct_events", "fct_payments", "fct_sessions")}
     old_content = {m: {p: content(im.store.read(m, [p])) for p in old[m]} for m in old_rows}
-    im.run(before(click, "2024-01-16"), before(pay, "2024-01-16"))
+    im.run(before(click, "2024-01-11"), before(pay, "2024-01-11"))
     for model in old_rows:
         now = im.store.tables[model]["parts"]
         written = {p for p, b in now.items() if b == 2}
@@ -100,7 +100,7 @@ def test_a_batch_writes_only_the_dates_it_touches(spark, feeds):
         assert {p: b for p, b in now.items() if p not in written} == {p: 1 for p in now if p not in written}
     # a batch without anything new writes no date of any fact
     before_third = {m: dict(im.store.tables[m]["parts"]) for m in PARTS}
-    im.run(before(click, "2024-01-16"), before(pay, "2024-01-16"))
+    im.run(before(click, "2024-01-11"), before(pay, "2024-01-11"))
     assert im.batch == 3
     assert {m: dict(im.store.tables[m]["parts"]) for m in PARTS} == before_third
 
@@ -109,20 +109,20 @@ def test_staging_a_batch_reads_the_look_back_and_its_dates_alone(spark, feeds):
     click, _ = feeds
     im = IncrementalModels(spark)
     im.store.begin()
-    mark, _, _ = im._stage("stg_clickstream_events", before(click, "2024-01-15"), "m", staging.stage_clickstream)
+    mark, _, _ = im._stage("stg_clickstream_events", before(click, "2024-01-10"), "m", staging.stage_clickstream)
     im.store.commit({"m": mark})
     im.store.begin()
     read = []
     plain = im.store.read
     im.store.read = lambda table, parts=None: read.append(parts) or plain(table, parts)
-    _, changed, prior = im._stage("stg_clickstream_events", before(click, "2024-01-16"), "m", staging.stage_clickstream)
+    _, changed, prior = im._stage("stg_clickstream_events", before(click, "2024-01-11"), "m", staging.stage_clickstream)
     bound = dt.datetime.fromisoformat(mark) - dt.timedelta(days=im.lookback_days)
-    slice_ = click.where(F.col("ingested_at").between(F.lit(bound).cast("timestamp_ntz"), F.lit("2024-01-15 23:59:59.999999").cast("timestamp_ntz")))
+    slice_ = click.where(F.col("ingested_at").between(F.lit(bound).cast("timestamp_ntz"), F.lit("2024-01-10 23:59:59.999999").cast("timestamp_ntz")))
     dates = {r[0] for r in staging.stage_clickstream(slice_).select(part_of(F.col("event_ts"))).distinct().collect()}
     # the written ledger is read back whole (lazily) as the result; all reads for the work name their dates
     asked = [set(p) for p in read if p is not None]
     assert asked and all(p <= dates for p in asked)
-    new = click.where(F.col("ingested_at") >= F.lit("2024-01-15").cast("timestamp_ntz")).where("ingested_at < '2024-01-16'")
+    new = click.where(F.col("ingested_at") >= F.lit("2024-01-10").cast("timestamp_ntz")).where("ingested_at < '2024-01-11'")
     assert changed.select("payload_hash").distinct().count() == new.select("payload_hash").distinct().count()
     assert prior.join(changed, "payload_hash", "left_anti").count() == 0
 
