@@ -123,7 +123,7 @@ def drop_copies(df: DataFrame, key: str = "doc_id", text: str = "text", keep: st
     gone = written(decided.where("not kept").select("_gone", "text_sha256").distinct(), "gone")
     body = F.sha2(F.coalesce(F.col(text).cast("binary"), F.lit(b"")), 256)
     same = F.col(key).cast("long").eqNullSafe(F.col("_gone")) & (body == F.col("text_sha256"))
-    left = df.join(gone, same, "left_anti")
+    left = df.join(gone.hint("merge"), same, "left_anti")  # what goes grows with the table, so it isn't broadcast at any size
     # Rows that repeat key and text show in the digests; only a table with such rows has its texts dealt by them.
     repeats = decided.where("kept").groupBy("_gone", "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return left.dropDuplicates([key, text]) if repeats.limit(1).count() else left
