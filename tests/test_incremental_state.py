@@ -213,3 +213,22 @@ def test_signed_changes_keep_the_sums_and_drop_empty_days(spark):
     assert same(changed, activity.user_days(frame(kept + new), True))
     assert same(activity.user_days(activity.signed_change(stored, frame(new), None, activity.USER_DAY, activity.USER_MEASURES), True),
                 activity.user_days(frame(kept + gone + new), True))
+
+
+def test_a_run_broadcasts_by_measured_size_alone(spark, feeds):
+    """What file sizes say of a pruned table isn't what the driver would hold."""
+    click, pay = feeds
+    keys = [c for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")]
+    seen, before_run = [], [spark.conf.get(k, None) for k in keys]
+    models = IncrementalModels(spark, root=scratch_path(spark, "test_state", new_run_id()))
+    scratch = models.store.scratch
+
+    def spy(name, rows):
+        seen.append([spark.conf.get(k) for k in keys])
+        return scratch(name, rows)
+
+    models.store.scratch = spy
+    models.run(before(click, "2024-01-05"), before(pay, "2024-01-05"))
+    models.run(before(click, "2024-01-06"), before(pay, "2024-01-06"))
+    assert seen and {tuple(s) for s in seen} == {("-1", "1m")}
+    assert [spark.conf.get(k, None) for k in keys] == before_run
