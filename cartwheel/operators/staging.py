@@ -23,8 +23,11 @@ def latest_delivery(landing: DataFrame) -> DataFrame:
 
 
 def stage_clickstream(landing: DataFrame) -> DataFrame:
-    """Typed clickstream events, one row per distinct payload."""
-    return typed_clicks(latest_delivery(landing))
+    """Typed clickstream events, one row per distinct payload.
+
+    Parsed first: the rows that meet by payload carry the typed columns, and documents only if they are asked for.
+    """
+    return latest_delivery(typed_clicks(landing))
 
 
 def typed_clicks(src: DataFrame) -> DataFrame:

@@ -114,3 +114,32 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         table = f"{name}_{wh.root.rsplit('/', 1)[1]}"
         described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
         assert described["Num Buckets"] == "4" and key in described["Bucket Columns"] and key in described["Sort Columns"]
+
+
+def test_best_matches_and_their_facts_build_no_candidates(spark):
+    from cartwheel.operators import matching
+    wh = Warehouse(spark, SF)
+    best = wh.map_payment_to_event()
+    wh.fct_sessions(), wh.fct_product_daily_activity()
+    assert "payment_event_candidates" not in wh._models
+    again = matching.map_payment_to_event(wh.payment_event_candidates()).select(*best.columns)
+    assert best.count() == again.count() and not best.exceptAll(again).count() and not again.exceptAll(best).count()
+
+
+def test_candidates_are_taken_from_the_join_and_checked_unwritten(spark):
+    from cartwheel.operators import quality
+    wh = Warehouse(spark, SF)
+    pairs = wh.payment_event_candidates()
+    assert "payment_event_candidates" not in wh.observed and "SortMergeJoin" in _plan(pairs) + pairs._jdf.queryExecution().toString()
+    checks = [c for c in quality.CHECKS if c.model == "payment_event_candidates"]
+    models = {m: getattr(wh, m)() for m in ("payment_event_candidates", "fct_payments", "fct_events")}
+    assert {(r["check_name"], r["violations"]) for r in quality.dq_summary(models, checks, wh.observed).collect()} == {(c.name, 0) for c in checks}
+
+
+def test_clicks_meet_by_payload_without_their_documents(spark):
+    wh = Warehouse(spark, SF, materialise=False)
+    plan = wh.fct_events()._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    windows = [line for line in text.split("\n") if "Sort [payload_hash" in line]
+    assert windows
+    assert not re.search(r"Project \[[^\]]*from_json[^\]]*\]\s*\n[^\n]*Filter \(_rn", text)  # parsed before the window, not after it
