@@ -55,6 +55,16 @@ def _text(c: Column) -> Column:
     return c.cast("string")
 
 
+#: Events that one task makes landing rows of. A few bytes of an event become a KB of JSON, so the splits of the
+#: compact event file say little about how large the rows of a task get.
+EVENTS_A_TASK = 100_000
+
+
+def spread(rows: DataFrame, tasks: int) -> DataFrame:
+    """The rows dealt evenly to so many tasks before they widen; one task's worth stays as it was read."""
+    return rows.repartition(tasks) if tasks > 1 else rows
+
+
 def kept_events(events: DataFrame, part: DataFrame) -> DataFrame:
     """Every event, shifted by ``user_id % 14`` days so users start on different
     days (cohort spread), some by weeks more (late returns), joined to its
@@ -73,9 +83,9 @@ def kept_events(events: DataFrame, part: DataFrame) -> DataFrame:
               .withColumn("n", n))
 
 
-def clickstream_landing(events: DataFrame, part: DataFrame) -> DataFrame:
-    """Landing rows of the clickstream feed (one per delivered message)."""
-    ev = kept_events(events, part)
+def clickstream_landing(events: DataFrame, part: DataFrame, tasks: int = 1) -> DataFrame:
+    """Landing rows of the clickstream feed (one per delivered message), made in so many tasks if more than one."""
+    ev = spread(kept_events(events, part).drop("props"), tasks)
     n = F.col("n")
     typ = F.when(F.col("event_type") == "click", F.lit("cart")).otherwise(F.col("event_type"))
     noisy = F.concat(F.lit(" "), F.upper(F.substring(typ, 1, 1)), F.substring(typ, 2, 100),
@@ -130,9 +140,9 @@ def clickstream_landing(events: DataFrame, part: DataFrame) -> DataFrame:
     return _landing_columns(rows, event_id, metadata, keys, payload, filename)
 
 
-def payments_landing(events: DataFrame, part: DataFrame) -> DataFrame:
-    """Landing rows of the payment-provider feed (intents, charges, refunds)."""
-    ev = kept_events(events, part).where(F.col("event_type") == "purchase")
+def payments_landing(events: DataFrame, part: DataFrame, tasks: int = 1) -> DataFrame:
+    """Landing rows of the payment-provider feed (intents, charges, refunds), made in so many tasks if more than one."""
+    ev = spread(kept_events(events, part).where(F.col("event_type") == "purchase").drop("props"), tasks)
     n = F.col("n")
     nt = _text(n)
     pay_ts = F.timestamp_add("MINUTE", n % PAY_DELAY_MOD, F.col("ts"))
@@ -262,4 +272,5 @@ def landing_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     """(clickstream landing, payments landing) derived from ``sf_dir`` tables."""
     events = read_table(spark, sf_dir, "events")
     part = read_table(spark, sf_dir, "part")
-    return clickstream_landing(events, part), payments_landing(events, part)
+    tasks = -(-events.count() // EVENTS_A_TASK)  # of the file's footers
+    return clickstream_landing(events, part, tasks), payments_landing(events, part, -(-tasks // 2))
