@@ -214,25 +214,26 @@ def nearest_click(payments: DataFrame, events: DataFrame, minutes: int = 60) ->
                            F.col("user_session").alias("event_user_session"), "event_type", "event_time",
                            F.col("event_time").alias("clickstream_time"), "received_ts", *CARRIED)
     span = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
+    own = ["payment_intent_id", "payment_event_time", "last_received_ts"]  # carried along: ids may repeat or be NULL
     found = None
     for pay_key, key, kind, (high, low) in (("payment_user_session", "user_session", SESSION_MATCH, SESSION_MATCH_SCORES),
                                             ("payment_user_id", "user_id", USER_MATCH, USER_MATCH_SCORES)):
         mine = pay.where(F.col(pay_key).isNotNull() & F.col("sec").isNotNull()).withColumn("key", F.col(pay_key))
         near = _sweep(mine.select("key", "sec").distinct(), _clicks_by_second(clicks, key), width)
-        inside = mine.join(near, ["key", "sec"]).select("payment_intent_id", "is_purchase", "best")
+        inside = mine.join(near, ["key", "sec"]).select(*own, "is_purchase", "best")
         edges = mine.withColumn("click_sec", F.explode(F.array(F.col("sec") - width, F.col("sec") + width)))
         at_edge = (clicks.where(F.col(key).isNotNull()).withColumn("click_sec", _seconds("event_time"))
                    .withColumn("key", F.col(key)))
         latest = F.coalesce(-F.unix_micros(F.col("received_ts").cast("timestamp")), F.lit(2 ** 63 - 1))
         on_edge = (edges.join(at_edge, ["key", "click_sec"])
                    .where(F.col("event_time").between(F.col("payment_event_time") - span, F.col("payment_event_time") + span))
-                   .select("payment_intent_id", F.coalesce(F.col("event_type") == PURCHASE, F.lit(False)).alias("is_purchase"),
+                   .select(*own, F.coalesce(F.col("event_type") == PURCHASE, F.lit(False)).alias("is_purchase"),
                            F.struct(F.struct(latest.alias("latest"), F.col("event_id").alias("id")).alias("rank"),
                                     F.struct(*_KEPT).alias("click")).alias("best")))
         scored = inside.unionByName(on_edge).select(
-            "payment_intent_id", F.when(F.col("is_purchase"), high).otherwise(low).alias("match_score"), F.lit(kind).alias("matched_type"), "best")
+            *own, F.when(F.col("is_purchase"), high).otherwise(low).alias("match_score"), F.lit(kind).alias("matched_type"), "best")
         found = scored if found is None else found.unionByName(scored)
-    timed = found.join(pay.select("payment_intent_id", "payment_event_time", "last_received_ts"), "payment_intent_id").withColumn(
+    timed = found.withColumn(
         "time_diff_seconds", second_boundaries(F.col("best.click.clickstream_time"), F.col("payment_event_time")))
     kept = F.struct("best.click.event_id", "best.click.event_user_id", "best.click.event_user_session", "best.click.event_type", "matched_type",
                     "match_score", "payment_event_time", "best.click.clickstream_time", "time_diff_seconds", "last_received_ts",

@@ -101,3 +101,13 @@ def test_a_hot_slice_of_the_sweep_is_bounded(spark):
     got = matching.nearest_click(p_df, e_df).select("payment_intent_id", "event_id").collect()
     want = matching.map_payment_to_event(matching.match_candidates(p_df, e_df)).select("payment_intent_id", "event_id").collect()
     assert sorted(got) == sorted(want) and len(got) == 500
+
+
+def test_repeated_and_missing_payment_ids_keep_their_best_match(spark):
+    """Payments without an id share one row, as in the mapping over the candidates; no row is dropped or multiplied."""
+    evs = [(f"e{i}", BASE + dt.timedelta(minutes=7 * i), BASE, "view", 1, "s", "1", "b", "1", "c", 1.0) for i in range(30)]
+    pays = [(i, BASE + dt.timedelta(minutes=m), True, False, 1, "s", 100, 0, BASE) for i, m in ((None, 3), (None, 50), ("p", 15), ("p", 101), ("q", 8))]
+    e_df, p_df = spark.createDataFrame(evs, EVENTS_SCHEMA), spark.createDataFrame(pays, PAYMENTS_SCHEMA)
+    got = matching.nearest_click(p_df, e_df).select(*MAPPED).collect()
+    want = matching.map_payment_to_event(matching.match_candidates(p_df, e_df)).select(*MAPPED).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(want) == 3
