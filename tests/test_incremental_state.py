@@ -232,3 +232,25 @@ def test_a_run_broadcasts_by_measured_size_alone(spark, feeds):
     models.run(before(click, "2024-01-06"), before(pay, "2024-01-06"))
     assert seen and {tuple(s) for s in seen} == {("-1", "1m")}
     assert [spark.conf.get(k, None) for k in keys] == before_run
+
+
+def test_a_run_without_candidates_maps_every_payment(spark, feeds, monkeypatch):
+    """The best matches come from the sweep: a batch makes no pair of a payment and a click."""
+    from cartwheel.operators import matching
+
+    def pairs(*args, **kwargs):
+        raise AssertionError("candidates were built")
+
+    click, pay = feeds
+    root = scratch_path(spark, "test_state", new_run_id())
+    with monkeypatch.context() as m:
+        m.setattr(matching, "match_candidates", pairs)
+        models = IncrementalModels(spark, root=root, candidates=False)
+        for cut in ("2024-01-05", "2024-01-07"):
+            models.run(before(click, cut), before(pay, cut))
+    assert "payment_event_candidates" not in models.state
+    wh = Warehouse(spark, SF, landing=(before(click, "2024-01-07"), before(pay, "2024-01-07")))
+    for name in ("map_payment_to_event", "map_payment_to_session", "fct_sessions"):
+        assert same(models.state[name], getattr(wh, name)()), name
+    with pytest.raises(ValueError, match="without the candidates"):
+        IncrementalModels(spark, root=root)
