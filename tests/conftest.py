@@ -14,5 +14,6 @@ def spark():
     s = local_session(cores="4", shuffle_partitions=4, app_name="cartwheel-tests")
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cartwheel-tests-"))
+    s.conf.set("spark.sql.maxMetadataStringLength", "2000")  # plans name whole paths, however long the scratch folder's is
     yield s
     s.stop()
