@@ -2,14 +2,16 @@
 event (B2) and session mapping (B3).
 
 The band join ``|event_time - payment_time| <= w`` on an entity key is run
-as an equi-join on ``(key, time bucket)`` with buckets of width ``w``: each
-event sits in one bucket, each payment probes its own bucket and the two
-neighbours, and the exact band is a residual filter. The join therefore
-stays a hash/sort-merge join whose partitions are (key, hour) slices, so one
-very active user or session is spread over many tasks instead of one. The
-events of a slice are also spread over a constant number of salts and its
-payments replicated to each of them, whatever the data; both sides are plain
-shuffles, so AQE's skew-join splitting covers a slice that is still too large.
+as an equi-join on ``(key, time bucket)`` with buckets of half of ``w``: each
+event sits in one bucket, each payment probes the five buckets its window
+touches, and the exact band is a residual filter. The join therefore stays a
+hash/sort-merge join whose partitions are (key, half window) slices, so one
+very active user or session is spread over many tasks instead of one. Time
+alone spreads a key: salting the events too would cost a copy of every
+payment for every salt. ``salts`` still does that where it is asked for; both
+sides are plain shuffles, so AQE's skew-join splitting covers a slice that is
+still too large. The join sorts by bucket first and reads the events in order,
+so that pairs of one time and event come together and are written in few bytes.
 """
 
 from __future__ import annotations
@@ -35,10 +37,11 @@ CARRIED = ["product_id", "brand"]
 
 
 def _bucket(ts: F.Column, minutes: int) -> F.Column:
-    return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(minutes * 60 * 1_000_000))
+    """Number of the half window that a time lies in; grows with the time."""
+    return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(minutes * 30 * 1_000_000))
 
 
-SALTS = 4   # parts of a (key, bucket) slice of the events
+SALTS = 1   # parts of a (key, bucket) slice of the events; every payment is copied to each
 
 
 def band_join(payments: DataFrame, events: DataFrame, pay_key: str, event_key: str,
@@ -46,24 +49,24 @@ def band_join(payments: DataFrame, events: DataFrame, pay_key: str, event_key: s
     """Pairs (payment, event) with equal keys and event time within ±minutes.
 
     An event lies in one bucket and one salt (by a hash of its id); a payment
-    probes three buckets in every salt, so each pair is produced exactly once.
+    probes the buckets from its window's start to its end in every salt, so
+    each pair is produced exactly once.
     """
+    window = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
+    paid = F.col("payment_event_time")
     p = (payments.where(F.col(pay_key).isNotNull())
-         .withColumn("_b0", _bucket(F.col("payment_event_time"), minutes))
-         .withColumn("_bucket", F.explode(F.array(F.col("_b0") - 1, F.col("_b0"), F.col("_b0") + 1)))
-         .withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-         .drop("_b0"))
+         .withColumn("_bucket", F.explode(F.sequence(_bucket(paid - window, minutes), _bucket(paid + window, minutes))))
+         .withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)]))))
     e = (events.where(F.col(event_key).isNotNull() & F.col("event_time").isNotNull())
          .withColumn("_bucket", _bucket(F.col("event_time"), minutes))
          .withColumn("_salt", F.pmod(F.xxhash64(F.col(row_id)), F.lit(salts)).cast("int")))
-    window = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
     cond = [
-        p[pay_key] == e[event_key],
         p["_bucket"] == e["_bucket"],
+        p[pay_key] == e[event_key],
         p["_salt"] == e["_salt"],
         e["event_time"].between(p["payment_event_time"] - window, p["payment_event_time"] + window),
     ]
-    return (p.join(e, cond, "inner").drop(p["_bucket"]).drop(e["_bucket"])
+    return (e.join(p, cond, "inner").drop(p["_bucket"]).drop(e["_bucket"])
             .drop(p["_salt"]).drop(e["_salt"]))
 
 
