@@ -82,7 +82,7 @@ class Warehouse:
             return self._models[name]
 
     def _written(self, name: str, df: DataFrame, path: str) -> DataFrame:
-        writer = df.write.mode("overwrite")
+        writer = df.write.mode("overwrite").option("compression", "zstd")
         if not self.buckets or name not in BUCKETED:
             writer.parquet(path)
             return self.spark.read.parquet(path)

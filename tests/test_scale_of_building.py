@@ -20,3 +20,17 @@ def test_landing_rows_are_made_in_tasks_of_bounded_size(spark, monkeypatch):
 
 def test_buckets_follow_the_events():
     assert [registry._buckets(n) for n in (0, 1_000, 1_000_000, 1_000_001, 36_000_000)] == [8, 8, 8, 16, 288]
+
+
+def test_models_are_written_as_zstd(spark):
+    """Staged documents and hashes take a third fewer bytes than by the default codec."""
+    import glob
+
+    import pyarrow.parquet as pq
+    from cartwheel.plans.warehouse import Warehouse
+    wh = Warehouse(spark, SF)
+    wh.payment_intents()
+    for name in ("stg_payment_events", "payment_events_clean", "payment_intents"):
+        files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{wh.root.removeprefix('file:')}/{name}/*.parquet")]
+        kinds = {m.row_group(g).column(c).compression for m in files for g in range(m.num_row_groups) for c in range(m.num_columns)}
+        assert files and kinds == {"ZSTD"}
