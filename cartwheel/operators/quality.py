@@ -368,6 +368,26 @@ def dq_summary(models: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS
     scan, and those that some did are counted anew, exactly. Keys of observed models are checked by domain
     (``_key_passes``); a model that nobody wrote is read once for all its checks.
     """
+    return union_all(_summary_parts(models, checks, observed))
+
+
+def dq_summary_in_turn(models: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS,
+                       observed: Mapping[str, Mapping[str, int]] | None = None) -> DataFrame:
+    """The rows of ``dq_summary``, counted pass by pass: the driver holds one pass's plan, broadcasts and tasks at a time.
+
+    Only the counts, a row a check, come to the driver.
+    """
+    counted = [tuple(r) for part in _summary_parts(models, checks, observed) for r in part.collect()]
+    return next(iter(models.values())).sparkSession.createDataFrame(counted, SUMMARY)
+
+
+#: What a check's row holds.
+SUMMARY = "check_name string, model string, violations bigint"
+
+
+def _summary_parts(models: Mapping[str, DataFrame], checks: Sequence[Check],
+                   observed: Mapping[str, Mapping[str, int]] | None) -> list[DataFrame]:
+    """The passes of ``dq_summary``: each a row for some checks."""
     observed = observed or {}
     parts: list[DataFrame] = []
     clean: list[tuple[str, str, int]] = []
@@ -394,8 +414,8 @@ def dq_summary(models: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS
         parts.append(_count(bad, Check("refunds", "predicate", label=REFUND_VS_CHARGE.split(".")[1])))
     if clean:
         spark = next(iter(models.values())).sparkSession
-        parts.append(spark.createDataFrame(clean, "check_name string, model string, violations bigint"))
-    return union_all(parts)
+        parts.append(spark.createDataFrame(clean, SUMMARY))
+    return parts
 
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:

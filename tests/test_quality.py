@@ -81,3 +81,29 @@ def test_every_written_model_is_observed(spark):
     plain = {r.check_name: r.violations for r in quality.dq_summary(models).collect()}
     assert {r.check_name: r.violations for r in quality.dq_summary(models, observed=wh.observed).collect()} == plain
     assert len(plain) == len(quality.CHECKS) + 1
+
+
+def test_summary_in_turn_holds_one_pass_at_a_time(spark, monkeypatch):
+    """The driver of the registered summary gets counts alone, and no broadcast by what file sizes say."""
+    from cartwheel.plans import registry
+    from cartwheel.plans.warehouse import Warehouse
+    models = {"p": spark.createDataFrame([(1,), (1,), (None,)], "id long"), "c": spark.createDataFrame([(1, -1), (3, 2)], "ref long, amount long")}
+    checks = [*quality._nn("p", "id"), quality.Check("p", "unique", ("id",)), quality.Check("c", "relationships", ("ref",), "p", "id"),
+              quality.Check("c", "predicate", rule=quality.not_negative("amount"), label="neg")]
+    turn = quality.dq_summary_in_turn(models, checks, {"c": {"c.neg": 0}})
+    assert sorted(turn.collect()) == sorted(quality.dq_summary(models, checks, {"c": {"c.neg": 0}}).collect())
+    assert {r.check_name: r.violations for r in turn.collect()} == {
+        "p.id.not_null": 1, "p.id.unique": 1, "c.ref.references.p.id": 1, "c.neg": 0}
+    plan = turn._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Union" not in plan
+
+    keys, seen = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"), []
+    before, in_turn = [spark.conf.get(k, None) for k in keys], quality.dq_summary_in_turn
+
+    def spy(value):
+        seen.append(tuple(spark.conf.get(k) for k in keys))
+        return value
+    monkeypatch.setattr(Warehouse, "quality_models", lambda self: spy(models))
+    monkeypatch.setattr(quality, "dq_summary_in_turn", lambda m, observed: spy(in_turn(m, checks)))
+    assert registry.QUERIES["dq_summary"](spark, "/nowhere/but/here").count() == len(checks)
+    assert seen == [("-1", "1m")] * 2 and [spark.conf.get(k, None) for k in keys] == before
