@@ -254,3 +254,92 @@ def test_a_run_without_candidates_maps_every_payment(spark, feeds, monkeypatch):
         assert same(models.state[name], getattr(wh, name)()), name
     with pytest.raises(ValueError, match="without the candidates"):
         IncrementalModels(spark, root=root)
+
+
+def zstd_only(root, *below):
+    import glob
+
+    import pyarrow.parquet as pq
+    files = [pq.ParquetFile(f).metadata for f in glob.glob("/".join([root.removeprefix("file:"), *below]), recursive=True)]
+    assert files
+    return {m.row_group(g).column(c).compression for m in files for g in range(m.num_row_groups) for c in range(m.num_columns)} == {"ZSTD"}
+
+
+def test_shuffles_of_a_run_open_no_file_for_each_partition_and_go_with_their_job(spark, monkeypatch):
+    from cartwheel.plans import incremental_run
+    wanted = []
+    for own in (4, 200, 201, 600):
+        monkeypatch.setattr(spark.conf, "get", lambda key, default=None, own=own: str(own) if key == "spark.sql.shuffle.partitions" else default)
+        wanted.append(incremental_run._initial_partitions(spark))
+    monkeypatch.undo()
+    assert wanted == [4, 201, 201, 600]
+    empty, seen = spark.createDataFrame([], schemas.LANDING).withColumn("payload_hash", landing.fingerprint("raw_payload_json")), []
+    im = IncrementalModels(spark)
+    replace = im.store.replace
+    im.store.replace = lambda *a, **k: seen.append(spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")) or replace(*a, **k)
+    row = spark.createDataFrame([delivery("a", 1, "2024-01-01 10:00:00", "2024-01-02 00:00:00")], schemas.LANDING).withColumn(
+        "payload_hash", landing.fingerprint("raw_payload_json"))
+    im.run(row, empty)
+    assert seen and set(seen) == {"true"}
+    assert zstd_only(im.store.root, "tables", "**", "*.parquet")
+
+
+def test_landing_tables_are_written_as_zstd(spark):
+    root = scratch_path(spark, "test_state", new_run_id())
+    landing.append_landing_table(spark.createDataFrame([delivery("a", 1, "2024-01-01 10:00:00", "2024-01-02 00:00:00")], schemas.LANDING), root)
+    assert zstd_only(root, "**", "*.parquet")
+
+
+def test_rows_of_parts_that_a_batch_made_are_not_looked_up(spark, monkeypatch):
+    store, schema = RunState(spark, scratch_path(spark, "test_state", new_run_id())), f"k long, v long, {PART} string"
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    store.begin()
+    store.replace("t", frame([(1, 1, "a"), (2, 2, "a"), (3, 3, "b"), (None, 4, "b")]))
+    assert store.born("t") == {"a", "b"}
+    store.commit()
+    store.begin()
+    store.replace("t", frame([(1, 1, "a"), (2, 5, "a"), (2, 6, "c"), (7, 7, "c"), (None, 8, "c")]), ["a", "c"])
+    assert store.born("t") == {"c"}
+    keys, asked, located = spark.createDataFrame([(2,), (7,)], "k long"), [], store.located
+    monkeypatch.setattr(store, "located", lambda table, k, on, parts=None, distinct=True: asked.append(parts) or located(table, k, on, parts, distinct))
+    want = [(2, 5, "a"), (2, 6, "c"), (7, 7, "c")]
+    assert content(store.rows_of("t", keys, ["k"], distinct=False, born=True, nulls=False), ["k", "v", PART]) == sorted(map(repr, want))
+    assert content(store.rows_of("t", keys, ["k"]), ["k", "v", PART]) == sorted(map(repr, want))
+    assert asked == [{"a", "b"}, None]
+    with_null = spark.createDataFrame([(2,), (7,), (None,)], "k long")
+    assert content(store.rows_of("t", with_null, ["k"], born=True), ["k", "v", PART]) == content(store.rows_of("t", with_null, ["k"]), ["k", "v", PART])
+
+
+def test_merge_within_known_parts_writes_the_rows_once(spark):
+    rng = random.Random(7)
+    schema, state, store = "k long, d date, v long", None, RunState(spark, scratch_path(spark, "test_state", new_run_id()))
+    scratched, scratch = [], store.scratch
+    store.scratch = lambda name, rows: scratched.append(name) or scratch(name, rows)
+    days = [dt.date(2024, 1, d) for d in range(1, 6)]
+    for batch in range(3):
+        store.begin()
+        rows = [(rng.choice([None, *range(12)]), rng.choice(days), batch * 100 + i) for i in range(10)]
+        rebuilt = spark.createDataFrame(rows, schema)
+        touched = spark.createDataFrame([(k,) for k in {r[0] for r in rows} | {rng.randrange(12)}], "k long")
+        state = inc.upsert(state, rebuilt, ["k"], touched=touched if batch else None)
+        state = spark.createDataFrame(state.collect(), schema)
+        store.merge("t", rebuilt, ["k"], F.col("d"), touched if batch else None, keep_old=False, within={str(d) for d in days} if batch else None)
+        assert content(store.read("t").drop(PART)) == content(state)
+        store.commit()
+    assert scratched == []
+
+
+def test_only_what_may_be_in_the_ledger_meets_it(spark, feeds):
+    """Deliveries for dates that the ledger hasn't join nothing; the look-back's rows still do."""
+    table = lambda rows: spark.createDataFrame(rows, schemas.LANDING).withColumn("payload_hash", landing.fingerprint("raw_payload_json"))
+    old = [delivery("a", 1, "2024-01-01 10:00:00", "2024-01-02 00:00:00"), delivery("b", 2, "2024-01-01 11:00:00", "2024-01-02 00:00:01")]
+    late = [delivery("b", 2, "2024-01-01 11:00:00", "2024-01-03 00:00:00"), delivery("c", 3, "2024-01-03 10:00:00", "2024-01-03 00:00:01"),
+            delivery("d", None, "no time", "2024-01-03 00:00:02")]
+    im = IncrementalModels(spark)
+    im.run(table(old), feeds[1].limit(0))
+    gone, forget = [], im.store.forget
+    im.store.forget = lambda name: gone.append(name) or forget(name)
+    im.run(table(old + late), feeds[1].limit(0))
+    assert "stg_clickstream_events-slice" in gone
+    assert same(im.state["stg_clickstream_events"], staging.stage_clickstream(table(old + late)))
+    assert {(r.event_id, r.ingested_at.day) for r in im.state["stg_clickstream_events"].collect()} == {("a", 2), ("b", 3), ("c", 3), ("d", 3)}
